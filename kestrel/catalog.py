@@ -28,3 +28,87 @@ def popularity_eval(spark, sf):
     history, target = prep.holdout_last(implicit_core(spark, sf))
     ranks = evaluation.popularity_target_rank(history, target)
     return evaluation.metric_bundle(ranks)
+
+
+# ---- step 1: preparation ------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+
+@register("k_core")
+def q_k_core(spark, sf):
+    return implicit_core(spark, sf).select("user_id", "item_id", "rating", "ts", "tie")
+
+
+@register("dense_encode")
+def q_dense_encode(spark, sf):
+    core = implicit_core(spark, sf)
+    users = prep.dense_encode(core, "user_id", "idx").select(F.lit("user").alias("kind"),
+                                                             F.col("user_id").alias("raw_id"), "idx")
+    items = prep.dense_encode(core, "item_id", "idx").select(F.lit("item").alias("kind"),
+                                                             F.col("item_id").alias("raw_id"), "idx")
+    return users.unionByName(items)
+
+
+@register("dataset_stats")
+def q_dataset_stats(spark, sf):
+    return prep.dataset_stats(implicit_core(spark, sf))
+
+
+@register("sequences_padded")
+def q_sequences_padded(spark, sf):
+    s = prep.padded_sequences(implicit_core(spark, sf), length=50)
+    return s.select("user_id", F.array_join(F.col("seq").cast("array<string>"), ",").alias("seq"), "n_recent")
+
+
+@register("sequence_positions")
+def q_sequence_positions(spark, sf):
+    return prep.sequence_positions(implicit_core(spark, sf)).select("user_id", "pos", "item_id", "ts")
+
+
+@register("leave_last_out")
+def q_leave_last_out(spark, sf):
+    train, val, test = prep.leave_last_out(implicit_core(spark, sf))
+    cols = ["user_id", "item_id", "ts", "tie"]
+    return (train.select(F.lit("train").alias("split"), *cols)
+            .unionByName(val.select(F.lit("val").alias("split"), *cols))
+            .unionByName(test.select(F.lit("test").alias("split"), *cols)))
+
+
+@register("serving_history")
+def q_serving_history(spark, sf):
+    return prep.serving_history(implicit_core(spark, sf)).select("user_id", "item_id", "ts", "tie")
+
+
+@register("next_item_pairs")
+def q_next_item_pairs(spark, sf):
+    return prep.next_item_pairs(implicit_core(spark, sf), length=50)
+
+
+@register("prefix_samples")
+def q_prefix_samples(spark, sf):
+    return prep.prefix_samples(implicit_core(spark, sf), max_len=50)
+
+
+@register("train_window")
+def q_train_window(spark, sf):
+    return prep.train_window(implicit_core(spark, sf), A.ratings(spark, sf))
+
+
+@register("user_item_sets")
+def q_user_item_sets(spark, sf):
+    return prep.user_item_sets(implicit_core(spark, sf))
+
+
+@register("recent_history")
+def q_recent_history(spark, sf):
+    return prep.recent_history(implicit_core(spark, sf), A.items(spark, sf), n=10)
+
+
+@register("vocab_filter_binarize")
+def q_vocab_filter(spark, sf):
+    """Raw implicit ratings restricted to ids present in the k-core maps, with interaction = 1."""
+    core = implicit_core(spark, sf)
+    raw = A.ratings(spark, sf, min_rating=4.0)
+    kept = prep.vocab_filter(prep.vocab_filter(raw, core.select("user_id").distinct(), "user_id"),
+                             core.select("item_id").distinct(), "item_id")
+    return prep.binarize(kept).select("user_id", "item_id", "ts", "tie", "interaction")

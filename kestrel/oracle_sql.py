@@ -76,3 +76,80 @@ ORACLE["popularity_eval"] = with_(_kcore_holdout() + [
                  WHERE pop.pop > tp.pt AND pop.item_id NOT IN (SELECT h.item_id FROM hist h WHERE h.user_id = tp.user_id)) AS rnk
                FROM tp)""",
 ], metric_bundle_sql("ranks"))
+
+# ---- step 1: preparation -------------------------------------------------------------
+_KC, _CORE = kcore_ctes(IMPLICIT)
+
+ORACLE["k_core"] = with_(_KC, f"SELECT user_id, item_id, rating, ts, tie FROM {_CORE}")
+
+ORACLE["dense_encode"] = with_(_KC, f"""
+SELECT 'user' AS kind, user_id AS raw_id, CAST(row_number() OVER (ORDER BY user_id) AS BIGINT) AS idx
+  FROM (SELECT DISTINCT user_id FROM {_CORE})
+UNION ALL
+SELECT 'item' AS kind, item_id AS raw_id, CAST(row_number() OVER (ORDER BY item_id) AS BIGINT) AS idx
+  FROM (SELECT DISTINCT item_id FROM {_CORE})""")
+
+ORACLE["dataset_stats"] = with_(_KC, f"""
+SELECT n_users, n_items, n_interactions,
+  round(1.0 - n_interactions / (CAST(n_users AS DOUBLE) * n_items), 6) AS sparsity,
+  round(n_interactions / (CAST(n_users AS DOUBLE) * n_items), 6) AS density,
+  round(n_interactions / CAST(n_users AS DOUBLE), 6) AS avg_per_user,
+  round(n_interactions / CAST(n_items AS DOUBLE), 6) AS avg_per_item,
+  n_users + 1 AS n_users_with_pad, n_items + 1 AS n_items_with_pad
+FROM (SELECT count(*) AS n_interactions, count(DISTINCT user_id) AS n_users,
+             count(DISTINCT item_id) AS n_items FROM {_CORE})""")
+
+ORACLE["sequences_padded"] = with_(_KC + [
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})"], """
+SELECT user_id, repeat('0,', CAST(50 - count(*) AS INTEGER)) || string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY ts, tie) AS seq,
+       count(*) AS n_recent
+FROM r WHERE rn <= 50 GROUP BY user_id""")
+
+ORACLE["sequence_positions"] = with_(_KC, f"""
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, tie) AS BIGINT) AS pos, item_id, ts
+FROM {_CORE}""")
+
+ORACLE["leave_last_out"] = with_(_KC + [
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})"], """
+SELECT CASE WHEN rn = 1 THEN 'test' WHEN rn = 2 THEN 'val' ELSE 'train' END AS split, user_id, item_id, ts, tie FROM r""")
+
+ORACLE["serving_history"] = with_(_KC + [
+    f"""r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn,
+                count(*) OVER (PARTITION BY user_id) AS n FROM {_CORE})"""], """
+SELECT user_id, item_id, ts, tie FROM r WHERE rn > 1 OR n = 1""")
+
+ORACLE["next_item_pairs"] = with_(_KC + [
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})",
+    "k AS (SELECT * FROM r WHERE rn <= 51)",
+    "n AS (SELECT user_id, max(rn) AS n FROM k GROUP BY user_id)"], """
+SELECT a.user_id, CAST(n.n - a.rn + 1 AS BIGINT) AS pos, a.item_id AS input_item, b.item_id AS target_item
+FROM k a JOIN k b ON a.user_id = b.user_id AND b.rn = a.rn - 1 JOIN n ON n.user_id = a.user_id""")
+
+ORACLE["prefix_samples"] = with_(_KC + [
+    f"p AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, tie) AS pos FROM {_CORE})"], """
+SELECT t.user_id, CAST(t.pos AS BIGINT) AS pos, t.item_id AS target_item, count(*) AS prefix_len,
+       string_agg(CAST(h.item_id AS VARCHAR), ',' ORDER BY h.pos) AS prefix
+FROM p t JOIN p h ON h.user_id = t.user_id AND h.pos BETWEEN t.pos - 50 AND t.pos - 1
+WHERE t.pos >= 2 GROUP BY t.user_id, t.pos, t.item_id""")
+
+ORACLE["train_window"] = with_(_KC + [
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})",
+    "tr AS (SELECT user_id, item_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, tie) AS pos FROM r WHERE rn > 2)",
+    f"""fr AS (SELECT user_id, item_id, ts, rating FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id, item_id, ts ORDER BY tie) AS q FROM ({RATINGS})) WHERE q = 1)"""], """
+SELECT tr.user_id, tr.item_id, tr.ts, CAST(tr.pos AS BIGINT) AS pos, coalesce(fr.rating, 0.0) AS rating
+FROM tr LEFT JOIN fr USING (user_id, item_id, ts)""")
+
+ORACLE["user_item_sets"] = with_(_KC, f"""
+SELECT count(*) AS n_users, min(n) AS min_items, max(n) AS max_items, round(avg(n), 6) AS mean_items, sum(n) AS total_pairs
+FROM (SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id, item_id FROM {_CORE} WHERE item_id <> 0) GROUP BY user_id)""")
+
+ORACLE["recent_history"] = with_(_KC + [
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})",
+    f"it AS ({ITEMS})"], """
+SELECT r.user_id, CAST(r.rn AS BIGINT) AS position, r.item_id, r.ts, coalesce(it.title, 'Unknown') AS title
+FROM r LEFT JOIN it USING (item_id) WHERE r.rn <= 10""")
+
+ORACLE["vocab_filter_binarize"] = with_(_KC + [f"raw AS ({IMPLICIT})"], f"""
+SELECT user_id, item_id, ts, tie, 1 AS interaction FROM raw
+WHERE user_id IN (SELECT user_id FROM {_CORE}) AND item_id IN (SELECT item_id FROM {_CORE})""")
