@@ -112,3 +112,88 @@ def q_vocab_filter(spark, sf):
     kept = prep.vocab_filter(prep.vocab_filter(raw, core.select("user_id").distinct(), "user_id"),
                              core.select("item_id").distinct(), "item_id")
     return prep.binarize(kept).select("user_id", "item_id", "ts", "tie", "interaction")
+
+
+# ---- step 2: features -------------------------------------------------------------------
+from pyspark.sql import types as T  # noqa: E402
+from kestrel.operators import features as feat  # noqa: E402
+
+
+def round_doubles(df, digits=6):
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def user_map(spark, sf):
+    return prep.dense_encode(implicit_core(spark, sf), "user_id", "user_idx")
+
+
+def item_map(spark, sf):
+    return prep.dense_encode(implicit_core(spark, sf), "item_id", "item_idx")
+
+
+@register("user_features_full")
+def q_user_features_full(spark, sf):
+    uf = feat.user_features(A.ratings(spark, sf, min_rating=4.0), A.items(spark, sf), A.genre_vocab(spark, sf),
+                            idmap=user_map(spark, sf))
+    return round_doubles(uf)
+
+
+@register("user_sessions")
+def q_user_sessions(spark, sf):
+    ev = A.table(spark, sf, "events").select("user_id", "ts")
+    return feat.session_stats(ev, gap_s=3600)
+
+
+@register("item_features")
+def q_item_features(spark, sf):
+    itf = feat.item_features(A.ratings(spark, sf), A.items(spark, sf), A.genre_vocab(spark, sf),
+                             idmap=item_map(spark, sf))
+    return round_doubles(itf)
+
+
+@register("item_popularity_rank")
+def q_item_popularity_rank(spark, sf):
+    from kestrel.plans.ordering import competition_rank
+    counts = A.ratings(spark, sf, min_rating=4.0).groupBy("item_id").agg(F.count(F.lit(1)).alias("global_popularity"))
+    return competition_rank(counts, "global_popularity", "popularity_rank").select(
+        "item_id", "global_popularity", "popularity_rank")
+
+
+def _train_ratings(spark, sf):
+    return prep.train_window(implicit_core(spark, sf), A.ratings(spark, sf))
+
+
+@register("rank_user_features")
+def q_rank_user_features(spark, sf):
+    tw = _train_ratings(spark, sf)
+    lens = tw.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_sequence_length"))
+    return round_doubles(feat.rank_user_features(tw, lens))
+
+
+@register("rank_item_features")
+def q_rank_item_features(spark, sf):
+    return round_doubles(feat.rank_item_features(_train_ratings(spark, sf), A.items(spark, sf)))
+
+
+@register("genre_onehot")
+def q_genre_onehot(spark, sf):
+    return feat.genre_onehot(A.items(spark, sf))
+
+
+@register("popularity_distribution")
+def q_popularity_distribution(spark, sf):
+    return round_doubles(feat.popularity_distribution(implicit_core(spark, sf)))
+
+
+USER_FEATURE_COLS = ["avg_rating", "total_interactions", "rating_std", "min_rating", "max_rating",
+                     "high_rating_ratio", "temporal_spread_days", "recency_days", "active_days",
+                     "interaction_density", "genre_diversity", "top_genre_idx", "session_count",
+                     "avg_session_length", "popularity_bias"]
+
+
+@register("feature_summary")
+def q_feature_summary(spark, sf):
+    uf = feat.user_features(A.ratings(spark, sf, min_rating=4.0), A.items(spark, sf), A.genre_vocab(spark, sf))
+    return feat.describe(round_doubles(uf), USER_FEATURE_COLS)

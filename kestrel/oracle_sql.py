@@ -62,7 +62,7 @@ def metric_bundle_sql(ranks_cte: str, ks=(5, 10, 20)) -> str:
   round(avg(CASE WHEN rnk <= ks.k THEN 1.0 / rnk ELSE 0.0 END), 6) AS mrr,
   round(avg(CASE WHEN rnk <= ks.k THEN 1.0 / ks.k ELSE 0.0 END), 6) AS precision,
   round(avg(CAST(rnk AS DOUBLE)), 6) AS mean_rank,
-  round(quantile_cont(CAST(rnk AS DOUBLE), 0.5), 6) AS median_rank
+  round(quantile_disc(CAST(rnk AS DOUBLE), 0.5), 6) AS median_rank
 FROM {ranks_cte}, (VALUES {kv}) ks(k) GROUP BY ks.k"""
 
 
@@ -153,3 +153,143 @@ FROM r LEFT JOIN it USING (item_id) WHERE r.rn <= 10""")
 ORACLE["vocab_filter_binarize"] = with_(_KC + [f"raw AS ({IMPLICIT})"], f"""
 SELECT user_id, item_id, ts, tie, 1 AS interaction FROM raw
 WHERE user_id IN (SELECT user_id FROM {_CORE}) AND item_id IN (SELECT item_id FROM {_CORE})""")
+
+# ---- step 2: features ------------------------------------------------------------------------
+IG = """SELECT item_id, trim(genre) AS genre, pos FROM (
+          SELECT item_id, unnest(string_split(genres, '|')) AS genre,
+                 unnest(range(1, len(string_split(genres, '|')) + 1)) AS pos FROM it)"""
+
+
+def _days(later, earlier):
+    return f"((epoch_us({later}) - epoch_us({earlier})) / 86400000000.0)"
+
+
+_USER_FEAT = [f"r AS ({IMPLICIT})", f"it AS ({ITEMS})", f"v AS ({VOCAB})",
+              f"ig AS (SELECT x.item_id, x.genre, v.idx, x.pos FROM ({IG}) x JOIN v ON v.genre = x.genre)",
+              "nowt AS (SELECT max(ts) AS now FROM r)",
+              f"""base AS (SELECT user_id, avg(rating) AS avg_rating, count(*) AS total_interactions,
+                   coalesce(stddev_samp(rating), 0.0) AS rating_std, min(rating) AS min_rating, max(rating) AS max_rating,
+                   avg(CASE WHEN rating >= 4.0 THEN 1.0 ELSE 0.0 END) AS high_rating_ratio,
+                   min(ts) AS f, max(ts) AS l, count(DISTINCT CAST(ts AS DATE)) AS active_days FROM r GROUP BY user_id)""",
+              "ug AS (SELECT r.user_id, ig.genre, ig.idx, count(*) AS c FROM r JOIN ig USING (item_id) GROUP BY 1, 2, 3)",
+              """gen AS (SELECT user_id, count(*) AS genre_diversity,
+                   max(CASE WHEN rn = 1 THEN idx END) AS top_genre_idx FROM (
+                   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY c DESC, idx ASC) AS rn FROM ug) GROUP BY user_id)""",
+              """ses AS (SELECT user_id, sum(CASE WHEN prev IS NULL OR epoch_us(ts) - epoch_us(prev) > 3600000000 THEN 1 ELSE 0 END) AS sc,
+                   count(*) AS n FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM r) GROUP BY user_id)""",
+              "ipop AS (SELECT item_id, rank() OVER (ORDER BY cnt DESC) AS pr FROM (SELECT item_id, count(*) AS cnt FROM r GROUP BY item_id))",
+              "bias AS (SELECT r.user_id, avg(coalesce(CAST(ipop.pr AS DOUBLE), 9999.0)) AS popularity_bias FROM r LEFT JOIN ipop USING (item_id) GROUP BY r.user_id)",
+              f"""uf AS (SELECT b.user_id, nowt.now AS event_timestamp, round(b.avg_rating, 6) AS avg_rating, b.total_interactions,
+                   round(b.rating_std, 6) AS rating_std, round(b.min_rating, 6) AS min_rating, round(b.max_rating, 6) AS max_rating,
+                   round(b.high_rating_ratio, 6) AS high_rating_ratio,
+                   round(greatest({_days('b.l', 'b.f')}, 0.0), 6) AS temporal_spread_days,
+                   round(greatest({_days('nowt.now', 'b.l')}, 0.0), 6) AS recency_days,
+                   b.active_days, round(b.total_interactions / greatest(b.active_days, 1), 6) AS interaction_density,
+                   CAST(coalesce(g.genre_diversity, 0) AS BIGINT) AS genre_diversity,
+                   CAST(coalesce(g.top_genre_idx, -1) AS BIGINT) AS top_genre_idx,
+                   CAST(coalesce(s.sc, 1) AS BIGINT) AS session_count,
+                   round(coalesce(round(s.n / s.sc, 2), 0.0), 6) AS avg_session_length,
+                   round(coalesce(p.popularity_bias, 9999.0), 6) AS popularity_bias
+                 FROM base b CROSS JOIN nowt LEFT JOIN gen g USING (user_id) LEFT JOIN ses s USING (user_id)
+                 LEFT JOIN bias p USING (user_id))"""]
+
+ORACLE["user_features_full"] = with_(_KC + _USER_FEAT + [
+    f"umap AS (SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) AS BIGINT) AS user_idx FROM (SELECT DISTINCT user_id FROM {_CORE}))"],
+    "SELECT uf.*, umap.user_idx FROM uf JOIN umap USING (user_id)")
+
+ORACLE["user_sessions"] = """
+SELECT user_id, CAST(sum(CASE WHEN prev IS NULL OR epoch_us(ts) - epoch_us(prev) > 3600000000 THEN 1 ELSE 0 END) AS BIGINT) AS session_count,
+       round(count(*) / sum(CASE WHEN prev IS NULL OR epoch_us(ts) - epoch_us(prev) > 3600000000 THEN 1 ELSE 0 END), 2) AS avg_session_length
+FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events) GROUP BY user_id"""
+
+ORACLE["item_features"] = with_(_KC + [
+    f"r AS ({RATINGS})", f"it AS ({ITEMS})", f"v AS ({VOCAB})",
+    f"ig AS (SELECT x.item_id, x.genre, v.idx, x.pos FROM ({IG}) x JOIN v ON v.genre = x.genre)",
+    "nowt AS (SELECT max(ts) AS now FROM r)",
+    f"""st AS (SELECT item_id, avg(rating) AS a, count(*) AS c, coalesce(stddev_samp(rating), 0.0) AS s,
+          avg(CASE WHEN rating >= 4.0 THEN 1.0 ELSE 0.0 END) AS h, count(*) FILTER (WHERE rating >= 4.0) AS gp,
+          greatest({_days('max(ts)', 'min(ts)')}, 1.0) AS ad FROM r GROUP BY item_id)""",
+    "rk AS (SELECT item_id, rank() OVER (ORDER BY gp DESC) AS pr FROM st WHERE gp > 0)",
+    "g AS (SELECT item_id, count(*) AS gc, arg_min(idx, pos) AS pg FROM ig GROUP BY item_id)",
+    """cat AS (SELECT item_id, CASE WHEN yr BETWEEN 1888 AND 2030 THEN yr ELSE 0 END AS ry FROM (
+          SELECT item_id, CAST(nullif(regexp_extract(trim(title), '\\((\\d{4})\\)\\s*$', 1), '') AS INTEGER) AS yr FROM it))""",
+    f"imap AS (SELECT item_id, CAST(row_number() OVER (ORDER BY item_id) AS BIGINT) AS item_idx FROM (SELECT DISTINCT item_id FROM {_CORE}))"], """
+SELECT c.item_id, nowt.now AS event_timestamp, CAST(coalesce(c.ry, 0) AS BIGINT) AS release_year,
+  CAST(coalesce(g.gc, 0) AS BIGINT) AS genre_count, CAST(coalesce(g.pg, -1) AS BIGINT) AS primary_genre_idx,
+  round(CASE WHEN coalesce(c.ry, 0) = 0 THEN 0.0 ELSE CAST(greatest(year(nowt.now) - c.ry, 0) * 365 AS DOUBLE) END, 6) AS item_age_days,
+  round(coalesce(st.a, 0.0), 6) AS avg_item_rating, CAST(coalesce(st.c, 0) AS BIGINT) AS rating_count,
+  round(coalesce(st.s, 0.0), 6) AS rating_std, round(coalesce(st.h, 0.0), 6) AS high_rating_ratio,
+  CAST(coalesce(st.gp, 0) AS BIGINT) AS global_popularity, CAST(coalesce(rk.pr, 99999) AS BIGINT) AS popularity_rank,
+  round(CASE WHEN st.gp > 0 THEN 1.0 / ln(1 + st.gp) ELSE 1.0 END, 6) AS niche_score,
+  round(coalesce(st.ad, 1.0), 6) AS item_active_days,
+  round(coalesce(st.c, 0) / greatest(coalesce(st.ad, 1.0), 1.0), 6) AS avg_ratings_per_day,
+  imap.item_idx
+FROM cat c CROSS JOIN nowt LEFT JOIN g USING (item_id) LEFT JOIN st USING (item_id) LEFT JOIN rk USING (item_id)
+JOIN imap USING (item_id)""")
+
+ORACLE["item_popularity_rank"] = f"""
+SELECT item_id, global_popularity, CAST(rank() OVER (ORDER BY global_popularity DESC) AS BIGINT) AS popularity_rank
+FROM (SELECT item_id, count(*) AS global_popularity FROM ({IMPLICIT}) GROUP BY item_id)"""
+
+_TRAIN = _KC + [
+    f"r0 AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})",
+    "tr AS (SELECT user_id, item_id, ts FROM r0 WHERE rn > 2)",
+    f"""fr AS (SELECT user_id, item_id, ts, rating FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id, item_id, ts ORDER BY tie) AS q FROM ({RATINGS})) WHERE q = 1)""",
+    "tw AS (SELECT tr.user_id, tr.item_id, tr.ts, coalesce(fr.rating, 0.0) AS rating FROM tr LEFT JOIN fr USING (user_id, item_id, ts))",
+    "nowt AS (SELECT max(ts) AS now FROM tw)"]
+
+ORACLE["rank_user_features"] = with_(_TRAIN, f"""
+SELECT user_id, count(*) AS user_rating_count, round(avg(rating), 6) AS user_avg_rating,
+  round(min(rating), 6) AS user_min_rating, round(max(rating), 6) AS user_max_rating,
+  round(coalesce(stddev_samp(rating), 0.0), 6) AS user_rating_std, max(ts) AS user_last_timestamp, min(ts) AS user_first_timestamp,
+  round({_days('max(ts)', 'min(ts)')}, 6) AS user_active_days,
+  round({_days('any_value(nowt.now)', 'max(ts)')}, 6) AS user_days_since_last,
+  count(*) AS user_sequence_length
+FROM tw CROSS JOIN nowt GROUP BY user_id""")
+
+_ITEMS_INLINE = ("SELECT p_partkey AS item_id, p_name || ' (' || CAST(1950 + p_size AS VARCHAR) || ')' AS title, "
+                 "concat_ws('|', p_type, p_brand) AS genres FROM part")
+_OH_SRC = f"""SELECT it.item_id, 'genre_' || replace(replace(gv.genre, ' ', '_'), '-', '_') AS gname,
+       CAST(CASE WHEN contains(it.genres, gv.genre) THEN 1 ELSE 0 END AS BIGINT) AS v
+  FROM ({_ITEMS_INLINE}) it CROSS JOIN
+       (SELECT DISTINCT unnest(string_split(genres, '|')) AS genre FROM ({_ITEMS_INLINE})) gv
+ WHERE gv.genre <> '(no genres listed)'"""
+OH_PIVOT = f"(PIVOT ({_OH_SRC}) ON gname USING max(v) GROUP BY item_id)"
+OH_COUNT = f"(SELECT item_id, CAST(sum(v) AS BIGINT) AS item_num_genres FROM ({_OH_SRC}) GROUP BY item_id)"
+
+ORACLE["genre_onehot"] = with_([f"it AS ({ITEMS})"], f"""
+SELECT it.item_id, it.title, ohp.* EXCLUDE (item_id), ohn.item_num_genres
+FROM it JOIN {OH_PIVOT} ohp USING (item_id) JOIN {OH_COUNT} ohn USING (item_id)""")
+
+ORACLE["rank_item_features"] = with_(_TRAIN + [
+    f"it AS ({ITEMS})",
+    f"""st AS (SELECT item_id, count(*) AS item_rating_count, avg(rating) AS item_avg_rating,
+          coalesce(stddev_samp(rating), 0.0) AS item_rating_std, max(ts) AS l, min(ts) AS f FROM tw GROUP BY item_id)"""], f"""
+SELECT st.item_id, st.item_rating_count, round(st.item_avg_rating, 6) AS item_avg_rating,
+  round(st.item_rating_std, 6) AS item_rating_std, st.item_rating_count AS item_popularity,
+  round(ln(1 + st.item_rating_count), 6) AS item_log_popularity,
+  round({_days('nowt.now', 'st.l')}, 6) AS item_days_since_last_rating,
+  round({_days('st.l', 'st.f')}, 6) AS item_active_days,
+  CAST(coalesce(CAST(nullif(regexp_extract(it.title, '\\((\\d{{4}})\\)', 1), '') AS INTEGER), 0) AS BIGINT) AS item_year,
+  coalesce(ohn.item_num_genres, 0) AS item_num_genres,
+  ohp.* EXCLUDE (item_id),
+  CAST(dense_rank() OVER (ORDER BY st.item_rating_count DESC) AS BIGINT) AS item_popularity_rank
+FROM st CROSS JOIN nowt LEFT JOIN it USING (item_id) LEFT JOIN {OH_PIVOT} ohp USING (item_id)
+LEFT JOIN {OH_COUNT} ohn USING (item_id)""")
+
+ORACLE["popularity_distribution"] = with_(_KC, f"""
+SELECT item_id, count, round(count / sum(count) OVER (), 6) AS prob, round(count / max(count) OVER (), 6) AS pop_norm
+FROM (SELECT item_id, count(*) AS count FROM {_CORE} WHERE item_id <> 0 GROUP BY item_id)""")
+
+_UF_COLS = ["avg_rating", "total_interactions", "rating_std", "min_rating", "max_rating", "high_rating_ratio",
+            "temporal_spread_days", "recency_days", "active_days", "interaction_density", "genre_diversity",
+            "top_genre_idx", "session_count", "avg_session_length", "popularity_bias"]
+
+ORACLE["feature_summary"] = with_(_USER_FEAT + [
+    "lng AS (UNPIVOT (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _UF_COLS) +
+    " FROM uf) ON " + ", ".join(_UF_COLS) + " INTO NAME feature VALUE v)"], """
+SELECT feature, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min,
+  round(quantile_disc(v, 0.25), 6) AS p25, round(quantile_disc(v, 0.5), 6) AS p50, round(quantile_disc(v, 0.75), 6) AS p75,
+  round(max(v), 6) AS max
+FROM lng GROUP BY feature""")
