@@ -197,3 +197,100 @@ USER_FEATURE_COLS = ["avg_rating", "total_interactions", "rating_std", "min_rati
 def q_feature_summary(spark, sf):
     uf = feat.user_features(A.ratings(spark, sf, min_rating=4.0), A.items(spark, sf), A.genre_vocab(spark, sf))
     return feat.describe(round_doubles(uf), USER_FEATURE_COLS)
+
+
+# ---- step 3: feature store -------------------------------------------------------------------
+from kestrel.operators import feature_store as fs, quality  # noqa: E402
+from kestrel.functions.scalar import ts_to_micros  # noqa: E402
+
+SNAP_COLS = ["cum_events", "cum_clicks", "cum_purchases", "cum_value"]
+
+
+def _facts(spark, sf):
+    return A.table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+
+
+@register("pit_join")
+def q_pit_join(spark, sf):
+    return fs.pit_join(_facts(spark, sf), A.snapshots(spark, sf), "user_id", SNAP_COLS, ttl_seconds=30 * 86400)
+
+
+@register("pit_join_ttl_1d")
+def q_pit_join_ttl(spark, sf):
+    return fs.pit_join(_facts(spark, sf), A.snapshots(spark, sf), "user_id", SNAP_COLS, ttl_seconds=86400,
+                       bucket_seconds=6 * 3600)
+
+
+@register("materialize_latest")
+def q_materialize_latest(spark, sf):
+    return fs.materialize_latest(A.snapshots(spark, sf), "user_id")
+
+
+def _user_store(spark, sf):
+    return feat.user_features(A.ratings(spark, sf, min_rating=4.0), A.items(spark, sf), A.genre_vocab(spark, sf))
+
+
+@register("entity_lookup_defaults")
+def q_entity_lookup(spark, sf):
+    req = A.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    return round_doubles(fs.entity_lookup(req, _user_store(spark, sf), "user_id", fs.USER_DEFAULTS))
+
+
+def _halves(spark, sf):
+    snaps = A.snapshots(spark, sf)
+    us = ts_to_micros(F.col("event_timestamp"))
+    bounds = snaps.agg(F.min(us).alias("lo"), F.max(us).alias("hi"))
+    cut = bounds.select(F.expr("(lo + hi) div 2")).scalar()
+    return snaps.where(us < cut), snaps.where(us >= cut)
+
+
+@register("psi_skew")
+def q_psi_skew(spark, sf):
+    e, a = _halves(spark, sf)
+    return round_doubles(quality.drift(e, a, SNAP_COLS))
+
+
+@register("drift_summary")
+def q_drift_summary(spark, sf):
+    e, a = _halves(spark, sf)
+    return quality.drift_summary(quality.drift(e, a, SNAP_COLS))
+
+
+USER_STORE_REQUIRED = ["user_idx", "event_timestamp"] + USER_FEATURE_COLS
+
+
+@register("validate_table")
+def q_validate_table(spark, sf):
+    uf = feat.user_features(A.ratings(spark, sf, min_rating=4.0), A.items(spark, sf), A.genre_vocab(spark, sf),
+                            idmap=user_map(spark, sf))
+    return quality.validate(uf, "user_idx", USER_STORE_REQUIRED)
+
+
+def _now(spark, sf):
+    return A.table(spark, sf, "events").select(F.max("ts")).scalar()
+
+
+@register("freshness")
+def q_freshness(spark, sf):
+    now = _now(spark, sf)
+    return round_doubles(quality.freshness(A.snapshots(spark, sf), "snapshots", now).unionByName(
+        quality.freshness(_user_store(spark, sf), "user_features", now)))
+
+
+@register("coverage")
+def q_coverage(spark, sf):
+    probes = A.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    return round_doubles(quality.coverage(probes, fs.materialize_latest(A.snapshots(spark, sf), "user_id"), "user_id"))
+
+
+@register("health_summary")
+def q_health_summary(spark, sf):
+    now = _now(spark, sf)
+    fresh = quality.freshness(A.snapshots(spark, sf), "snapshots", now).select(
+        F.concat(F.lit("freshness:"), F.col("table")).alias("check"), "passed")
+    probes = A.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    cov = quality.coverage(probes, A.snapshots(spark, sf), "user_id").select(F.lit("coverage").alias("check"), "passed")
+    val = (quality.validate(A.snapshots(spark, sf), "user_id", ["user_id", "event_timestamp"] + SNAP_COLS)
+           .where(F.col("check") != "key_duplicates")
+           .agg(F.bool_and("passed").alias("passed")).select(F.lit("validation").alias("check"), "passed"))
+    return quality.health(fresh.unionByName(cov).unionByName(val))

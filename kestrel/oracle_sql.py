@@ -293,3 +293,110 @@ SELECT feature, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v
   round(quantile_disc(v, 0.25), 6) AS p25, round(quantile_disc(v, 0.5), 6) AS p50, round(quantile_disc(v, 0.75), 6) AS p75,
   round(max(v), 6) AS max
 FROM lng GROUP BY feature""")
+
+# ---- step 3: feature store ---------------------------------------------------------------------
+SNAPS = [
+    """daily AS (SELECT user_id, CAST(ts AS DATE) AS day, max(ts) AS event_timestamp, count(*) AS n_events,
+        count(*) FILTER (WHERE event_type = 'click') AS n_clicks, count(*) FILTER (WHERE event_type = 'purchase') AS n_purchases,
+        sum(value) AS value_sum FROM events GROUP BY 1, 2)""",
+    """snaps AS (SELECT user_id, event_timestamp, CAST(sum(n_events) OVER w AS BIGINT) AS cum_events,
+        CAST(sum(n_clicks) OVER w AS BIGINT) AS cum_clicks, CAST(sum(n_purchases) OVER w AS BIGINT) AS cum_purchases,
+        round(sum(value_sum) OVER w, 6) AS cum_value
+      FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""]
+
+
+def _pit(ttl_us: int) -> str:
+    ok = f"(s.event_timestamp IS NOT NULL AND epoch_us(s.event_timestamp) >= epoch_us(f.ts) - {ttl_us})"
+    return with_(SNAPS, f"""
+SELECT f.event_id, f.user_id, f.ts, f.event_type, CASE WHEN {ok} THEN s.event_timestamp END AS event_timestamp,
+  CASE WHEN {ok} THEN s.cum_events ELSE 0 END AS cum_events, CASE WHEN {ok} THEN s.cum_clicks ELSE 0 END AS cum_clicks,
+  CASE WHEN {ok} THEN s.cum_purchases ELSE 0 END AS cum_purchases, CASE WHEN {ok} THEN s.cum_value ELSE 0.0 END AS cum_value
+FROM events f ASOF LEFT JOIN snaps s ON f.user_id = s.user_id AND f.ts >= s.event_timestamp""")
+
+
+ORACLE["pit_join"] = _pit(30 * 86400 * 1_000_000)
+ORACLE["pit_join_ttl_1d"] = _pit(86400 * 1_000_000)
+
+ORACLE["materialize_latest"] = with_(SNAPS, """
+SELECT user_id, event_timestamp, cum_events, cum_clicks, cum_purchases, cum_value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC) AS rn FROM snaps) WHERE rn = 1""")
+
+_USER_DEFAULTS = [("avg_rating", 3.5), ("total_interactions", 0.0), ("rating_std", 0.5), ("min_rating", 1.0),
+                  ("max_rating", 5.0), ("high_rating_ratio", 0.5), ("active_days", 1.0), ("interaction_density", 1.0),
+                  ("temporal_spread_days", 0.0), ("recency_days", 365.0), ("session_count", 1.0),
+                  ("avg_session_length", 1.0), ("genre_diversity", 5.0), ("top_genre_idx", 4.0),
+                  ("popularity_bias", 5000.0)]
+
+ORACLE["entity_lookup_defaults"] = with_(_USER_FEAT, "SELECT c.c_custkey AS user_id, uf.user_id IS NOT NULL AS found, " +
+    ", ".join(f"round(coalesce(CAST(uf.{c} AS DOUBLE), {v}), 6) AS {c}" for c, v in _USER_DEFAULTS) +
+    " FROM customer c LEFT JOIN uf ON uf.user_id = c.c_custkey")
+
+_SNAP_COLS = ["cum_events", "cum_clicks", "cum_purchases", "cum_value"]
+_DRIFT = SNAPS + [
+    "cut AS (SELECT (min(epoch_us(event_timestamp)) + max(epoch_us(event_timestamp))) // 2 AS c FROM snaps)",
+    "lng AS (SELECT feature, v, CASE WHEN epoch_us(s.event_timestamp) < cut.c THEN 'e' ELSE 'a' END AS side FROM "
+    "(UNPIVOT (SELECT event_timestamp, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _SNAP_COLS) +
+    " FROM snaps) ON " + ", ".join(_SNAP_COLS) + " INTO NAME feature VALUE v) s CROSS JOIN cut WHERE v IS NOT NULL)",
+    "rng AS (SELECT feature, min(v) AS lo, max(v) AS hi FROM lng GROUP BY feature)",
+    """cnt AS (SELECT l.feature, l.side, CAST(least(floor((l.v - r.lo) / ((r.hi - r.lo) / 10.0)), 9) AS INTEGER) AS bin, count(*) AS c
+             FROM lng l JOIN rng r USING (feature) GROUP BY 1, 2, 3)""",
+    """tot AS (SELECT feature, count(*) FILTER (WHERE side = 'e') AS n_e, count(*) FILTER (WHERE side = 'a') AS n_a,
+             avg(v) FILTER (WHERE side = 'e') AS mean_e, avg(v) FILTER (WHERE side = 'a') AS mean_a,
+             stddev_pop(v) FILTER (WHERE side = 'e') AS std_e FROM lng GROUP BY feature)""",
+    "grid AS (SELECT feature, lo, hi, unnest(range(0, 10)) AS bin FROM rng)",
+    """cells AS (SELECT g.feature, g.lo, g.hi, t.mean_e, t.mean_a, t.std_e,
+               (coalesce(ce.c, 0) + 1e-6) / (t.n_e + 1e-6 * 10) AS pe, (coalesce(ca.c, 0) + 1e-6) / (t.n_a + 1e-6 * 10) AS pa
+             FROM grid g JOIN tot t USING (feature)
+             LEFT JOIN cnt ce ON ce.feature = g.feature AND ce.bin = g.bin AND ce.side = 'e'
+             LEFT JOIN cnt ca ON ca.feature = g.feature AND ca.bin = g.bin AND ca.side = 'a')""",
+    """rep AS (SELECT feature, CASE WHEN any_value(hi) = any_value(lo) THEN 0.0 ELSE sum((pa - pe) * ln(pa / pe)) END AS psi,
+             CASE WHEN any_value(std_e) < 1e-10 THEN abs(any_value(mean_e) - any_value(mean_a))
+                  ELSE abs(any_value(mean_e) - any_value(mean_a)) / any_value(std_e) END AS mean_diff
+           FROM cells GROUP BY feature)""",
+    """st AS (SELECT feature, psi, mean_diff, CASE WHEN psi < 0.1 THEN 'ok' WHEN psi < 0.2 THEN 'slight'
+             WHEN psi < 0.25 THEN 'moderate' ELSE 'severe' END AS status FROM rep)"""]
+
+ORACLE["psi_skew"] = with_(_DRIFT, "SELECT feature, round(psi, 6) AS psi, round(mean_diff, 6) AS mean_diff, status FROM st")
+ORACLE["drift_summary"] = with_(_DRIFT, """
+SELECT status, count(*) AS n_features, string_agg(feature, ',' ORDER BY feature) AS features FROM st GROUP BY status""")
+
+_REQ = ["user_idx", "event_timestamp"] + _UF_COLS
+ORACLE["validate_table"] = with_(_KC + _USER_FEAT + [
+    f"umap AS (SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) AS BIGINT) AS user_idx FROM (SELECT DISTINCT user_id FROM {_CORE}))",
+    "t AS (SELECT uf.*, umap.user_idx FROM uf JOIN umap USING (user_id))"],
+    " UNION ALL ".join(f"SELECT 'nulls' AS check, '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS value, "
+                       f"count(*) FILTER (WHERE {c} IS NULL) = 0 AS passed FROM t" for c in _REQ) +
+    """ UNION ALL SELECT 'key_nulls', 'user_idx', count(*) FILTER (WHERE user_idx IS NULL), count(*) FILTER (WHERE user_idx IS NULL) = 0 FROM t
+        UNION ALL SELECT 'key_duplicates', 'user_idx', count(*), count(*) = 0 FROM (SELECT user_idx FROM t WHERE user_idx IS NOT NULL GROUP BY user_idx HAVING count(*) > 1)
+        UNION ALL SELECT 'extra_column', 'user_id', 1, true
+        UNION ALL SELECT 'timestamp_type', 'event_timestamp', 1, true""")
+
+_FRESH = """SELECT '{name}' AS "table", max({ts}) AS latest, round((epoch_us((SELECT max(ts) FROM events)) - epoch_us(max({ts}))) / 86400000000.0, 6) AS age_days,
+  CASE WHEN (epoch_us((SELECT max(ts) FROM events)) - epoch_us(max({ts}))) / 86400000000.0 < 1 THEN 'fresh'
+       WHEN (epoch_us((SELECT max(ts) FROM events)) - epoch_us(max({ts}))) / 86400000000.0 < 7 THEN 'recent'
+       WHEN (epoch_us((SELECT max(ts) FROM events)) - epoch_us(max({ts}))) / 86400000000.0 < 30 THEN 'stale-ish' ELSE 'stale' END AS status,
+  (epoch_us((SELECT max(ts) FROM events)) - epoch_us(max({ts}))) / 86400000000.0 < 30 AS passed FROM {src}"""
+
+ORACLE["freshness"] = with_(SNAPS + _USER_FEAT, _FRESH.format(name="snapshots", ts="event_timestamp", src="snaps") +
+                            " UNION ALL " + _FRESH.format(name="user_features", ts="event_timestamp", src="uf"))
+
+ORACLE["coverage"] = with_(SNAPS, """
+SELECT n_probes, n_present, round(CASE WHEN n_probes > 0 THEN n_present / n_probes ELSE 0.0 END, 6) AS ratio,
+       CASE WHEN n_probes > 0 THEN n_present / n_probes ELSE 0.0 END >= 0.6 AS passed
+FROM (SELECT count(DISTINCT c_custkey) AS n_probes,
+             count(DISTINCT c_custkey) FILTER (WHERE c_custkey IN (SELECT user_id FROM snaps)) AS n_present FROM customer)""")
+
+ORACLE["health_summary"] = with_(SNAPS + [
+    "fr AS (SELECT 'freshness:snapshots' AS check, (epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(event_timestamp))) / 86400000000.0 < 30 AS passed FROM snaps)",
+    """cv AS (SELECT 'coverage' AS check, (count(DISTINCT c_custkey) FILTER (WHERE c_custkey IN (SELECT user_id FROM snaps)))
+             / count(DISTINCT c_custkey) >= 0.6 AS passed FROM customer)""",
+    """va AS (SELECT 'validation' AS check, bool_and(ok) AS passed FROM (
+             SELECT count(*) FILTER (WHERE user_id IS NULL) = 0 AS ok FROM snaps UNION ALL
+             SELECT count(*) FILTER (WHERE event_timestamp IS NULL) = 0 FROM snaps UNION ALL
+             SELECT count(*) FILTER (WHERE cum_events IS NULL) = 0 FROM snaps UNION ALL
+             SELECT count(*) FILTER (WHERE cum_clicks IS NULL) = 0 FROM snaps UNION ALL
+             SELECT count(*) FILTER (WHERE cum_purchases IS NULL) = 0 FROM snaps UNION ALL
+             SELECT count(*) FILTER (WHERE cum_value IS NULL) = 0 FROM snaps UNION ALL
+             SELECT true))""",
+    "al AS (SELECT * FROM fr UNION ALL SELECT * FROM cv UNION ALL SELECT * FROM va)"],
+    'SELECT "check", passed FROM al UNION ALL SELECT \'overall\', bool_and(passed) FROM al')
