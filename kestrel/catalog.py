@@ -294,3 +294,87 @@ def q_health_summary(spark, sf):
            .where(F.col("check") != "key_duplicates")
            .agg(F.bool_and("passed").alias("passed")).select(F.lit("validation").alias("check"), "passed"))
     return quality.health(fresh.unionByName(cov).unionByName(val))
+
+
+# ---- step 4: retrieval -----------------------------------------------------------------------
+from kestrel.operators import vectors as vx  # noqa: E402
+from kestrel.plans.topk import last_n  # noqa: E402
+
+
+def _vectors(spark, sf):
+    return A.vectors(spark, sf).select("item_id", "vec")
+
+
+def _event_items(spark, sf):
+    """(user_id, item_id, ts, tie) from click / purchase / view events, item = props.k."""
+    return A.feedback(spark, sf).select("user_id", "item_id", "ts", F.col("event_id").alias("tie"))
+
+
+@register("vector_checks")
+def q_vector_checks(spark, sf):
+    v = _vectors(spark, sf)
+    raw = vx.norm_stats(v)
+    fixed = vx.scrub(v)
+    after = fixed.agg(F.sum("n_fixed").alias("n_fixed"),
+                      F.avg(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm_mean_after"))
+    return round_doubles(raw.select("*", after.select("n_fixed").scalar().alias("n_fixed"),
+                                    after.select("norm_mean_after").scalar().alias("norm_mean_after")))
+
+
+@register("vector_topk")
+def q_vector_topk(spark, sf):
+    v = _vectors(spark, sf)
+    return round_doubles(vx.topk_inner_product(v.withColumnRenamed("item_id", "qid"), v, k=10))
+
+
+@register("similar_items")
+def q_similar_items(spark, sf):
+    return round_doubles(vx.similar_items(_vectors(spark, sf), k=10))
+
+
+def _user_vectors(spark, sf, history=None):
+    h = history if history is not None else _event_items(spark, sf)
+    return vx.pool_history(h, _vectors(spark, sf))
+
+
+@register("user_vectors")
+def q_user_vectors(spark, sf):
+    u = _user_vectors(spark, sf)
+    return round_doubles(u.select("user_id", F.posexplode("vec").alias("d", "v"))
+                         .select("user_id", F.col("d").cast("bigint").alias("d"), "v"))
+
+
+@register("topk_exclude_seen")
+def q_topk_exclude_seen(spark, sf):
+    seen = _event_items(spark, sf)
+    return round_doubles(vx.topk_excluding(_user_vectors(spark, sf), _vectors(spark, sf), seen, k=10))
+
+
+@register("recall_at_k")
+def q_recall_at_k(spark, sf):
+    ev = _event_items(spark, sf)
+    history, target = prep.holdout_last(ev)
+    q = _user_vectors(spark, sf, history).join(target.select("user_id", F.col("item_id").alias("target_id")), "user_id")
+    pos = vx.target_position(q.withColumnRenamed("user_id", "qid"), _vectors(spark, sf))
+    ks = [10, 50, 100, 200]
+    wide = pos.agg(F.count(F.lit(1)).alias("n_users"),
+                   *[F.avg(F.when(F.col("position") <= k, 1.0).otherwise(0.0)).alias(f"r{k}") for k in ks])
+    long = wide.selectExpr("n_users", "stack(4, " + ", ".join(f"{k}, r{k}" for k in ks) + ") as (k, recall)")
+    return round_doubles(long.select(F.col("k").cast("bigint").alias("k"), "n_users", "recall"))
+
+
+@register("vector_collapse")
+def q_vector_collapse(spark, sf):
+    return round_doubles(vx.collapse(_user_vectors(spark, sf)))
+
+
+@register("pair_scores")
+def q_pair_scores(spark, sf):
+    pairs = A.feedback(spark, sf).where(F.col("reward") > 0).select("event_id", "user_id", "item_id")
+    return round_doubles(vx.pair_scores(pairs, _user_vectors(spark, sf), _vectors(spark, sf)))
+
+
+@register("seed_resolution")
+def q_seed_resolution(spark, sf):
+    req = A.table(spark, sf, "part").select(F.col("p_partkey").alias("seed_id"))
+    return vx.resolve_seed(req, _vectors(spark, sf))

@@ -400,3 +400,71 @@ ORACLE["health_summary"] = with_(SNAPS + [
              SELECT true))""",
     "al AS (SELECT * FROM fr UNION ALL SELECT * FROM cv UNION ALL SELECT * FROM va)"],
     'SELECT "check", passed FROM al UNION ALL SELECT \'overall\', bool_and(passed) FROM al')
+
+# ---- step 4: retrieval -------------------------------------------------------------------------
+VEC = "vx AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+EVI = """evi AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, ts, event_id AS tie
+         FROM events WHERE event_type IN ('click', 'purchase', 'view'))"""
+
+
+def _pool(src: str, name: str = "uv") -> list:
+    return [f"""{name}_d AS (SELECT h.user_id, d.i - 1 AS d, avg(d.x) AS m FROM {src} h JOIN vx ON vx.item_id = h.item_id,
+                 LATERAL (SELECT unnest(vx.v) AS x, unnest(range(1, len(vx.v) + 1)) AS i) d GROUP BY 1, 2)""",
+            f"""{name}_n AS (SELECT user_id, sqrt(sum(m * m)) AS nrm FROM {name}_d GROUP BY user_id)""",
+            f"""{name} AS (SELECT d.user_id, list(d.m / greatest(n.nrm, 1e-8) ORDER BY d.d) AS v
+                 FROM {name}_d d JOIN {name}_n n USING (user_id) GROUP BY d.user_id)"""]
+
+
+ORACLE["vector_checks"] = with_([VEC], """
+SELECT count(*) AS n_vectors, round(min(nrm), 6) AS norm_min, round(max(nrm), 6) AS norm_max, round(avg(nrm), 6) AS norm_mean,
+  CAST(sum(nbad) AS BIGINT) AS n_fixed, round(avg(CASE WHEN nrm2 > 0 THEN nrm2 / greatest(nrm2, 1e-8) ELSE 0 END), 6) AS norm_mean_after
+FROM (SELECT sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm,
+             len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) AS nbad,
+             sqrt(list_sum(list_transform(v, lambda x: CASE WHEN x IS NULL OR isnan(x) OR isinf(x) THEN 0 ELSE x * x END))) AS nrm2
+      FROM vx)""")
+
+ORACLE["vector_topk"] = with_([VEC], """
+SELECT qid, CAST(rn AS BIGINT) AS rank, item_id, round(score, 6) AS score FROM (
+  SELECT a.item_id AS qid, b.item_id, list_dot_product(a.v, b.v) AS score,
+         row_number() OVER (PARTITION BY a.item_id ORDER BY list_dot_product(a.v, b.v) DESC, b.item_id) AS rn
+  FROM vx a, vx b) WHERE rn <= 10""")
+
+ORACLE["similar_items"] = with_([VEC], """
+SELECT seed_id, CAST(rn AS BIGINT) AS rank, item_id, round(score, 6) AS score FROM (
+  SELECT a.item_id AS seed_id, b.item_id, list_dot_product(a.v, b.v) AS score,
+         row_number() OVER (PARTITION BY a.item_id ORDER BY list_dot_product(a.v, b.v) DESC, b.item_id) AS rn
+  FROM vx a, vx b WHERE a.item_id <> b.item_id) WHERE rn <= 10""")
+
+ORACLE["user_vectors"] = with_([VEC, EVI] + _pool("evi"), """
+SELECT user_id, CAST(i - 1 AS BIGINT) AS d, round(x, 6) AS v FROM uv, LATERAL (SELECT unnest(uv.v) AS x, unnest(range(1, len(uv.v) + 1)) AS i)""")
+
+ORACLE["topk_exclude_seen"] = with_([VEC, EVI] + _pool("evi"), """
+SELECT user_id, CAST(rn AS BIGINT) AS rank, item_id, round(score, 6) AS score FROM (
+  SELECT uv.user_id, vx.item_id, list_dot_product(uv.v, vx.v) AS score,
+         row_number() OVER (PARTITION BY uv.user_id ORDER BY list_dot_product(uv.v, vx.v) DESC, vx.item_id) AS rn
+  FROM uv, vx WHERE NOT EXISTS (SELECT 1 FROM evi WHERE evi.user_id = uv.user_id AND evi.item_id = vx.item_id)) WHERE rn <= 10""")
+
+ORACLE["recall_at_k"] = with_([VEC, EVI,
+    "lr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM evi)",
+    "hist AS (SELECT * FROM lr WHERE rn > 1)", "tgt AS (SELECT user_id, item_id AS target_id FROM lr WHERE rn = 1)"] + _pool("hist"), """,
+pos AS (SELECT uv.user_id, 1 + count(*) FILTER (WHERE list_dot_product(uv.v, vx.v) > list_dot_product(uv.v, tv.v)
+                 OR (list_dot_product(uv.v, vx.v) = list_dot_product(uv.v, tv.v) AND vx.item_id < t.target_id)) AS position
+        FROM uv JOIN tgt t USING (user_id) JOIN vx tv ON tv.item_id = t.target_id CROSS JOIN vx GROUP BY uv.user_id)
+SELECT CAST(ks.k AS BIGINT) AS k, count(*) AS n_users, round(avg(CASE WHEN position <= ks.k THEN 1.0 ELSE 0.0 END), 6) AS recall
+FROM pos, (VALUES (10), (50), (100), (200)) ks(k) GROUP BY ks.k""")
+
+ORACLE["vector_collapse"] = with_([VEC, EVI] + _pool("evi"), """,
+s AS (SELECT count(*) AS n FROM uv),
+pairs AS (SELECT sum(list_dot_product(a.v, b.v)) AS tot FROM uv a, uv b WHERE a.user_id <> b.user_id)
+SELECT n AS n_vectors, round(CASE WHEN n > 1 THEN tot / (n * (n - 1)) END, 6) AS mean_pair_similarity,
+       coalesce(CASE WHEN n > 1 THEN tot / (n * (n - 1)) END > 0.9, false) AS collapsed FROM s, pairs""")
+
+ORACLE["pair_scores"] = with_([VEC, EVI] + _pool("evi"), """
+SELECT f.event_id, f.user_id, f.item_id, round(list_dot_product(uv.v, vx.v), 6) AS score
+FROM (SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id FROM events
+      WHERE event_type IN ('click', 'purchase')) f JOIN uv USING (user_id) JOIN vx USING (item_id)""")
+
+ORACLE["seed_resolution"] = """
+SELECT p.p_partkey AS seed_id, coalesce(a.vec_id, b.vec_id, c.vec_id) AS resolved_id FROM part p
+LEFT JOIN embeddings a ON a.vec_id = p.p_partkey LEFT JOIN embeddings b ON b.vec_id = p.p_partkey + 1
+LEFT JOIN embeddings c ON c.vec_id = p.p_partkey - 1"""

@@ -27,7 +27,7 @@ def duck(sql: str, sf_dir: str) -> pd.DataFrame:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
