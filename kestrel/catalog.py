@@ -378,3 +378,132 @@ def q_pair_scores(spark, sf):
 def q_seed_resolution(spark, sf):
     req = A.table(spark, sf, "part").select(F.col("p_partkey").alias("seed_id"))
     return vx.resolve_seed(req, _vectors(spark, sf))
+
+
+# ---- step 5: ranking set -----------------------------------------------------------------------------
+from kestrel.operators import ranking as rk  # noqa: E402
+from kestrel.functions.scalar import sigmoid  # noqa: E402
+
+
+def _event_inter(spark, sf):
+    """Events-space interactions with the feedback reward as rating."""
+    return A.feedback(spark, sf).select("user_id", "item_id", F.col("reward").alias("rating"), "ts",
+                                        F.col("event_id").alias("tie"))
+
+
+def _candidate_set(spark, sf, n=100):
+    history, target = prep.holdout_last(_event_inter(spark, sf))
+    vec = _vectors(spark, sf)
+    cands = vx.topk_excluding(vx.pool_history(history, vec), vec, history, k=n).withColumnRenamed("rank", "cand_rank")
+    cands = rk.inject_positive(cands, target, n)
+    return rk.label(cands, target), history, target
+
+
+@register("candidate_set")
+def q_candidate_set(spark, sf):
+    c, _, _ = _candidate_set(spark, sf)
+    return round_doubles(c)
+
+
+@register("retrieval_features")
+def q_retrieval_features(spark, sf):
+    c, _, _ = _candidate_set(spark, sf)
+    return round_doubles(rk.retrieval_features(c))
+
+
+def _genre_tables(spark, sf):
+    items = A.items(spark, sf)
+    vocab_list = feat.genre_vocabulary_present(items)
+    oh = rk.onehot_long(items, vocab_list)
+    ig = feat.item_genre_rows(items, A.genre_vocab(spark, sf))
+    primary = ig.groupBy("item_id").agg(F.min_by("idx", "pos").alias("primary_genre_idx"))
+    return oh, ig.select("item_id", "genre"), primary
+
+
+@register("genre_overlap")
+def q_genre_overlap(spark, sf):
+    c, history, _ = _candidate_set(spark, sf)
+    oh, ig, primary = _genre_tables(spark, sf)
+    out = rk.genre_overlap(c, rk.genre_preferences(history, oh), oh)
+    out = rk.online_overlap(out, history, ig, last=50)
+    out = rk.primary_genre_overlap(out, history, primary)
+    return round_doubles(out.select("user_id", "cand_rank", "item_id", "genre_overlap", "genre_max_match",
+                                    "online_overlap", "is_same_top_genre", "primary_genre_overlap"))
+
+
+RANK_USER_COLS = ["user_rating_count", "user_avg_rating", "user_rating_std", "user_active_days",
+                  "user_days_since_last", "user_sequence_length"]
+RANK_ITEM_COLS = ["item_rating_count", "item_avg_rating", "item_rating_std", "item_log_popularity",
+                  "item_days_since_last_rating", "item_active_days", "item_year", "item_num_genres",
+                  "item_popularity_rank"]
+RANK_LIST_COLS = ["score", "cand_rank", "rank_norm", "score_norm", "score_gap"]
+RANK_PAIR_COLS = ["genre_overlap", "genre_max_match", "item_popularity_pct"]
+RANK_FEATURES = RANK_USER_COLS + RANK_ITEM_COLS + RANK_LIST_COLS + RANK_PAIR_COLS
+
+
+def _ranking_matrix(spark, sf):
+    c, history, _ = _candidate_set(spark, sf)
+    items = A.items(spark, sf)
+    oh, _, _ = _genre_tables(spark, sf)
+    lens = history.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_sequence_length"))
+    uf = feat.rank_user_features(history, lens).select("user_id", *RANK_USER_COLS)
+    itf = feat.rank_item_features(history, items).select("item_id", *RANK_ITEM_COLS)
+    max_cnt = itf.select(F.max("item_rating_count")).scalar()
+    m = rk.retrieval_features(c).select("user_id", "item_id", "label", *RANK_LIST_COLS)
+    m = rk.genre_overlap(m, rk.genre_preferences(history, oh), oh)
+    m = m.join(uf, "user_id", "left").join(itf, "item_id", "left")
+    m = m.withColumn("item_popularity_pct", F.when(max_cnt > 0, F.coalesce("item_rating_count", F.lit(0)) / max_cnt)
+                     .otherwise(F.lit(0.0)))
+    m = m.select("user_id", "item_id", "label", *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)).alias(x)
+                                                  for x in RANK_FEATURES])
+    return m
+
+
+@register("ranking_matrix")
+def q_ranking_matrix(spark, sf):
+    return round_doubles(_ranking_matrix(spark, sf))
+
+
+@register("ranking_stats")
+def q_ranking_stats(spark, sf):
+    m = _ranking_matrix(spark, sf)
+    stats = rk.dataset_stats(m, RANK_FEATURES)
+    valid = rk.dataset_validity(m, ["user_id", "item_id", "label"] + RANK_FEATURES)
+    return round_doubles(stats.select("*", valid.select("bad_labels").scalar().alias("bad_labels"),
+                                      valid.select("valid").scalar().alias("valid")))
+
+
+def _metric_long(gm, ks=(5, 10)):
+    names = [f"{m}_{k}" for k in ks for m in ("ndcg", "hr", "mrr")]
+    return gm.selectExpr(f"stack({len(names)}, " + ", ".join(f"'{n}', {n}" for n in names) + ") as (metric, value)")
+
+
+@register("group_ndcg")
+def q_group_ndcg(spark, sf):
+    c, _, _ = _candidate_set(spark, sf)
+    return round_doubles(rk.group_metrics(rk.baseline_score(rk.retrieval_features(c)), "baseline_score"))
+
+
+@register("metric_comparison")
+def q_metric_comparison(spark, sf):
+    m = _ranking_matrix(spark, sf)
+    a = _metric_long(rk.group_metrics(m, "rank_norm"))
+    b = _metric_long(rk.group_metrics(m, "item_popularity_pct"))
+    return round_doubles(rk.compare_metrics(a, b))
+
+
+@register("list_overlap")
+def q_list_overlap(spark, sf):
+    m = _ranking_matrix(spark, sf)
+    a = rk.top_k_recommend(m, None, 10, score="score")
+    b = rk.top_k_recommend(m, None, 10, score="item_popularity_pct")
+    return round_doubles(rk.overlap_at_k(a, b, 10))
+
+
+@register("top_k_ranked")
+def q_top_k_ranked(spark, sf):
+    m = _ranking_matrix(spark, sf).withColumn("final_score", sigmoid(F.col("score") + F.col("genre_overlap")))
+    top = rk.top_k_recommend(m, _event_inter(spark, sf), 10, score="final_score")
+    titles = A.items(spark, sf).select("item_id", "title")
+    return round_doubles(top.join(titles, "item_id", "left").select(
+        "user_id", "rank", "item_id", "final_score", F.coalesce("title", F.lit("Unknown")).alias("title")))

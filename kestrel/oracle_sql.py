@@ -468,3 +468,167 @@ ORACLE["seed_resolution"] = """
 SELECT p.p_partkey AS seed_id, coalesce(a.vec_id, b.vec_id, c.vec_id) AS resolved_id FROM part p
 LEFT JOIN embeddings a ON a.vec_id = p.p_partkey LEFT JOIN embeddings b ON b.vec_id = p.p_partkey + 1
 LEFT JOIN embeddings c ON c.vec_id = p.p_partkey - 1"""
+
+# ---- step 5: ranking set -------------------------------------------------------------------------
+_CS = [VEC,
+       """ei AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+              CASE WHEN event_type = 'view' THEN 0.0 ELSE 1.0 END AS rating, ts, event_id AS tie
+              FROM events WHERE event_type IN ('click', 'purchase', 'view'))""",
+       "lr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM ei)",
+       "hist AS (SELECT user_id, item_id, rating, ts, tie FROM lr WHERE rn > 1)",
+       "tgt AS (SELECT user_id, item_id AS target_id FROM lr WHERE rn = 1)"] + _pool("hist") + [
+       """c0 AS (SELECT user_id, CAST(rn AS BIGINT) AS cand_rank, item_id, score FROM (
+              SELECT uv.user_id, vx.item_id, list_dot_product(uv.v, vx.v) AS score,
+                     row_number() OVER (PARTITION BY uv.user_id ORDER BY list_dot_product(uv.v, vx.v) DESC, vx.item_id) AS rn
+              FROM uv, vx WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = uv.user_id AND h.item_id = vx.item_id))
+            WHERE rn <= 100)""",
+       "has AS (SELECT DISTINCT c0.user_id FROM c0 JOIN tgt ON c0.user_id = tgt.user_id AND c0.item_id = tgt.target_id)",
+       "st AS (SELECT user_id, count(*) AS n, min(score) AS mn, max(cand_rank) AS lst FROM c0 GROUP BY user_id)",
+       """miss AS (SELECT t.user_id, t.target_id, st.n, st.mn, st.lst FROM tgt t LEFT JOIN st USING (user_id)
+              WHERE t.user_id NOT IN (SELECT user_id FROM has))""",
+       """c1 AS (SELECT c0.* FROM c0 WHERE NOT EXISTS (SELECT 1 FROM miss m WHERE m.user_id = c0.user_id AND m.n >= 100 AND c0.cand_rank = m.lst)
+            UNION ALL SELECT user_id, CAST(coalesce(CASE WHEN n >= 100 THEN lst ELSE lst + 1 END, 1) AS BIGINT), target_id,
+                             coalesce(mn - 1e-6, 0.0) FROM miss)""",
+       "cs AS (SELECT c1.*, CASE WHEN c1.item_id = t.target_id THEN 1 ELSE 0 END AS label FROM c1 LEFT JOIN tgt t USING (user_id))"]
+
+ORACLE["candidate_set"] = with_(_CS, "SELECT user_id, cand_rank, item_id, round(score, 6) AS score, label FROM cs")
+
+_RF = """rf AS (SELECT cs.*, CASE WHEN n > 1 THEN 1.0 - (cand_rank - 1.0) / (n - 1) ELSE 1.0 END AS rank_norm,
+          CASE WHEN hi > lo THEN (score - lo) / (hi - lo) ELSE 0.5 END AS score_norm,
+          coalesce(lag(score) OVER (PARTITION BY user_id ORDER BY cand_rank) - score, 0.0) AS score_gap,
+          CAST(cand_rank AS DOUBLE) / n AS rank_norm_serve,
+          first_value(score) OVER (PARTITION BY user_id ORDER BY cand_rank) - score AS score_gap_top,
+          CASE WHEN hi > lo THEN (score - lo) / (hi - lo) ELSE 0.0 END AS score_norm_serve
+        FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n, min(score) OVER (PARTITION BY user_id) AS lo,
+                     max(score) OVER (PARTITION BY user_id) AS hi FROM cs) cs)"""
+
+ORACLE["retrieval_features"] = with_(_CS + [_RF], """
+SELECT user_id, cand_rank, item_id, round(score, 6) AS score, label, round(rank_norm, 6) AS rank_norm,
+  round(score_norm, 6) AS score_norm, round(score_gap, 6) AS score_gap, round(rank_norm_serve, 6) AS rank_norm_serve,
+  round(score_gap_top, 6) AS score_gap_top, round(score_norm_serve, 6) AS score_norm_serve FROM rf""")
+
+_GEN = [f"it AS ({ITEMS})",
+        "gv AS (SELECT DISTINCT unnest(string_split(genres, '|')) AS genre FROM it)",
+        "oh AS (SELECT it.item_id, gv.genre FROM it JOIN gv ON contains(it.genres, gv.genre) WHERE gv.genre <> '(no genres listed)')",
+        "pc AS (SELECT h.user_id, oh.genre, count(*) AS c FROM hist h JOIN oh USING (item_id) GROUP BY 1, 2)",
+        "pref AS (SELECT user_id, genre, c / sum(c) OVER (PARTITION BY user_id) AS pref FROM pc)",
+        "pairs AS (SELECT DISTINCT user_id, item_id FROM cs)",
+        """go AS (SELECT p.user_id, p.item_id, sum(coalesce(pref.pref, 0.0)) AS genre_overlap, max(coalesce(pref.pref, 0.0)) AS genre_max_match
+               FROM pairs p JOIN oh USING (item_id) LEFT JOIN pref ON pref.user_id = p.user_id AND pref.genre = oh.genre GROUP BY 1, 2)"""]
+
+ORACLE["genre_overlap"] = with_(_CS + _GEN + [
+    f"v AS ({VOCAB})",
+    f"ig AS (SELECT x.item_id, x.genre, v.idx, x.pos FROM ({IG}) x JOIN v ON v.genre = x.genre)",
+    "rec AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS r FROM hist) WHERE r <= 50)",
+    "prof AS (SELECT rec.user_id, ig.genre, count(*) AS c FROM rec JOIN ig USING (item_id) GROUP BY 1, 2)",
+    "share AS (SELECT user_id, genre, c / sum(c) OVER (PARTITION BY user_id) AS s FROM prof)",
+    "topg AS (SELECT user_id, genre AS top_genre FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY c DESC, genre) AS r FROM prof) WHERE r = 1)",
+    "ng AS (SELECT item_id, count(*) AS ng FROM ig GROUP BY item_id)",
+    """ov AS (SELECT p.user_id, p.item_id, sum(coalesce(share.s, 0.0)) AS sm FROM pairs p JOIN ig USING (item_id)
+            LEFT JOIN share ON share.user_id = p.user_id AND share.genre = ig.genre GROUP BY 1, 2)""",
+    """same AS (SELECT p.user_id, p.item_id, max(CASE WHEN ig.genre = topg.top_genre THEN 1 ELSE 0 END) AS sm
+              FROM pairs p JOIN topg USING (user_id) LEFT JOIN ig USING (item_id) GROUP BY 1, 2)""",
+    "prim AS (SELECT item_id, arg_min(idx, pos) AS pg FROM ig GROUP BY item_id)",
+    "per AS (SELECT h.user_id, prim.pg, count(*) AS c FROM hist h JOIN prim USING (item_id) GROUP BY 1, 2)",
+    "tot AS (SELECT user_id, count(*) AS t FROM hist GROUP BY user_id)"], """
+SELECT cs.user_id, cs.cand_rank, cs.item_id, round(coalesce(go.genre_overlap, 0.0), 6) AS genre_overlap,
+  round(coalesce(go.genre_max_match, 0.0), 6) AS genre_max_match,
+  round(CASE WHEN ng.ng > 0 THEN coalesce(ov.sm, 0.0) / ng.ng ELSE 0.0 END, 6) AS online_overlap,
+  CAST(coalesce(same.sm, 0) AS BIGINT) AS is_same_top_genre,
+  round(CASE WHEN tot.t > 0 THEN coalesce(per.c, 0) / tot.t ELSE 0.0 END, 6) AS primary_genre_overlap
+FROM cs LEFT JOIN go USING (user_id, item_id) LEFT JOIN ov USING (user_id, item_id) LEFT JOIN ng USING (item_id)
+LEFT JOIN same USING (user_id, item_id) LEFT JOIN prim USING (item_id)
+LEFT JOIN per ON per.user_id = cs.user_id AND per.pg = prim.pg LEFT JOIN tot ON tot.user_id = cs.user_id""")
+
+_RM_USER = ["user_rating_count", "user_avg_rating", "user_rating_std", "user_active_days", "user_days_since_last",
+            "user_sequence_length"]
+_RM_ITEM = ["item_rating_count", "item_avg_rating", "item_rating_std", "item_log_popularity",
+            "item_days_since_last_rating", "item_active_days", "item_year", "item_num_genres", "item_popularity_rank"]
+_RM_LIST = ["score", "cand_rank", "rank_norm", "score_norm", "score_gap"]
+_RM_PAIR = ["genre_overlap", "genre_max_match", "item_popularity_pct"]
+_RM_FEATS = _RM_USER + _RM_ITEM + _RM_LIST + _RM_PAIR
+
+_RM = _CS + [_RF] + _GEN + [
+    "hnow AS (SELECT max(ts) AS now FROM hist)",
+    f"""ruf AS (SELECT user_id, count(*) AS user_rating_count, avg(rating) AS user_avg_rating,
+            coalesce(stddev_samp(rating), 0.0) AS user_rating_std, {_days('max(ts)', 'min(ts)')} AS user_active_days,
+            {_days('any_value(hnow.now)', 'max(ts)')} AS user_days_since_last, count(*) AS user_sequence_length
+          FROM hist CROSS JOIN hnow GROUP BY user_id)""",
+    f"""ri0 AS (SELECT item_id, count(*) AS item_rating_count, avg(rating) AS item_avg_rating,
+            coalesce(stddev_samp(rating), 0.0) AS item_rating_std, ln(1 + count(*)) AS item_log_popularity,
+            {_days('any_value(hnow.now)', 'max(ts)')} AS item_days_since_last_rating, {_days('max(ts)', 'min(ts)')} AS item_active_days
+          FROM hist CROSS JOIN hnow GROUP BY item_id)""",
+    """rif AS (SELECT ri0.*, coalesce(CAST(nullif(regexp_extract(it.title, '\\((\\d{4})\\)', 1), '') AS INTEGER), 0) AS item_year,
+            (SELECT count(*) FROM oh WHERE oh.item_id = ri0.item_id) AS item_num_genres,
+            dense_rank() OVER (ORDER BY ri0.item_rating_count DESC) AS item_popularity_rank
+          FROM ri0 LEFT JOIN it USING (item_id))""",
+    "mx AS (SELECT max(item_rating_count) AS m FROM rif)",
+    """rm AS (SELECT rf.user_id, rf.item_id, rf.label, """ +
+    ", ".join(f"coalesce(CAST(ruf.{c} AS DOUBLE), 0.0) AS {c}" for c in _RM_USER) + ", " +
+    ", ".join(f"coalesce(CAST(rif.{c} AS DOUBLE), 0.0) AS {c}" for c in _RM_ITEM) + ", " +
+    ", ".join(f"CAST(rf.{c} AS DOUBLE) AS {c}" for c in _RM_LIST) + """,
+            coalesce(go.genre_overlap, 0.0) AS genre_overlap, coalesce(go.genre_max_match, 0.0) AS genre_max_match,
+            CASE WHEN mx.m > 0 THEN coalesce(rif.item_rating_count, 0) / mx.m ELSE 0.0 END AS item_popularity_pct
+          FROM rf LEFT JOIN go USING (user_id, item_id) LEFT JOIN ruf USING (user_id) LEFT JOIN rif USING (item_id) CROSS JOIN mx)"""]
+
+ORACLE["ranking_matrix"] = with_(_RM, "SELECT user_id, item_id, label, " +
+                                 ", ".join(f"round({c}, 6) AS {c}" for c in _RM_FEATS) + " FROM rm")
+
+ORACLE["ranking_stats"] = with_(_RM, f"""
+SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, CAST({len(_RM_FEATS)} AS BIGINT) AS n_features,
+  round(avg(CAST(label AS DOUBLE)), 6) AS positive_rate,
+  round((SELECT avg(CAST(h AS DOUBLE)) FROM (SELECT max(label) AS h FROM rm GROUP BY user_id)), 6) AS hit_rate,
+  count(*) FILTER (WHERE label NOT IN (0, 1) OR label IS NULL) AS bad_labels,
+  count(*) FILTER (WHERE label NOT IN (0, 1) OR label IS NULL) = 0 AS valid FROM rm""")
+
+
+def _group_metrics(src: str, s: str, ks=(5, 10)) -> list:
+    cols = []
+    for k in ks:
+        cols += [f"sum(CASE WHEN rs <= {k} THEN (pow(2.0, rel) - 1.0) / log2(rs + 1.0) ELSE 0.0 END) AS dcg{k}",
+                 f"sum(CASE WHEN ri <= {k} THEN (pow(2.0, rel) - 1.0) / log2(ri + 1.0) ELSE 0.0 END) AS idcg{k}",
+                 f"max(CASE WHEN rs <= {k} AND rel > 0 THEN 1.0 ELSE 0.0 END) AS hr{k}",
+                 f"max(CASE WHEN rs <= {k} AND rel > 0 THEN 1.0 / rs ELSE 0.0 END) AS mrr{k}"]
+    outs = ["count(*) AS n_groups"]
+    for k in ks:
+        outs += [f"avg(CASE WHEN idcg{k} > 0 THEN dcg{k} / idcg{k} ELSE 0.0 END) AS ndcg_{k}", f"avg(hr{k}) AS hr_{k}",
+                 f"avg(mrr{k}) AS mrr_{k}"]
+    return [f"""gx AS (SELECT user_id, CAST(label AS DOUBLE) AS rel,
+                 row_number() OVER (PARTITION BY user_id ORDER BY {s} DESC, item_id) AS rs,
+                 row_number() OVER (PARTITION BY user_id ORDER BY label DESC, {s} DESC, item_id) AS ri FROM {src})""",
+            "gp AS (SELECT user_id, " + ", ".join(cols) + " FROM gx GROUP BY user_id)",
+            "gm AS (SELECT " + ", ".join(outs) + " FROM gp)"]
+
+
+def _gm_renamed(prefix: str, src: str, s: str) -> list:
+    return [c.replace("gx AS", f"{prefix}x AS").replace("FROM gx", f"FROM {prefix}x").replace("gp AS", f"{prefix}p AS")
+            .replace("FROM gp", f"FROM {prefix}p").replace("gm AS", f"{prefix}m AS") for c in _group_metrics(src, s)]
+
+
+ORACLE["group_ndcg"] = with_(_CS + [_RF] + _group_metrics("rf", "rank_norm"), """
+SELECT n_groups, round(ndcg_5, 6) AS ndcg_5, round(hr_5, 6) AS hr_5, round(mrr_5, 6) AS mrr_5,
+  round(ndcg_10, 6) AS ndcg_10, round(hr_10, 6) AS hr_10, round(mrr_10, 6) AS mrr_10 FROM gm""")
+
+_LONG = "SELECT metric, value FROM (UNPIVOT (SELECT ndcg_5, hr_5, mrr_5, ndcg_10, hr_10, mrr_10 FROM {m}) ON ndcg_5, hr_5, mrr_5, ndcg_10, hr_10, mrr_10 INTO NAME metric VALUE value)"
+ORACLE["metric_comparison"] = with_(_RM + _gm_renamed("a", "rm", "rank_norm") + _gm_renamed("b", "rm", "item_popularity_pct") + [
+    f"la AS ({_LONG.format(m='am')})", f"lb AS ({_LONG.format(m='bm')})"], """
+SELECT coalesce(la.metric, lb.metric) AS metric, round(la.value, 6) AS a, round(lb.value, 6) AS b,
+  round(lb.value - la.value, 6) AS delta,
+  round(CASE WHEN la.value <> 0 THEN (lb.value - la.value) / la.value * 100.0 ELSE 0.0 END, 6) AS pct_change,
+  CASE WHEN lb.value - la.value > 0.005 THEN '++' WHEN lb.value - la.value > 0 THEN '+' ELSE '-' END AS marker
+FROM la FULL JOIN lb USING (metric)""")
+
+ORACLE["list_overlap"] = with_(_RM + [
+    "ta AS (SELECT user_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS r FROM rm) WHERE r <= 10)",
+    "tb AS (SELECT user_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_popularity_pct DESC, item_id) AS r FROM rm) WHERE r <= 10)",
+    "cm AS (SELECT user_id, count(*) AS o FROM ta JOIN tb USING (user_id, item_id) GROUP BY user_id)",
+    "us AS (SELECT user_id FROM ta UNION SELECT user_id FROM tb)"], """
+SELECT us.user_id, CAST(coalesce(cm.o, 0) AS BIGINT) AS overlap, round(coalesce(cm.o, 0) / 10.0, 6) AS overlap_ratio
+FROM us LEFT JOIN cm USING (user_id)""")
+
+ORACLE["top_k_ranked"] = with_(_RM + [
+    "sc AS (SELECT user_id, item_id, 1.0 / (1.0 + exp(-(score + genre_overlap))) AS final_score FROM rm "
+    "WHERE NOT EXISTS (SELECT 1 FROM ei WHERE ei.user_id = rm.user_id AND ei.item_id = rm.item_id))",
+    "tk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY final_score DESC, item_id) AS r FROM sc)"], """
+SELECT tk.user_id, CAST(tk.r AS BIGINT) AS rank, tk.item_id, round(tk.final_score, 6) AS final_score,
+  coalesce(it.title, 'Unknown') AS title FROM tk LEFT JOIN it USING (item_id) WHERE tk.r <= 10""")
