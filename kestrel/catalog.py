@@ -507,3 +507,123 @@ def q_top_k_ranked(spark, sf):
     titles = A.items(spark, sf).select("item_id", "title")
     return round_doubles(top.join(titles, "item_id", "left").select(
         "user_id", "rank", "item_id", "final_score", F.coalesce("title", F.lit("Unknown")).alias("title")))
+
+
+# ---- step 7: experiments and bandits --------------------------------------------------------------------
+from kestrel.operators import experiment as ab, bandit as bd  # noqa: E402
+
+
+def _requests_for(spark, sf, exp):
+    return A.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.lit(exp).alias("experiment_id"))
+
+
+@register("ab_assign")
+def q_ab_assign(spark, sf):
+    req = _requests_for(spark, sf, "retrieval_v1").unionByName(_requests_for(spark, sf, "ranking_blend_v1"))
+    return ab.assign_variant(req, A.experiments(spark))
+
+
+@register("ab_distribution")
+def q_ab_distribution(spark, sf):
+    return ab.variant_distribution(q_ab_assign(spark, sf))
+
+
+@register("ab_config_check")
+def q_ab_config_check(spark, sf):
+    return ab.check_config(A.experiments(spark))
+
+
+def _ab_stats(spark, sf):
+    return ab.variant_stats(A.exposures(spark, sf), A.conversions(spark, sf))
+
+
+@register("ab_variant_stats")
+def q_ab_variant_stats(spark, sf):
+    return round_doubles(_ab_stats(spark, sf))
+
+
+@register("ab_ztest")
+def q_ab_ztest(spark, sf):
+    return round_doubles(ab.z_test(_ab_stats(spark, sf), A.experiments(spark)))
+
+
+@register("ab_report")
+def q_ab_report(spark, sf):
+    stats = _ab_stats(spark, sf)
+    cfg = A.experiments(spark)
+    return round_doubles(ab.report(cfg, stats, ab.z_test(stats, cfg)))
+
+
+@register("ab_totals")
+def q_ab_totals(spark, sf):
+    e = ab.totals(A.exposures(spark, sf), "retrieval_v1").select(F.lit("exposures").alias("kind"), "n")
+    c = ab.totals(A.conversions(spark, sf)).select(F.lit("conversions").alias("kind"), "n")
+    return e.unionByName(c)
+
+
+@register("ab_session_conversion")
+def q_ab_session_conversion(spark, sf):
+    ev = (A.table(spark, sf, "events").where(F.col("event_type").isin("view", "click"))
+          .select("event_id", "user_id", "ts", (F.col("event_type") == "view").alias("is_exposure"),
+                  (F.col("event_type") == "click").alias("is_conversion")))
+    sess = feat.assign_sessions(ev)
+    assigned = ab.assign_variant(sess.select("user_id", "session_start").distinct()
+                                 .withColumn("experiment_id", F.lit("retrieval_v1")), A.experiments(spark))
+    return round_doubles(ab.session_conversion(sess, assigned.select("user_id", "session_start", "variant")))
+
+
+def _feedback(spark, sf):
+    return A.feedback(spark, sf)
+
+
+def _fb_halves(spark, sf):
+    fb = _feedback(spark, sf)
+    us = ts_to_micros(F.col("ts"))
+    cut = fb.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).select(F.expr("(lo + hi) div 2")).scalar()
+    return fb.where(us < cut), fb.where(us >= cut)
+
+
+@register("bandit_posterior")
+def q_bandit_posterior(spark, sf):
+    return round_doubles(bd.arm_stats(bd.posterior(_feedback(spark, sf))))
+
+
+@register("bandit_merge")
+def q_bandit_merge(spark, sf):
+    first, second = _fb_halves(spark, sf)
+    return round_doubles(bd.merge(bd.posterior(first), second))
+
+
+@register("bandit_stats")
+def q_bandit_stats(spark, sf):
+    n_items = A.table(spark, sf, "part").select(F.count(F.lit(1))).scalar()
+    return round_doubles(bd.summary(bd.posterior(_feedback(spark, sf)), n_items))
+
+
+@register("bandit_top")
+def q_bandit_top(spark, sf):
+    return round_doubles(bd.top_arms(bd.posterior(_feedback(spark, sf)), 20))
+
+
+@register("bandit_parse")
+def q_bandit_parse(spark, sf):
+    arms = bd.posterior(_feedback(spark, sf))
+    stored = arms.select("item_id", F.lit(None).cast("double").alias("alpha_field"),
+                         F.lit(None).cast("double").alias("beta_field"),
+                         F.concat_ws(":", F.col("alpha").cast("string"), F.col("beta").cast("string")).alias("legacy"))
+    return bd.parse_arms(stored)
+
+
+@register("bandit_learning")
+def q_bandit_learning(spark, sf):
+    first, _ = _fb_halves(spark, sf)
+    truth = _feedback(spark, sf).groupBy("item_id").agg(F.avg("reward").alias("true_ctr"))
+    return round_doubles(bd.learning_check(bd.posterior(first), truth))
+
+
+@register("bandit_rerank")
+def q_bandit_rerank(spark, sf):
+    c, _, _ = _candidate_set(spark, sf)
+    arms = bd.posterior(_feedback(spark, sf))
+    r = bd.rerank(bd.fallback_scores(c), arms, weight=0.3, seed=42)
+    return r.select("user_id", "cand_rank", "item_id", "score", "fallback_score", "draw", "blended", "new_rank")

@@ -244,3 +244,24 @@ def describe(df: DataFrame, cols: list, digits: int = 6) -> DataFrame:
     return agg.select("feature", "count", *[F.round(c, digits).alias(c) for c in ("mean", "std", "min")],
                       F.round(F.col("_q")[0], digits).alias("p25"), F.round(F.col("_q")[1], digits).alias("p50"),
                       F.round(F.col("_q")[2], digits).alias("p75"), F.round("max", digits).alias("max"))
+
+
+def session_starts(df: DataFrame, user: str = "user_id", ts: str = "ts", gap_s: int = 3600) -> DataFrame:
+    """(user, session_start): the first event time of every session (gap > ``gap_s`` opens one).
+    Same bucket argument as ``session_stats``; no per-user window over events."""
+    gap = gap_s * 1_000_000
+    b = df.select(user, F.col(ts).alias("_t")).withColumn(
+        "_b", F.floor(ts_to_micros(F.col("_t")) / F.lit(float(gap))).cast("bigint"))
+    per = b.groupBy(user, "_b").agg(F.min("_t").alias("_mn"), F.max("_t").alias("_mx"))
+    prev = per.select(user, (F.col("_b") + 1).alias("_b"), F.col("_mx").alias("_prev"))
+    j = per.join(prev, [user, "_b"], "left")
+    opens = F.col("_prev").isNull() | ((ts_to_micros(F.col("_mn")) - ts_to_micros(F.col("_prev"))) > F.lit(gap))
+    return j.where(opens).select(user, F.col("_mn").alias("session_start"))
+
+
+def assign_sessions(df: DataFrame, user: str = "user_id", ts: str = "ts", gap_s: int = 3600) -> DataFrame:
+    """Every event with its session_start (the newest session start <= its time), via the as-of join."""
+    from kestrel.operators.feature_store import pit_join
+    starts = session_starts(df, user, ts, gap_s).withColumnRenamed("session_start", "event_timestamp")
+    out = pit_join(df, starts, user, [], fact_ts=ts, ttl_seconds=10 ** 12, fill=None)
+    return out.withColumnRenamed("event_timestamp", "session_start")

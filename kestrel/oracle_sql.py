@@ -632,3 +632,150 @@ ORACLE["top_k_ranked"] = with_(_RM + [
     "tk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY final_score DESC, item_id) AS r FROM sc)"], """
 SELECT tk.user_id, CAST(tk.r AS BIGINT) AS rank, tk.item_id, round(tk.final_score, 6) AS final_score,
   coalesce(it.title, 'Unknown') AS title FROM tk LEFT JOIN it USING (item_id) WHERE tk.r <= 10""")
+
+# ---- step 7: experiments and bandits ------------------------------------------------------------------
+CFG = """cfg AS (SELECT * FROM (VALUES ('retrieval_v1', ['mf', 'sasrec'], [0.5, 0.5], true),
+                                   ('ranking_blend_v1', ['lgbm_only', 'lgbm_bandit'], [0.5, 0.5], true))
+                 t(experiment_id, variants, traffic_split, is_active))"""
+
+
+def assign_expr(user: str, exp: str) -> str:
+    bucket = f"((('0x' || substr(md5(CAST({user} AS VARCHAR) || ':' || {exp}), 1, 8))::BIGINT % 10000) / 10000.0)"
+    cum = "list_transform(range(1, len(cfg.traffic_split) + 1), lambda i: list_sum(cfg.traffic_split[1:i]))"
+    idx = f"coalesce(list_position(list_transform({cum}, lambda b: {bucket} < b), true), 0)"
+    return (f"CASE WHEN NOT cfg.is_active THEN cfg.variants[1] WHEN {idx} > 0 THEN cfg.variants[{idx}] "
+            f"ELSE cfg.variants[-1] END")
+
+
+_ASSIGN = [CFG, """req AS (SELECT c_custkey AS user_id, 'retrieval_v1' AS experiment_id FROM customer
+                          UNION ALL SELECT c_custkey, 'ranking_blend_v1' FROM customer)""",
+           f"asg AS (SELECT req.user_id, req.experiment_id, {assign_expr('req.user_id', 'req.experiment_id')} AS variant FROM req JOIN cfg USING (experiment_id))"]
+
+ORACLE["ab_assign"] = with_(_ASSIGN, "SELECT * FROM asg")
+ORACLE["ab_distribution"] = with_(_ASSIGN, "SELECT experiment_id, variant, count(*) AS n_users FROM asg GROUP BY 1, 2")
+ORACLE["ab_config_check"] = with_([CFG], """
+SELECT experiment_id, len(variants) = len(traffic_split) AS lengths_match, abs(list_sum(traffic_split) - 1.0) < 1e-6 AS sums_to_one,
+  list_bool_and(list_transform(traffic_split, lambda x: x > 0)) AS all_positive,
+  len(variants) = len(traffic_split) AND abs(list_sum(traffic_split) - 1.0) < 1e-6 AND list_bool_and(list_transform(traffic_split, lambda x: x > 0)) AS valid
+FROM cfg""")
+
+_STATS = [CFG,
+          f"""ex AS (SELECT e.event_id, e.user_id, 'retrieval_v1' AS experiment_id, e.ts, {assign_expr('e.user_id', "'retrieval_v1'")} AS variant
+                 FROM events e JOIN cfg ON cfg.experiment_id = 'retrieval_v1' WHERE e.event_type = 'view')""",
+          "cv AS (SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS variant, 'retrieval_v1' AS experiment_id, ts FROM events WHERE event_type = 'click')",
+          """lastv AS (SELECT user_id, experiment_id, variant FROM (SELECT *, row_number() OVER (PARTITION BY user_id, experiment_id
+                  ORDER BY ts DESC, event_id DESC) AS r FROM ex) WHERE r = 1)""",
+          "ca AS (SELECT cv.experiment_id, coalesce(cv.variant, lastv.variant, 'unknown') AS variant FROM cv LEFT JOIN lastv USING (user_id, experiment_id))",
+          "e AS (SELECT experiment_id, variant, count(*) AS exposures FROM ex GROUP BY 1, 2)",
+          "c AS (SELECT experiment_id, variant, count(*) AS conversions FROM ca GROUP BY 1, 2)",
+          """j AS (SELECT experiment_id, variant, coalesce(exposures, 0) AS exposures, coalesce(conversions, 0) AS conversions
+                FROM e FULL JOIN c USING (experiment_id, variant))""",
+          """vs0 AS (SELECT *, CASE WHEN exposures > 0 THEN least(conversions, exposures) ELSE 0 END AS effective_conversions,
+                  CASE WHEN exposures > 0 THEN least(conversions, exposures) / exposures ELSE 0.0 END AS ctr FROM j)""",
+          """vs1 AS (SELECT *, CASE WHEN exposures > 0 THEN sqrt(greatest(0.0, least(1.0, ctr)) * (1 - greatest(0.0, least(1.0, ctr))) / exposures) ELSE 0.0 END AS std_err FROM vs0)""",
+          "vs AS (SELECT *, greatest(0.0, ctr - 1.96 * std_err) AS ci_low, least(1.0, ctr + 1.96 * std_err) AS ci_high FROM vs1)"]
+
+ORACLE["ab_variant_stats"] = with_(_STATS, """
+SELECT experiment_id, variant, exposures, conversions, CAST(effective_conversions AS BIGINT) AS effective_conversions,
+  round(ctr, 6) AS ctr, round(std_err, 6) AS std_err, round(ci_low, 6) AS ci_low, round(ci_high, 6) AS ci_high FROM vs""")
+
+
+def _p_sql(z: str) -> str:
+    x = f"(abs({z}) / sqrt(2.0))"
+    t = f"(1.0 / (1.0 + 0.3275911 * {x}))"
+    return (f"({t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * (-1.453152027 + {t} * 1.061405429))))"
+            f" * exp(-{x} * {x}))")
+
+
+_ZT = _STATS + [
+    """zj AS (SELECT cfg.experiment_id, cfg.variants[1] AS control, cfg.variants[2] AS treatment,
+              coalesce(a.exposures, 0) AS n_a, coalesce(a.effective_conversions, 0) AS k_a,
+              coalesce(b.exposures, 0) AS n_b, coalesce(b.effective_conversions, 0) AS k_b,
+              coalesce(a.ctr, 0.0) AS ctr_a, coalesce(b.ctr, 0.0) AS ctr_b
+            FROM cfg LEFT JOIN vs a ON a.experiment_id = cfg.experiment_id AND a.variant = cfg.variants[1]
+                     LEFT JOIN vs b ON b.experiment_id = cfg.experiment_id AND b.variant = cfg.variants[2])""",
+    """zs AS (SELECT *, sqrt(greatest(0.0, least(1.0, (k_a + k_b) / (n_a + n_b))) * (1 - greatest(0.0, least(1.0, (k_a + k_b) / (n_a + n_b))))
+                 * (1.0 / n_a + 1.0 / n_b)) AS se, n_a > 0 AND n_b > 0 AS ok FROM zj WHERE n_a + n_b > 0)""",
+    "zz AS (SELECT *, CASE WHEN ok AND se >= 1e-10 THEN (ctr_b - ctr_a) / se ELSE 0.0 END AS z FROM zs)",
+    f"""zp AS (SELECT *, CASE WHEN ok AND se >= 1e-10 THEN {_p_sql('z')} ELSE 1.0 END AS p_value,
+              CASE WHEN ctr_a > 0 THEN (ctr_b - ctr_a) / ctr_a * 100.0 ELSE 0.0 END AS rel FROM zz)""",
+    """zt AS (SELECT experiment_id, control, treatment, n_a, k_a, n_b, k_b, ctr_a, ctr_b, z, p_value, rel AS relative_lift_pct,
+              ctr_b - ctr_a AS absolute_lift, p_value < 0.050000000000000044 AS is_significant,
+              least(ctr_a + 0.05, 0.999999) AS p2 FROM zp)"""]
+
+ORACLE["ab_ztest"] = with_(_ZT, """
+SELECT experiment_id, control, treatment, n_a, CAST(k_a AS BIGINT) AS k_a, n_b, CAST(k_b AS BIGINT) AS k_b, round(ctr_a, 6) AS ctr_a,
+  round(ctr_b, 6) AS ctr_b, round(z, 6) AS z, round(p_value, 6) AS p_value, round(relative_lift_pct, 6) AS relative_lift_pct,
+  round(absolute_lift, 6) AS absolute_lift, is_significant,
+  CASE WHEN p_value = 0.0 THEN '<1e-16' WHEN p_value < 1e-4 THEN printf('%.2e', p_value) ELSE printf('%.4f', p_value) END AS p_value_text,
+  CASE WHEN NOT is_significant THEN 'collect_more_data' WHEN relative_lift_pct > 0 THEN 'deploy_treatment' ELSE 'keep_control' END AS decision,
+  round(CASE WHEN pow(p2 - ctr_a, 2) > 0 THEN pow(1.959963984540054 * sqrt(2 * ((ctr_a + p2) / 2) * (1 - (ctr_a + p2) / 2))
+        + 0.8416212335729143 * sqrt(ctr_a * (1 - ctr_a) + p2 * (1 - p2)), 2) / pow(p2 - ctr_a, 2) ELSE 'inf'::DOUBLE END, 6) AS min_sample_size
+FROM zt""")
+
+ORACLE["ab_report"] = with_(_ZT + [
+    """rv AS (SELECT cfg.experiment_id, CAST(v.i - 1 AS INTEGER) AS variant_order, v.variant FROM cfg,
+             LATERAL (SELECT unnest(cfg.variants) AS variant, unnest(range(1, len(cfg.variants) + 1)) AS i) v)""",
+    """rr AS (SELECT rv.experiment_id, rv.variant, rv.variant_order, coalesce(vs.exposures, 0) AS exposures,
+              coalesce(vs.conversions, 0) AS conversions, coalesce(vs.ci_low, 0.0) AS ci_low, coalesce(vs.ci_high, 0.0) AS ci_high,
+              CASE WHEN coalesce(vs.exposures, 0) > 0 THEN vs.conversions / vs.exposures ELSE 0.0 END AS ctr
+            FROM rv LEFT JOIN vs USING (experiment_id, variant))""",
+    """best AS (SELECT experiment_id, variant AS best FROM (SELECT *, row_number() OVER (PARTITION BY experiment_id
+              ORDER BY ctr DESC, variant_order) AS r FROM rr) WHERE r = 1)""",
+    """win AS (SELECT b.experiment_id, coalesce(zt.z, 0.0) AS z, coalesce(zt.p_value, 1.0) AS p_value,
+              coalesce(zt.is_significant, false) AS is_significant,
+              CASE WHEN zt.is_significant THEN CASE WHEN zt.relative_lift_pct > 0 THEN zt.treatment ELSE zt.control END ELSE b.best END AS winner
+            FROM best b LEFT JOIN zt USING (experiment_id))"""], """
+SELECT rr.experiment_id, rr.variant, rr.variant_order, rr.exposures, rr.conversions, round(rr.ci_low, 6) AS ci_low,
+  round(rr.ci_high, 6) AS ci_high, round(rr.ctr, 6) AS ctr, round(win.z, 6) AS z, round(win.p_value, 6) AS p_value,
+  win.is_significant, win.winner FROM rr LEFT JOIN win USING (experiment_id)""")
+
+ORACLE["ab_totals"] = """
+SELECT 'exposures' AS kind, count(*) AS n FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'conversions', count(*) FROM events WHERE event_type = 'click'"""
+
+ORACLE["ab_session_conversion"] = with_([CFG,
+    "ev AS (SELECT event_id, user_id, ts, event_type = 'view' AS is_exposure, event_type = 'click' AS is_conversion FROM events WHERE event_type IN ('view', 'click'))",
+    """sg AS (SELECT *, sum(CASE WHEN prev IS NULL OR epoch_us(ts) - epoch_us(prev) > 3600000000 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+            FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM ev))""",
+    "ss AS (SELECT user_id, sid, max(CAST(is_conversion AS INTEGER)) AS converted, max(CAST(is_exposure AS INTEGER)) AS e FROM sg GROUP BY 1, 2)",
+    f"sv AS (SELECT ss.*, {assign_expr('ss.user_id', "'retrieval_v1'")} AS variant FROM ss JOIN cfg ON cfg.experiment_id = 'retrieval_v1' WHERE e = 1)"],
+    """SELECT variant, count(*) AS sessions, CAST(sum(converted) AS BIGINT) AS converted, round(avg(CAST(converted AS DOUBLE)), 6) AS session_ctr
+       FROM sv GROUP BY variant""")
+
+FB = """fb AS (SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+          CASE WHEN event_type = 'view' THEN 0.0 ELSE 1.0 END AS reward, ts FROM events WHERE event_type IN ('click', 'purchase', 'view'))"""
+FB_CUT = "fcut AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS c FROM fb)"
+POST = "post AS (SELECT item_id, 1.0 + sum(reward) AS alpha, 1.0 + sum(1.0 - reward) AS beta FROM {src} GROUP BY item_id)"
+ARM = """arm AS (SELECT *, CAST(alpha + beta - 2 AS BIGINT) AS trials, alpha / (alpha + beta) AS expected_ctr,
+           alpha * beta / (pow(alpha + beta, 2) * (alpha + beta + 1)) AS variance FROM post)"""
+
+ORACLE["bandit_posterior"] = with_([FB, POST.format(src="fb"), ARM], """
+SELECT item_id, round(alpha, 6) AS alpha, round(beta, 6) AS beta, trials, round(expected_ctr, 6) AS expected_ctr,
+  round(variance, 6) AS variance FROM arm""")
+
+ORACLE["bandit_merge"] = with_([FB, FB_CUT,
+    "h1 AS (SELECT fb.* FROM fb, fcut WHERE epoch_us(ts) < fcut.c)", "h2 AS (SELECT fb.* FROM fb, fcut WHERE epoch_us(ts) >= fcut.c)",
+    POST.format(src="h1"), "inc AS (SELECT item_id, sum(reward) AS s, sum(1.0 - reward) AS f FROM h2 GROUP BY item_id)"], """
+SELECT item_id, round(coalesce(post.alpha, 1.0) + coalesce(inc.s, 0.0), 6) AS alpha,
+  round(coalesce(post.beta, 1.0) + coalesce(inc.f, 0.0), 6) AS beta FROM post FULL JOIN inc USING (item_id)""")
+
+ORACLE["bandit_stats"] = with_([FB, POST.format(src="fb"), ARM], """
+SELECT count(*) AS n_arms, CAST(sum(trials) AS BIGINT) AS total_trials, round(avg(trials), 6) AS avg_trials, max(trials) AS max_trials,
+  round(avg(expected_ctr), 6) AS avg_ctr, round(max(expected_ctr), 6) AS max_ctr, round(min(expected_ctr), 6) AS min_ctr,
+  count(*) FILTER (WHERE trials >= 10) AS arms_10_plus, round(count(*) / (SELECT count(*) FROM part) * 100.0, 6) AS coverage_pct FROM arm""")
+
+ORACLE["bandit_top"] = with_([FB, POST.format(src="fb"), ARM], """
+SELECT item_id, round(alpha, 6) AS alpha, round(beta, 6) AS beta, trials, round(expected_ctr, 6) AS expected_ctr,
+  round(variance, 6) AS variance, CAST(r AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (ORDER BY expected_ctr DESC, item_id) AS r FROM arm) WHERE r <= 20""")
+
+ORACLE["bandit_parse"] = with_([FB, POST.format(src="fb")], "SELECT item_id, alpha, beta, false AS corrupt FROM post")
+
+ORACLE["bandit_learning"] = with_([FB, FB_CUT, "h1 AS (SELECT fb.* FROM fb, fcut WHERE epoch_us(ts) < fcut.c)",
+                                   POST.format(src="h1"), ARM,
+                                   "truth AS (SELECT item_id, avg(reward) AS true_ctr FROM fb GROUP BY item_id)"], """
+SELECT item_id, round(expected_ctr, 6) AS expected_ctr, round(true_ctr, 6) AS true_ctr,
+  round(abs(expected_ctr - true_ctr), 6) AS abs_error, abs(expected_ctr - true_ctr) < 0.1 AS learned
+FROM arm JOIN truth USING (item_id)""")
