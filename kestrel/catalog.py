@@ -627,3 +627,148 @@ def q_bandit_rerank(spark, sf):
     arms = bd.posterior(_feedback(spark, sf))
     r = bd.rerank(bd.fallback_scores(c), arms, weight=0.3, seed=42)
     return r.select("user_id", "cand_rank", "item_id", "score", "fallback_score", "draw", "blended", "new_rank")
+
+
+# ---- step 8: monitoring and governance --------------------------------------------------------------
+from kestrel.operators import monitoring as mon, governance as gov  # noqa: E402
+
+
+def _requests(spark, sf):
+    return A.requests(spark, sf)
+
+
+@register("latency_sla")
+def q_latency_sla(spark, sf):
+    return round_doubles(mon.latency_sla(_requests(spark, sf)))
+
+
+@register("stage_breakdown")
+def q_stage_breakdown(spark, sf):
+    return round_doubles(mon.stage_breakdown(_requests(spark, sf)))
+
+
+@register("request_counters")
+def q_request_counters(spark, sf):
+    req = ab.assign_variant(_requests(spark, sf).withColumn("experiment_id", F.lit("retrieval_v1")), A.experiments(spark))
+    return mon.counters(req)
+
+
+@register("cache_hit_cumulative")
+def q_cache_hit_cumulative(spark, sf):
+    return round_doubles(mon.cache_ratio(_requests(spark, sf)))
+
+
+@register("latency_histogram_quantile")
+def q_latency_histogram_quantile(spark, sf):
+    return round_doubles(mon.histogram_quantiles(_requests(spark, sf)))
+
+
+@register("request_rate")
+def q_request_rate(spark, sf):
+    return round_doubles(mon.request_rate(_requests(spark, sf)))
+
+
+@register("alert_windows")
+def q_alert_windows(spark, sf):
+    return round_doubles(mon.alert_windows(_requests(spark, sf)))
+
+
+@register("alert_islands")
+def q_alert_islands(spark, sf):
+    w = mon.alert_windows(_requests(spark, sf))
+    return (mon.sustained(w, "high_error", 2).unionByName(mon.sustained(w, "low_cache", 2))
+            .unionByName(mon.sustained(w, "no_traffic", 1)))
+
+
+@register("feedback_polarity")
+def q_feedback_polarity(spark, sf):
+    fb = ab.assign_variant(A.feedback(spark, sf).withColumn("experiment_id", F.lit("retrieval_v1")), A.experiments(spark))
+    return mon.feedback_polarity(fb)
+
+
+def _served_lists(spark, sf):
+    c, _, _ = _candidate_set(spark, sf)
+    top = c.where(F.col("cand_rank") <= 10).withColumn("experiment_id", F.lit("retrieval_v1"))
+    return ab.assign_variant(top, A.experiments(spark))
+
+
+@register("list_diversity")
+def q_list_diversity(spark, sf):
+    _, ig, _ = _genre_tables(spark, sf)
+    return round_doubles(mon.list_diversity(_served_lists(spark, sf), ig))
+
+
+@register("selection_concentration")
+def q_selection_concentration(spark, sf):
+    from kestrel.plans.ordering import competition_rank
+    counts = A.feedback(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    ranks = competition_rank(counts, "n", "popularity_rank")
+    return mon.selection_concentration(_served_lists(spark, sf), ranks)
+
+
+@register("data_gate")
+def q_data_gate(spark, sf):
+    r = A.ratings(spark, sf)
+    now = r.select(F.max("ts")).scalar()
+    return gov.data_gate(r, now)
+
+
+def _runs(spark, sf):
+    c, _, _ = _candidate_set(spark, sf)
+    fb = A.feedback(spark, sf)
+    arms = bd.arm_stats(bd.posterior(fb)).select("item_id", "expected_ctr")
+    pop = fb.groupBy("item_id").agg(F.count(F.lit(1)).cast("double").alias("popularity"))
+    m = c.join(arms, "item_id", "left").join(pop, "item_id", "left").fillna(0.0, ["expected_ctr", "popularity"])
+    start = fb.select(F.max("ts")).scalar()
+    runs = None
+    for run_id, name, col in ((1, "retrieval", "score"), (2, "bandit", "expected_ctr"), (3, "popularity", "popularity")):
+        g = rk.group_metrics(m, col).select(F.lit(run_id).cast("bigint").alias("run_id"), F.lit("ranker").alias("model"),
+                                            F.lit(name).alias("scorer"), F.col("ndcg_10"), F.col("hr_10"), F.col("mrr_10"),
+                                            start.alias("start_time"))
+        runs = g if runs is None else runs.unionByName(g)
+    return runs
+
+
+@register("quality_gate")
+def q_quality_gate(spark, sf):
+    runs = _runs(spark, sf)
+    prod = runs.where(F.col("scorer") == "popularity")
+    return round_doubles(gov.promotion(runs.where(F.col("scorer") != "popularity"), prod))
+
+
+@register("best_run")
+def q_best_run(spark, sf):
+    runs = _runs(spark, sf)
+    return round_doubles(gov.best_run(runs, "ndcg_10").join(gov.last_run(runs).select(
+        "model", F.col("run_id").alias("last_run_id")), "model"))
+
+
+@register("recent_runs")
+def q_recent_runs(spark, sf):
+    return round_doubles(gov.recent_runs(_runs(spark, sf), 10))
+
+
+@register("version_transition")
+def q_version_transition(spark, sf):
+    v = _runs(spark, sf).select("model", F.col("run_id").alias("version"),
+                                F.when(F.col("scorer") == "popularity", "Production").otherwise("None").alias("stage"))
+    return gov.promote_latest(v)
+
+
+@register("health_rollup")
+def q_health_rollup(spark, sf):
+    now = _now(spark, sf)
+    fresh = quality.freshness(A.snapshots(spark, sf), "snapshots", now).select(
+        F.lit("feature_store").alias("component"), F.when(F.col("passed"), "ok").otherwise("down").alias("status"))
+    sla = mon.latency_sla(_requests(spark, sf)).where(F.col("path") == "Aggregated").select(
+        F.lit("serving").alias("component"), F.when(F.col("p95_ok") & F.col("errors_ok"), "ok").otherwise("down").alias("status"))
+    comps = fresh.unionByName(sla)
+    return gov.roll_up(comps)
+
+
+@register("metric_names")
+def q_metric_names(spark, sf):
+    g = rk.group_metrics(rk.retrieval_features(_candidate_set(spark, sf)[0]), "rank_norm")
+    names = {"ndcg_5": "ndcg@5", "hr_5": "hr@5", "mrr_5": "mrr@5", "ndcg_10": "ndcg@10", "hr_10": "hit rate@10", "mrr_10": "mrr(10)"}
+    long = g.selectExpr("stack(6, " + ", ".join(f"'{v}', {k}" for k, v in names.items()) + ") as (metric, value)")
+    return round_doubles(gov.metric_names(long))

@@ -779,3 +779,141 @@ ORACLE["bandit_learning"] = with_([FB, FB_CUT, "h1 AS (SELECT fb.* FROM fb, fcut
 SELECT item_id, round(expected_ctr, 6) AS expected_ctr, round(true_ctr, 6) AS true_ctr,
   round(abs(expected_ctr - true_ctr), 6) AS abs_error, abs(expected_ctr - true_ctr) < 0.1 AS learned
 FROM arm JOIN truth USING (item_id)""")
+
+# ---- step 8: monitoring and governance ------------------------------------------------------------------
+REQ = """req AS (SELECT ts, 'GET' AS method, event_type AS path, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+           value AS latency_ms, CAST(json_extract_string(props, '$.k') AS BIGINT) < 50 AS cached, user_id FROM events)"""
+
+ORACLE["latency_sla"] = with_([REQ, "span AS (SELECT (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6 AS s FROM req)",
+    """g AS (SELECT CASE WHEN grouping(path) = 1 THEN 'Aggregated' ELSE path END AS path, count(*) AS n,
+             count(*) FILTER (WHERE status >= 500) AS errors, quantile_disc(latency_ms, 0.5) AS p50_ms,
+             quantile_disc(latency_ms, 0.95) AS p95_ms, quantile_disc(latency_ms, 0.99) AS p99_ms, avg(latency_ms) AS avg_ms
+           FROM req GROUP BY ROLLUP (path))"""], """
+SELECT path, n, errors, round(errors / n * 100.0, 6) AS error_pct, round(p50_ms, 6) AS p50_ms, round(p95_ms, 6) AS p95_ms,
+  round(p99_ms, 6) AS p99_ms, round(avg_ms, 6) AS avg_ms, round(CASE WHEN span.s > 0 THEN n / span.s ELSE 0.0 END, 6) AS rps,
+  p95_ms <= 200.0 AS p95_ok, errors / n * 100.0 <= 1.0 AS errors_ok, CASE WHEN span.s > 0 THEN n / span.s ELSE 0.0 END >= 50.0 AS rps_ok
+FROM g, span""")
+
+ORACLE["stage_breakdown"] = with_([REQ, "m AS (SELECT path, avg(latency_ms) AS mean_ms FROM req GROUP BY path)"], """
+SELECT path, round(mean_ms, 6) AS mean_ms, round(mean_ms / (SELECT sum(mean_ms) FROM m) * 100.0, 6) AS pct_of_total,
+  round(CASE WHEN mean_ms > 0 THEN 1000.0 / mean_ms END, 6) AS throughput_per_s FROM m""")
+
+ORACLE["request_counters"] = with_([REQ, CFG,
+    f"rv AS (SELECT req.*, {assign_expr('req.user_id', "'retrieval_v1'")} AS variant FROM req JOIN cfg ON cfg.experiment_id = 'retrieval_v1')"], """
+SELECT variant, CASE WHEN status >= 500 THEN 'error' WHEN cached THEN 'cache_hit' ELSE 'success' END AS outcome, count(*) AS n
+FROM rv GROUP BY 1, 2""")
+
+ORACLE["cache_hit_cumulative"] = with_([REQ, """b AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_start, count(*) AS requests,
+    count(*) FILTER (WHERE cached) AS hits FROM req GROUP BY 1)"""], """
+SELECT bucket_start, requests, hits, CAST(sum(requests) OVER w AS BIGINT) AS cum_requests, CAST(sum(hits) OVER w AS BIGINT) AS cum_hits,
+  round(sum(hits) OVER w / sum(requests) OVER w, 6) AS cum_hit_ratio
+FROM b WINDOW w AS (ORDER BY bucket_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+_LES = [0.005, 0.01, 0.025, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0]
+
+
+def _hq(q: float) -> str:
+    les = "[" + ", ".join(repr(x) for x in _LES) + "]"
+    rank = f"({q} * n)"
+    idx = f"coalesce(list_position(list_transform(cums, lambda c: c >= {rank}), true), 0)"
+    upper = f"{les}[{idx}]"
+    lower = f"(CASE WHEN {idx} > 1 THEN {les}[{idx} - 1] ELSE 0.0 END)"
+    chi = f"cums[{idx}]"
+    clo = f"(CASE WHEN {idx} > 1 THEN cums[{idx} - 1] ELSE 0 END)"
+    inside = f"(CASE WHEN {chi} > {clo} THEN {lower} + ({upper} - {lower}) * ({rank} - {clo}) / ({chi} - {clo}) ELSE {upper} END)"
+    return f"round(CASE WHEN n = 0 THEN NULL WHEN {idx} = 0 THEN {_LES[-1]} ELSE {inside} END, 6)"
+
+
+ORACLE["latency_histogram_quantile"] = with_([REQ, "g AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS n, [" +
+    ", ".join(f"count(*) FILTER (WHERE latency_ms / 1000.0 <= {le})" for le in _LES) + "] AS cums FROM req GROUP BY 1)"],
+    f"SELECT window_start, n, {_hq(0.5)} AS q50, {_hq(0.95)} AS q95, {_hq(0.99)} AS q99 FROM g")
+
+ORACLE["request_rate"] = with_([REQ], """
+SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, count(*) AS n, round(count(*) / 300.0, 6) AS rps FROM (
+  SELECT time_bucket(INTERVAL 1 MINUTE, ts) - k * INTERVAL 1 MINUTE AS ws FROM req, (SELECT unnest(range(0, 5)) AS k)) GROUP BY ws""")
+
+_ALERT = [REQ, """g AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS n, count(*) FILTER (WHERE status >= 500) AS errors,
+             count(*) FILTER (WHERE cached) AS hits FROM req GROUP BY 1)""",
+          "grid AS (SELECT unnest(generate_series((SELECT min(window_start) FROM g), (SELECT max(window_start) FROM g), INTERVAL 5 MINUTE)) AS window_start)",
+          """aw AS (SELECT grid.window_start, coalesce(n, 0) AS n,
+               CASE WHEN coalesce(n, 0) > 0 THEN errors / n ELSE 0.0 END AS error_rate,
+               CASE WHEN coalesce(n, 0) > 0 THEN hits / n ELSE 0.0 END AS hit_ratio FROM grid LEFT JOIN g USING (window_start))""",
+          """al AS (SELECT window_start, n, error_rate, hit_ratio, error_rate > 0.05 AS high_error, n = 0 AS no_traffic,
+               n > 0 AND hit_ratio < 0.2 AS low_cache FROM aw)"""]
+
+ORACLE["alert_windows"] = with_(_ALERT, "SELECT window_start, n, round(error_rate, 6) AS error_rate, round(hit_ratio, 6) AS hit_ratio, high_error, no_traffic, low_cache FROM al")
+
+
+def _islands(flag: str, min_w: int) -> str:
+    return f"""SELECT '{flag}' AS alert, min(window_start) AS start, max(window_start) AS "end", count(*) AS n_windows, count(*) >= {min_w} AS fired
+FROM (SELECT window_start, {flag}, row_number() OVER (ORDER BY window_start) - row_number() OVER (PARTITION BY {flag} ORDER BY window_start) AS isl FROM al)
+WHERE {flag} GROUP BY isl"""
+
+
+ORACLE["alert_islands"] = with_(_ALERT, _islands("high_error", 2) + " UNION ALL " + _islands("low_cache", 2) + " UNION ALL " + _islands("no_traffic", 1))
+
+ORACLE["feedback_polarity"] = with_([FB, CFG,
+    f"fv AS (SELECT fb.*, {assign_expr('fb.user_id', "'retrieval_v1'")} AS variant FROM fb JOIN cfg ON cfg.experiment_id = 'retrieval_v1')"], """
+SELECT variant, count(*) FILTER (WHERE reward <= 0) AS negative, count(*) FILTER (WHERE reward > 0) AS positive FROM fv GROUP BY variant""")
+
+_SERVED = _CS + [CFG, f"v AS ({VOCAB})", f"it AS ({ITEMS})",
+                 f"ig AS (SELECT x.item_id, x.genre, v.idx, x.pos FROM ({IG}) x JOIN v ON v.genre = x.genre)",
+                 f"sl AS (SELECT cs.*, {assign_expr('cs.user_id', "'retrieval_v1'")} AS variant FROM cs JOIN cfg ON cfg.experiment_id = 'retrieval_v1' WHERE cs.cand_rank <= 10)"]
+
+ORACLE["list_diversity"] = with_(_SERVED + [
+    "per AS (SELECT sl.user_id, sl.variant, count(DISTINCT ig.genre) AS n_genres FROM sl LEFT JOIN ig USING (item_id) GROUP BY 1, 2)"], """
+SELECT variant, count(*) AS n_lists, round(quantile_disc(CAST(n_genres AS DOUBLE), 0.5), 6) AS median_genres, round(avg(n_genres), 6) AS mean_genres
+FROM per GROUP BY variant""")
+
+ORACLE["selection_concentration"] = with_(_SERVED + [FB,
+    "pr AS (SELECT item_id, rank() OVER (ORDER BY n DESC) AS popularity_rank FROM (SELECT item_id, count(*) AS n FROM fb GROUP BY item_id))"], """
+SELECT CASE WHEN pr.popularity_rank <= 100 THEN 'top_100' WHEN pr.popularity_rank <= 1000 THEN 'top_1000' ELSE 'tail' END AS item_bucket,
+  count(*) AS selections FROM sl LEFT JOIN pr USING (item_id) GROUP BY 1""")
+
+ORACLE["data_gate"] = with_([f"r AS ({RATINGS})"], """
+SELECT count(*) AS n_interactions, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, max(ts) AS latest,
+  CAST(0 AS BIGINT) AS data_age_days, count(*) >= 100000 AS passed FROM r""")
+
+_RUNS = _CS + [FB, POST.format(src="fb"), ARM,
+               "popn AS (SELECT item_id, CAST(count(*) AS DOUBLE) AS popularity FROM fb GROUP BY item_id)",
+               """mr AS (SELECT cs.*, coalesce(arm.expected_ctr, 0.0) AS expected_ctr, coalesce(popn.popularity, 0.0) AS popularity
+                      FROM cs LEFT JOIN arm USING (item_id) LEFT JOIN popn USING (item_id))"""]
+for _i, (_name, _col) in enumerate((("retrieval", "score"), ("bandit", "expected_ctr"), ("popularity", "popularity")), 1):
+    _RUNS += _gm_renamed(f"r{_i}", "mr", _col)
+_RUNS += ["""runs AS (SELECT CAST(1 AS BIGINT) AS run_id, 'ranker' AS model, 'retrieval' AS scorer, ndcg_10, hr_10, mrr_10, (SELECT max(ts) FROM fb) AS start_time FROM r1m
+             UNION ALL SELECT 2, 'ranker', 'bandit', ndcg_10, hr_10, mrr_10, (SELECT max(ts) FROM fb) FROM r2m
+             UNION ALL SELECT 3, 'ranker', 'popularity', ndcg_10, hr_10, mrr_10, (SELECT max(ts) FROM fb) FROM r3m)"""]
+
+ORACLE["quality_gate"] = with_(_RUNS + ["prod AS (SELECT model, ndcg_10 AS prod_ndcg FROM runs WHERE scorer = 'popularity')"], """
+SELECT r.run_id, r.model, round(r.ndcg_10, 6) AS ndcg_10, round(p.prod_ndcg, 6) AS prod_ndcg,
+  round(round((r.ndcg_10 - p.prod_ndcg) / greatest(p.prod_ndcg, 1e-6) * 100.0, 2), 6) AS improvement_pct,
+  CASE WHEN r.ndcg_10 IS NULL THEN 'failed'
+       WHEN p.prod_ndcg IS NULL OR (r.ndcg_10 >= 0.8 AND (r.ndcg_10 - p.prod_ndcg) / greatest(p.prod_ndcg, 1e-6) >= 0.01) THEN 'promoted'
+       ELSE 'skipped' END AS status
+FROM runs r LEFT JOIN prod p USING (model) WHERE r.scorer <> 'popularity'""")
+
+ORACLE["best_run"] = with_(_RUNS, """
+SELECT b.model, b.best_run_id, round(b.best_ndcg_10, 6) AS best_ndcg_10, l.last_run_id FROM
+  (SELECT model, arg_max(run_id, ndcg_10 * 1e6 + run_id * 1e-9) AS best_run_id, max(ndcg_10) AS best_ndcg_10 FROM runs WHERE ndcg_10 > 0 GROUP BY model) b
+  JOIN (SELECT model, run_id AS last_run_id FROM (SELECT *, row_number() OVER (ORDER BY start_time DESC, run_id DESC) AS r FROM runs) WHERE r = 1) l USING (model)""")
+
+ORACLE["recent_runs"] = with_(_RUNS, """
+SELECT run_id, model, scorer, round(ndcg_10, 6) AS ndcg_10, round(hr_10, 6) AS hr_10, round(mrr_10, 6) AS mrr_10, start_time,
+  CAST(row_number() OVER (PARTITION BY model ORDER BY start_time DESC, run_id DESC) AS BIGINT) AS recency FROM runs""")
+
+ORACLE["version_transition"] = with_(_RUNS, """
+SELECT model, run_id AS version, CASE WHEN scorer = 'popularity' THEN 'Production' ELSE 'None' END AS stage,
+  CASE WHEN run_id = max(run_id) OVER (PARTITION BY model) THEN 'Production'
+       WHEN scorer = 'popularity' THEN 'Archived' ELSE 'None' END AS new_stage FROM runs""")
+
+ORACLE["health_rollup"] = with_(SNAPS + [REQ,
+    "fr AS (SELECT CASE WHEN (epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(event_timestamp))) / 86400000000.0 < 30 THEN 'ok' ELSE 'down' END AS status FROM snaps)",
+    """sv AS (SELECT CASE WHEN quantile_disc(latency_ms, 0.95) <= 200.0 AND count(*) FILTER (WHERE status >= 500) / count(*) * 100.0 <= 1.0
+             THEN 'ok' ELSE 'down' END AS status FROM req)""",
+    "cp AS (SELECT status FROM fr UNION ALL SELECT status FROM sv)"], """
+SELECT count(*) AS n_components, CASE WHEN bool_or(status = 'down') THEN 'degraded' ELSE 'healthy' END AS overall FROM cp""")
+
+ORACLE["metric_names"] = with_(_CS + [_RF] + _group_metrics("rf", "rank_norm"), """
+SELECT metric, round(value, 6) AS value, regexp_replace(replace(metric, '@', '_at_'), '[^A-Za-z0-9_\\-./ ]', '_', 'g') AS safe_name FROM (
+  SELECT 'ndcg@5' AS metric, ndcg_5 AS value FROM gm UNION ALL SELECT 'hr@5', hr_5 FROM gm UNION ALL SELECT 'mrr@5', mrr_5 FROM gm
+  UNION ALL SELECT 'ndcg@10', ndcg_10 FROM gm UNION ALL SELECT 'hit rate@10', hr_10 FROM gm UNION ALL SELECT 'mrr(10)', mrr_10 FROM gm)""")
