@@ -772,3 +772,53 @@ def q_metric_names(spark, sf):
     names = {"ndcg_5": "ndcg@5", "hr_5": "hr@5", "mrr_5": "mrr@5", "ndcg_10": "ndcg@10", "hr_10": "hit rate@10", "mrr_10": "mrr(10)"}
     long = g.selectExpr("stack(6, " + ", ".join(f"'{v}', {k}" for k, v in names.items()) + ") as (metric, value)")
     return round_doubles(gov.metric_names(long))
+
+
+# ---- step 9: search -----------------------------------------------------------------------------------
+from kestrel.operators import search as srch  # noqa: E402
+from kestrel.functions.scalar import cosine_to_unit  # noqa: E402
+
+
+def _title_queries(spark, sf):
+    """Search strings derived from the catalogue names: full name, name minus its last two
+    characters, the second word, and a one-letter substitution (e -> a)."""
+    names = A.table(spark, sf, "part").select("p_name").distinct()
+    parts = [("full", F.col("p_name")),
+             ("prefix", F.expr("substring(p_name, 1, length(p_name) - 2)")),
+             ("token", F.element_at(F.split("p_name", " "), 2)),
+             ("typo", F.regexp_replace("p_name", "e", "a"))]
+    out = None
+    for kind, expr in parts:
+        d = names.select(F.concat(F.lit(kind + ":"), F.col("p_name")).alias("query_id"), expr.alias("query_text"))
+        out = d if out is None else out.unionByName(d)
+    return out.where(F.col("query_text").isNotNull())
+
+
+@register("title_normalize")
+def q_title_normalize(spark, sf):
+    return srch.normalized_catalogue(A.items(spark, sf))
+
+
+@register("title_suggest")
+def q_title_suggest(spark, sf):
+    return srch.suggest(_title_queries(spark, sf), A.items(spark, sf), limit=8)
+
+
+@register("title_fuzzy")
+def q_title_fuzzy(spark, sf):
+    return round_doubles(srch.suggest_with_fuzzy(_title_queries(spark, sf), A.items(spark, sf), limit=8))
+
+
+@register("movie_seed_recommend")
+def q_movie_seed_recommend(spark, sf):
+    top1 = srch.suggest_with_fuzzy(_title_queries(spark, sf), A.items(spark, sf), limit=1).select(
+        "query_id", F.col("item_id").alias("seed_id"))
+    vec = _vectors(spark, sf)
+    seeds = vx.resolve_seed(top1, vec).where(F.col("resolved_id").isNotNull())
+    q = vec.join(seeds.select(F.col("resolved_id").alias("item_id")).distinct(), "item_id", "left_semi")
+    sims = vx.topk_inner_product(q.withColumnRenamed("item_id", "seed_id"), vec, k=10, exclude_self=True, qid="seed_id")
+    out = seeds.join(sims, seeds["resolved_id"] == sims["seed_id"]).select(
+        "query_id", seeds["seed_id"].alias("matched_item"), "resolved_id", "rank", sims["item_id"],
+        cosine_to_unit(F.col("score")).alias("similarity"))
+    titles = A.items(spark, sf).select("item_id", "title")
+    return out.join(titles, "item_id", "left")

@@ -114,9 +114,9 @@ def first_year_anywhere(title) -> Column:
 
 
 def normalize_title(c) -> Column:
-    """lower, drop trailing '(yyyy)', non-alphanumerics -> space, squeeze, trim."""
-    s = F.lower(col_(c))
-    s = F.regexp_replace(s, r"\s*\(\d{4}\)\s*$", "")
+    """trim, lower, drop trailing '(yyyy)', non-alphanumerics -> space, squeeze, trim."""
+    s = F.lower(F.trim(F.coalesce(col_(c), F.lit(""))))
+    s = F.regexp_replace(s, r"\s*\(\d{4}\)$", "")
     s = F.regexp_replace(s, r"[^a-z0-9]+", " ")
     s = F.regexp_replace(s, r"\s+", " ")
     return F.trim(s)

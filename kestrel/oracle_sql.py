@@ -917,3 +917,36 @@ ORACLE["metric_names"] = with_(_CS + [_RF] + _group_metrics("rf", "rank_norm"),
 SELECT metric, round(value, 6) AS value, regexp_replace(replace(metric, '@', '_at_'), '[^A-Za-z0-9_\\-./ ]', '_', 'g') AS safe_name FROM (
   SELECT 'ndcg@5' AS metric, ndcg_5 AS value FROM gm UNION ALL SELECT 'hr@5', hr_5 FROM gm UNION ALL SELECT 'mrr@5', mrr_5 FROM gm
   UNION ALL SELECT 'ndcg@10', ndcg_10 FROM gm UNION ALL SELECT 'hit rate@10', hr_10 FROM gm UNION ALL SELECT 'mrr(10)', mrr_10 FROM gm)""")
+
+# ---- step 9: search ----------------------------------------------------------------------------------------
+
+
+def _norm_sql(x: str) -> str:
+    return (f"trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce({x}, ''))), '\\s*\\(\\d{{4}}\\)$', ''), "
+            f"'[^a-z0-9]+', ' ', 'g'), '\\s+', ' ', 'g'))")
+
+
+_SEARCH = [f"it AS ({ITEMS})", f"cat AS (SELECT item_id, title, {_norm_sql('title')} AS normalized FROM it)",
+           "names AS (SELECT DISTINCT p_name FROM part)",
+           """qs AS (SELECT 'full:' || p_name AS query_id, p_name AS query_text FROM names
+                UNION ALL SELECT 'prefix:' || p_name, substr(p_name, 1, length(p_name) - 2) FROM names
+                UNION ALL SELECT 'token:' || p_name, string_split(p_name, ' ')[2] FROM names
+                UNION ALL SELECT 'typo:' || p_name, replace(p_name, 'e', 'a') FROM names)""",
+           f"q AS (SELECT query_id, {_norm_sql('query_text')} AS query FROM qs WHERE query_text IS NOT NULL)",
+           "q2 AS (SELECT * FROM q WHERE query <> '')"]
+
+ORACLE["title_normalize"] = with_(_SEARCH[:2], "SELECT item_id, title, normalized FROM cat")
+
+ORACLE["title_suggest"] = with_(_SEARCH + [
+    "ex AS (SELECT q2.query_id, c.item_id, c.title, 0 AS tier, 0 AS neg, 0 AS ln, '' AS lt FROM q2 JOIN cat c ON c.normalized = q2.query)",
+    """sc AS (SELECT q2.query_id, c.item_id, c.title, c.normalized,
+              CASE WHEN starts_with(c.normalized, q2.query) THEN 300 - greatest(0, length(c.normalized) - length(q2.query))
+                   WHEN instr(c.normalized, q2.query) > 0 THEN 220 - (instr(c.normalized, q2.query) - 1)
+                   WHEN list_bool_and(list_transform(string_split(q2.query, ' '), lambda qt:
+                        list_bool_or(list_transform(string_split(c.normalized, ' '), lambda t: starts_with(t, qt))))) THEN 180
+                   ELSE 0 END AS score FROM q2, cat c)""",
+    "pa AS (SELECT query_id, item_id, title, 1 AS tier, -score AS neg, length(normalized) AS ln, lower(title) AS lt FROM sc WHERE score > 0)",
+    "al AS (SELECT * FROM ex UNION ALL SELECT * FROM pa)",
+    """dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, item_id ORDER BY tier, neg, ln, lt) AS d FROM al) WHERE d = 1)"""], """
+SELECT query_id, CAST(position AS BIGINT) AS position, item_id, title, tier, -neg AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tier, neg, ln, lt, item_id) AS position FROM dd) WHERE position <= 8""")
