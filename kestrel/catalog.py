@@ -822,3 +822,50 @@ def q_movie_seed_recommend(spark, sf):
         cosine_to_unit(F.col("score")).alias("similarity"))
     titles = A.items(spark, sf).select("item_id", "title")
     return out.join(titles, "item_id", "left")
+
+
+# ---- step 6: negatives and sampled evaluation -----------------------------------------------------------
+from kestrel.operators import negatives as ng  # noqa: E402
+
+
+def _catalogue(spark, sf):
+    return A.items(spark, sf).select("item_id")
+
+
+@register("negatives_uniform")
+def q_negatives_uniform(spark, sf):
+    core = implicit_core(spark, sf)
+    return ng.uniform(core.select("user_id"), core, _catalogue(spark, sf), n=10, seed=42)
+
+
+@register("negatives_batch")
+def q_negatives_batch(spark, sf):
+    core = implicit_core(spark, sf)
+    return ng.uniform(core.select("user_id"), core, _catalogue(spark, sf), n=1, seed=7)
+
+
+@register("negatives_popularity")
+def q_negatives_popularity(spark, sf):
+    core = implicit_core(spark, sf)
+    return ng.popularity(core.select("user_id"), core, ng.popularity_cdf(core), n=10, seed=42)
+
+
+@register("negatives_per_position")
+def q_negatives_per_position(spark, sf):
+    core = implicit_core(spark, sf)
+    keys = prep.sequence_positions(core).select("user_id", "pos")
+    return ng.uniform(keys, core, _catalogue(spark, sf), n=128, seed=42, key_cols=("user_id", "pos"))
+
+
+@register("pit_samples")
+def q_pit_samples(spark, sf):
+    ev = _event_inter(spark, sf)
+    return ng.pit_samples(ev, ev, _catalogue(spark, sf), n_neg=4, seed=42)
+
+
+@register("sampled_eval")
+def q_sampled_eval(spark, sf):
+    history, target = prep.holdout_last(implicit_core(spark, sf))
+    cands = ng.sampled_candidates(target.select("user_id", "item_id"), _catalogue(spark, sf), n_neg=100, seed=42)
+    pop = history.groupBy("item_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
+    return evaluation.metric_bundle(ng.sampled_rank(cands, pop), ks=(1, 5, 10))

@@ -950,3 +950,64 @@ ORACLE["title_suggest"] = with_(_SEARCH + [
     """dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, item_id ORDER BY tier, neg, ln, lt) AS d FROM al) WHERE d = 1)"""], """
 SELECT query_id, CAST(position AS BIGINT) AS position, item_id, title, tier, -neg AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tier, neg, ln, lt, item_id) AS position FROM dd) WHERE position <= 8""")
+
+# ---- step 6: negatives ------------------------------------------------------------------------------------
+
+
+def _h60(*parts) -> str:
+    inner = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return "(('0x' || substr(md5(concat_ws(':', " + inner + ")), 1, 15))::BIGINT)"
+
+
+_CATPOS = "catpos AS (SELECT p_partkey AS item_id, row_number() OVER (ORDER BY p_partkey) AS item_pos FROM part)"
+_NCAT = "(SELECT count(*) FROM catpos)"
+
+
+def _uniform_sql(keys_cte: str, key_cols: list, seen_cte: str, n: int, seed: int, draws: int, replace: bool = True) -> list:
+    kc = ", ".join(f"k.{c}" for c in key_cols)
+    kc_plain = ", ".join(key_cols)
+    ctes = [f"""dr AS (SELECT {kc}, d.draw, ({_h60(*[f'k.{c}' for c in key_cols], 'd.draw', seed)} % {_NCAT}) + 1 AS item_pos
+                  FROM (SELECT DISTINCT {kc_plain} FROM {keys_cte}) k, (SELECT unnest(range(1, {draws + 1})) AS draw) d)""",
+            f"""ac AS (SELECT dr.*, catpos.item_id FROM dr JOIN catpos USING (item_pos)
+                  WHERE NOT EXISTS (SELECT 1 FROM {seen_cte} s WHERE s.user_id = dr.user_id AND s.item_id = catpos.item_id))"""]
+    if not replace:
+        ctes.append(f"ac2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {kc_plain}, item_id ORDER BY draw) AS q FROM ac) WHERE q = 1)")
+    src = "ac2" if not replace else "ac"
+    ctes.append(f"""neg AS (SELECT {kc_plain}, CAST(neg_rank AS BIGINT) AS neg_rank, draw, item_id FROM (
+                  SELECT *, row_number() OVER (PARTITION BY {kc_plain} ORDER BY draw) AS neg_rank FROM {src}) WHERE neg_rank <= {n})""")
+    return ctes
+
+
+ORACLE["negatives_uniform"] = with_(_KC + [_CATPOS] + _uniform_sql(_CORE, ["user_id"], _CORE, 10, 42, 200),
+                                    "SELECT * FROM neg")
+ORACLE["negatives_batch"] = with_(_KC + [_CATPOS] + _uniform_sql(_CORE, ["user_id"], _CORE, 1, 7, 100),
+                                  "SELECT * FROM neg")
+ORACLE["negatives_per_position"] = with_(_KC + [_CATPOS,
+    f"kp AS (SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, tie) AS BIGINT) AS pos FROM {_CORE})"] +
+    _uniform_sql("kp", ["user_id", "pos"], _CORE, 128, 42, 512), "SELECT * FROM neg")
+
+ORACLE["negatives_popularity"] = with_(_KC + [
+    f"cnt AS (SELECT item_id, count(*) AS cnt FROM {_CORE} GROUP BY item_id)",
+    "cdf AS (SELECT item_id, cnt, sum(cnt) OVER (ORDER BY item_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_hi FROM cnt)",
+    f"""dr AS (SELECT k.user_id, d.draw, {_h60('k.user_id', 'd.draw', 42)} % (SELECT sum(cnt) FROM cnt) AS t
+              FROM (SELECT DISTINCT user_id FROM {_CORE}) k, (SELECT unnest(range(1, 201)) AS draw) d)""",
+    f"""ac AS (SELECT dr.user_id, dr.draw, cdf.item_id FROM dr JOIN cdf ON dr.t >= cdf.cum_hi - cdf.cnt AND dr.t < cdf.cum_hi
+              WHERE NOT EXISTS (SELECT 1 FROM {_CORE} s WHERE s.user_id = dr.user_id AND s.item_id = cdf.item_id))"""], """
+SELECT user_id, CAST(neg_rank AS BIGINT) AS neg_rank, draw, item_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY draw) AS neg_rank FROM ac) WHERE neg_rank <= 10""")
+
+ORACLE["pit_samples"] = with_([_CATPOS,
+    """ei AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, ts, event_id AS tie
+           FROM events WHERE event_type IN ('click', 'purchase', 'view'))""",
+    "lr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS r FROM ei)",
+    "lastev AS (SELECT user_id, item_id, ts FROM lr WHERE r = 1 AND user_id IN (SELECT user_id FROM lr WHERE r = 2))"] +
+    _uniform_sql("lastev", ["user_id"], "ei", 4, 42, 100, replace=False), """
+SELECT user_id, item_id, ts, 1 AS label FROM lastev
+UNION ALL SELECT neg.user_id, neg.item_id, lastev.ts, 0 FROM neg JOIN lastev USING (user_id)""")
+
+ORACLE["sampled_eval"] = with_(_kcore_holdout() + [_CATPOS] + _uniform_sql("target", ["user_id"], "(SELECT * FROM target WHERE false)", 100, 42, 100) + [
+    "pop AS (SELECT item_id, CAST(count(*) AS DOUBLE) AS score FROM hist GROUP BY item_id)",
+    "ts_ AS (SELECT t.user_id, coalesce(p.score, 0.0) AS s FROM target t LEFT JOIN pop p USING (item_id))",
+    """ranks AS (SELECT n.user_id, 1 + count(*) FILTER (WHERE coalesce(p.score, 0.0) > ts_.s) AS rnk
+               FROM neg n LEFT JOIN pop p USING (item_id) JOIN ts_ USING (user_id) GROUP BY n.user_id)"""],
+    metric_bundle_sql("ranks", ks=(1, 5, 10)))
