@@ -869,3 +869,65 @@ def q_sampled_eval(spark, sf):
     cands = ng.sampled_candidates(target.select("user_id", "item_id"), _catalogue(spark, sf), n_neg=100, seed=42)
     pop = history.groupBy("item_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
     return evaluation.metric_bundle(ng.sampled_rank(cands, pop), ks=(1, 5, 10))
+
+
+# ---- step 6b: learning re-aims and full-ranking evaluation ---------------------------------------------
+from kestrel.operators import cf, ranker  # noqa: E402
+
+
+@register("full_ranking_eval")
+def q_full_ranking_eval(spark, sf):
+    history, target = prep.holdout_last(_event_items(spark, sf))
+    vec = _vectors(spark, sf)
+    q = (vx.pool_history(history, vec).join(target.select("user_id", F.col("item_id").alias("target_id")), "user_id")
+         .withColumnRenamed("user_id", "qid"))
+    pos = vx.target_position_masked(q, vec, history.withColumnRenamed("user_id", "qid"))
+    return evaluation.metric_bundle(pos.withColumnRenamed("position", "rank"), ks=(5, 10, 20))
+
+
+@register("als_recommend")
+def q_als_recommend(spark, sf):
+    core = implicit_core(spark, sf)
+    model = cf.fit_als(core, rank=64, max_iter=10)
+    return cf.recommend_all(model, core, A.items(spark, sf), k=10)
+
+
+@register("ivf_recall")
+def q_ivf_recall(spark, sf):
+    v = _vectors(spark, sf)
+    q = v.withColumnRenamed("item_id", "qid")
+    approx = cf.ivf_topk(q, v, k=10, nprobe=10)
+    exact = vx.topk_inner_product(q, v, k=10)
+    return cf.recall_vs_exact(approx, exact)
+
+
+@register("gbt_rank")
+def q_gbt_rank(spark, sf):
+    m = _ranking_matrix(spark, sf).cache()
+    va, model = ranker.fit_ranker(m, RANK_FEATURES, "gbt", {"maxDepth": 5, "maxIter": 20})
+    s = ranker.score(va, model, m)
+    top = ranker.importance(model, RANK_FEATURES, 1).select("feature").scalar()
+    return rk.group_metrics(s, "rank_score", ks=(5, 10)).withColumn("top_feature", top)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    m = _ranking_matrix(spark, sf).cache()
+    _, model = ranker.fit_ranker(m, RANK_FEATURES, "gbt", {"maxDepth": 5, "maxIter": 20})
+    return ranker.importance(model, RANK_FEATURES, 15)
+
+
+@register("ranker_configs")
+def q_ranker_configs(spark, sf):
+    return ranker.compare_configs(_ranking_matrix(spark, sf), RANK_FEATURES)
+
+
+@register("two_stage_recommend")
+def q_two_stage_recommend(spark, sf):
+    """Q16: history -> pooled vector -> 100 candidates -> features -> model score -> top 10 unseen -> titles."""
+    m = _ranking_matrix(spark, sf).cache()
+    va, model = ranker.fit_ranker(m, RANK_FEATURES, "gbt", {"maxDepth": 5, "maxIter": 20})
+    s = ranker.score(va, model, m)
+    top = rk.top_k_recommend(s, _event_inter(spark, sf), 10, score="rank_score")
+    return top.join(A.items(spark, sf).select("item_id", "title"), "item_id", "left").select(
+        "user_id", "rank", "item_id", "rank_score", "title")

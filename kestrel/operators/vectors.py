@@ -236,3 +236,24 @@ def resolve_seed(requests: DataFrame, items: DataFrame, seed: str = "seed_id", i
         cand = ids.select(F.col(item).alias(name), (F.col(item) - off).alias("_k"))
         out = out.join(cand, out[seed] == cand["_k"], "left").drop("_k")
     return out.withColumn("resolved_id", F.coalesce("_s0", "_s1", "_s2")).drop("_s0", "_s1", "_s2")
+
+
+def target_position_masked(queries: DataFrame, items: DataFrame, history: DataFrame, qid: str = "qid",
+                           item: str = "item_id", vec: str = "vec") -> DataFrame:
+    """Position of the target among all items except the query's own history (PAD-free ids).
+
+    position = 1 + #items beating the target (blocked count) - #history items beating it
+    (history pairs scored by equi-join).  No ranking is materialised.
+    """
+    pos = target_position(queries, items, qid=qid, item=item, vec=vec)
+    items_v = items.select(F.col(item).alias("_hid"), F.col(vec).alias("_hv"))
+    tv = items.select(F.col(item).alias("target_id"), F.col(vec).alias("_tv"))
+    qt = (queries.select(F.col(qid).alias("_q"), F.col(vec).alias("_qv"), "target_id").join(tv, "target_id")
+          .withColumn("_ts", dot(F.col("_qv"), F.col("_tv"))).drop("_tv"))
+    h = (history.select(F.col(qid).alias("_q"), F.col(item).alias("_hid")).distinct()
+         .join(qt, "_q").where(F.col("_hid") != F.col("target_id")).join(items_v, "_hid")
+         .withColumn("_s", dot(F.col("_qv"), F.col("_hv"))))
+    beat = (F.col("_s") > F.col("_ts")) | ((F.col("_s") == F.col("_ts")) & (F.col("_hid") < F.col("target_id")))
+    nh = h.groupBy("_q").agg(F.count_if(beat).alias("_nh"))
+    return (pos.join(nh, pos[qid] == nh["_q"], "left")
+            .select(qid, "target_id", (F.col("position") - F.coalesce("_nh", F.lit(0))).cast("bigint").alias("position")))

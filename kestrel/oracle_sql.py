@@ -1011,3 +1011,14 @@ ORACLE["sampled_eval"] = with_(_kcore_holdout() + [_CATPOS] + _uniform_sql("targ
     """ranks AS (SELECT n.user_id, 1 + count(*) FILTER (WHERE coalesce(p.score, 0.0) > ts_.s) AS rnk
                FROM neg n LEFT JOIN pop p USING (item_id) JOIN ts_ USING (user_id) GROUP BY n.user_id)"""],
     metric_bundle_sql("ranks", ks=(1, 5, 10)))
+
+# ---- step 6b: full-ranking evaluation -----------------------------------------------------------------------
+ORACLE["full_ranking_eval"] = with_([VEC, EVI,
+    "lr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM evi)",
+    "hist AS (SELECT * FROM lr WHERE rn > 1)", "tgt AS (SELECT user_id, item_id AS target_id FROM lr WHERE rn = 1)"] + _pool("hist") + [
+    """ranks AS (SELECT uv.user_id, 1 + count(*) FILTER (WHERE (list_dot_product(uv.v, vx.v) > list_dot_product(uv.v, tv.v)
+                 OR (list_dot_product(uv.v, vx.v) = list_dot_product(uv.v, tv.v) AND vx.item_id < t.target_id))
+                 AND vx.item_id <> t.target_id
+                 AND NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = uv.user_id AND h.item_id = vx.item_id)) AS rnk
+               FROM uv JOIN tgt t USING (user_id) JOIN vx tv ON tv.item_id = t.target_id CROSS JOIN vx GROUP BY uv.user_id)"""],
+    metric_bundle_sql("ranks", ks=(5, 10, 20)))
