@@ -931,3 +931,77 @@ def q_two_stage_recommend(spark, sf):
     top = rk.top_k_recommend(s, _event_inter(spark, sf), 10, score="rank_score")
     return top.join(A.items(spark, sf).select("item_id", "title"), "item_id", "left").select(
         "user_id", "rank", "item_id", "rank_score", "title")
+
+
+# ---- step 10: streaming --------------------------------------------------------------------------------
+from kestrel.streaming import io as sio, jobs as sj  # noqa: E402
+
+
+def _ntz(c):
+    return F.col(c).cast("timestamp_ntz")
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    ev = sio.table_stream(spark, sf, "events")
+    s = sj.enrich(sj.ingest(sj.feedback_rows(ev)), A.experiments(spark))
+    out = sio.run_stream(s.select("event_id", "user_id", "item_id", "reward", "clicked", "valid", "variant", "experiment_id"),
+                         "ingest", "append")
+    return out
+
+
+@register("stream_bandit")
+def q_stream_bandit(spark, sf):
+    s = sj.posterior_updates(sj.feedback_rows(sio.table_stream(spark, sf, "events")))
+    out = sio.run_stream(s, "bandit", "update", keys=["item_id"])
+    return round_doubles(out.select("item_id", (F.lit(1.0) + F.col("successes")).alias("alpha"),
+                                    (F.lit(1.0) + F.col("failures")).alias("beta")))
+
+
+@register("stream_ctr")
+def q_stream_ctr(spark, sf):
+    s = sj.ctr_windows(sio.table_stream(spark, sf, "events"), A.experiments(spark)).select(
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"), "variant", "exposures", "conversions")
+    out = sio.run_stream(s, "ctr", "update", keys=["window_start", "variant"])
+    return round_doubles(out.withColumn("ctr", F.when(F.col("exposures") > 0, F.col("conversions") / F.col("exposures"))
+                                        .otherwise(F.lit(0.0))))
+
+
+@register("stream_latency")
+def q_stream_latency(spark, sf):
+    n_b = len(mon.LATENCY_BUCKETS)
+    s = sj.latency_windows(sio.table_stream(spark, sf, "events")).select(
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n", "errors", *[f"le{i}" for i in range(n_b)])
+    out = sio.run_stream(s, "latency", "update", keys=["window_start"])
+    cums = F.array(*[F.col(f"le{i}") for i in range(n_b)])
+    return round_doubles(out.select("window_start", "n", "errors", mon._hist_quantile(0.95, cums, F.col("n")).alias("q95")))
+
+
+@register("stream_refresh_users")
+def q_stream_refresh_users(spark, sf):
+    s = sj.refresh_users(sj.feedback_rows(sio.table_stream(spark, sf, "events"))).select(
+        "user_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "invalidated_at")
+    return sio.run_stream(s, "refresh", "update", keys=["user_id", "window_start"])
+
+
+@register("stream_sessions")
+def q_stream_sessions(spark, sf):
+    s = sj.sessions(sio.table_stream(spark, sf, "events")).select(
+        "user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
+        F.col("s.end").cast("timestamp_ntz").alias("session_end"), "n_events")
+    return sio.run_stream(s, "sessions", "complete")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    a = sio.table_stream(spark, sf, "events")
+    b = sio.table_stream(spark, sf, "events")  # the same log delivered twice (a replay)
+    s = sj.dedup(a.unionByName(b)).select("event_id", "user_id", "ts", "event_type")
+    return sio.run_stream(s, "dedup", "append")
+
+
+@register("stream_attribution")
+def q_stream_attribution(spark, sf):
+    views = sio.table_stream(spark, sf, "events").where(F.col("event_type") == "view")
+    clicks = sio.table_stream(spark, sf, "events").where(F.col("event_type") == "click")
+    return sio.run_stream(sj.attribute(views, clicks, "1 hour"), "attribution", "append")

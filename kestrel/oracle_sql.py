@@ -1022,3 +1022,44 @@ ORACLE["full_ranking_eval"] = with_([VEC, EVI,
                  AND NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = uv.user_id AND h.item_id = vx.item_id)) AS rnk
                FROM uv JOIN tgt t USING (user_id) JOIN vx tv ON tv.item_id = t.target_id CROSS JOIN vx GROUP BY uv.user_id)"""],
     metric_bundle_sql("ranks", ks=(5, 10, 20)))
+
+# ---- step 10: streaming (final sink state vs batch SQL) ----------------------------------------------------
+ORACLE["stream_ingest"] = with_([CFG,
+    f"""fb2 AS (SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+           CASE WHEN event_type = 'view' THEN 0.0 ELSE 1.0 END AS reward FROM events WHERE event_type IN ('click', 'purchase', 'view'))"""], f"""
+SELECT event_id, user_id, item_id, reward, reward > 0 AS clicked,
+  coalesce(user_id >= 0 AND item_id IS NOT NULL AND item_id >= 0 AND reward IN (0.0, 1.0), false) AS valid,
+  {assign_expr('fb2.user_id', "'retrieval_v1'")} AS variant, 'retrieval_v1' AS experiment_id
+FROM fb2 JOIN cfg ON cfg.experiment_id = 'retrieval_v1'""")
+
+ORACLE["stream_bandit"] = with_([FB, POST.format(src="fb")], "SELECT item_id, round(alpha, 6) AS alpha, round(beta, 6) AS beta FROM post")
+
+ORACLE["stream_ctr"] = with_([CFG,
+    f"""cw AS (SELECT time_bucket(INTERVAL 1 DAY, e.ts) AS window_start, {assign_expr('e.user_id', "'retrieval_v1'")} AS variant,
+            count(*) FILTER (WHERE e.event_type = 'view') AS exposures, count(*) FILTER (WHERE e.event_type = 'click') AS conversions
+          FROM events e JOIN cfg ON cfg.experiment_id = 'retrieval_v1' WHERE e.event_type IN ('view', 'click') GROUP BY 1, 2)"""], """
+SELECT window_start, variant, exposures, conversions,
+  round(CASE WHEN exposures > 0 THEN conversions / exposures ELSE 0.0 END, 6) AS ctr FROM cw""")
+
+ORACLE["stream_latency"] = with_([
+    "sw AS (SELECT e.*, time_bucket(INTERVAL 1 MINUTE, e.ts) - k * INTERVAL 1 MINUTE AS window_start FROM events e, (SELECT unnest(range(0, 5)) AS k))",
+    "g AS (SELECT window_start, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS errors, [" +
+    ", ".join(f"count(*) FILTER (WHERE value / 1000.0 <= {le})" for le in _LES) + "] AS cums FROM sw GROUP BY 1)"],
+    f"SELECT window_start, n, errors, {_hq(0.95)} AS q95 FROM g")
+
+ORACLE["stream_refresh_users"] = """
+SELECT user_id, time_bucket(INTERVAL 300 SECOND, ts) AS window_start, min(ts) AS invalidated_at
+FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY 1, 2"""
+
+ORACLE["stream_sessions"] = """
+WITH g AS (SELECT *, sum(CASE WHEN prev IS NULL OR epoch_us(ts) - epoch_us(prev) > 3600000000 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+           FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events))
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end, count(*) AS n_events FROM g GROUP BY user_id, sid"""
+
+ORACLE["stream_dedup"] = "SELECT event_id, user_id, ts, event_type FROM events"
+
+ORACLE["stream_attribution"] = """
+SELECT c.event_id AS conversion_id, e.event_id AS exposure_id, c.user_id, c.ts AS conversion_ts, e.ts AS exposure_ts
+FROM events c JOIN events e ON e.user_id = c.user_id AND c.ts >= e.ts AND c.ts <= e.ts + INTERVAL 1 HOUR
+WHERE c.event_type = 'click' AND e.event_type = 'view'"""
