@@ -1005,3 +1005,172 @@ def q_stream_attribution(spark, sf):
     views = sio.table_stream(spark, sf, "events").where(F.col("event_type") == "view")
     clicks = sio.table_stream(spark, sf, "events").where(F.col("event_type") == "click")
     return sio.run_stream(sj.attribute(views, clicks, "1 hour"), "attribution", "append")
+
+
+# ---- sources and sinks (round trips through the shared checkpoint folder) -----------------------------------
+from kestrel.sources import files as fio  # noqa: E402
+
+
+def _scratch(spark, name):
+    return sio.scratch(spark, "files", name)
+
+
+@register("ratings_csv_roundtrip")
+def q_ratings_csv_roundtrip(spark, sf):
+    path = _scratch(spark, "ratings_csv")
+    fio.write_ratings_csv(A.ratings(spark, sf), path)
+    return round_doubles(fio.read_ratings(spark, path))
+
+
+@register("items_csv_roundtrip")
+def q_items_csv_roundtrip(spark, sf):
+    path = _scratch(spark, "items_csv")
+    A.items(spark, sf).select(F.col("item_id").alias("movieId"), "title", "genres").write.option("header", True).csv(path)
+    return fio.read_items(spark, path)
+
+
+@register("event_log_roundtrip")
+def q_event_log_roundtrip(spark, sf):
+    path = _scratch(spark, "exposures_jsonl")
+    ex = A.exposures(spark, sf).select("user_id", "variant", "experiment_id", F.col("n_recs").cast("int").alias("n_recs"),
+                                       (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("ts"), "event_id")
+    fio.write_event_log(ex, path)
+    good, bad = fio.read_event_log(spark, path, fio.EXPOSURE_LOG)
+    n_bad = bad.select(F.count(F.lit(1))).scalar()
+    return round_doubles(good.withColumn("n_bad_lines", n_bad))
+
+
+@register("request_log_roundtrip")
+def q_request_log_roundtrip(spark, sf):
+    path = _scratch(spark, "latency_csv")
+    fio.write_request_log(_requests(spark, sf), path)
+    return round_doubles(mon.latency_sla(fio.read_request_log(spark, path)))
+
+
+@register("feature_store_write")
+def q_feature_store_write(spark, sf):
+    path = _scratch(spark, "user_features")
+    uf = feat.user_features(A.ratings(spark, sf, min_rating=4.0), A.items(spark, sf), A.genre_vocab(spark, sf),
+                            idmap=user_map(spark, sf))
+    fio.write_features(round_doubles(uf), path, "user_idx")
+    return spark.read.parquet(path)
+
+
+@register("training_samples")
+def q_training_samples(spark, sf):
+    ps = prep.prefix_samples(implicit_core(spark, sf), max_len=50).select(
+        "user_id", F.col("prefix").alias("sequence"), F.col("target_item").alias("next_item"))
+    r = fio.resolve_samples(ps)
+    return r.select("user_id", F.array_join(F.col("input_seq").cast("array<string>"), ",").alias("input_seq"), "target")
+
+
+@register("report_roundtrip")
+def q_report_roundtrip(spark, sf):
+    path = _scratch(spark, "report_json")
+    fio.save_report(popularity_eval(spark, sf), path, "json")
+    schema = "k bigint, n_users bigint, hr double, ndcg double, mrr double, precision double, mean_rank double, median_rank double"
+    return spark.read.schema(schema).json(path)
+
+
+@register("loadtest_stats")
+def q_loadtest_stats(spark, sf):
+    path = _scratch(spark, "loadtest_csv")
+    sla = mon.latency_sla(_requests(spark, sf))
+    sla.select(F.col("path").alias("Name"), F.col("n").alias("Request Count"), F.col("errors").alias("Failure Count"),
+               F.col("rps").alias("Requests/s"), F.col("p50_ms").alias("50%"), F.col("p95_ms").alias("95%"),
+               F.col("p99_ms").alias("99%"), F.col("avg_ms").alias("Average (ms)")).write.option("header", True).csv(path)
+    return round_doubles(fio.read_loadtest_stats(spark, path))
+
+
+# ---- remaining inventory items ----------------------------------------------------------------------------------
+
+@register("rank_distribution")
+def q_rank_distribution(spark, sf):
+    """M9: distribution of the held-out item's masked full-ranking position."""
+    history, target = prep.holdout_last(_event_items(spark, sf))
+    vec = _vectors(spark, sf)
+    q = (vx.pool_history(history, vec).join(target.select("user_id", F.col("item_id").alias("target_id")), "user_id")
+         .withColumnRenamed("user_id", "qid"))
+    pos = vx.target_position_masked(q, vec, history.withColumnRenamed("user_id", "qid"))
+    cuts = [1, 3, 5, 10, 20, 50, 100, 200]
+    wide = pos.agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("min_rank"), F.max("position").alias("max_rank"),
+                   F.avg("position").alias("mean_rank"),
+                   F.percentile_approx(F.col("position").cast("double"), 0.5, evaluation.PCT_ACCURACY).alias("median_rank"),
+                   *[F.count_if(F.col("position") <= c).alias(f"c{c}") for c in cuts])
+    long = wide.selectExpr("n", "min_rank", "max_rank", "mean_rank", "median_rank",
+                           f"stack({len(cuts)}, " + ", ".join(f"{c}, c{c}" for c in cuts) + ") as (cutoff, n_within)")
+    return round_doubles(long.select(F.col("cutoff").cast("bigint").alias("cutoff"), "n_within",
+                                     (F.col("n_within") / F.col("n") * 100.0).alias("pct_within"),
+                                     "min_rank", "max_rank", "mean_rank", "median_rank"))
+
+
+@register("val_test_pivot")
+def q_val_test_pivot(spark, sf):
+    """The most-popular recommender on the validation (second newest) and test (newest) items."""
+    core = implicit_core(spark, sf)
+    train, val, test = prep.leave_last_out(core)
+    hist_val = train
+    hist_test = train.unionByName(val)
+    bv = evaluation.metric_bundle(evaluation.popularity_target_rank(hist_val, val), ks=(10,))
+    bt = evaluation.metric_bundle(evaluation.popularity_target_rank(hist_test, test), ks=(10,))
+    def long(b, split):
+        return b.selectExpr(f"'{split}' as split", "stack(3, 'hr_10', hr, 'ndcg_10', ndcg, 'mrr_10', mrr) as (metric, value)")
+    both = long(bv, "val").unionByName(long(bt, "test"))
+    return both.groupBy("metric").pivot("split", ["val", "test"]).agg(F.first("value"))
+
+
+@register("decode_ids")
+def q_decode_ids(spark, sf):
+    """events' user ids read as dense user indexes of the k-core map; unmapped -> 'Unknown_<idx>'."""
+    m = user_map(spark, sf)
+    req = A.table(spark, sf, "events").select(F.col("user_id").alias("user_idx")).distinct()
+    return prep.decode(req, m, "user_id", "user_idx").select("user_idx", F.col("user_id").alias("raw_id"))
+
+
+@register("cap_users")
+def q_cap_users(spark, sf):
+    return prep.cap_users(implicit_core(spark, sf), 100, seed=42).select("user_id").distinct()
+
+
+@register("label_coverage")
+def q_label_coverage(spark, sf):
+    """Users with a held-out label and a history sequence; labels without history."""
+    history, target = prep.holdout_last(_event_items(spark, sf))
+    lab = target.select("user_id").distinct()
+    seq = history.select("user_id").distinct()
+    both = lab.join(seq, "user_id", "inner")
+    missing = lab.join(seq, "user_id", "left_anti")
+    return (lab.agg(F.count(F.lit(1)).alias("n_label_users"))
+            .withColumn("n_sequence_users", seq.select(F.count(F.lit(1))).scalar())
+            .withColumn("n_both", both.select(F.count(F.lit(1))).scalar())
+            .withColumn("n_missing", missing.select(F.count(F.lit(1))).scalar()))
+
+
+SERVING_NAMES = ["user_rating_avg", "user_rating_count", "user_rating_std", "user_rating_min", "user_rating_max",
+                 "user_active_days", "user_days_since_last", "u_genre_diversity", "u_session_count", "user_sequence_length"]
+
+
+@register("serving_alignment")
+def q_serving_alignment(spark, sf):
+    """Store lookup -> serving names -> training names -> aligned, float-only matrix."""
+    req = A.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    look = fs.entity_lookup(req, _user_store(spark, sf), "user_id", fs.USER_DEFAULTS)
+    served = look.select("user_id", "found", *[F.col(c).alias("u_" + c) for c in fs.USER_DEFAULTS])
+    renamed = prep.drop_leaky(prep.rename_serving_to_training(served))
+    aligned = prep.align_features(renamed, SERVING_NAMES + ["found"], keep=("user_id",))
+    return round_doubles(prep.to_float_matrix(aligned))
+
+
+@register("padded_lists")
+def q_padded_lists(spark, sf):
+    c, _, _ = _candidate_set(spark, sf)
+    return round_doubles(rk.pad_lists(c.drop("label"), 100))
+
+
+@register("vector_self_check")
+def q_vector_self_check(spark, sf):
+    """V7: share of vectors whose own id is their top-1 inner-product neighbour."""
+    v = _vectors(spark, sf)
+    top1 = vx.topk_inner_product(v.withColumnRenamed("item_id", "qid"), v, k=1)
+    return round_doubles(top1.agg(F.count(F.lit(1)).alias("n_vectors"),
+                                  F.avg((F.col("qid") == F.col("item_id")).cast("double")).alias("self_top1_share")))

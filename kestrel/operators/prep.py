@@ -227,9 +227,10 @@ def recent_history(df: DataFrame, items: DataFrame, n: int = 10, user: str = "us
 
 
 def cap_users(df: DataFrame, max_users: int, seed: int = 42, user: str = "user_id") -> DataFrame:
-    """Reproducible random subset of users (the operator *is* a sample): hash order + limit."""
-    chosen = (df.select(user).distinct()
-              .orderBy(F.xxhash64(F.col(user), F.lit(seed)), F.col(user)).limit(max_users))
+    """Reproducible random subset of users (the operator *is* a sample): md5-keyed
+    order + limit, planned as a distributed TakeOrdered."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(user).cast("string"), F.lit(str(seed)))), 1, 15), 16, 10)
+    chosen = (df.select(user).distinct().orderBy(h.cast("bigint"), F.col(user)).limit(max_users))
     return df.join(chosen, user, "left_semi")
 
 

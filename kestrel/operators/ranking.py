@@ -126,7 +126,8 @@ def pad_lists(c: DataFrame, n: int = 100, user: str = "user_id", rank: str = "ca
               item: str = "item_id", score: str = "score") -> DataFrame:
     """Q10: extend every list to n rows with item 0 / score 0."""
     sizes = c.groupBy(user).agg(F.max(rank).alias("_m"))
-    pads = sizes.select(user, F.explode(F.sequence(F.col("_m") + 1, F.lit(n))).alias(rank)).where(F.col(rank) <= n)
+    # sequence(m + 1, n) would count down when the list is already full, so only short lists pad.
+    pads = sizes.where(F.col("_m") < n).select(user, F.explode(F.sequence(F.col("_m") + 1, F.lit(n))).alias(rank))
     return c.unionByName(pads.select(user, F.col(rank).cast(c.schema[rank].dataType).alias(rank),
                                      F.lit(0).cast("bigint").alias(item), F.lit(0.0).alias(score)),
                          allowMissingColumns=True)

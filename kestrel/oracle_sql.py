@@ -1063,3 +1063,80 @@ ORACLE["stream_attribution"] = """
 SELECT c.event_id AS conversion_id, e.event_id AS exposure_id, c.user_id, c.ts AS conversion_ts, e.ts AS exposure_ts
 FROM events c JOIN events e ON e.user_id = c.user_id AND c.ts >= e.ts AND c.ts <= e.ts + INTERVAL 1 HOUR
 WHERE c.event_type = 'click' AND e.event_type = 'view'"""
+
+# ---- sources and sinks, remaining inventory ---------------------------------------------------------------------
+ORACLE["ratings_csv_roundtrip"] = with_([f"r AS ({RATINGS})"],
+    "SELECT user_id, item_id, round(CAST(CAST(rating AS FLOAT) AS DOUBLE), 6) AS rating, ts FROM r")
+ORACLE["items_csv_roundtrip"] = ITEMS
+ORACLE["event_log_roundtrip"] = with_(_STATS[:2], """
+SELECT user_id, variant, experiment_id, 10 AS n_recs, round(epoch_us(ts) / 1e6, 6) AS ts, event_id, CAST(0 AS BIGINT) AS n_bad_lines FROM ex""")
+ORACLE["request_log_roundtrip"] = ORACLE["latency_sla"]
+ORACLE["feature_store_write"] = ORACLE["user_features_full"]
+ORACLE["training_samples"] = ORACLE["prefix_samples"].replace(
+    "SELECT t.user_id, CAST(t.pos AS BIGINT) AS pos, t.item_id AS target_item, count(*) AS prefix_len,\n       string_agg(CAST(h.item_id AS VARCHAR), ',' ORDER BY h.pos) AS prefix",
+    "SELECT t.user_id, string_agg(CAST(h.item_id AS VARCHAR), ',' ORDER BY h.pos) AS input_seq, t.item_id AS target")
+ORACLE["report_roundtrip"] = ORACLE["popularity_eval"]
+ORACLE["loadtest_stats"] = with_([REQ, "span AS (SELECT (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6 AS s FROM req)",
+    """g AS (SELECT CASE WHEN grouping(path) = 1 THEN 'Aggregated' ELSE path END AS name, count(*) AS requests,
+             count(*) FILTER (WHERE status >= 500) AS failures, quantile_disc(latency_ms, 0.95) AS p95_ms FROM req GROUP BY ROLLUP (path))"""], """
+SELECT name, requests, failures, round(CASE WHEN span.s > 0 THEN requests / span.s ELSE 0.0 END, 6) AS rps, round(p95_ms, 6) AS p95_ms,
+  p95_ms <= 200.0 AS p95_ok, failures / greatest(requests, 1) * 100.0 <= 1.0 AS errors_ok FROM g, span""")
+
+ORACLE["rank_distribution"] = ORACLE["full_ranking_eval"][:ORACLE["full_ranking_eval"].rindex("SELECT CAST(ks.k")] + """
+SELECT CAST(c.cutoff AS BIGINT) AS cutoff, count(*) FILTER (WHERE rnk <= c.cutoff) AS n_within,
+  round(count(*) FILTER (WHERE rnk <= c.cutoff) / count(*) * 100.0, 6) AS pct_within, min(rnk) AS min_rank, max(rnk) AS max_rank,
+  round(avg(rnk), 6) AS mean_rank, round(quantile_disc(CAST(rnk AS DOUBLE), 0.5), 6) AS median_rank
+FROM ranks, (VALUES (1), (3), (5), (10), (20), (50), (100), (200)) c(cutoff) GROUP BY c.cutoff"""
+
+
+def _pop_ranks(hist: str, tgt: str, name: str) -> list:
+    return [f"{name}_pop AS (SELECT item_id, count(*) AS pop FROM {hist} GROUP BY item_id)",
+            f"{name}_tp AS (SELECT t.user_id, t.item_id, coalesce(p.pop, 0) AS pt FROM {tgt} t LEFT JOIN {name}_pop p USING (item_id))",
+            f"""{name}_r AS (SELECT tp.user_id, 1 + (SELECT count(*) FROM {name}_pop pp WHERE pp.pop > tp.pt AND pp.item_id NOT IN
+                  (SELECT h.item_id FROM {hist} h WHERE h.user_id = tp.user_id)) AS rnk FROM {name}_tp tp)""",
+            f"""{name}_m AS (SELECT avg(CASE WHEN rnk <= 10 THEN 1.0 ELSE 0.0 END) AS hr_10,
+                  avg(CASE WHEN rnk <= 10 THEN 1.0 / log2(rnk + 1.0) ELSE 0.0 END) AS ndcg_10,
+                  avg(CASE WHEN rnk <= 10 THEN 1.0 / rnk ELSE 0.0 END) AS mrr_10 FROM {name}_r)"""]
+
+
+ORACLE["val_test_pivot"] = with_(_KC + [
+    f"lr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})",
+    "tr AS (SELECT * FROM lr WHERE rn > 2)", "va AS (SELECT * FROM lr WHERE rn = 2)", "te AS (SELECT * FROM lr WHERE rn = 1)",
+    "trva AS (SELECT * FROM lr WHERE rn > 1)"] + _pop_ranks("tr", "va", "v") + _pop_ranks("trva", "te", "t"), """
+SELECT 'hr_10' AS metric, round(v_m.hr_10, 6) AS val, round(t_m.hr_10, 6) AS test FROM v_m, t_m
+UNION ALL SELECT 'ndcg_10', round(v_m.ndcg_10, 6), round(t_m.ndcg_10, 6) FROM v_m, t_m
+UNION ALL SELECT 'mrr_10', round(v_m.mrr_10, 6), round(t_m.mrr_10, 6) FROM v_m, t_m""")
+
+ORACLE["decode_ids"] = with_(_KC + [
+    f"umap AS (SELECT user_id, row_number() OVER (ORDER BY user_id) AS user_idx FROM (SELECT DISTINCT user_id FROM {_CORE}))"], """
+SELECT e.user_idx, coalesce(CAST(umap.user_id AS VARCHAR), 'Unknown_' || CAST(e.user_idx AS VARCHAR)) AS raw_id
+FROM (SELECT DISTINCT user_id AS user_idx FROM events) e LEFT JOIN umap USING (user_idx)""")
+
+ORACLE["cap_users"] = with_(_KC + [f"cu AS MATERIALIZED (SELECT DISTINCT user_id FROM {_CORE})",
+                                   f"ch AS (SELECT user_id, {_h60('user_id', 42)} AS h FROM cu)"],
+                            "SELECT user_id FROM ch ORDER BY h, user_id LIMIT 100")
+
+ORACLE["label_coverage"] = with_([EVI,
+    "lr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM evi)",
+    "lab AS (SELECT DISTINCT user_id FROM lr WHERE rn = 1)", "sq AS (SELECT DISTINCT user_id FROM lr WHERE rn > 1)"], """
+SELECT (SELECT count(*) FROM lab) AS n_label_users, (SELECT count(*) FROM sq) AS n_sequence_users,
+  (SELECT count(*) FROM lab JOIN sq USING (user_id)) AS n_both,
+  (SELECT count(*) FROM lab WHERE user_id NOT IN (SELECT user_id FROM sq)) AS n_missing""")
+
+_ALIGN = {"user_rating_avg": "avg_rating", "user_rating_count": "total_interactions", "user_rating_std": "rating_std",
+          "user_rating_min": "min_rating", "user_rating_max": "max_rating", "user_active_days": "active_days",
+          "user_days_since_last": "recency_days", "u_genre_diversity": "genre_diversity", "u_session_count": "session_count"}
+_DEF = dict(_USER_DEFAULTS)
+ORACLE["serving_alignment"] = with_(_USER_FEAT, "SELECT CAST(c.c_custkey AS DOUBLE) AS user_id, " +
+    ", ".join(f"round(coalesce(CAST(uf.{src} AS DOUBLE), {_DEF[src]}), 6) AS {dst}" for dst, src in _ALIGN.items()) +
+    ", 0.0 AS user_sequence_length, CASE WHEN uf.user_id IS NOT NULL THEN 1.0 ELSE 0.0 END AS found" +
+    " FROM customer c LEFT JOIN uf ON uf.user_id = c.c_custkey")
+
+ORACLE["padded_lists"] = with_(_CS + ["mxr AS (SELECT user_id, max(cand_rank) AS m FROM cs GROUP BY user_id)"], """
+SELECT user_id, cand_rank, item_id, round(score, 6) AS score FROM cs
+UNION ALL SELECT user_id, CAST(r AS BIGINT), CAST(0 AS BIGINT), 0.0 FROM mxr, LATERAL (SELECT unnest(range(m + 1, 101)) AS r)""")
+
+ORACLE["vector_self_check"] = with_([VEC], """
+SELECT count(*) AS n_vectors, round(avg(CASE WHEN qid = item_id THEN 1.0 ELSE 0.0 END), 6) AS self_top1_share FROM (
+  SELECT a.item_id AS qid, b.item_id, row_number() OVER (PARTITION BY a.item_id ORDER BY list_dot_product(a.v, b.v) DESC, b.item_id) AS rn
+  FROM vx a, vx b) WHERE rn = 1""")
