@@ -39,23 +39,28 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int =
     """Drop users with < min_user rows, then items with < min_item rows; repeat.
 
     Stops when a pass removes nothing or after ``max_iter`` passes.  Each pass
-    is written to the shared checkpoint folder, which cuts the lineage and
-    makes the stop test (a row count) cheap.  Counting is a partial
-    aggregation, so heavy users or items never meet in one task.
+    finds the *failing* users / items with a partial aggregation (heavy keys
+    are pre-aggregated) and removes them with an anti join: the failing sets
+    shrink pass by pass, so AQE can broadcast them and the big side is not
+    shuffled.  Surviving rows are written to the shared checkpoint folder,
+    which cuts the lineage of the loop.
     """
-    current = cut_lineage(df)
-    n_before = current.count()
+    from pyspark import StorageLevel
+    current = df
     for _ in range(max_iter):
-        users = current.groupBy(user).count().where(F.col("count") >= min_user).select(user)
-        step = current.join(users, user, "left_semi")
-        items = step.groupBy(item).count().where(F.col("count") >= min_item).select(item)
-        step = step.join(items, item, "left_semi")
-        nxt = cut_lineage(step)
-        n_after = nxt.count()
-        current = nxt
-        if n_after == n_before:
+        bad_u = (current.groupBy(user).count().where(F.col("count") < min_user).select(user)
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        step = current.join(bad_u, user, "left_anti")
+        bad_i = (step.groupBy(item).count().where(F.col("count") < min_item).select(item)
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        removed = bad_u.limit(1).count() + bad_i.limit(1).count()
+        if removed == 0:
+            bad_u.unpersist()
+            bad_i.unpersist()
             break
-        n_before = n_after
+        current = cut_lineage(step.join(bad_i, item, "left_anti"))
+        bad_u.unpersist()
+        bad_i.unpersist()
     return current
 
 

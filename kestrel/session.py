@@ -61,6 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
+    """Materialise ``df`` into the shared checkpoint folder (survives executor loss).
+
+    The frame is persisted first so the eager checkpoint computes it once
+    (the checkpoint write re-reads the cached blocks), then released.
+    """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
