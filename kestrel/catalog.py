@@ -1174,3 +1174,58 @@ def q_vector_self_check(spark, sf):
     top1 = vx.topk_inner_product(v.withColumnRenamed("item_id", "qid"), v, k=1)
     return round_doubles(top1.agg(F.count(F.lit(1)).alias("n_vectors"),
                                   F.avg((F.col("qid") == F.col("item_id")).cast("double")).alias("self_top1_share")))
+
+
+# ---- Q6 / Q7: feature-service and serving matrices ------------------------------------------------------
+STORE_ITEM_COLS = ["global_popularity", "popularity_rank", "niche_score", "avg_ratings_per_day", "avg_item_rating",
+                   "rating_count", "rating_std", "high_rating_ratio", "genre_count", "primary_genre_idx", "release_year",
+                   "item_age_days"]
+
+
+@register("store_matrix")
+def q_store_matrix(spark, sf):
+    """Q6: candidates x user store (15, defaults) x item store (12, defaults) + score, rank, primary-genre overlap."""
+    c, history, _ = _candidate_set(spark, sf)
+    _, _, primary = _genre_tables(spark, sf)
+    us = fs.entity_lookup(c.select("user_id").distinct(), _user_store(spark, sf), "user_id", fs.USER_DEFAULTS)
+    istore = feat.item_features(A.ratings(spark, sf), A.items(spark, sf), A.genre_vocab(spark, sf))
+    its = fs.entity_lookup(c.select("item_id").distinct(), istore, "item_id", fs.ITEM_DEFAULTS)
+    m = rk.primary_genre_overlap(c, history, primary)
+    m = (m.join(us.select("user_id", *[F.col(k).alias("u_" + k) for k in fs.USER_DEFAULTS]), "user_id", "left")
+         .join(its.select("item_id", *[F.col(k).alias("i_" + k) for k in fs.ITEM_DEFAULTS]), "item_id", "left"))
+    return round_doubles(m.select("user_id", "cand_rank", "item_id", "label", "score",
+                                  *["u_" + k for k in fs.USER_DEFAULTS], *["i_" + k for k in fs.ITEM_DEFAULTS],
+                                  "primary_genre_overlap"))
+
+
+SERVING_COLS = ["faiss_score", "faiss_rank_normalized", "item_log_popularity", "item_avg_rating", "item_rating_count_log",
+                "item_recency_days", "item_year", "item_active_days", "user_interaction_count_log", "user_avg_rating",
+                "user_recency_days", "user_seq_length", "genre_overlap", "is_same_top_genre", "mf_score"]
+
+
+@register("serving_matrix")
+def q_serving_matrix(spark, sf):
+    """Q7: the 15 serving columns in configured order (N5 list features, Q3 overlap, defaults)."""
+    c, history, _ = _candidate_set(spark, sf)
+    _, ig, _ = _genre_tables(spark, sf)
+    lens = history.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_sequence_length"))
+    uf = feat.rank_user_features(history, lens)
+    itf = feat.rank_item_features(history, A.items(spark, sf))
+    m = rk.online_overlap(rk.retrieval_features(c), history, ig, last=50)
+    m = m.join(uf, "user_id", "left").join(itf, "item_id", "left")
+    cols = {
+        "faiss_score": F.col("score"), "faiss_rank_normalized": F.col("rank_norm_serve"),
+        "item_log_popularity": F.coalesce("item_log_popularity", "item_rating_count", F.lit(0.0)),
+        "item_avg_rating": F.coalesce("item_avg_rating", F.lit(3.0)),
+        "item_rating_count_log": F.coalesce("item_rating_count", F.lit(0.0)),
+        "item_recency_days": F.coalesce("item_days_since_last_rating", F.lit(730.0)),
+        "item_year": F.coalesce("item_year", F.lit(2000.0)),
+        "item_active_days": F.coalesce("item_active_days", F.lit(365.0)),
+        "user_interaction_count_log": F.coalesce("user_rating_count", F.lit(0.0)),
+        "user_avg_rating": F.coalesce("user_avg_rating", F.lit(3.5)),
+        "user_recency_days": F.coalesce("user_days_since_last", F.lit(365.0)),
+        "user_seq_length": F.coalesce("user_sequence_length", F.lit(10.0)),
+        "genre_overlap": F.col("online_overlap"), "is_same_top_genre": F.col("is_same_top_genre"),
+        "mf_score": F.lit(0.0)}
+    out = m.select("user_id", "cand_rank", "item_id", *[v.cast("double").alias(k) for k, v in cols.items()])
+    return round_doubles(prep.align_features(out, SERVING_COLS, keep=("user_id", "cand_rank", "item_id")))

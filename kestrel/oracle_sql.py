@@ -1140,3 +1140,64 @@ ORACLE["vector_self_check"] = with_([VEC], """
 SELECT count(*) AS n_vectors, round(avg(CASE WHEN qid = item_id THEN 1.0 ELSE 0.0 END), 6) AS self_top1_share FROM (
   SELECT a.item_id AS qid, b.item_id, row_number() OVER (PARTITION BY a.item_id ORDER BY list_dot_product(a.v, b.v) DESC, b.item_id) AS rn
   FROM vx a, vx b) WHERE rn = 1""")
+
+# ---- Q6 / Q7 --------------------------------------------------------------------------------------------------
+_ITEM_STORE = [
+    f"ip_r AS ({RATINGS})", "ip_now AS (SELECT max(ts) AS now FROM ip_r)",
+    f"""ip_st AS (SELECT item_id, avg(rating) AS a, count(*) AS c, coalesce(stddev_samp(rating), 0.0) AS s,
+          avg(CASE WHEN rating >= 4.0 THEN 1.0 ELSE 0.0 END) AS h, count(*) FILTER (WHERE rating >= 4.0) AS gp,
+          greatest({_days('max(ts)', 'min(ts)')}, 1.0) AS ad FROM ip_r GROUP BY item_id)""",
+    "ip_rk AS (SELECT item_id, rank() OVER (ORDER BY gp DESC) AS pr FROM ip_st WHERE gp > 0)",
+    "ip_g AS (SELECT item_id, count(*) AS gc, arg_min(idx, pos) AS pg FROM ig GROUP BY item_id)",
+    """ip_cat AS (SELECT item_id, CASE WHEN yr BETWEEN 1888 AND 2030 THEN yr ELSE 0 END AS ry FROM (
+          SELECT item_id, CAST(nullif(regexp_extract(trim(title), '\\((\\d{4})\\)\\s*$', 1), '') AS INTEGER) AS yr FROM it))""",
+    """ip AS (SELECT c.item_id, CAST(coalesce(st.gp, 0) AS DOUBLE) AS global_popularity, CAST(coalesce(rk.pr, 99999) AS DOUBLE) AS popularity_rank,
+          CASE WHEN st.gp > 0 THEN 1.0 / ln(1 + st.gp) ELSE 1.0 END AS niche_score,
+          coalesce(st.c, 0) / greatest(coalesce(st.ad, 1.0), 1.0) AS avg_ratings_per_day, coalesce(st.a, 0.0) AS avg_item_rating,
+          CAST(coalesce(st.c, 0) AS DOUBLE) AS rating_count, coalesce(st.s, 0.0) AS rating_std, coalesce(st.h, 0.0) AS high_rating_ratio,
+          CAST(coalesce(g.gc, 0) AS DOUBLE) AS genre_count, CAST(coalesce(g.pg, -1) AS DOUBLE) AS primary_genre_idx,
+          CAST(coalesce(c.ry, 0) AS DOUBLE) AS release_year,
+          CASE WHEN coalesce(c.ry, 0) = 0 THEN 0.0 ELSE CAST(greatest(year(ip_now.now) - c.ry, 0) * 365 AS DOUBLE) END AS item_age_days
+        FROM ip_cat c CROSS JOIN ip_now LEFT JOIN ip_g g USING (item_id) LEFT JOIN ip_st st USING (item_id) LEFT JOIN ip_rk rk USING (item_id))"""]
+
+_ITEM_DEFAULTS = [("global_popularity", 0.0), ("popularity_rank", 99999.0), ("niche_score", 1.0), ("avg_ratings_per_day", 0.0),
+                  ("avg_item_rating", 3.0), ("rating_count", 0.0), ("rating_std", 0.5), ("high_rating_ratio", 0.5),
+                  ("genre_count", 1.0), ("primary_genre_idx", 7.0), ("release_year", 2000.0), ("item_age_days", 8760.0)]
+
+ORACLE["store_matrix"] = with_(_CS + _USER_FEAT + _ITEM_STORE + [
+    "prim AS (SELECT item_id, arg_min(idx, pos) AS pg FROM ig GROUP BY item_id)",
+    "per AS (SELECT h.user_id, prim.pg, count(*) AS c FROM hist h JOIN prim USING (item_id) GROUP BY 1, 2)",
+    "tot AS (SELECT user_id, count(*) AS t FROM hist GROUP BY user_id)"],
+    "SELECT cs.user_id, cs.cand_rank, cs.item_id, cs.label, round(cs.score, 6) AS score, " +
+    ", ".join(f"round(coalesce(CAST(uf.{c} AS DOUBLE), {v}), 6) AS u_{c}" for c, v in _USER_DEFAULTS) + ", " +
+    ", ".join(f"round(coalesce(ip.{c}, {v}), 6) AS i_{c}" for c, v in _ITEM_DEFAULTS) + """,
+  round(CASE WHEN tot.t > 0 THEN coalesce(per.c, 0) / tot.t ELSE 0.0 END, 6) AS primary_genre_overlap
+FROM cs LEFT JOIN uf ON uf.user_id = cs.user_id LEFT JOIN ip ON ip.item_id = cs.item_id LEFT JOIN prim ON prim.item_id = cs.item_id
+LEFT JOIN per ON per.user_id = cs.user_id AND per.pg = prim.pg LEFT JOIN tot ON tot.user_id = cs.user_id""")
+
+ORACLE["serving_matrix"] = with_(_RM + [
+    f"v AS ({VOCAB})", f"ig AS (SELECT x.item_id, x.genre, v.idx, x.pos FROM ({IG}) x JOIN v ON v.genre = x.genre)",
+    "rec AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS r FROM hist) WHERE r <= 50)",
+    "prof AS (SELECT rec.user_id, ig.genre, count(*) AS c FROM rec JOIN ig USING (item_id) GROUP BY 1, 2)",
+    "share AS (SELECT user_id, genre, c / sum(c) OVER (PARTITION BY user_id) AS s FROM prof)",
+    "topg AS (SELECT user_id, genre AS top_genre FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY c DESC, genre) AS r FROM prof) WHERE r = 1)",
+    "ng AS (SELECT item_id, count(*) AS ng FROM ig GROUP BY item_id)",
+    """ov AS (SELECT p.user_id, p.item_id, sum(coalesce(share.s, 0.0)) AS sm FROM pairs p JOIN ig USING (item_id)
+            LEFT JOIN share ON share.user_id = p.user_id AND share.genre = ig.genre GROUP BY 1, 2)""",
+    """same AS (SELECT p.user_id, p.item_id, max(CASE WHEN ig.genre = topg.top_genre THEN 1 ELSE 0 END) AS sm
+              FROM pairs p JOIN topg USING (user_id) LEFT JOIN ig USING (item_id) GROUP BY 1, 2)"""], """
+SELECT rf.user_id, rf.cand_rank, rf.item_id, round(rf.score, 6) AS faiss_score, round(rf.rank_norm_serve, 6) AS faiss_rank_normalized,
+  round(CAST(coalesce(rif.item_log_popularity, rif.item_rating_count, 0.0) AS DOUBLE), 6) AS item_log_popularity,
+  round(coalesce(rif.item_avg_rating, 3.0), 6) AS item_avg_rating,
+  round(CAST(coalesce(rif.item_rating_count, 0.0) AS DOUBLE), 6) AS item_rating_count_log,
+  round(coalesce(rif.item_days_since_last_rating, 730.0), 6) AS item_recency_days,
+  round(CAST(coalesce(rif.item_year, 2000.0) AS DOUBLE), 6) AS item_year,
+  round(coalesce(rif.item_active_days, 365.0), 6) AS item_active_days,
+  round(CAST(coalesce(ruf.user_rating_count, 0.0) AS DOUBLE), 6) AS user_interaction_count_log,
+  round(coalesce(ruf.user_avg_rating, 3.5), 6) AS user_avg_rating,
+  round(coalesce(ruf.user_days_since_last, 365.0), 6) AS user_recency_days,
+  round(CAST(coalesce(ruf.user_sequence_length, 10.0) AS DOUBLE), 6) AS user_seq_length,
+  round(CASE WHEN ng.ng > 0 THEN coalesce(ov.sm, 0.0) / ng.ng ELSE 0.0 END, 6) AS genre_overlap,
+  CAST(coalesce(same.sm, 0) AS DOUBLE) AS is_same_top_genre, 0.0 AS mf_score
+FROM rf LEFT JOIN ruf USING (user_id) LEFT JOIN rif USING (item_id) LEFT JOIN ov USING (user_id, item_id)
+LEFT JOIN ng USING (item_id) LEFT JOIN same USING (user_id, item_id)""")
