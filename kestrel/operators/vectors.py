@@ -60,35 +60,41 @@ def _replicated(df: DataFrame, key: str, own: str, other: str, n_own: int, n_oth
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
 
 
+SLICE = 512  # query rows scored at once inside a block: score memory = SLICE x item-block doubles
+
+
 def _topk_block(k: int, exclude_self: bool):
     def fn(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or idf.empty:
             return pd.DataFrame({"qid": [], "item_id": [], "score": []})
-        q = np.stack(qdf["vec"].to_numpy()).astype(np.float64)
         m = np.stack(idf["vec"].to_numpy()).astype(np.float64)
         ids = idf["item_id"].to_numpy(dtype=np.int64)
-        qids = qdf["qid"].to_numpy(dtype=np.int64)
-        kk = qdf["kk"].to_numpy(dtype=np.int64) if "kk" in qdf else np.full(len(qids), k, dtype=np.int64)
-        s = q @ m.T
-        if exclude_self:
-            s[qids[:, None] == ids[None, :]] = -np.inf
+        qids_all = qdf["qid"].to_numpy(dtype=np.int64)
+        kk_all = qdf["kk"].to_numpy(dtype=np.int64) if "kk" in qdf else np.full(len(qids_all), k, dtype=np.int64)
+        vecs = qdf["vec"].to_numpy()
         out_q, out_i, out_s = [], [], []
-        n = s.shape[1]
-        for r in range(s.shape[0]):
-            row = s[r]
-            want = int(min(kk[r], n))
-            if want <= 0:
-                continue
-            if want < n:
-                kth = np.partition(row, n - want)[n - want]
-                cand = np.nonzero(row >= kth)[0]
-            else:
-                cand = np.arange(n)
-            cand = cand[np.isfinite(row[cand])]
-            order = cand[np.lexsort((ids[cand], -row[cand]))][:want]
-            out_q.append(np.full(len(order), qids[r], dtype=np.int64))
-            out_i.append(ids[order])
-            out_s.append(row[order])
+        n = m.shape[0]
+        for lo in range(0, len(qids_all), SLICE):
+            q = np.stack(vecs[lo:lo + SLICE]).astype(np.float64)
+            qids, kk = qids_all[lo:lo + SLICE], kk_all[lo:lo + SLICE]
+            s = q @ m.T
+            if exclude_self:
+                s[qids[:, None] == ids[None, :]] = -np.inf
+            for r in range(s.shape[0]):
+                row = s[r]
+                want = int(min(kk[r], n))
+                if want <= 0:
+                    continue
+                if want < n:
+                    kth = np.partition(row, n - want)[n - want]
+                    cand = np.nonzero(row >= kth)[0]
+                else:
+                    cand = np.arange(n)
+                cand = cand[np.isfinite(row[cand])]
+                order = cand[np.lexsort((ids[cand], -row[cand]))][:want]
+                out_q.append(np.full(len(order), qids[r], dtype=np.int64))
+                out_i.append(ids[order])
+                out_s.append(row[order])
         if not out_q:
             return pd.DataFrame({"qid": [], "item_id": [], "score": []})
         return pd.DataFrame({"qid": np.concatenate(out_q), "item_id": np.concatenate(out_i),
@@ -96,8 +102,8 @@ def _topk_block(k: int, exclude_self: bool):
     return fn
 
 
-def topk_inner_product(queries: DataFrame, items: DataFrame, k: int = 100, q_block: int = 1024,
-                       i_block: int = 8192, exclude_self: bool = False, per_query_k: str | None = None,
+def topk_inner_product(queries: DataFrame, items: DataFrame, k: int = 100, q_block: int = 16384,
+                       i_block: int = 65536, exclude_self: bool = False, per_query_k: str | None = None,
                        qid: str = "qid", item: str = "item_id", vec: str = "vec") -> DataFrame:
     """Exact inner-product top-k: (qid, rank, item_id, score), rank 1..k by score desc, item asc.
 
@@ -134,14 +140,18 @@ def _count_block():
             return pd.DataFrame({"qid": qdf["qid"].to_numpy(dtype=np.int64), "n_before": np.zeros(len(qdf), np.int64)})
         m = np.stack(idf["vec"].to_numpy()).astype(np.float64)
         ids = idf["item_id"].to_numpy(dtype=np.int64)
-        s = q @ m.T
-        before = (s > t[:, None]) | ((s == t[:, None]) & (ids[None, :] < tid[:, None]))
-        before &= ids[None, :] != tid[:, None]  # the target never precedes itself
-        return pd.DataFrame({"qid": qdf["qid"].to_numpy(dtype=np.int64), "n_before": before.sum(axis=1).astype(np.int64)})
+        counts = np.zeros(len(qdf), dtype=np.int64)
+        for lo in range(0, len(qdf), SLICE):
+            s = q[lo:lo + SLICE] @ m.T
+            tt, ti = t[lo:lo + SLICE, None], tid[lo:lo + SLICE, None]
+            before = (s > tt) | ((s == tt) & (ids[None, :] < ti))
+            before &= ids[None, :] != ti  # the target never precedes itself
+            counts[lo:lo + SLICE] = before.sum(axis=1)
+        return pd.DataFrame({"qid": qdf["qid"].to_numpy(dtype=np.int64), "n_before": counts})
     return fn
 
 
-def target_position(queries: DataFrame, items: DataFrame, q_block: int = 1024, i_block: int = 8192,
+def target_position(queries: DataFrame, items: DataFrame, q_block: int = 16384, i_block: int = 65536,
                     qid: str = "qid", item: str = "item_id", vec: str = "vec") -> DataFrame:
     """Position of each query's target item in the full ranking (score desc, item asc), without sorting.
 
