@@ -530,7 +530,10 @@ def q_ab_distribution(spark, sf):
 
 @register("ab_config_check")
 def q_ab_config_check(spark, sf):
-    return ab.check_config(A.experiments(spark))
+    """A3 next to the traffic each configured experiment actually received (users seen in exposures)."""
+    seen = A.exposures(spark, sf).groupBy("experiment_id").agg(F.count_distinct("user_id").alias("exposed_users"))
+    return (ab.check_config(A.experiments(spark)).join(seen, "experiment_id", "left")
+            .withColumn("exposed_users", F.coalesce("exposed_users", F.lit(0)).cast("bigint")))
 
 
 def _ab_stats(spark, sf):

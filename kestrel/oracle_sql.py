@@ -656,7 +656,8 @@ ORACLE["ab_distribution"] = with_(_ASSIGN, "SELECT experiment_id, variant, count
 ORACLE["ab_config_check"] = with_([CFG], """
 SELECT experiment_id, len(variants) = len(traffic_split) AS lengths_match, abs(list_sum(traffic_split) - 1.0) < 1e-6 AS sums_to_one,
   list_bool_and(list_transform(traffic_split, lambda x: x > 0)) AS all_positive,
-  len(variants) = len(traffic_split) AND abs(list_sum(traffic_split) - 1.0) < 1e-6 AND list_bool_and(list_transform(traffic_split, lambda x: x > 0)) AS valid
+  len(variants) = len(traffic_split) AND abs(list_sum(traffic_split) - 1.0) < 1e-6 AND list_bool_and(list_transform(traffic_split, lambda x: x > 0)) AS valid,
+  CAST(coalesce((SELECT count(DISTINCT user_id) FROM events WHERE event_type = 'view' AND cfg.experiment_id = 'retrieval_v1'), 0) AS BIGINT) AS exposed_users
 FROM cfg""")
 
 _STATS = [CFG,
