@@ -102,7 +102,7 @@ def _topk_block(k: int, exclude_self: bool):
     return fn
 
 
-def topk_inner_product(queries: DataFrame, items: DataFrame, k: int = 100, q_block: int = 16384,
+def topk_inner_product(queries: DataFrame, items: DataFrame, k: int = 100, q_block: int = 131072,
                        i_block: int = 65536, exclude_self: bool = False, per_query_k: str | None = None,
                        qid: str = "qid", item: str = "item_id", vec: str = "vec") -> DataFrame:
     """Exact inner-product top-k: (qid, rank, item_id, score), rank 1..k by score desc, item asc.
@@ -151,7 +151,7 @@ def _count_block():
     return fn
 
 
-def target_position(queries: DataFrame, items: DataFrame, q_block: int = 16384, i_block: int = 65536,
+def target_position(queries: DataFrame, items: DataFrame, q_block: int = 131072, i_block: int = 65536,
                     qid: str = "qid", item: str = "item_id", vec: str = "vec") -> DataFrame:
     """Position of each query's target item in the full ranking (score desc, item asc), without sorting.
 
