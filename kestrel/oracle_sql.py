@@ -873,7 +873,8 @@ SELECT CASE WHEN pr.popularity_rank <= 100 THEN 'top_100' WHEN pr.popularity_ran
 
 ORACLE["data_gate"] = with_([f"r AS ({RATINGS})"], """
 SELECT count(*) AS n_interactions, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, max(ts) AS latest,
-  CAST(0 AS BIGINT) AS data_age_days, count(*) >= 100000 AS passed FROM r""")
+  CAST(floor((epoch_us((SELECT max(ts) FROM r)) - epoch_us(max(ts))) / 86400000000.0) AS BIGINT) AS data_age_days,
+  count(*) >= 100000 AS passed FROM r""")
 
 _RUNS = _CS + [FB, POST.format(src="fb"), ARM,
                "popn AS (SELECT item_id, CAST(count(*) AS DOUBLE) AS popularity FROM fb GROUP BY item_id)",
