@@ -15,7 +15,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
@@ -41,9 +40,7 @@ def global_position(df: DataFrame, order_cols: list, pos_col: str = "pos",
     numbered = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
     stored = cut_lineage(numbered)
-    numbered.unpersist()
     stored = (stored.withColumn("_pid", F.shiftright("_mid", _SHIFT))
               .withColumn("_row", F.col("_mid") - F.shiftleft(F.col("_pid"), _SHIFT)))
     counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -61,14 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` into the shared checkpoint folder (survives executor loss).
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    The frame is persisted first so the eager checkpoint computes it once
-    (the checkpoint write re-reads the cached blocks), then released.
+    One job writes it; the returned frame scans the files, so its lineage is
+    cut and a lost executor costs a re-read, not a recomputation.
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/kestrel-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
