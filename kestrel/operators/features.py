@@ -60,8 +60,12 @@ def user_features(ratings: DataFrame, items: DataFrame, vocab: DataFrame, idmap:
     """15 user features from (already implicit-filtered) ratings.
 
     ``idmap`` (user_id, user_idx) keeps mapped users only; ``event_timestamp``
-    is the newest rating ("now").
+    is the newest rating ("now").  The narrow input is written once to the shared
+    checkpoint folder: the seven feature branches then scan that table instead of
+    re-deriving it from the base tables.
     """
+    from kestrel.session import cut_lineage
+    ratings = cut_lineage(ratings.select("user_id", "item_id", "rating", "ts"))
     now = ratings.select(F.max("ts")).scalar()
     base = ratings.groupBy("user_id").agg(
         F.avg("rating").alias("avg_rating"),
@@ -115,7 +119,10 @@ def user_features(ratings: DataFrame, items: DataFrame, vocab: DataFrame, idmap:
 
 def item_features(ratings: DataFrame, items: DataFrame, vocab: DataFrame,
                   idmap: DataFrame | None = None, threshold: float = 4.0) -> DataFrame:
-    """Item features from *all* ratings; catalogue items without ratings are kept and filled."""
+    """Item features from *all* ratings; catalogue items without ratings are kept and filled.
+    The narrow ratings input is materialised once (several branches read it)."""
+    from kestrel.session import cut_lineage
+    ratings = cut_lineage(ratings.select("item_id", "rating", "ts"))
     now = ratings.select(F.max("ts")).scalar()
     stats = ratings.groupBy("item_id").agg(
         F.avg("rating").alias("avg_item_rating"),

@@ -46,7 +46,8 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int =
     which cuts the lineage of the loop.
     """
     from pyspark import StorageLevel
-    current = df
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)  # the first pass reads its input three times
+    current = source
     for _ in range(max_iter):
         bad_u = (current.groupBy(user).count().where(F.col("count") < min_user).select(user)
                  .persist(StorageLevel.MEMORY_AND_DISK))
@@ -61,6 +62,10 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int =
         current = cut_lineage(step.join(bad_i, item, "left_anti"))
         bad_u.unpersist()
         bad_i.unpersist()
+        source.unpersist()
+    if current is source:
+        current = cut_lineage(source)
+        source.unpersist()
     return current
 
 
