@@ -298,7 +298,6 @@ def q_health_summary(spark, sf):
 
 # ---- step 4: retrieval -----------------------------------------------------------------------
 from kestrel.operators import vectors as vx  # noqa: E402
-from kestrel.plans.topk import last_n  # noqa: E402
 
 
 def _vectors(spark, sf):

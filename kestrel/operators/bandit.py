@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from kestrel.plans.topk import top_k
 
 
 def valid_rewards(fb: DataFrame, reward: str = "reward"):

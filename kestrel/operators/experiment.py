@@ -7,8 +7,6 @@ broadcast of a bounded table.  All data-sized work is grouping and equi-joins.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

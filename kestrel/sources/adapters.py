@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.sources.tables import table
-from kestrel.functions.scalar import ab_bucket_expr
 
 # The reference's registered experiments (id, variants, traffic split).
 DEFAULT_EXPERIMENTS = [
