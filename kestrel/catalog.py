@@ -1231,3 +1231,8 @@ def q_serving_matrix(spark, sf):
         "mf_score": F.lit(0.0)}
     out = m.select("user_id", "cand_rank", "item_id", *[v.cast("double").alias(k) for k, v in cols.items()])
     return round_doubles(prep.align_features(out, SERVING_COLS, keep=("user_id", "cand_rank", "item_id")))
+
+
+@register("request_increase_24h")
+def q_request_increase_24h(spark, sf):
+    return mon.increase(_requests(spark, sf), "24 hours")

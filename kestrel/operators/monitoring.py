@@ -137,3 +137,10 @@ def selection_concentration(selected: DataFrame, item_rank: DataFrame) -> DataFr
     b = (F.when(F.col("popularity_rank") <= 100, "top_100").when(F.col("popularity_rank") <= 1000, "top_1000")
          .otherwise("tail"))
     return j.groupBy(b.alias("item_bucket")).agg(F.count(F.lit(1)).alias("selections"))
+
+
+def increase(req: DataFrame, window: str = "24 hours") -> DataFrame:
+    """O14 (increase form): total requests and errors per tumbling window."""
+    g = req.groupBy(F.window("ts", window).start.alias("window_start")).agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status") >= 500).alias("errors"))
+    return g

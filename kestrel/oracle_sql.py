@@ -1203,3 +1203,7 @@ SELECT rf.user_id, rf.cand_rank, rf.item_id, round(rf.score, 6) AS faiss_score,
   CAST(coalesce(same.sm, 0) AS DOUBLE) AS is_same_top_genre, 0.0 AS mf_score
 FROM rf LEFT JOIN ruf USING (user_id) LEFT JOIN rif USING (item_id) LEFT JOIN ov USING (user_id, item_id)
 LEFT JOIN ng USING (item_id) LEFT JOIN same USING (user_id, item_id)""")
+
+ORACLE["request_increase_24h"] = with_([REQ], """
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS requests, count(*) FILTER (WHERE status >= 500) AS errors
+FROM req GROUP BY 1""")
