@@ -1236,3 +1236,17 @@ def q_serving_matrix(spark, sf):
 @register("request_increase_24h")
 def q_request_increase_24h(spark, sf):
     return mon.increase(_requests(spark, sf), "24 hours")
+
+
+@register("explode_positives")
+def q_explode_positives(spark, sf):
+    return prep.explode_positives(prep.padded_sequences(implicit_core(spark, sf), length=50))
+
+
+@register("clamped_sequences")
+def q_clamped_sequences(spark, sf):
+    """Padded sequences with ids forced into [0, n_items - 1] of the catalogue (n from the part table)."""
+    from kestrel.functions.scalar import clamp_ids
+    n_items = A.table(spark, sf, "part").count()
+    s = prep.padded_sequences(implicit_core(spark, sf), length=50)
+    return s.select("user_id", F.array_join(clamp_ids(F.col("seq"), n_items).cast("array<string>"), ",").alias("seq"))

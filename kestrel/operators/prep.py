@@ -314,3 +314,10 @@ def to_float_matrix(df: DataFrame, cols: list | None = None) -> DataFrame:
 
 def shift_ids(df: DataFrame, cols: list, by: int = 1) -> DataFrame:
     return df.select(*[(F.col(c) + by).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def explode_positives(seqs: DataFrame, user: str = "user_id", seq: str = "seq", pad: int = 0) -> DataFrame:
+    """One (user, position, item) row per non-PAD element of a padded sequence."""
+    return (seqs.select(user, F.posexplode(seq).alias("pos", "item_id"))
+            .where(F.col("item_id") != pad)
+            .select(user, (F.col("pos") + 1).cast("bigint").alias("pos"), "item_id"))

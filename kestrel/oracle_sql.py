@@ -1207,3 +1207,15 @@ LEFT JOIN ng USING (item_id) LEFT JOIN same USING (user_id, item_id)""")
 ORACLE["request_increase_24h"] = with_([REQ], """
 SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS requests, count(*) FILTER (WHERE status >= 500) AS errors
 FROM req GROUP BY 1""")
+
+_PADDED = _KC + [
+    f"rr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, tie DESC) AS rn FROM {_CORE})",
+    """ps AS (SELECT user_id, list_concat(list_transform(range(0, CAST(50 - count(*) AS BIGINT)), lambda x: CAST(0 AS BIGINT)),
+              list(item_id ORDER BY ts, tie)) AS seq FROM rr WHERE rn <= 50 GROUP BY user_id)"""]
+
+ORACLE["explode_positives"] = with_(_PADDED, """
+SELECT user_id, CAST(i AS BIGINT) AS pos, item_id FROM ps, LATERAL (SELECT unnest(ps.seq) AS item_id, unnest(range(1, 51)) AS i)
+WHERE item_id <> 0""")
+
+ORACLE["clamped_sequences"] = with_(_PADDED + ["np AS (SELECT count(*) AS n FROM part)"], """
+SELECT user_id, array_to_string(list_transform(seq, lambda x: greatest(least(x, np.n - 1), 0)), ',') AS seq FROM ps, np""")
