@@ -29,7 +29,9 @@ def test_oracle_keys_subset_of_queries():
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver test data not present")
 @pytest.mark.parametrize("name", ["popularity_eval", "user_features_full", "pit_join", "vector_topk", "ab_report",
-                                  "latency_sla", "negatives_uniform", "title_suggest", "stream_bandit", "candidate_set"])
+                                  "latency_sla", "negatives_uniform", "title_suggest", "stream_bandit", "candidate_set",
+                                  "stream_sessions", "stream_attribution", "psi_skew", "negatives_popularity",
+                                  "store_matrix", "explode_positives", "full_ranking_eval", "ab_session_conversion"])
 def test_query_matches_oracle_small(spark, name):
     m = _entry()
     s = m.queries()[name](spark, SMALL).toPandas()
