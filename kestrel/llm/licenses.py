@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.store import columns
 
+_SQL_LOWER = "translate({}, '" + string.ascii_uppercase + "', '" + string.ascii_lowercase + "')"
 #: Share of a template's words that must stand at their offsets.
 NEEDED = 0.8
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -61,18 +62,24 @@ TEMPLATES = (
 )
 
 
+def ascii_lower(word: F.Column) -> F.Column:
+    return F.translate(word, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def licence_words(text: F.Column) -> F.Column:
-    lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.filter(F.split(lowered, SEPARATORS), lambda w: w != "")
+    """The words of a text as written.  They are lower-cased only where they are compared:
+    A-Z do not separate words, so that changes nothing but the work."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS), lambda w: w != "")
 
 
 def document_frequency(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """Number of documents with each word of ``vocabulary``, over all documents.
 
     One count per template word comes back to the driver: bounded by the templates."""
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    rows = (docs.select(F.explode(F.array_intersect("_words", known)).alias("w"))
-            .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect())
+    # lower() finds a superset (it also maps a few letters beyond A-Z), ascii_lower decides.
+    found = F.filter("_words", lambda w: F.lower(w).isin(vocabulary))
+    rows = (docs.select(F.explode(F.array_distinct(F.transform(found, ascii_lower))).alias("w"))
+            .groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("w").isin(vocabulary)).collect())
     return {w: 0 for w in vocabulary} | {r["w"]: r["n"] for r in rows}
 
 
@@ -106,10 +113,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, anchors: int = 2) -> DataFrame:
     rare = sorted({w for rank in index for w, _, _ in rank})
     n = len(templates)
     # Words of the file that are anchors, with their positions.
-    hits = F.filter(F.transform("_words", lambda w, p: F.struct(w.alias("w"), p.alias("p"))),
-                    lambda x: x["w"].isin(rare))
-    own = own.withColumn("_hits", F.when(F.arrays_overlap("_words", F.array(*[F.lit(w) for w in rare])), hits)
-                         .otherwise(F.array().cast("array<struct<w:string,p:int>>")))
+    at = F.when(F.size("_words") > 0, F.filter(
+        F.sequence(F.lit(0), F.size("_words") - 1), lambda p: F.lower(F.get("_words", p)).isin(rare)))
+    own = own.withColumn("_hits", F.coalesce(F.transform(at, lambda p: F.struct(
+        ascii_lower(F.get("_words", p)).alias("w"), p.alias("p"))), F.array().cast("array<struct<w:string,p:int>>")))
     # Each rank's votes: place of the phrase times n plus the template's number.
     for k, rank in enumerate(index):
         postings = "array(" + ", ".join(f"struct('{w}' AS w, {t} AS t, {i} AS i)" for w, t, i in rank) + ")"
@@ -124,14 +131,14 @@ def scan(docs: DataFrame, templates=TEMPLATES, anchors: int = 2) -> DataFrame:
     phrases = _strings(" ".join(t.words[t.at:t.at + t.size]) for t in templates)
     sizes = "array(" + ", ".join(str(t.size) for t in templates) + ")"
     own = own.withColumn("_found", F.expr(
-        f"filter(_places, x -> array_join(slice(_words, x.p + 1, {sizes}[x.t]), ' ') = {phrases}[x.t])"))
+        f"filter(_places, x -> {_SQL_LOWER.format(f"array_join(slice(_words, x.p + 1, {sizes}[x.t]), ' ')")} = {phrases}[x.t])"))
     whole = "array(" + ", ".join(_strings(t.words) for t in templates) + ")"
     ats = "array(" + ", ".join(str(t.at) for t in templates) + ")"
     labels = _strings(t.label for t in templates)
     bases = "array(" + ", ".join(str(t.base).lower() for t in templates) + ")"
     own = own.withColumn("_all", F.expr(
         f"transform(_found, x -> struct({labels}[x.t] AS label, {bases}[x.t] AS base, x.p AS start, "
-        f"size(filter(transform({whole}[x.t], (w, i) -> get(_words, x.p - {ats}[x.t] + i) = w), ok -> ok)) "
+        f"size(filter(transform({whole}[x.t], (w, i) -> {_SQL_LOWER.format(f"get(_words, x.p - {ats}[x.t] + i)")} = w), ok -> ok)) "
         f"/ CAST(size({whole}[x.t]) AS DOUBLE) AS share))"))
     own = own.withColumn("matches", F.filter("_all", lambda m: m["base"] | (m["share"] >= F.lit(NEEDED))))
     own = own.withColumn("_base", F.filter("matches", lambda m: m["base"]))

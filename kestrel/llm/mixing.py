@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from kestrel.llm.store import Scratch, columns
 
 WORD = r"[^\x20\x09-\x0D]+"
+SYMBOL = r"[#*$%&|<>!]"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
@@ -28,17 +29,16 @@ MAX_EPOCHS = 2
 def features(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """Per document: size (words), quality weight and exponential key.
 
-    The quality weight is the share of letters among the word characters, between
-    0.05 and 1.  ``u`` comes from the md5 of seed and doc_id, so reruns and retried
+    The quality weight falls from 1 by the symbols per word, down to 0.05.  ``u`` comes from the md5 of seed and doc_id, so reruns and retried
     tasks draw the same key; equal rows share it.
     """
     text = F.coalesce("text", F.lit(""))
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(16 ** 13))
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    chars = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]", ""))
+    symbols = F.regexp_count(text, F.lit(SYMBOL))
     return (docs.withColumn("size", F.regexp_count(text, F.lit(WORD)).cast("bigint"))
-            .withColumn("quality", F.when(chars > 0, F.greatest(F.lit(0.05), letters / chars)).otherwise(0.05))
+            .withColumn("quality", F.when(F.col("size") > 0, F.greatest(F.lit(0.05), 1 - symbols / F.col("size")))
+                        .otherwise(0.05))
             .withColumn("key", -F.log(u) / F.col("quality")))
 
 

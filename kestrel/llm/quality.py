@@ -34,7 +34,7 @@ def _repeat_words(df: DataFrame) -> DataFrame:
         "i -> xxhash64(_words[i], _words[i + 1], _words[i + 2])) END"))
         .withColumn("_sorted", F.expr(
             "CASE WHEN size(array_distinct(_windows)) < size(_windows) THEN "
-            "array_sort(transform(_windows, (h, i) -> struct(h, i))) END"))
+            "sort_array(transform(_windows, (h, i) -> struct(h, i))) END"))
         .withColumn("_at", F.expr(
             "sort_array(transform(filter(_sorted, (x, k) -> x.h = get(_sorted, k - 1).h "
             "OR x.h = get(_sorted, k + 1).h), x -> x.i))"))
@@ -59,6 +59,11 @@ STATISTICS = {
         F.coalesce("text", F.lit("")), SPACE, "")).cast("bigint"))),
     "n_symbols": ((), lambda df: df.withColumn("n_symbols", F.regexp_count(
         F.coalesce("text", F.lit("")), F.lit(r"[#*$%&|<>]")).cast("bigint"))),
+    # Characters that are neither white space, letters nor marks; and upper-case letters.
+    "n_other": ((), lambda df: df.withColumn("n_other", F.regexp_count(
+        F.coalesce("text", F.lit("")), F.lit(r"[^\p{L}\p{M}\x20\x09-\x0D]")))),
+    "n_upper": ((), lambda df: df.withColumn("n_upper", F.regexp_count(
+        F.coalesce("text", F.lit("")), F.lit(r"\p{Lu}")))),
     "n_dup_lines": ((), _dup_lines),
     "n_repeat_words": (("n_words", "_words"), _repeat_words),
 }
@@ -88,10 +93,10 @@ RULES = (
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words", ("n_words", "n_repeat_words")),
     Rule("symbols", "10 * n_symbols > n_words", ("n_words", "n_symbols")),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words", ("n_words", "word_chars")),
-    Rule("duplicate_lines", "10 * n_dup_lines > 3 * size(split(coalesce(text, ''), '\\n'))", ("n_dup_lines",)),
+    Rule("duplicate_lines", "n_dup_lines > 2 AND 10 * n_dup_lines > 3 * size(split(coalesce(text, ''), '\\n'))", ("n_dup_lines",)),
     Rule("exclamations", "2 * regexp_count(coalesce(text, ''), '!') > n_words", ("n_words",)),
-    Rule("upper_case", "2 * regexp_count(coalesce(text, ''), '[\\\\p{Lu}]') > regexp_count(coalesce(text, ''), '[\\\\p{L}]')"),
-    Rule("few_letters", "2 * regexp_count(coalesce(text, ''), '[\\\\p{L}]') < word_chars", ("word_chars",)),
+    Rule("upper_case", "2 * n_upper > word_chars - n_other", ("word_chars", "n_other", "n_upper")),
+    Rule("few_letters", "2 * n_other > word_chars", ("word_chars", "n_other")),
 )
 
 
@@ -139,7 +144,7 @@ def judge(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> DataFrame:
     needed = dict.fromkeys([*BASE, *(n for r in ordered for n in r.needs)])
     return (with_statistics(own, needed)
             .withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
-            .withColumn("kept", cascade(ordered) & ~F.col("base_failed")).drop("_words"))
+            .withColumn("kept", cascade(ordered) & ~F.col("base_failed")).drop("_words", "n_other", "n_upper"))
 
 
 def quality_stage(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> DataFrame:
