@@ -30,6 +30,31 @@ def block_pairs(members: DataFrame, sizes: DataFrame, block_tokens: int = BLOCK_
             .drop("_nb", "_b", "_o"))
 
 
+def member_bits(members: DataFrame, bits: int = 1 << 24) -> np.ndarray:
+    """Bit set over hashes of (doc_id, th): a fixed 2 MB whatever the number of members."""
+    slot = F.pmod(F.xxhash64("doc_id", "th"), F.lit(bits)).cast("bigint")
+    words = (members.select(slot.alias("slot"))
+             .groupBy(F.shiftright("slot", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits")).toArrow())
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def only_members(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Rows of ``docs(doc_id, th, text)`` whose bit is set: fewer texts enter the join's shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    n = len(bits) * 64
+
+    def run(batches):
+        for batch in batches:
+            slot = batch["slot"].to_numpy()
+            hit = (shared.value[slot >> 6] >> (slot & 63)) & 1
+            yield batch.filter(pa.array(hit.astype(bool)))
+    slotted = docs.withColumn("slot", F.pmod(F.xxhash64("doc_id", "th"), F.lit(n)).cast("bigint"))
+    return slotted.mapInArrow(run, slotted.schema).drop("slot")
+
+
 class Postings:
     """Inverted index over the sets of one task."""
 

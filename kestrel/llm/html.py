@@ -157,7 +157,8 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
         # The heaviest article or main; siblings of comparable kind are other articles' teasers.
         take = (container == 1 + int(np.argmax(mass[1:]))) & ~boilerplate
     else:
-        at = np.flatnonzero(content)
+        # Smoothing lifts the neighbours of a region; it begins and ends with blocks that stand out themselves.
+        at = np.flatnonzero(content & (ratio >= share * even.mean()))
         take = ~boilerplate
         if len(at):
             take[:at[0]] = take[at[-1] + 1:] = False

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.clusters import block_pairs, matched
+from kestrel.llm.clusters import block_pairs, matched, member_bits, only_members
 from kestrel.llm.components import connected_components
 from kestrel.llm.store import Scratch, columns
 from kestrel.llm.text import fmix, hashes, spans, utf8
@@ -117,7 +117,8 @@ def lines(docs: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
+    # Of a signed number NumPy counts the bits of its absolute value.
+    return np.bitwise_count(x.view(np.uint64))
 
 
 def join_postings(table: pa.Table, percent: int, split: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -209,31 +210,6 @@ def candidate_links(firsts: DataFrame, scratch: Scratch, percent: int) -> DataFr
     return plain.unionAll(within).unionAll(across)
 
 
-def member_bits(members: DataFrame, bits: int = 1 << 24) -> np.ndarray:
-    """Bit set over hashes of (doc_id, th): a fixed 2 MB whatever the number of members."""
-    slot = F.pmod(F.xxhash64("doc_id", "th"), F.lit(bits))
-    words = (members.select(slot.alias("slot"))
-             .groupBy(F.shiftright("slot", 6).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits")).toArrow())
-    out = np.zeros(bits // 64, np.int64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return out
-
-
-def only_members(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Rows of ``docs(doc_id, th, text)`` whose bit is set: fewer texts enter the join's shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    n = len(bits) * 64
-
-    def run(batches):
-        for batch in batches:
-            slot = batch["slot"].to_numpy()
-            hit = (shared.value[slot >> 6] >> (slot & 63)) & 1
-            yield batch.filter(pa.array(hit.astype(bool)))
-    slotted = docs.withColumn("slot", F.pmod(F.xxhash64("doc_id", "th"), F.lit(n)))
-    return slotted.mapInArrow(run, slotted.schema).drop("slot")
-
-
 def matched_classes(docs: DataFrame, firsts: DataFrame, clusters: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Classes whose first line is similar to an earlier one, decided on full sets."""
     members = scratch.write(firsts.join(clusters, F.col("class") == F.col("node"))

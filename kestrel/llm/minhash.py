@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.clusters import block_pairs, links
+from kestrel.llm.clusters import block_pairs, links, member_bits, only_members
 from kestrel.llm.components import connected_components
 from kestrel.llm.store import Scratch, columns
 from kestrel.llm.text import fmix, hashes, spans, utf8
@@ -157,7 +157,7 @@ def link_classes(docs: DataFrame, members: DataFrame, words: int, percent: int)
         found = np.array(links(table, percent), np.int64).reshape(-1, 2)
         return pa.table({"a": node.take(pa.array(found[:, 0])), "b": node.take(pa.array(found[:, 1]))})
 
-    texts = docs.join(members.withColumnsRenamed({"doc_id": "_d", "th": "_t", "class": "node"}),
+    texts = only_members(docs, member_bits(members)).join(members.withColumnsRenamed({"doc_id": "_d", "th": "_t", "class": "node"}),
                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")))
     shipped = (texts.select("cluster", "node", "n", "text")
                .mapInArrow(sets, "cluster bigint, node binary, n bigint, set binary")
