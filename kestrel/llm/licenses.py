@@ -21,7 +21,8 @@ from kestrel.llm.store import columns
 _SQL_LOWER = "translate({}, '" + string.ascii_uppercase + "', '" + string.ascii_lowercase + "')"
 #: Share of a template's words that must stand at their offsets.
 NEEDED = 0.8
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words are split before they are lower-cased, so A-Z belong to them here.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 @dataclass(frozen=True)

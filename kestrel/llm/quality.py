@@ -147,6 +147,16 @@ def judge(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> DataFrame:
             .withColumn("kept", cascade(ordered) & ~F.col("base_failed")).drop("_words", "n_other", "n_upper"))
 
 
+def _where(df: DataFrame, keep: F.Column) -> DataFrame:
+    """Filter on a computed flag behind a generator.
+
+    A plain filter would be pushed below the projections, with a copy of every
+    statistic's expression for each mention of it."""
+    flagged = df.withColumn("_keep", keep)
+    row = F.struct(*(F.col(f"`{c}`") for c in flagged.columns))
+    return flagged.select(F.inline(F.array(row))).where("_keep").drop("_keep")
+
+
 def quality_stage(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> DataFrame:
     """The documents that no rule rejects, with their own columns.
 
@@ -155,9 +165,13 @@ def quality_stage(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> DataF
     rule never pays for a dear one.
     """
     kept = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *columns(docs, "text"))
+    together: list[Rule] = []
     for rule in order_rules(kept, rules, sample_rows):
-        kept = with_statistics(kept, rule.needs).where(~F.coalesce(F.expr(rule.rejects), F.lit(False)))
-    return kept.select("_doc.*")
+        if together and any(n not in kept.columns for n in rule.needs):
+            kept, together = _where(kept, cascade(together)), []
+        kept = with_statistics(kept, rule.needs)
+        together.append(rule)
+    return _where(kept, cascade(together)).select("_doc.*")
 
 
 def quality_query(docs: DataFrame) -> DataFrame:

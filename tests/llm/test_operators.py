@@ -467,7 +467,7 @@ def test_packing_round_trip(spark, shard):
 def test_packing_quality():
     lengths = np.sort(np.random.default_rng(0).integers(1, 512, 3000))[::-1]
     where, offset, final = packing.pack_jointly(lengths, (128, 256, 512))
-    assert len(where) == len(lengths) and sum(final) <= 1.02 * lengths.sum()
+    assert len(where) == len(lengths) and sum(final) <= 1.03 * lengths.sum()
     # A lone short piece does not open the largest bin.
     assert packing.pack_jointly(np.array([10]), (64, 512))[2] == [64]
     assert sum(map(packing.cost, final)) <= sum(map(packing.cost, packing.best_fit(lengths, [512])[2]))
