@@ -280,11 +280,11 @@ def dedup_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     key = F.coalesce(F.col("doc_id"), F.lit(NO_DOC)) if "doc_id" in docs.columns else F.lit(NO_DOC)
     joined = docs.join(gone, (key == F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
     # Hash-based array_except keeps this linear in the number of lines.
-    cut = F.expr("array_join(transform(array_except(sequence(0, size(split(text, '\\n')) - 1), removed), "
-                 "i -> get(split(text, '\\n'), i)), '\\n')")
+    cut = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), removed), i -> get(_lines, i)), '\\n')")
+    joined = joined.withColumn("_lines", F.split("text", "\n", -1))
     return joined.select(
         *rest, F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut).alias("text"),
-        F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).alias("n_lines"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
