@@ -394,7 +394,7 @@ def _candidate_set(spark, sf, n=100):
     history, target = prep.holdout_last(_event_inter(spark, sf))
     vec = _vectors(spark, sf)
     cands = vx.topk_excluding(vx.pool_history(history, vec), vec, history, k=n).withColumnRenamed("rank", "cand_rank")
-    cands = rk.inject_positive(cands, target, n)
+    cands = rk.inject_positive(cands, target)
     return rk.label(cands, target), history, target
 
 
@@ -1148,8 +1148,9 @@ def q_label_coverage(spark, sf):
             .withColumn("n_missing", missing.select(F.count(F.lit(1))).scalar()))
 
 
-SERVING_NAMES = ["user_rating_avg", "user_rating_count", "user_rating_std", "user_rating_min", "user_rating_max",
-                 "user_active_days", "user_days_since_last", "u_genre_diversity", "u_session_count", "user_sequence_length"]
+# Training names, and two leaky ones that must come out as missing.
+SERVING_NAMES = ["u_user_rating_count", "u_user_avg_rating", "u_user_days_since_last", "u_user_sequence_length",
+                 "i_item_active_days", "i_item_rating_count", "user_last_timestamp", "item_first_timestamp"]
 
 
 @register("serving_alignment")
@@ -1157,7 +1158,12 @@ def q_serving_alignment(spark, sf):
     """Store lookup -> serving names -> training names -> aligned, float-only matrix."""
     req = A.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
     look = fs.entity_lookup(req, _user_store(spark, sf), "user_id", fs.USER_DEFAULTS)
-    served = look.select("user_id", "found", *[F.col(c).alias("u_" + c) for c in fs.USER_DEFAULTS])
+    log_count = F.log1p(F.col("total_interactions").cast("double"))
+    served = look.select(
+        "user_id", "found", log_count.alias("user_interaction_count_log"), F.col("avg_rating").alias("user_avg_rating"),
+        F.col("recency_days").alias("user_recency_days"), F.col("active_days").alias("item_active_days"),
+        log_count.alias("item_rating_count_log"), F.lit(1.0).alias("user_last_timestamp"),
+        F.lit(1.0).alias("item_first_timestamp"))
     renamed = prep.drop_leaky(prep.rename_serving_to_training(served))
     aligned = prep.align_features(renamed, SERVING_NAMES + ["found"], keep=("user_id",))
     return round_doubles(prep.to_float_matrix(aligned))

@@ -22,15 +22,16 @@ def data_gate(df: DataFrame, now, min_rows: int = MIN_INTERACTIONS, user: str =
 
 
 def promotion(runs: DataFrame, production: DataFrame, gate: float = NDCG_GATE, gain: float = MIN_GAIN) -> DataFrame:
-    """Promote when NDCG@10 >= gate and relative gain >= ``gain`` over production (no production
-    model -> promote); a missing metric fails the run."""
+    """A missing metric fails the run; below the NDCG@10 gate it is ``quality_gate_failed``, with or
+    without a production model; then no production model, or a relative gain of at least ``gain``
+    over it, promotes, and anything else is ``not_improved``."""
     p = production.select("model", F.col("ndcg_10").alias("prod_ndcg"))
     j = runs.join(p, "model", "left")
     imp = (F.col("ndcg_10") - F.col("prod_ndcg")) / F.greatest(F.col("prod_ndcg"), F.lit(1e-6))
-    better = F.when(F.col("prod_ndcg").isNull(), F.lit(True)).otherwise((F.col("ndcg_10") >= gate) & (imp >= gain))
     return j.select("run_id", "model", "ndcg_10", "prod_ndcg",
                     F.when(F.col("prod_ndcg").isNotNull(), F.round(imp * 100.0, 2)).alias("improvement_pct"),
-                    F.when(F.col("ndcg_10").isNull(), "failed").when(better, "promoted").otherwise("skipped")
+                    F.when(F.col("ndcg_10").isNull(), "failed").when(F.col("ndcg_10") < gate, "quality_gate_failed")
+                    .when(F.col("prod_ndcg").isNull() | (imp >= gain), "promoted").otherwise("not_improved")
                     .alias("status"))
 
 

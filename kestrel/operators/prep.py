@@ -34,11 +34,12 @@ def vocab_filter(df: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
 # ---- E1 k-core --------------------------------------------------------------------
 
 
-def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int = 11,
+def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int | None = None,
            user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Drop users with < min_user rows, then items with < min_item rows; repeat.
 
-    Stops when a pass removes nothing or after ``max_iter`` passes.  Each pass
+    Runs until a pass removes nothing; with ``max_iter`` it raises when that many passes
+    were not enough.  Each pass
     finds the *failing* users / items with a partial aggregation (heavy keys
     are pre-aggregated) and removes them with an anti join: the failing sets
     shrink pass by pass, so AQE can broadcast them and the big side is not
@@ -48,7 +49,8 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int =
     from pyspark import StorageLevel
     source = df.persist(StorageLevel.MEMORY_AND_DISK)  # the first pass reads its input three times
     current = source
-    for _ in range(max_iter):
+    passes = 0
+    while True:
         bad_u = (current.groupBy(user).count().where(F.col("count") < min_user).select(user)
                  .persist(StorageLevel.MEMORY_AND_DISK))
         step = current.join(bad_u, user, "left_anti")
@@ -59,6 +61,9 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int =
             bad_u.unpersist()
             bad_i.unpersist()
             break
+        if max_iter is not None and passes == max_iter:
+            raise RuntimeError(f"k_core: rows still fail after {max_iter} passes")
+        passes += 1
         current = cut_lineage(step.join(bad_i, item, "left_anti"))
         bad_u.unpersist()
         bad_i.unpersist()
@@ -96,17 +101,18 @@ def decode(df: DataFrame, mapping: DataFrame, col: str, idx_col: str,
 
 
 def dataset_stats(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
-    """One-row summary: sizes, sparsity, density, means per user/item, padded vocab sizes."""
+    """One-row summary: sizes, sparsity, density, means per user/item, padded vocab sizes.
+    Ratios of an empty table are null."""
     s = df.agg(F.count(F.lit(1)).alias("n_interactions"),
                F.countDistinct(user).alias("n_users"),
                F.countDistinct(item).alias("n_items"))
     cells = F.col("n_users").cast("double") * F.col("n_items").cast("double")
     return s.select(
         "n_users", "n_items", "n_interactions",
-        F.round(F.lit(1.0) - F.col("n_interactions") / cells, 6).alias("sparsity"),
-        F.round(F.col("n_interactions") / cells, 6).alias("density"),
-        F.round(F.col("n_interactions") / F.col("n_users"), 6).alias("avg_per_user"),
-        F.round(F.col("n_interactions") / F.col("n_items"), 6).alias("avg_per_item"),
+        F.round(F.lit(1.0) - F.try_divide(F.col("n_interactions"), cells), 6).alias("sparsity"),
+        F.round(F.try_divide(F.col("n_interactions"), cells), 6).alias("density"),
+        F.round(F.try_divide(F.col("n_interactions"), F.col("n_users")), 6).alias("avg_per_user"),
+        F.round(F.try_divide(F.col("n_interactions"), F.col("n_items")), 6).alias("avg_per_item"),
         (F.col("n_users") + 1).alias("n_users_with_pad"),
         (F.col("n_items") + 1).alias("n_items_with_pad"))
 
@@ -257,30 +263,32 @@ def align_features(df: DataFrame, names: list, keep: tuple = ()) -> DataFrame:
 
 # Serving -> training feature renames.
 SERVING_TO_TRAINING = {
-    "u_avg_rating": "user_rating_avg",
-    "u_total_interactions": "user_rating_count",
-    "u_rating_std": "user_rating_std",
-    "u_min_rating": "user_rating_min",
-    "u_max_rating": "user_rating_max",
-    "u_active_days": "user_active_days",
-    "u_recency_days": "user_days_since_last",
-    "i_avg_item_rating": "item_rating_avg",
-    "i_rating_std": "item_rating_std",
-    "i_global_popularity": "item_popularity",
+    "user_interaction_count_log": "u_user_rating_count",
+    "user_avg_rating": "u_user_avg_rating",
+    "user_recency_days": "u_user_days_since_last",
+    "user_seq_length": "u_user_sequence_length",
+    "item_avg_rating": "i_item_avg_rating",
+    "item_log_popularity": "i_item_log_popularity",
+    "item_year": "i_item_year",
+    "item_active_days": "i_item_active_days",
+    "item_recency_days": "i_item_days_since_last_rating",
+    "is_same_top_genre": "genre_max_match",
 }
+# Name parts of columns that tell the future.
+LEAKY = ("item_last_timestamp", "item_first_timestamp", "user_last_timestamp", "user_first_timestamp")
 
 
 def rename_serving_to_training(df: DataFrame, mapping: dict | None = None) -> DataFrame:
+    """Training names; an item rating count that is only there as a logarithm is turned back."""
     mapping = mapping or SERVING_TO_TRAINING
-    present = {k: v for k, v in mapping.items() if k in df.columns}
-    out = df.withColumnsRenamed(present)
-    if "i_rating_count" in out.columns:
+    out = df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
+    if "i_item_rating_count" not in out.columns and "item_rating_count_log" in out.columns:
         out = out.withColumn("i_item_rating_count",
-                             F.expm1(F.greatest(F.lit(-20.0), F.least(F.lit(20.0), F.col("i_rating_count")))))
+                             F.expm1(F.greatest(F.lit(-20.0), F.least(F.lit(20.0), F.col("item_rating_count_log")))))
     return out
 
 
-def drop_leaky(df: DataFrame, patterns=("first_ts", "last_ts", "first_rating_ts", "last_rating_ts")) -> DataFrame:
+def drop_leaky(df: DataFrame, patterns=LEAKY) -> DataFrame:
     return df.drop(*[c for c in df.columns if any(p in c for p in patterns)])
 
 

@@ -27,7 +27,9 @@ def drift(expected: DataFrame, actual: DataFrame, cols: list, bins: int = 10) ->
     both = _long(expected, cols, "e").unionByName(_long(actual, cols, "a"))
     rng = both.groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
+    # A constant feature has no width; all its values are in bin 0.
+    b = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1))
+               ).otherwise(0).cast("int")
     # rng has one row per feature: bounded, broadcast is size-safe.
     binned = both.join(F.broadcast(rng), "feature").withColumn("bin", b)
     counts = binned.groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("c"))
@@ -47,7 +49,7 @@ def drift(expected: DataFrame, actual: DataFrame, cols: list, bins: int = 10) ->
     psi = cells.groupBy("feature", "lo", "hi", "mean_e", "mean_a", "std_e").agg(F.sum("_term").alias("_psi"))
     psi = psi.withColumn("psi", F.when(F.col("hi") == F.col("lo"), F.lit(0.0)).otherwise(F.col("_psi")))
     diff = F.abs(F.col("mean_e") - F.col("mean_a"))
-    out = psi.select("feature", "psi", F.when(F.col("std_e") < 1e-10, diff).otherwise(diff / F.col("std_e"))
+    out = psi.select("feature", "psi", F.when(F.col("std_e") < 1e-10, diff).otherwise(F.try_divide(diff, F.col("std_e")))
                      .alias("mean_diff"))
     return out.withColumn("status", drift_status(F.col("psi")))
 

@@ -105,21 +105,19 @@ def label(c: DataFrame, targets: DataFrame, user: str = "user_id", item: str = "
             .drop("_t"))
 
 
-def inject_positive(c: DataFrame, targets: DataFrame, n: int = 100, user: str = "user_id", item: str = "item_id",
+def inject_positive(c: DataFrame, targets: DataFrame, user: str = "user_id", item: str = "item_id",
                     rank: str = "cand_rank", score: str = "score") -> DataFrame:
     """Make sure each target user's list contains the target: when absent, it replaces the
-    last candidate (score = list min - 1e-6); a user without a list gets [target] with score 0."""
+    last candidate, however short the list is (score = list min - 1e-6); a user without a
+    list gets [target] with score 0."""
     t = targets.select(user, F.col(item).alias("_t"))
     have = c.join(t, (c[user] == t[user]) & (c[item] == t["_t"]), "left_semi").select(user).distinct()
-    stats = c.groupBy(user).agg(F.count(F.lit(1)).alias("_n"), F.min(score).alias("_min"), F.max(rank).alias("_last"))
+    stats = c.groupBy(user).agg(F.min(score).alias("_min"), F.max(rank).alias("_last"))
     missing = t.join(have, user, "left_anti").join(stats, user, "left")
-    repl = missing.select(user, F.coalesce(F.when(F.col("_n") >= n, F.col("_last")).otherwise(F.col("_last") + 1),
-                                           F.lit(1)).cast(c.schema[rank].dataType).alias(rank),
-                          F.col("_t").alias(item),
-                          F.coalesce(F.col("_min") - F.lit(1e-6), F.lit(0.0)).alias(score))
-    drop = missing.where(F.col("_n") >= n).select(user, F.col("_last").alias(rank))
-    kept = c.join(drop, [user, rank], "left_anti")
-    return kept.unionByName(repl)
+    repl = missing.select(user, F.coalesce("_last", F.lit(1)).cast(c.schema[rank].dataType).alias(rank),
+                          F.col("_t").alias(item), F.coalesce(F.col("_min") - F.lit(1e-6), F.lit(0.0)).alias(score))
+    drop = missing.where(F.col("_last").isNotNull()).select(user, F.col("_last").alias(rank))
+    return c.join(drop, [user, rank], "left_anti").unionByName(repl)
 
 
 def pad_lists(c: DataFrame, n: int = 100, user: str = "user_id", rank: str = "cand_rank",

@@ -486,8 +486,8 @@ _CS = [VEC,
        "st AS (SELECT user_id, count(*) AS n, min(score) AS mn, max(cand_rank) AS lst FROM c0 GROUP BY user_id)",
        """miss AS (SELECT t.user_id, t.target_id, st.n, st.mn, st.lst FROM tgt t LEFT JOIN st USING (user_id)
               WHERE t.user_id NOT IN (SELECT user_id FROM has))""",
-       """c1 AS (SELECT c0.* FROM c0 WHERE NOT EXISTS (SELECT 1 FROM miss m WHERE m.user_id = c0.user_id AND m.n >= 100 AND c0.cand_rank = m.lst)
-            UNION ALL SELECT user_id, CAST(coalesce(CASE WHEN n >= 100 THEN lst ELSE lst + 1 END, 1) AS BIGINT), target_id,
+       """c1 AS (SELECT c0.* FROM c0 WHERE NOT EXISTS (SELECT 1 FROM miss m WHERE m.user_id = c0.user_id AND c0.cand_rank = m.lst)
+            UNION ALL SELECT user_id, CAST(coalesce(lst, 1) AS BIGINT), target_id,
                              coalesce(mn - 1e-6, 0.0) FROM miss)""",
        "cs AS (SELECT c1.*, CASE WHEN c1.item_id = t.target_id THEN 1 ELSE 0 END AS label FROM c1 LEFT JOIN tgt t USING (user_id))"]
 
@@ -890,8 +890,9 @@ ORACLE["quality_gate"] = with_(_RUNS + ["prod AS (SELECT model, ndcg_10 AS prod_
 SELECT r.run_id, r.model, round(r.ndcg_10, 6) AS ndcg_10, round(p.prod_ndcg, 6) AS prod_ndcg,
   round(round((r.ndcg_10 - p.prod_ndcg) / greatest(p.prod_ndcg, 1e-6) * 100.0, 2), 6) AS improvement_pct,
   CASE WHEN r.ndcg_10 IS NULL THEN 'failed'
-       WHEN p.prod_ndcg IS NULL OR (r.ndcg_10 >= 0.8 AND (r.ndcg_10 - p.prod_ndcg) / greatest(p.prod_ndcg, 1e-6) >= 0.01) THEN 'promoted'
-       ELSE 'skipped' END AS status
+       WHEN r.ndcg_10 < 0.8 THEN 'quality_gate_failed'
+       WHEN p.prod_ndcg IS NULL OR (r.ndcg_10 - p.prod_ndcg) / greatest(p.prod_ndcg, 1e-6) >= 0.01 THEN 'promoted'
+       ELSE 'not_improved' END AS status
 FROM runs r LEFT JOIN prod p USING (model) WHERE r.scorer <> 'popularity'""")
 
 ORACLE["best_run"] = with_(_RUNS, """
@@ -1125,14 +1126,20 @@ SELECT (SELECT count(*) FROM lab) AS n_label_users, (SELECT count(*) FROM sq) AS
   (SELECT count(*) FROM lab JOIN sq USING (user_id)) AS n_both,
   (SELECT count(*) FROM lab WHERE user_id NOT IN (SELECT user_id FROM sq)) AS n_missing""")
 
-_ALIGN = {"user_rating_avg": "avg_rating", "user_rating_count": "total_interactions", "user_rating_std": "rating_std",
-          "user_rating_min": "min_rating", "user_rating_max": "max_rating", "user_active_days": "active_days",
-          "user_days_since_last": "recency_days", "u_genre_diversity": "genre_diversity", "u_session_count": "session_count"}
 _DEF = dict(_USER_DEFAULTS)
-ORACLE["serving_alignment"] = with_(_USER_FEAT, "SELECT CAST(c.c_custkey AS DOUBLE) AS user_id, " +
-    ", ".join(f"round(coalesce(CAST(uf.{src} AS DOUBLE), {_DEF[src]}), 6) AS {dst}" for dst, src in _ALIGN.items()) +
-    ", 0.0 AS user_sequence_length, CASE WHEN uf.user_id IS NOT NULL THEN 1.0 ELSE 0.0 END AS found" +
-    " FROM customer c LEFT JOIN uf ON uf.user_id = c.c_custkey")
+
+
+def _served(name):
+    return f"coalesce(CAST(uf.{name} AS DOUBLE), {_DEF[name]})"
+
+
+ORACLE["serving_alignment"] = with_(_USER_FEAT, f"""SELECT CAST(c.c_custkey AS DOUBLE) AS user_id,
+  round(ln(1 + {_served('total_interactions')}), 6) AS u_user_rating_count, round({_served('avg_rating')}, 6) AS u_user_avg_rating,
+  round({_served('recency_days')}, 6) AS u_user_days_since_last, 0.0 AS u_user_sequence_length,
+  round({_served('active_days')}, 6) AS i_item_active_days, round({_served('total_interactions')}, 6) AS i_item_rating_count,
+  0.0 AS user_last_timestamp, 0.0 AS item_first_timestamp,
+  CASE WHEN uf.user_id IS NOT NULL THEN 1.0 ELSE 0.0 END AS found
+FROM customer c LEFT JOIN uf ON uf.user_id = c.c_custkey""")
 
 ORACLE["padded_lists"] = with_(_CS + ["mxr AS (SELECT user_id, max(cand_rank) AS m FROM cs GROUP BY user_id)"], """
 SELECT user_id, cand_rank, item_id, round(score, 6) AS score FROM cs

@@ -43,8 +43,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, wiring it into the SparkContext.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a scratch folder only
-    when the setting is absent (tests on one machine).
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is absent, a scratch
+    folder is chosen in local mode only (one machine, as in tests); on a cluster,
+    whose executors would not share it, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if "://" not in configured:

@@ -61,10 +61,10 @@ def run_stream(df: DataFrame, name: str, mode: str = "append", keys: list | None
 
 
 def read_sink(spark: SparkSession, sink: str, schema, mode: str, keys: list | None) -> DataFrame:
-    try:
-        out = spark.read.parquet(sink)
-    except Exception:  # no micro-batch produced any output
-        return spark.createDataFrame([], schema)
+    target = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return spark.createDataFrame([], schema)  # no micro-batch produced any output
+    out = spark.read.parquet(sink)
     cols = [f.name for f in schema.fields]
     if mode == "append":
         return out.select(*cols)
