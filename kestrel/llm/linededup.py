@@ -28,7 +28,7 @@ THRESHOLD = 90           # percent
 RARITY_SLOTS = 1 << 17   # counters of the rarity table; its size does not grow with the data
 GROUP_POSTINGS = 100_000  # postings of one task of the join
 HOT_POSTINGS = 20_000    # a word with more postings is dealt to blocks
-_PAIRS = 1 << 21         # pairs looked at together
+_PAIRS = 1 << 19          # pairs looked at together
 NO_DOC = 2**63 - 1       # a null doc_id comes last
 
 LINE = ("class bigint, doc_id bigint, th bigint, line int, size int, s0 bigint, s1 bigint, prefix array<bigint>")
