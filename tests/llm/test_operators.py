@@ -293,7 +293,7 @@ def test_licences(spark):
     view = {k: (r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for k, r in got.items()}
     assert view[1] == (2, 2, 6, "mit", "mit")
     assert view[2] == view[3] == (0, None, None, "", "") and view[4] == (0, None, None, "", "")
-    assert view[5] == (1, 6, 6, "gpl", "gpl,gpl-3.0")
+    assert view[5] == (1, 7, 7, "gpl", "gpl,gpl-3.0")
     assert view[6] == (1, 6, 6, "apache", "all-rights-reserved,apache,apache-2.0")
     assert view[7] == (1, 4, 4, "mit", "mit")
     assert view[8] == (1, 50_000, 50_000, "apache", "apache")
