@@ -22,6 +22,8 @@ from kestrel.plans.topk import top_k
 
 GRAM = 3                  # code points of an n-gram
 SAMPLE_DOCS = 2000        # labelled documents per language, at most
+SPARE = 2                 # times the sample that the hash cut lets through
+CUT_BITS = 40             # of the hash that the cut compares
 GRAMS = 20_000            # n-grams kept per language, at most
 SLOTS = 1 << 20           # of the filter
 HASHES = 2
@@ -99,15 +101,30 @@ class Filter:
         return np.maximum(0, (out - total[:, None] * self.false) / np.maximum(1e-9, 1 - self.false)), total
 
 
+def training_sample(known: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(lang, text) of at most ``sample_docs`` distinct documents per language, the first in hash order.
+
+    A cut on the hash, set from each language's count of documents, lets about
+    ``SPARE`` times the sample into the shuffle, so that a language with a third of
+    all rows sends no more than others.  Repeated rows count once; the counts that
+    come to the driver are one row per language, as the model itself."""
+    known = known.withColumn("_h", F.xxhash64("doc_id", "text"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("_h", 0.02).alias("n")).collect()
+    whole = 1 << CUT_BITS
+    cut = [F.lit(x) for r in sizes for x in (r["lang"], min(whole, -(-whole * SPARE * sample_docs // max(1, r["n"]))))]
+    few = known.where(F.pmod("_h", F.lit(whole)) < (F.create_map(*cut)[F.col("lang")] if cut else F.lit(0)))
+    return top_k(few.dropDuplicates(["lang", "_h"]), ["lang"], [F.col("_h")], sample_docs).select("lang", "text")
+
+
 def train(docs: DataFrame, n: int = GRAM, sample_docs: int = SAMPLE_DOCS, keep: int = GRAMS,
           slots: int = SLOTS, hashes: int = HASHES) -> Filter:
     """Fit the filter on documents that are not held out and have a text and a language.
 
-    At most ``sample_docs`` documents per language are read, the first in hash order of
-    their id; at most ``keep`` n-grams per language come to the driver."""
+    It learns from at most ``sample_docs`` distinct documents per language; at most
+    ``keep`` n-grams per language come to the driver."""
     known = (docs.select(*columns(docs, "doc_id", "text", "lang"))
              .where(~is_held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull()))
-    some = top_k(known, ["lang"], [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")], sample_docs)
+    some = training_sample(known, sample_docs)
 
     def run(batches):
         for batch in batches:
@@ -122,7 +139,7 @@ def train(docs: DataFrame, n: int = GRAM, sample_docs: int = SAMPLE_DOCS, keep:
                     [pa.array([names[int(i)] for i in pairs[:, 0]], pa.string()),
                      pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64)), pa.array(count)],
                     names=["lang", "gram", "n"])
-    counted = (some.select("lang", "text").mapInArrow(run, "lang string, gram bigint, n bigint")
+    counted = (some.mapInArrow(run, "lang string, gram bigint, n bigint")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # An n-gram seen once tells little about its language.
     best = top_k(counted.where("n > 1"), ["lang"], [F.col("n").desc(), F.col("gram")], keep).select("lang", "gram").toArrow()

@@ -471,3 +471,11 @@ def test_packing_quality():
     # A lone short piece does not open the largest bin.
     assert packing.pack_jointly(np.array([10]), (64, 512))[2] == [64]
     assert sum(map(packing.cost, final)) <= sum(map(packing.cost, packing.best_fit(lengths, [512])[2]))
+
+
+def test_language_sample_is_bounded_and_distinct(spark):
+    rows = [(i, f"text number {i}", "aa") for i in range(3000)] + [(-1, "one text", "bb")] * 900 + [(-2, "few", "cc")]
+    got = langid.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 100)
+    assert {r["lang"]: r["count"] for r in got.groupBy("lang").count().collect()} == {"aa": 100, "bb": 1, "cc": 1}
+    none = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert langid.training_sample(none, 100).collect() == []
