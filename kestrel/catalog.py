@@ -412,8 +412,7 @@ def q_retrieval_features(spark, sf):
 
 def _genre_tables(spark, sf):
     items = A.items(spark, sf)
-    vocab_list = feat.genre_vocabulary_present(items)
-    oh = rk.onehot_long(items, vocab_list)
+    oh = feat.item_genres_long(items)
     ig = feat.item_genre_rows(items, A.genre_vocab(spark, sf))
     primary = ig.groupBy("item_id").agg(F.min_by("idx", "pos").alias("primary_genre_idx"))
     return oh, ig.select("item_id", "genre"), primary
@@ -1097,7 +1096,7 @@ def q_rank_distribution(spark, sf):
     cuts = [1, 3, 5, 10, 20, 50, 100, 200]
     wide = pos.agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("min_rank"), F.max("position").alias("max_rank"),
                    F.avg("position").alias("mean_rank"),
-                   F.percentile_approx(F.col("position").cast("double"), 0.5, evaluation.PCT_ACCURACY).alias("median_rank"),
+                   F.percentile(F.col("position").cast("double"), 0.5).alias("median_rank"),
                    *[F.count_if(F.col("position") <= c).alias(f"c{c}") for c in cuts])
     long = wide.selectExpr("n", "min_rank", "max_rank", "mean_rank", "median_rank",
                            f"stack({len(cuts)}, " + ", ".join(f"{c}, c{c}" for c in cuts) + ") as (cutoff, n_within)")

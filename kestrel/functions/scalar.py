@@ -62,25 +62,24 @@ def ab_bucket_expr(user_col, experiment_col) -> Column:
 
 
 # ---- A6: standard normal tail -----------------------------------------------
-# Abramowitz & Stegun 7.1.26 coefficients for erfc (|error| < 1.5e-7).
-_AS_P = 0.3275911
-_AS_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+
+SERIES_TERMS, FRACTION_TERMS = 60, 120
 
 
 def two_sided_p(z) -> Column:
-    """2 * (1 - Phi(|z|)) = erfc(|z| / sqrt 2), as a plain column expression."""
-    x = F.abs(col_(z)) / F.lit(math.sqrt(2.0))
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(_AS_P) * x)
-    a1, a2, a3, a4, a5 = (F.lit(a) for a in _AS_A)
-    poly = t * (a1 + t * (a2 + t * (a3 + t * (a4 + t * a5))))
-    return poly * F.exp(-x * x)
-
-
-def two_sided_p_py(z: float) -> float:
-    x = abs(z) / math.sqrt(2.0)
-    t = 1.0 / (1.0 + _AS_P * x)
-    a1, a2, a3, a4, a5 = _AS_A
-    return t * (a1 + t * (a2 + t * (a3 + t * (a4 + t * a5)))) * math.exp(-x * x)
+    """2 * (1 - Phi(|z|)) = erfc(x) with x = |z| / sqrt 2; relative error below 1e-12.
+
+    Up to x = 2, 1 - erf(x) by the series with positive terms
+    erf(x) = 2/sqrt(pi) exp(-x^2) sum 2^n x^(2n+1) / (2n+1)!!; beyond, the continued
+    fraction erfc(x) = exp(-x^2)/sqrt(pi) / (x + (1/2)/(x + (2/2)/(x + (3/2)/...))),
+    both evaluated from the innermost term outwards.
+    """
+    x = F.abs(col_(z)).cast("double") / F.lit(math.sqrt(2.0))
+    scale = F.exp(-x * x) / F.lit(math.sqrt(math.pi))
+    down = lambda n: F.sequence(F.lit(n), F.lit(1), F.lit(-1))
+    series = F.aggregate(down(SERIES_TERMS), F.lit(1.0), lambda acc, n: acc * 2.0 * x * x / (n * 2.0 + 1.0) + 1.0)
+    fraction = F.aggregate(down(FRACTION_TERMS), x, lambda acc, n: x + n / F.lit(2.0) / acc)
+    return F.when(x <= 2.0, F.lit(1.0) - scale * 2.0 * x * series).otherwise(scale / fraction)
 
 
 # ---- P16 / P17 ----------------------------------------------------------------

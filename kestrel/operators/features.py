@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.scalar import (days_between, first_year_anywhere, release_year_strict,
                                       ts_to_micros)
-from kestrel.operators.evaluation import PCT_ACCURACY
-from kestrel.plans.ordering import competition_rank, dense_rank_desc
+from kestrel.plans.ordering import competition_rank, dense_rank_desc, group_quantiles
 
 
 # ---- genres ------------------------------------------------------------------------------
@@ -22,8 +21,8 @@ def item_genre_rows(items: DataFrame, vocab: DataFrame) -> DataFrame:
     """(item_id, genre, idx, pos): known genres of each item, pipe-split and trimmed, in title order."""
     exploded = items.select("item_id", F.posexplode(F.split(F.col("genres"), r"\|")).alias("pos", "genre"))
     exploded = exploded.select("item_id", (F.col("pos") + 1).alias("pos"), F.trim("genre").alias("genre"))
-    # The vocabulary is a bounded table of genre names: broadcasting it is size-safe.
-    return exploded.join(F.broadcast(vocab), "genre")
+    # No broadcast hint: the planner broadcasts the vocabulary when it has measured it as small.
+    return exploded.join(vocab, "genre")
 
 
 # ---- U8 sessions -------------------------------------------------------------------------
@@ -181,30 +180,45 @@ def rank_user_features(ratings: DataFrame, seq_lengths: DataFrame | None = None)
     return s
 
 
-def genre_vocabulary_present(items: DataFrame) -> list:
-    """Sorted genre names present in the catalogue (bounded metadata, fetched to the driver)."""
-    names = (items.select(F.explode(F.split("genres", r"\|")).alias("g"))
-             .where(F.col("g") != "(no genres listed)").distinct().orderBy("g"))
-    return [r["g"] for r in names.limit(10_000).collect()]
+NO_GENRES = "(no genres listed)"
 
 
-def genre_column(name: str) -> str:
-    return "genre_" + name.replace(" ", "_").replace("-", "_")
+def genre_column(name) -> F.Column:
+    """Column name of a genre's one-hot: blanks and hyphens become underscores."""
+    return F.concat(F.lit("genre_"), F.translate(name, " -", "__"))
 
 
-def genre_onehot(items: DataFrame, vocabulary: list | None = None) -> DataFrame:
-    """One column per vocabulary genre (substring test on the genres string) + item_num_genres."""
-    vocabulary = vocabulary if vocabulary is not None else genre_vocabulary_present(items)
-    cols = [F.when(F.col("genres").contains(g), 1).otherwise(0).cast("bigint").alias(genre_column(g))
-            for g in vocabulary]
-    out = items.select("item_id", "title", *cols)
-    total = sum((F.col(genre_column(g)) for g in vocabulary), F.lit(0)) if vocabulary else F.lit(0)
-    return out.withColumn("item_num_genres", total.cast("bigint"))
+def item_genres_long(items: DataFrame) -> DataFrame:
+    """(item_id, genre): every catalogue genre whose name occurs in the item's genres string.
 
-
-def rank_item_features(ratings: DataFrame, items: DataFrame, vocabulary: list | None = None) -> DataFrame:
-    """Training-family item features: stats over ratings, first '(dddd)' year, genre one-hot,
-    dense popularity rank.  Items without metadata get year 0 and no genres."""
+    The substring test runs once per distinct '|'-separated token: all substrings of a
+    token are equi-joined with the genre names (a name holds no '|'), and items join
+    that table by token.  No vocabulary goes through the driver.
+    """
+    own = items.select("item_id", F.explode(F.split("genres", r"\|")).alias("token"))
+    tokens = own.select("token").distinct()
+    names = tokens.where((F.col("token") != NO_GENRES) & (F.col("token") != "")).select(F.col("token").alias("genre"))
+    starts = tokens.where(F.length("token") > 0).select(
+        "token", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("_s"))
+    parts = starts.select("token", F.explode(F.sequence(F.lit(1), F.length("token") - F.col("_s") + 1)).alias("_l"), "_s")
+    parts = parts.select("token", F.col("token").substr(F.col("_s"), F.col("_l")).alias("genre")).distinct()
+    return own.join(parts.join(names, "genre"), "token").select("item_id", "genre").distinct()
+
+
+def genre_onehot(items: DataFrame) -> DataFrame:
+    """R4 in long form: (item_id, title, genre_name, item_num_genres), one row per item and genre;
+    an item without genres has one row with a null name and the count 0."""
+    long = item_genres_long(items)
+    n = long.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_num_genres"))
+    return (items.select("item_id", "title").join(n, "item_id", "left").join(long, "item_id", "left")
+            .select("item_id", "title", genre_column(F.col("genre")).alias("genre_name"),
+                    F.coalesce("item_num_genres", F.lit(0)).cast("bigint").alias("item_num_genres")))
+
+
+def rank_item_features(ratings: DataFrame, items: DataFrame) -> DataFrame:
+    """Training-family item features: stats over ratings, first '(dddd)' year, number of genres,
+    dense popularity rank.  Items without metadata get year 0 and no genres; the genres
+    themselves are the long table ``item_genres_long``."""
     now = ratings.select(F.max("ts")).scalar()
     s = ratings.groupBy("item_id").agg(
         F.count(F.lit(1)).alias("item_rating_count"), F.avg("rating").alias("item_avg_rating"),
@@ -215,14 +229,12 @@ def rank_item_features(ratings: DataFrame, items: DataFrame, vocabulary: list |
                  F.log1p("item_rating_count").alias("item_log_popularity"),
                  days_between(now, F.col("_last")).alias("item_days_since_last_rating"),
                  days_between(F.col("_last"), F.col("_first")).alias("item_active_days"))
-    vocabulary = vocabulary if vocabulary is not None else genre_vocabulary_present(items)
-    meta = genre_onehot(items.join(s.select("item_id"), "item_id", "left_semi"), vocabulary)
-    meta = meta.withColumn("item_year", first_year_anywhere(F.col("title"))).drop("title")
-    gcols = [genre_column(g) for g in vocabulary]
+    rated = items.join(s.select("item_id"), "item_id", "left_semi")
+    n = item_genres_long(items).groupBy("item_id").agg(F.count(F.lit(1)).alias("item_num_genres"))
+    meta = rated.select("item_id", first_year_anywhere(F.col("title")).alias("item_year")).join(n, "item_id", "left")
     out = s.join(meta, "item_id", "left").select(
         *s.columns, F.coalesce("item_year", F.lit(0)).cast("bigint").alias("item_year"),
-        F.coalesce("item_num_genres", F.lit(0)).cast("bigint").alias("item_num_genres"),
-        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in gcols])
+        F.coalesce("item_num_genres", F.lit(0)).cast("bigint").alias("item_num_genres"))
     return dense_rank_desc(out, "item_rating_count", "item_popularity_rank")
 
 
@@ -239,18 +251,18 @@ def describe(df: DataFrame, cols: list, digits: int = 6) -> DataFrame:
     """count / mean / std / min / quartiles / max per column, long form (one row per feature).
 
     All features in one pass: the columns are unpivoted and grouped by name.
-    Quartiles come from the bounded-memory percentile sketch.
+    Quartiles are exact and interpolated: values are numbered within their feature over
+    range partitions, so no task holds a feature's values.
     """
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_s")
     ).select("_s.feature", "_s.v")
-    q = F.percentile_approx("v", [0.25, 0.5, 0.75], PCT_ACCURACY)
     agg = stacked.groupBy("feature").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), q.alias("_q"), F.max("v").alias("max"))
-    return agg.select("feature", "count", *[F.round(c, digits).alias(c) for c in ("mean", "std", "min")],
-                      F.round(F.col("_q")[0], digits).alias("p25"), F.round(F.col("_q")[1], digits).alias("p50"),
-                      F.round(F.col("_q")[2], digits).alias("p75"), F.round("max", digits).alias("max"))
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    q = group_quantiles(stacked, "feature", "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return agg.join(q, "feature", "left").select(
+        "feature", "count", *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
 def session_starts(df: DataFrame, user: str = "user_id", ts: str = "ts", gap_s: int = 3600) -> DataFrame:

@@ -36,12 +36,6 @@ def retrieval_features(c: DataFrame, user: str = "user_id", rank: str = "cand_ra
 
 # ---- genres --------------------------------------------------------------------------------------
 
-def onehot_long(items: DataFrame, vocabulary: list) -> DataFrame:
-    """(item_id, genre) for every vocabulary genre contained (substring test) in the genres string."""
-    hits = F.array(*[F.when(F.col("genres").contains(g), F.lit(g)) for g in vocabulary])
-    return (items.select("item_id", F.explode(hits).alias("genre")).where(F.col("genre").isNotNull()))
-
-
 def genre_preferences(history: DataFrame, oh: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Q1: share of each genre in the user's history (sum of one-hots / total)."""
     counts = history.select(user, item).join(oh, item).groupBy(user, "genre").agg(F.count(F.lit(1)).alias("_c"))

@@ -62,7 +62,7 @@ def metric_bundle_sql(ranks_cte: str, ks=(5, 10, 20)) -> str:
   round(avg(CASE WHEN rnk <= ks.k THEN 1.0 / rnk ELSE 0.0 END), 6) AS mrr,
   round(avg(CASE WHEN rnk <= ks.k THEN 1.0 / ks.k ELSE 0.0 END), 6) AS precision,
   round(avg(CAST(rnk AS DOUBLE)), 6) AS mean_rank,
-  round(quantile_disc(CAST(rnk AS DOUBLE), 0.5), 6) AS median_rank
+  round(quantile_cont(CAST(rnk AS DOUBLE), 0.5), 6) AS median_rank
 FROM {ranks_cte}, (VALUES {kv}) ks(k) GROUP BY ks.k"""
 
 
@@ -248,22 +248,18 @@ SELECT user_id, count(*) AS user_rating_count, round(avg(rating), 6) AS user_avg
   count(*) AS user_sequence_length
 FROM tw CROSS JOIN nowt GROUP BY user_id""")
 
-_ITEMS_INLINE = ("SELECT p_partkey AS item_id, p_name || ' (' || CAST(1950 + p_size AS VARCHAR) || ')' AS title, "
-                 "concat_ws('|', p_type, p_brand) AS genres FROM part")
-_OH_SRC = f"""SELECT it.item_id, 'genre_' || replace(replace(gv.genre, ' ', '_'), '-', '_') AS gname,
-       CAST(CASE WHEN contains(it.genres, gv.genre) THEN 1 ELSE 0 END AS BIGINT) AS v
-  FROM ({_ITEMS_INLINE}) it CROSS JOIN
-       (SELECT DISTINCT unnest(string_split(genres, '|')) AS genre FROM ({_ITEMS_INLINE})) gv
- WHERE gv.genre <> '(no genres listed)'"""
-OH_PIVOT = f"(PIVOT ({_OH_SRC}) ON gname USING max(v) GROUP BY item_id)"
-OH_COUNT = f"(SELECT item_id, CAST(sum(v) AS BIGINT) AS item_num_genres FROM ({_OH_SRC}) GROUP BY item_id)"
+_OH = """oh AS (SELECT it.item_id, gv.genre FROM it,
+       (SELECT DISTINCT unnest(string_split(genres, '|')) AS genre FROM it) gv
+ WHERE gv.genre <> '(no genres listed)' AND gv.genre <> '' AND contains(it.genres, gv.genre)),
+ohn AS (SELECT item_id, count(*) AS item_num_genres FROM oh GROUP BY item_id)"""
 
-ORACLE["genre_onehot"] = with_([f"it AS ({ITEMS})"], f"""
-SELECT it.item_id, it.title, ohp.* EXCLUDE (item_id), ohn.item_num_genres
-FROM it JOIN {OH_PIVOT} ohp USING (item_id) JOIN {OH_COUNT} ohn USING (item_id)""")
+ORACLE["genre_onehot"] = with_([f"it AS ({ITEMS})", _OH], """
+SELECT it.item_id, it.title, 'genre_' || replace(replace(oh.genre, ' ', '_'), '-', '_') AS genre_name,
+  coalesce(ohn.item_num_genres, 0) AS item_num_genres
+FROM it LEFT JOIN oh USING (item_id) LEFT JOIN ohn USING (item_id)""")
 
 ORACLE["rank_item_features"] = with_(_TRAIN + [
-    f"it AS ({ITEMS})",
+    f"it AS ({ITEMS})", _OH,
     f"""st AS (SELECT item_id, count(*) AS item_rating_count, avg(rating) AS item_avg_rating,
           coalesce(stddev_samp(rating), 0.0) AS item_rating_std, max(ts) AS l, min(ts) AS f FROM tw GROUP BY item_id)"""], f"""
 SELECT st.item_id, st.item_rating_count, round(st.item_avg_rating, 6) AS item_avg_rating,
@@ -273,10 +269,8 @@ SELECT st.item_id, st.item_rating_count, round(st.item_avg_rating, 6) AS item_av
   round({_days('st.l', 'st.f')}, 6) AS item_active_days,
   CAST(coalesce(CAST(nullif(regexp_extract(it.title, '\\((\\d{{4}})\\)', 1), '') AS INTEGER), 0) AS BIGINT) AS item_year,
   coalesce(ohn.item_num_genres, 0) AS item_num_genres,
-  ohp.* EXCLUDE (item_id),
   CAST(dense_rank() OVER (ORDER BY st.item_rating_count DESC) AS BIGINT) AS item_popularity_rank
-FROM st CROSS JOIN nowt LEFT JOIN it USING (item_id) LEFT JOIN {OH_PIVOT} ohp USING (item_id)
-LEFT JOIN {OH_COUNT} ohn USING (item_id)""")
+FROM st CROSS JOIN nowt LEFT JOIN it USING (item_id) LEFT JOIN ohn USING (item_id)""")
 
 ORACLE["popularity_distribution"] = with_(_KC, f"""
 SELECT item_id, count, round(count / sum(count) OVER (), 6) AS prob, round(count / max(count) OVER (), 6) AS pop_norm
@@ -290,7 +284,7 @@ ORACLE["feature_summary"] = with_(_USER_FEAT + [
     "lng AS (UNPIVOT (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _UF_COLS) +
     " FROM uf) ON " + ", ".join(_UF_COLS) + " INTO NAME feature VALUE v)"], """
 SELECT feature, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min,
-  round(quantile_disc(v, 0.25), 6) AS p25, round(quantile_disc(v, 0.5), 6) AS p50, round(quantile_disc(v, 0.75), 6) AS p75,
+  round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75,
   round(max(v), 6) AS max
 FROM lng GROUP BY feature""")
 
@@ -682,10 +676,10 @@ SELECT experiment_id, variant, exposures, conversions, CAST(effective_conversion
 
 
 def _p_sql(z: str) -> str:
-    x = f"(abs({z}) / sqrt(2.0))"
-    t = f"(1.0 / (1.0 + 0.3275911 * {x}))"
-    return (f"({t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * (-1.453152027 + {t} * 1.061405429))))"
-            f" * exp(-{x} * {x}))")
+    """2 phi(|z|) * integral of exp(-|z| t - t^2 / 2) over t >= 0, by Simpson's rule."""
+    return (f"(SELECT 2 * exp(-{z} * {z} / 2) / sqrt(2 * pi()) * 0.0005 / 3 * sum("
+            f"CASE WHEN i IN (0, 24000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+            f" * exp(-abs({z}) * i * 0.0005 - i * i * 0.000000125)) FROM range(24001) g(i))")
 
 
 _ZT = _STATS + [
@@ -1088,7 +1082,7 @@ SELECT name, requests, failures, round(CASE WHEN span.s > 0 THEN requests / span
 ORACLE["rank_distribution"] = ORACLE["full_ranking_eval"][:ORACLE["full_ranking_eval"].rindex("SELECT CAST(ks.k")] + """
 SELECT CAST(c.cutoff AS BIGINT) AS cutoff, count(*) FILTER (WHERE rnk <= c.cutoff) AS n_within,
   round(count(*) FILTER (WHERE rnk <= c.cutoff) / count(*) * 100.0, 6) AS pct_within, min(rnk) AS min_rank, max(rnk) AS max_rank,
-  round(avg(rnk), 6) AS mean_rank, round(quantile_disc(CAST(rnk AS DOUBLE), 0.5), 6) AS median_rank
+  round(avg(rnk), 6) AS mean_rank, round(quantile_cont(CAST(rnk AS DOUBLE), 0.5), 6) AS median_rank
 FROM ranks, (VALUES (1), (3), (5), (10), (20), (50), (100), (200)) c(cutoff) GROUP BY c.cutoff"""
 
 

@@ -95,3 +95,32 @@ def strictly_greater_count(values: DataFrame, value_col: str, out_col: str = "n_
         value_col,
         F.coalesce(F.sum("_n").over(W.orderBy(F.col(value_col).desc()).rowsBetween(W.unboundedPreceding, -1)),
                    F.lit(0)).cast("bigint").alias(out_col))
+
+
+def group_quantiles(df: DataFrame, key: str, value: str, probs: dict) -> DataFrame:
+    """Exact interpolated quantiles per group: key + one column per entry of ``probs`` (name -> p).
+
+    Equal values are counted first; the counts are summed over range partitions of
+    (key, value), so neither a hot key nor a hot value becomes one task.  The value at
+    position (n - 1) p lies between two neighbours of that order; nulls take no part.
+    """
+    c = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
+    at = global_position(c, [key, value], pos_col="_pos", keep_pid=True)
+    per = at.groupBy(key, "_pid").agg(F.sum("_c").alias("_t"))
+    n = per.groupBy(key).agg(F.sum("_t").alias("_n"))
+    # One row per (key, partition).
+    before = per.select(key, "_pid", F.coalesce(F.sum("_t").over(
+        W.partitionBy(key).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    local = F.sum("_c").over(W.partitionBy(key, "_pid").orderBy("_pos").rowsBetween(W.unboundedPreceding, W.currentRow))
+    run = (at.withColumn("_hi", local).join(before, [key, "_pid"]).join(n, key)
+           .withColumn("_hi", F.col("_hi") + F.col("_before")).withColumn("_lo", F.col("_hi") - F.col("_c")))
+    aggs = []
+    for name, p in probs.items():
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        for side, pos in (("a", F.floor(h)), ("b", F.ceil(h))):
+            held = (pos >= F.col("_lo")) & (pos < F.col("_hi"))
+            aggs.append(F.max(F.when(held, F.col(value))).alias(f"_{name}_{side}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_{name}_f"))
+    out = run.groupBy(key).agg(*aggs)
+    return out.select(key, *[(F.col(f"_{x}_a") + (F.col(f"_{x}_b") - F.col(f"_{x}_a")) * F.col(f"_{x}_f")).alias(x)
+                             for x in probs])

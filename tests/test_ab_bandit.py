@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from kestrel.functions.scalar import two_sided_p_py
+from kestrel.functions.scalar import two_sided_p
 from kestrel.operators import experiment as ab, bandit as bd
 from kestrel.sources.adapters import experiments
 
@@ -49,8 +49,13 @@ def test_z_test_significance(spark):
     diff = ab.z_test(_stats(spark, 1000, 50, 1000, 150), cfg).collect()[0]
     assert diff["is_significant"] and diff["decision"] == "deploy_treatment"
     p = diff["p_value"]
-    assert abs(p - math.erfc(abs(diff["z"]) / math.sqrt(2))) < 2e-7
-    assert abs(two_sided_p_py(1.96) - 0.05) < 1e-3
+    assert abs(p - math.erfc(abs(diff["z"]) / math.sqrt(2))) < 1e-12
+
+
+@pytest.mark.parametrize("z", [0.0, 1e-6, 0.5, 1.96, 2.8, 2.9, 5.5, 8.0, -10.0, 30.0])
+def test_normal_tail_relative_error(spark, z):
+    p = spark.range(1).select(two_sided_p(F.lit(z)).alias("p")).collect()[0]["p"]
+    assert p == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), rel=1e-12)
 
 
 def test_ci_brackets_ctr_and_caps(spark):

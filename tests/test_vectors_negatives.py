@@ -1,7 +1,9 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from kestrel.operators import vectors as vx, negatives as ng
+from kestrel.operators import evaluation, features, vectors as vx, negatives as ng
+from kestrel.plans.ordering import group_quantiles
 
 
 def _vecs(spark, n, d=8, seed=0, ties=False):
@@ -61,3 +63,47 @@ def test_popularity_negatives_follow_counts(spark):
     negs = ng.popularity(keys, none_seen, cdf, n=10, seed=1, n_buckets=7)
     share = negs.where("item_id = 1").count() / negs.count()
     assert 0.85 < share < 0.95
+
+
+def test_negatives_finish_for_users_who_have_seen_nearly_all(spark):
+    items = spark.range(1, 501).select(F.col("id").alias("item_id"))
+    seen = items.where("item_id <> 137").selectExpr("1L AS user_id", "item_id").unionByName(
+        items.where("item_id NOT IN (1, 250, 500)").selectExpr("2L AS user_id", "item_id"))
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "user_id long")
+    got = ng.uniform(keys, seen, items, 3, rounds=1).collect()
+    assert sorted(r["user_id"] for r in got) == [1, 1, 1, 2, 2, 2, 3, 3, 3]
+    assert {r["item_id"] for r in got if r["user_id"] == 1} == {137}
+    assert {r["item_id"] for r in got if r["user_id"] == 2} <= {1, 250, 500}
+    distinct = ng.uniform(keys, seen, items, 3, rounds=1, replace=False).collect()
+    assert sorted(r["item_id"] for r in distinct if r["user_id"] == 2) == [1, 250, 500]
+    assert [r["item_id"] for r in distinct if r["user_id"] == 1] == [137]
+    cdf = ng.popularity_cdf(items.unionByName(items.where("item_id % 2 = 0")))
+    weighted = ng.popularity(keys, seen, cdf, 3, rounds=1).collect()
+    assert sorted(r["user_id"] for r in weighted) == [1, 1, 1, 2, 2, 2, 3, 3, 3]
+    assert {r["item_id"] for r in weighted if r["user_id"] == 1} == {137}
+    assert {r["item_id"] for r in weighted if r["user_id"] == 2} <= {1, 250, 500}
+
+
+def test_negatives_raise_without_unseen_items(spark):
+    items = spark.range(1, 6).select(F.col("id").alias("item_id"))
+    seen = items.selectExpr("1L AS user_id", "item_id")
+    with pytest.raises(Exception, match="no unseen item"):
+        ng.uniform(seen.select("user_id").distinct(), seen, items, 2, rounds=1).collect()
+
+
+def test_group_quantiles_and_median_interpolate(spark):
+    rows = [("a", float(v)) for v in (1, 2, 3, 4)] + [("b", 5.0), ("c", None)] + [("d", 1.0)] * 5 + [("d", 9.0)]
+    got = {r["g"]: (r["q"], r["m"]) for r in group_quantiles(
+        spark.createDataFrame(rows, "g string, v double"), "g", "v", {"q": 0.25, "m": 0.5}).collect()}
+    assert got == {"a": (1.75, 2.5), "b": (5.0, 5.0), "d": (1.0, 1.0)}
+    ranks = spark.createDataFrame([(r,) for r in (1, 2, 3, 4)], "rank long")
+    assert evaluation.metric_bundle(ranks).first()["median_rank"] == 2.5
+
+
+def test_long_genres_keep_the_substring_rule(spark):
+    items = spark.createDataFrame([(1, "A", "War|Sci-Fi"), (2, "B", "Warhammer"), (3, "C", "(no genres listed)")],
+                                  "item_id long, title string, genres string")
+    got = {(r["item_id"], r["genre"]) for r in features.item_genres_long(items).collect()}
+    assert got == {(1, "War"), (1, "Sci-Fi"), (2, "War"), (2, "Warhammer")}
+    assert {(r["item_id"], r["genre_name"], r["item_num_genres"]) for r in features.genre_onehot(items).collect()} == {
+        (1, "genre_War", 2), (1, "genre_Sci_Fi", 2), (2, "genre_War", 2), (2, "genre_Warhammer", 2), (3, None, 0)}
