@@ -177,6 +177,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOL
     with its smallest doc_id are kept.  A null doc_id is never a component's id
     unless the component has no other.  Extra columns are ignored.
     """
+    return _placed(docs, words, percent, bands, rows).drop("_c")
+
+
+def _placed(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD,
+            bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``near_duplicates`` plus ``_c``, the component's own key (null without words): a
+    component_id is a doc_id, which unlinked texts may share."""
     scratch = Scratch(docs.sparkSession)
     own = docs.select(*columns(docs, "doc_id", "text")).withColumn("th", F.xxhash64("text"))
     signed = scratch.write(signatures(own.select("doc_id", "th", "text"), words, bands, rows))
@@ -199,18 +206,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOL
     return (placed.join(least, "_c", "left")
             .withColumn("component_id", F.when(F.col("_c").isNull(), F.col("doc_id")).otherwise(F.col("_least")))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select("doc_id", "th", "n_shingles", "component_id", "kept"))
+            .select("doc_id", "th", "n_shingles", "component_id", "kept", "_c"))
 
 
 def near_duplicate_stage(docs: DataFrame, **how) -> DataFrame:
     """One document of every near-duplicate group, with its own columns.
 
-    Of repeated rows with the kept doc_id one stays; documents without words all stay."""
-    verdicts = Scratch(docs.sparkSession).write(near_duplicates(docs, **how))
-    keep = verdicts.where("kept").groupBy("doc_id", "th", "component_id").agg(
+    Of repeated rows with the kept doc_id one stays; documents without words all stay.
+    Unlinked texts with one doc_id, null included, are groups of their own."""
+    verdicts = Scratch(docs.sparkSession).write(_placed(docs, **how))
+    keep = verdicts.where("kept").groupBy("doc_id", "th", "_c").agg(
         F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("n_shingles"))
     # Rows of one (doc_id, text) are alike in what this operator reads; the first of them stays.
-    one = (keep.where("n_shingles > 0").groupBy("component_id").agg(F.min("th").alias("_t"), F.first("doc_id").alias("_d"),
+    one = (keep.where("n_shingles > 0").groupBy("_c").agg(F.min("th").alias("_t"), F.first("doc_id").alias("_d"),
                                                                   F.sum("n").alias("_n"))
            .select("_d", "_t", "_n", F.lit(False).alias("_blank"))
            .unionByName(keep.where("n_shingles = 0").select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"),

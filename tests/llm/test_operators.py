@@ -171,6 +171,17 @@ def test_near_duplicates_repeats_and_stage(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicate_stage_keeps_unlinked_texts_of_one_id(spark):
+    texts = [" ".join(prose(60, 50 + i, 5000)) for i in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " tail"), (None, texts[1]), (7, texts[2]), (7, texts[3]),
+            (7, texts[3]), (3, texts[4]), (None, texts[4]), (7, texts[5]), (8, texts[5]), (None, None), (None, None)]
+    got = [(r.doc_id, r.text) for r in minhash.near_duplicate_stage(frame(spark, rows)).collect()]
+    pair = [x for x in got if x[1] in (texts[1], texts[1] + " tail")]
+    assert len(pair) == 1 and pair[0][0] is None
+    want = [(None, texts[0]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (7, texts[5]), (None, None), (None, None)]
+    assert sorted((x for x in got if x not in pair), key=str) == sorted(want, key=str)
+
+
 def test_min_max_estimates_jaccard():
     r = np.random.default_rng(0)
     a = r.integers(0, 2**63, 1000).astype(np.uint64)
