@@ -74,6 +74,24 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     check_packing(out.collect(), [(r.doc_id, r.text) for r in given], (512, 1024, 2048, 4096))
 
 
+def test_near_duplicate_stage_at_80_percent(spark):
+    """Three far-apart substitutions in 180 words leave a similarity of 0.80 to 0.85."""
+    import corpus_pipeline
+    rows = []
+    for g in range(12):
+        base = prose(180, 700 + g, 5000)
+        for copy in range(2):
+            text = list(base)
+            for k in range((3 + g % 2) * copy):
+                text[20 + 40 * k] = f"new{g}x{k}"
+            rows.append((10 * g + copy, " ".join(text), "en", "a", 0))
+    got = {r.doc_id for r in corpus_pipeline.minhash_dedup(spark, frame(spark, rows, DOC), None).collect()}
+    docs = [(r[0], r[1]) for r in rows]
+    want = {c for _, c in brute.near_duplicates(docs, 80).values()}
+    assert got == want
+    assert len(want) < len({c for _, c in brute.near_duplicates(docs, 85).values()})
+
+
 def test_run_on_documents(spark):
     import corpus_pipeline
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
