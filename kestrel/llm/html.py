@@ -5,7 +5,7 @@ text into blocks, which take the place of lines.  Each block has a text-to-tag
 ratio; the ratios are smoothed along the page with a Gaussian, and a threshold
 at a share of their mean clusters blocks into content and other blocks.  Blocks
 inside menus, footers, sidebars, notices, adverts, forms and comments never
-count.  The content region is the container (article, main, else the body) that
+count, unless a labelled element holds half of the page's text or an article.  The content region is the container (article, main, else the body) that
 holds most content text; an article is taken whole, so its short paragraphs and
 headings stay, while in a bare body only the blocks in or between content
 clusters are taken.
@@ -28,6 +28,13 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
 HIDDEN = frozenset("""script style noscript template iframe object svg math canvas audio video select button textarea
     head title datalist""".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog search".split())
+#: Elements in which even an article or main is no content.
+HARD = frozenset("nav footer aside menu dialog search".split())
+HARD_ROLES = frozenset("navigation contentinfo complementary".split())
+#: So are classes and ids that begin with these.
+HARD_LABELS = frozenset("comment comments respond disqus related recommended".split())
+#: A start tag of these ends an open p.
+ENDS_P = BLOCKS - frozenset("body html caption legend tbody td tfoot th thead tr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A new start tag (key) ends an open one (value) of the same list or table.
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -44,41 +51,46 @@ _SPACE = re.compile(r"\s+")
 _LABEL = re.compile(r"[A-Za-z]+")
 
 
-def _is_boilerplate(tag: str, attrs, in_container: bool) -> bool:
-    if tag in BOILERPLATE or tag == "header" and not in_container:
-        return True
+def _is_boilerplate(tag: str, attrs, in_container: bool) -> int:
+    """0: no, 1: by a label, a form or a header, 2: also for an article inside."""
+    found = 2 if tag in HARD else int(tag in BOILERPLATE or tag == "header" and not in_container)
     for name, value in attrs:
         if name in ("class", "id") and value and tag not in ("body", "html", *CONTAINERS):
             for part in value.split():
                 # Names such as "ad-slot" or "page_footer" count; words inside longer ones do not.
-                if any(w.lower() in LABELS for w in _LABEL.findall(part)):
-                    return True
+                names = [w.lower() for w in _LABEL.findall(part)]
+                if any(w in LABELS for w in names):
+                    found = max(found, 2 if names[0] in HARD_LABELS else 1)
         elif name == "role" and value and value.strip().lower() in ROLES:
-            return True
+            found = max(found, 2 if value.strip().lower() in HARD_ROLES else 1)
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-    return False
+            found = 2
+    return found
 
 
 class PageParser(HTMLParser):
-    """Collects (text, tags, container, boilerplate) per block of a page."""
+    """Collects (text, tags, container, hard, label) per block of a page.
+
+    ``hard`` blocks are boilerplate.  ``label`` is the innermost labelled element around
+    a block (0: none), whose parent in ``outer`` is the next one."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, hidden, boilerplate, container
+        self.blocks: list[tuple[str, int, int, bool, int]] = []
+        self.open: list[tuple[str, bool, bool, int, int]] = []  # tag, hidden, hard, container, label
+        self.outer = [0]
         self.parts: list[str] = []
         self.tags = 0
         self.containers = 0
 
     def _state(self):
-        return self.open[-1] if self.open else ("", False, False, 0)
+        return self.open[-1] if self.open else ("", False, False, 0, 0)
 
     def cut(self):
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            _, _, boilerplate, container = self._state()
-            self.blocks.append((text, self.tags, container, boilerplate))
+            _, _, hard, container, label = self._state()
+            self.blocks.append((text, self.tags, container, hard, label))
             self.tags = 0
         self.parts = []
 
@@ -88,6 +100,13 @@ class PageParser(HTMLParser):
         elif tag == "br":
             self.parts.append(" ")
         self.tags += 1
+        if tag in ENDS_P:
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] == "p":
+                    del self.open[k:]
+                    break
+                if self.open[k][0] in BLOCKS:
+                    break
         if tag in VOID:
             return
         if tag in IMPLIED:
@@ -97,12 +116,17 @@ class PageParser(HTMLParser):
                     break
                 if self.open[k][0] in SCOPES:
                     break
-        _, hidden, boilerplate, container = self._state()
-        boilerplate = boilerplate or _is_boilerplate(tag, attrs, container > 0)
+        _, hidden, hard, container, label = self._state()
+        kind = _is_boilerplate(tag, attrs, container > 0)
+        hard = hard or kind == 2
         if tag in CONTAINERS:
             self.containers += 1
             container = self.containers
-        self.open.append((tag, hidden or tag in HIDDEN, boilerplate, container))
+            label = 0  # a label around an article is the layout's
+        if kind == 1:
+            self.outer.append(label)
+            label = len(self.outer) - 1
+        self.open.append((tag, hidden or tag in HIDDEN, hard, container, label))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -123,6 +147,22 @@ class PageParser(HTMLParser):
             self.parts.append(data)
 
 
+def labelled(blocks, outer: list[int]) -> np.ndarray:
+    """Whether each block is boilerplate: hard, or inside a labelled element that does not
+    hold half of the page's other text; one that does is a layout wrapper."""
+    mass = [0] * len(outer)
+    for text, _, _, hard, label, *_ in blocks:
+        mass[label] += 0 if hard else len(text)
+    total = sum(mass)
+    for k in range(len(outer) - 1, 0, -1):
+        if outer[k]:
+            mass[outer[k]] += mass[k]
+    counts = [False] * len(outer)
+    for k in range(1, len(outer)):
+        counts[k] = 2 * mass[k] < total or counts[outer[k]]
+    return np.array([b[3] or counts[b[4]] for b in blocks], bool)
+
+
 def smooth(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     """Gaussian smoothing along the page; the kernel is cut at three sigma and renormalised at the ends."""
     if not len(ratios):
@@ -145,7 +185,7 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
     if not blocks:
         return ""
     size = np.array([len(b[0]) for b in blocks], float)
-    boilerplate = np.array([b[3] for b in blocks])
+    boilerplate = labelled(blocks, parser.outer)
     ratio = np.where(boilerplate, 0.0, size / np.maximum(1, [b[1] for b in blocks]))
     even = smooth(ratio, sigma)
     content = (even >= share * even.mean()) & ~boilerplate

@@ -113,6 +113,19 @@ def test_html_edges(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("wrap", ['<div class="layout has-sidebar">%s</div>', '<div class="no-ads">%s</div>',
+                                  '<div id="page-with-comments">%s</div>', '<form action="/x.aspx">%s</form>'])
+@pytest.mark.parametrize("inner", ["<article><p>First part.</p><p>Second part.</p></article>",
+                                   "<div><p>First part.</p><p>Second part.</p></div>"])
+def test_html_layout_wrappers(wrap, inner):
+    assert html.main_text(wrap % ('<div class="sidebar">Side.</div>' + inner)) == "First part.\nSecond part."
+
+
+def test_html_labels_still_count():
+    assert html.main_text('<div class="comments"><article><p>Me too, a long comment.</article></div><article>x</article>') == "x"
+    assert html.main_text('<article><p class="notice">Note.<p>Text one.<div>Text two.</div></article>') == "Text one.\nText two."
+
+
 def test_html_frame(spark):
     rows = [(1, "u", PAGE), (2, None, None), (2, None, None), (3, "v", "<article><p>" + "long " * 100_000)]
     df = frame(spark, rows, "page_id bigint, url string, html string").selectExpr("*", "1 AS text")
