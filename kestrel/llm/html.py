@@ -6,9 +6,10 @@ ratio; the ratios are smoothed along the page with a Gaussian, and a threshold
 at a share of their mean clusters blocks into content and other blocks.  Blocks
 inside menus, footers, sidebars, notices, adverts, forms and comments never
 count, unless a labelled element holds half of the page's text or an article.  The content region is the container (article, main, else the body) that
-holds most content text; an article is taken whole, so its short paragraphs and
-headings stay, while in a bare body only the blocks in or between content
-clusters are taken.
+holds most content text, with all that hold half as much or more; an article is
+taken whole, so its short paragraphs and headings stay, while in a bare body the
+blocks in or between content clusters are taken, and the headings and paragraphs
+beside them under the same parent.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ LABELS = frozenset("""ad ads advert adverts advertisement advertising adsense ba
     copyright skip""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 CONTAINERS = frozenset(["article", "main"])
+#: Blocks that extend a body region beside them.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
+COMPARABLE = 0.5  # share of the heaviest container's content
 _SPACE = re.compile(r"\s+")
 _LABEL = re.compile(r"[A-Za-z]+")
 
@@ -69,28 +73,31 @@ def _is_boilerplate(tag: str, attrs, in_container: bool) -> int:
 
 
 class PageParser(HTMLParser):
-    """Collects (text, tags, container, hard, label) per block of a page.
+    """Collects (text, tags, container, hard, label, block tag, parent) per block of a page.
+
+    Nested containers have the outermost one's number.
 
     ``hard`` blocks are boilerplate.  ``label`` is the innermost labelled element around
     a block (0: none), whose parent in ``outer`` is the next one."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int, bool, int]] = []
-        self.open: list[tuple[str, bool, bool, int, int]] = []  # tag, hidden, hard, container, label
+        self.blocks: list[tuple[str, int, int, bool, int, str, int]] = []
+        self.open: list[tuple] = []  # tag, hidden, hard, container, label, block tag, block, parent
         self.outer = [0]
         self.parts: list[str] = []
         self.tags = 0
         self.containers = 0
+        self.elements = 0
 
     def _state(self):
-        return self.open[-1] if self.open else ("", False, False, 0, 0)
+        return self.open[-1] if self.open else ("", False, False, 0, 0, "", 0, 0)
 
     def cut(self):
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            _, _, hard, container, label = self._state()
-            self.blocks.append((text, self.tags, container, hard, label))
+            _, _, hard, container, label, block, _, parent = self._state()
+            self.blocks.append((text, self.tags, container, hard, label, block, parent))
             self.tags = 0
         self.parts = []
 
@@ -116,17 +123,21 @@ class PageParser(HTMLParser):
                     break
                 if self.open[k][0] in SCOPES:
                     break
-        _, hidden, hard, container, label = self._state()
+        _, hidden, hard, container, label, block, at, parent = self._state()
         kind = _is_boilerplate(tag, attrs, container > 0)
         hard = hard or kind == 2
         if tag in CONTAINERS:
-            self.containers += 1
-            container = self.containers
+            if not container:
+                self.containers += 1
+                container = self.containers
             label = 0  # a label around an article is the layout's
         if kind == 1:
             self.outer.append(label)
             label = len(self.outer) - 1
-        self.open.append((tag, hidden or tag in HIDDEN, hard, container, label))
+        if tag in BLOCKS:
+            self.elements += 1
+            block, at, parent = tag, self.elements, at
+        self.open.append((tag, hidden or tag in HIDDEN, hard, container, label, block, at, parent))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -194,14 +205,30 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
     container = np.array([b[2] for b in blocks])
     mass = np.bincount(container, weights=np.where(content, size, 0.0))
     if len(mass) > 1 and mass[1:].max() > 0:
-        # The heaviest article or main; siblings of comparable kind are other articles' teasers.
-        take = (container == 1 + int(np.argmax(mass[1:]))) & ~boilerplate
+        # Every article or main of comparable mass; one repeated word for word counts once.
+        mass[0] = 0
+        heavy = mass >= COMPARABLE * mass.max()
+        members: dict[int, list[int]] = {}
+        for i in np.flatnonzero(heavy[container] & ~boilerplate):
+            members.setdefault(int(container[i]), []).append(i)
+        take = np.zeros(len(blocks), bool)
+        for own in {tuple(blocks[i][0] for i in m): m for m in reversed(members.values())}.values():
+            take[own] = True
     else:
         # Smoothing lifts the neighbours of a region; it begins and ends with blocks that stand out themselves.
         at = np.flatnonzero(content & (ratio >= share * even.mean()))
         take = ~boilerplate
         if len(at):
-            take[:at[0]] = take[at[-1] + 1:] = False
+            first, last = at[0], at[-1]
+            parents = {b[6] for b, t in zip(blocks[first:last + 1], take[first:last + 1]) if t}
+
+            def beside(i):
+                return 0 <= i < len(blocks) and take[i] and blocks[i][5] in PROSE and blocks[i][6] in parents
+            while beside(first - 1):
+                first -= 1
+            while beside(last + 1):
+                last += 1
+            take[:first] = take[last + 1:] = False
     return "\n".join(b[0] for b, t in zip(blocks, take) if t)
 
 

@@ -126,6 +126,23 @@ def test_html_labels_still_count():
     assert html.main_text('<article><p class="notice">Note.<p>Text one.<div>Text two.</div></article>') == "Text one.\nText two."
 
 
+def test_html_containers():
+    assert html.main_text("<main><h1>Title</h1><p>Lead</p><article><p>Body text.</p></article></main>") == "Title\nLead\nBody text."
+    parts = [f"Part {i} with some text." for i in range(3)]
+    assert html.main_text("".join(f"<article><p>{x}</p></article>" for x in parts)) == "\n".join(parts)
+    nested = "<article><p>Outer.</p><article><p>Inner one.</p></article><article><p>Inner two.</p></article></article>"
+    assert html.main_text(nested) == "Outer.\nInner one.\nInner two."
+    assert html.main_text(f"<article><p>{'Long text. ' * 20}</p></article><article><p>Teaser</p></article>").count("\n") == 0
+
+
+def test_html_body_keeps_short_ends():
+    long = "A long sentence of the text. " * 20
+    menu = "".join(f"<li><a href=/{i}>m{i}</a></li>" for i in range(30))
+    page = f"<body><ul>{menu}</ul><div><h1>Hi</h1><p>Lead.</p>" + f"<p>{long}</p>" * 4 + f"<p>End.</p></div><ul>{menu}</ul></body>"
+    got = html.main_text(page).split("\n")
+    assert got[:2] == ["Hi", "Lead."] and got[-1] == "End." and len(got) == 7
+
+
 def test_html_frame(spark):
     rows = [(1, "u", PAGE), (2, None, None), (2, None, None), (3, "v", "<article><p>" + "long " * 100_000)]
     df = frame(spark, rows, "page_id bigint, url string, html string").selectExpr("*", "1 AS text")
