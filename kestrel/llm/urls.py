@@ -59,17 +59,18 @@ def split_url(df: DataFrame, url: str, to: str = "") -> DataFrame:
 
 
 def link_targets(pages: DataFrame) -> DataFrame:
-    """``pages(url, html)`` -> (url, to): the absolute target of each page's canonical link, else
-    of its refresh redirect."""
+    """``pages(url, html)`` -> (url, to): the absolute targets of all canonical links and refresh
+    redirects of each page."""
     target = F.col("_target")
     origin = F.regexp_extract("url", r"^([^:/?#]+://[^/?#]*)", 1)
     folder = F.regexp_extract("url", r"^([^:/?#]+://[^/?#]+/(?:[^?#]*/)?)", 1)
     return (pages.where(F.col("html").isNotNull() & F.col("url").contains("://"))
-            .withColumn("_link", F.regexp_extract("html", CANONICAL, 0))
-            .withColumn("_meta", F.regexp_extract("html", REFRESH, 0))
-            .where("_link != '' OR _meta != ''")
-            .withColumn("_target", F.when(F.regexp_extract("_link", HREF, 1) != "", F.regexp_extract("_link", HREF, 1))
-                        .otherwise(F.regexp_extract("_meta", REFRESH_URL, 1)))
+            .withColumn("_links", F.regexp_extract_all("html", F.lit(CANONICAL), F.lit(0)))
+            .withColumn("_metas", F.regexp_extract_all("html", F.lit(REFRESH), F.lit(0)))
+            .where("size(_links) > 0 OR size(_metas) > 0")
+            .withColumn("_target", F.explode(F.array_distinct(F.concat(
+                F.transform("_links", lambda x: F.regexp_extract(x, HREF, 1)),
+                F.transform("_metas", lambda x: F.regexp_extract(x, REFRESH_URL, 1))))))
             .where("_target != ''")
             .select("url", F.when(target.contains("://"), target)
                     .when(target.startswith("//"), F.concat(F.regexp_extract("url", r"^([^:/?#]+):", 1), F.lit(":"), target))

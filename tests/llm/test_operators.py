@@ -87,6 +87,14 @@ def test_urls_rules_and_aliases(spark):
     assert urls.url_verdicts(df.limit(0)).count() == 0
 
 
+def test_urls_all_edges_of_a_page(spark):
+    refresh = '<meta http-equiv="refresh" content="0; url=http://x.net/fr/%d">'
+    rows = [(1, "http://a.org/1", link("http://a.org/1") + refresh % 1), (2, "http://b.org/1", link("http://b.org/1") + link("/2")),
+            (3, "http://b.org/2", refresh % 2), (4, "http://c.org/1", link("http://c.org/1"))]
+    df = frame(spark, rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.verdict for r in urls.url_verdicts(df).collect()} == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 # ------------------------------------------------------------------ 2 HTML
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>x";</script></head><body>
 <nav><ul><li><a href=/a>Home</a><li><a href=/b>About</a></ul></nav><div class="ad">Buy this now, it is a long advert.</div>
