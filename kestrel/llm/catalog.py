@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import html, knn, langid, licenses, linededup, minhash, mixing, packing, quality, urls
+from kestrel.llm import (covertree, html, knn, langid, licenses, linededup, minhash, mixing, packing,
+                          partenum, quality, runs, urls)
 from kestrel.llm.sql import ORACLE
 from kestrel.sources.tables import table
 
@@ -29,6 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": _over("documents", langid.language_query),
     "op9_source_mixing": _over("documents", mixing.mix_query),
     "op10_best_fit_packing": _over("documents", packing.pack_query),
+    "op11_periodic_runs": _over("documents", runs.runs_query),
+    "op12_hard_negatives": _over("embeddings", covertree.negatives_query),
+    "op13_ngram_jaccard_join": _over("documents", partenum.jaccard_query),
 }
 
 __all__ = ["ORACLE", "QUERIES"]

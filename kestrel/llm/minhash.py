@@ -100,7 +100,7 @@ def _fingerprints(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return out[0], out[1]
 
 
-def _class_key(values, offsets) -> pa.Array:
+def class_key(values, offsets) -> pa.Array:
     a, b = _fingerprints(values, offsets)
     raw = np.stack([a, b], axis=1).astype(">u8").tobytes()
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(a), [None, pa.py_buffer(raw)]).cast(pa.binary())
@@ -121,7 +121,7 @@ def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: in
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * bands),
                                                  _int64(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["th"], pa.array(np.diff(offsets)), _class_key(sets, offsets), lists],
+                    [part["doc_id"], part["th"], pa.array(np.diff(offsets)), class_key(sets, offsets), lists],
                     names=["doc_id", "th", "n_shingles", "class", "bands"])
     return docs.mapInArrow(run, "doc_id bigint, th bigint, n_shingles bigint, class binary, bands array<bigint>")
 

@@ -2,7 +2,7 @@
 the operators compute it: pairs come from plain joins on shared words, alias classes and groups
 from recursive reachability, water levels from a self-join of the sources.
 
-Left out: op2 (a parser), op8 (a trained filter) and op10 (sequential best fit).
+Left out: op2 (a parser), op8 (a trained filter), op10 (sequential best fit) and op11 (runs by their crc32 tails).
 """
 
 from __future__ import annotations
@@ -76,12 +76,15 @@ FROM judged j LEFT JOIN ruled r ON j.host = r.host AND j.path = r.path AND j.key
 LEFT JOIN spread s ON s.alias = r.alias
 """
 
-NEAR_DUPLICATES = rf"""
+def _near(words: int, columns: str) -> str:
+    """Components of links at 85 percent over ``words``-word shingles; ``component`` is each one's id."""
+    later = ", ".join(f"lead(w, {i}) OVER o" for i in range(1, words))
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {_words(_lower("coalesce(text, '')"))} AS ws FROM documents),
 word AS (SELECT doc_id, len(ws) AS n, unnest(range(len(ws))) AS p, unnest(ws) AS w FROM w),
-five AS (SELECT doc_id, n, p, hash([w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o]) AS sh
+five AS (SELECT doc_id, n, p, hash([w, {later}]) AS sh
   FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
-found AS (SELECT DISTINCT doc_id, sh FROM five WHERE p < greatest(1, n - 4)),
+found AS (SELECT DISTINCT doc_id, sh FROM five WHERE p < greatest(1, n - {words - 1})),
 sets AS (SELECT w.doc_id, coalesce(list(sh ORDER BY sh) FILTER (WHERE sh IS NOT NULL), []) AS s
   FROM w LEFT JOIN found ON found.doc_id = w.doc_id GROUP BY w.doc_id),
 class AS (SELECT s, min(doc_id) AS c, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
@@ -90,12 +93,16 @@ links AS (SELECT a.c AS x, b.c AS y FROM items a JOIN items b
     ON a.sh = b.sh AND a.c <> b.c AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
   GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
 reach(x, y) AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
-groups AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
-SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(least(c, y), c, doc_id) AS component_id,
-  doc_id = coalesce(least(c, y), c, doc_id) AS kept
-FROM sets LEFT JOIN class ON sets.s = class.s LEFT JOIN groups ON x = c
+groups AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+placed AS (SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(least(c, y), c, doc_id) AS component
+  FROM sets LEFT JOIN class ON sets.s = class.s LEFT JOIN groups ON x = c)
+SELECT {columns} FROM placed
 """
 
+
+NEAR_DUPLICATES = _near(5, "doc_id, n_shingles, component AS component_id, doc_id = component AS kept")
+NGRAM_JOIN = _near(4, "doc_id, n_shingles, component AS component_id")
+
 LINES = rf"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT rid, doc_id, unnest(range(len(ls))) AS line, unnest(ls) AS t FROM d WHERE text IS NOT NULL),
@@ -173,6 +180,23 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 10
 """
 
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(CAST(x AS DOUBLE) * 256) for x in embedding] AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_inner_product(a.vec, c.vec) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positive AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER)
+    AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 MIX = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size,
     len(regexp_extract_all(t, '[#*$%&|<>!]')) AS symbols,
@@ -205,4 +229,6 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": LICENCES,
     "op7_topk_search": TOP_K,
     "op9_source_mixing": MIX,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_ngram_jaccard_join": NGRAM_JOIN,
 }

@@ -88,3 +88,16 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool =
         out[i:j] = (sums[e] - sums[s]) * inverse[s]
         i = j
     return fmix(out ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
+
+
+def pieces(batch: pa.RecordBatch, column: str, size: int = 1 << 22):
+    """Slices of a batch that hold about ``size`` bytes of ``column`` each (a longer text is one slice),
+    so that what a task builds from one of them is bounded by the longest text."""
+    sizes = np.diff(utf8(batch[column])[1])
+    at = np.cumsum(sizes)
+    lo = 0
+    while lo < len(batch):
+        hi = max(lo + 1, int(np.searchsorted(at, (at[lo - 1] if lo else 0) + size, side="right")))
+        hi = min(hi, lo + 2000)
+        yield batch.slice(lo, hi - lo)
+        lo = hi

@@ -81,3 +81,46 @@ def top_k(vectors, every=100, k=10):
         found = sorted(((-sum(a * b for a, b in zip(vectors[q], vectors[x])), x) for x in vectors if x != q))[:k]
         out += [(q, r, x, -s) for r, (s, x) in enumerate(found, 1)]
     return out
+
+
+def runs(w, shortest=6, periods=4):
+    """Words -> sorted (start, length, period): every stretch is extended by hand, smallest period wins."""
+    found = {}
+    for q in range(1, len(w) // periods + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            size = j + q - i
+            if size >= max(shortest, periods * q):
+                found[i, size] = min(q, found.get((i, size), q))
+            i = j + 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def hard_negatives(rows, positives=5, negatives=10):
+    """rows: (vec_id, label, ints) with distinct ids -> set of result rows; anchors are divisible by 100."""
+    out = set()
+    for a, label, x in rows:
+        if a % 100:
+            continue
+        every = sorted((-sum(p * q for p, q in zip(x, y)), v, same) for v, other, y in rows if v != a
+                       for same in (other == label,))
+        for s, p, _ in [r for r in every if r[2]][:positives]:
+            fit = [r for r in every if not r[2] and 30 * -s <= 100 * -r[0] <= 90 * -s][:negatives]
+            out |= {(a, p, i, v, -s, -t) for i, (t, v, _) in enumerate(fit, 1)}
+    return out
+
+
+def jaccard_components(docs, percent=85, n=4):
+    """docs: (doc_id, text) with distinct ids -> {doc_id: (n_shingles, component_id)}."""
+    sets = {d: shingles(t, n) for d, t in docs}
+    ids = sorted(sets)
+    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    label = components(ids, pairs)
+    return {d: (len(sets[d]), label[d]) for d in ids}

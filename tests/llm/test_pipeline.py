@@ -5,7 +5,7 @@ import pytest
 from tests.llm import brute
 from tests.llm.test_operators import DOC, check_packing, frame, prose, water
 
-ROOT_QUERIES = ["pipeline"] + [f"op{n}_" for n in range(1, 11)]
+ROOT_QUERIES = ["pipeline"] + [f"op{n}_" for n in range(1, 14)]
 
 
 def test_queries_registered():
