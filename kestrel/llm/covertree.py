@@ -32,11 +32,11 @@ PIVOTS = 64            # cells
 SAMPLE = 1024          # rows of the bounded sample: pivots, and a first bound of every search
 BLOCK_ROWS = 4096      # data rows of one tree
 QUERY_ROWS = 4096      # anchors of one task
-FAN_OUT, LEAF = 16, 32
+FAN_OUT, LEAF = 8, 64
 BASE = 1.5             # radii shrink by this from level to level, unless FAN_OUT stops them
-AT_ONCE = 4            # leaves an anchor verifies between two looks at its bounds
-_NONE = np.iinfo(np.int64).min
-_LAST = np.iinfo(np.int64).max
+AT_ONCE = 8            # leaves that a search opens first
+_NONE = -np.iinfo(np.int64).max  # below every score; its negative is a number too
+TOGETHER = 128         # anchors searched at once
 ANY = 1 << 62          # ends of a search without a window
 
 QUERY = "anchor_id bigint, label bigint, vec array<bigint>, windows array<struct<name:bigint,low:bigint,high:bigint>>"
@@ -112,10 +112,16 @@ class CoverTree:
                     who[closer] = len(centres)
                     near = np.minimum(near, d)
                     centres.append(new)
+                if len(centres) == fan_out and 4 * np.bincount(who).max() > 3 * len(some):
+                    # Only outliers were parted from a round cloud: cut it into shells around the centre.
+                    who = np.empty(len(some), np.int64)
+                    who[np.argsort(far, kind="stable")] = np.arange(len(some)) * fan_out // len(some)
+                    centres = [int(some[who == i][0]) for i in range(fan_out)]
                 for i, c in enumerate(centres):
                     mine = who == i
                     if mine.any():
-                        below.append((c, some[mine], near[mine], number))
+                        exact = np.sqrt(((points[some[mine]] - points[c]) ** 2).sum(axis=1))
+                        below.append((c, some[mine], exact, number))
             todo = below
 
 
@@ -125,11 +131,9 @@ class Search:
     def __init__(self, x: np.ndarray, ids: np.ndarray, labels: np.ndarray, largest: float):
         self.x, self.ids, self.labels, self.largest = x, ids, labels, largest
         self.tree = CoverTree(augmented(x, largest))
-        width = max((len(m) for m in self.tree.members), default=0)
-        # Leaves padded to one width with point -1.
-        self.slots = np.full((len(self.tree.members), width), -1)
+        self.leaf = np.zeros(len(x), np.int64)
         for i, m in enumerate(self.tree.members):
-            self.slots[i, :len(m)] = m
+            self.leaf[m] = i
 
     def _leaf_bounds(self, q, owner, low, high):
         """Per window: the best score each leaf may hold; -inf where a level skips it."""
@@ -143,53 +147,75 @@ class Search:
         return np.stack([best[lv][:, node] for lv, node in self.tree.leaves], axis=1)
 
     def run(self, q, own, label, owner, low, high, k: int, same: bool):
-        """``q[i]``: vector of anchor i with id ``own[i]``; window w belongs to anchor ``owner[w]``
-        (sorted).  (scores, ids) per window, best first; unused places hold the smallest score."""
-        best = np.full((len(owner), k), _NONE)
-        found = np.full((len(owner), k), _LAST)
-        if not len(owner) or not len(self.slots):
-            return best, found
+        """``q[i]``: vector of anchor i with id ``own[i]``; window w belongs to anchor ``owner[w]``.
+        (window, score, id) of every result, the best k of each window.
+
+        Each round every window opens its best leaves, first AT_ONCE, then four times as many.
+        What an anchor opens is verified for all its windows, and by one product with the leaves
+        that the other anchors open."""
+        best = (np.empty(0, np.int64),) * 3
+        if not len(owner) or not len(self.tree.members):
+            return best
         bound = self._leaf_bounds(q, owner, low, high)
-        starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        wide = self.slots.shape[1]
+        turn = AT_ONCE
         while True:
-            bound[bound < best[:, -1:]] = -np.inf
-            # An anchor's windows look at a leaf together.
-            by_anchor = np.maximum.reduceat(bound, starts, axis=0)
-            go = np.flatnonzero(by_anchor.max(axis=1) > -np.inf)
-            if not len(go):
-                return best, found
-            n = min(AT_ONCE, by_anchor.shape[1])
-            pick = np.argpartition(-by_anchor[go], n - 1, axis=1)[:, :n]
-            point = self.slots[pick].reshape(len(go), n * wide)
-            anchor = owner[starts[go]]
-            got = np.einsum("apd,ad->ap", self.x[point].astype(float), q[anchor].astype(float)) \
-                if self._small(q) else np.einsum("apd,ad->ap", self.x[point], q[anchor])
-            got = got.astype(np.int64)
-            fits = (point >= 0) & (self.ids[point] != own[anchor][:, None])
-            fits &= (self.labels[point] == label[anchor][:, None]) == same
-            row = np.searchsorted(starts, np.arange(len(owner)), side="right") - 1
-            at = np.full(len(starts), -1)
-            at[go] = np.arange(len(go))
-            window = np.flatnonzero(at[row] >= 0)
-            mine = at[row[window]]
-            value, name, ok = got[mine], self.ids[point][mine], fits[mine]
-            # A leaf that this window has skipped or done holds nothing for it, or holds it already.
-            open_ = np.take_along_axis(bound[window], pick[mine], axis=1) > -np.inf
-            ok = ok & np.repeat(open_, wide, axis=1)
-            ok &= (value >= low[window, None]) & (value <= high[window, None])
-            value = np.concatenate([best[window], np.where(ok, value, _NONE)], axis=1)
-            name = np.concatenate([found[window], np.where(ok, name, _LAST)], axis=1)
-            order = np.lexsort((name, -value.astype(float) if self._small(q) else -np.maximum(value, _NONE + 1)), axis=1)[:, :k]
-            best[window] = np.take_along_axis(value, order, axis=1)
-            found[window] = np.take_along_axis(name, order, axis=1)
-            seen = bound[window]
-            np.put_along_axis(seen, pick[mine], -np.inf, axis=1)
-            bound[window] = seen
-
-    def _small(self, q) -> bool:
-        """Doubles carry every sum of these products exactly."""
-        return float(np.abs(q).max(initial=0)) * float(np.abs(self.x).max(initial=0)) * q.shape[1] < 2.0 ** 53
+            n = min(turn, bound.shape[1])
+            pick = np.argpartition(-bound, n - 1, axis=1)[:, :n]
+            wanted, place = np.nonzero(np.take_along_axis(bound, pick, axis=1) > -np.inf)
+            if not len(wanted):
+                return best
+            opened = np.zeros((len(q), bound.shape[1]), bool)
+            opened[owner[wanted], pick[wanted, place]] = True
+            anchor, point = np.flatnonzero(opened.any(axis=1)), np.flatnonzero(opened.any(axis=0)[self.leaf])
+            value = scores(q[anchor], self.x[point])
+            fits = ((self.labels[point] == label[anchor][:, None]) == same) & (self.ids[point] != own[anchor][:, None])
+            fits &= opened[np.ix_(anchor, self.leaf[point])]
+            value, column = _descending(np.where(fits, value, _NONE), fits)
+            # Rows with an anchor's scores from the highest down: each window takes k from its upper end.
+            window = np.flatnonzero(opened.any(axis=1)[owner])
+            row = np.searchsorted(anchor, owner[window])
+            first = np.zeros(len(window), np.int64)
+            last = np.full(len(window), value.shape[1])
+            while (first < last).any():
+                mid = (first + last) // 2
+                above = (first < last) & (value[row, np.minimum(mid, value.shape[1] - 1)] > high[window])
+                first, last = np.where(above, mid + 1, first), np.where(above | (first >= last), last, mid)
+            spot = first[:, None] + np.arange(k)
+            ok = spot < value.shape[1]
+            spot = np.minimum(spot, value.shape[1] - 1)
+            got = value[row[:, None], spot]
+            w, c = np.nonzero(ok & (got >= low[window, None]) & (got > _NONE))
+            best = _best(np.concatenate([best[0], window[w]]), np.concatenate([best[1], got[w, c]]),
+                         np.concatenate([best[2], self.ids[point[column[row[w], spot[w, c]]]]]), k)
+            bound[opened[owner]] = -np.inf
+            # A window with k results needs only leaves that may reach the last of them.
+            full = np.bincount(best[0], minlength=len(owner)) >= k
+            least = np.full(len(owner), np.inf)
+            np.minimum.at(least, best[0], best[1].astype(float))
+            bound[bound < np.where(full, least, -np.inf)[:, None] - 1] = -np.inf
+            turn *= 4
+
+
+def _descending(value: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every row from the highest value down, ties to the smaller column; (values, columns)."""
+    bits = max(value.shape[1] - 1, 1).bit_length()
+    if np.abs(value[real]).max(initial=0) < 1 << (61 - bits):
+        # Value and column fit one number: sorting it needs no second array.
+        packed = np.where(real, -value, 1 << (61 - bits))
+        packed = np.sort((packed << bits) + np.arange(value.shape[1]), axis=1)
+        column, value = packed & ((1 << bits) - 1), -(packed >> bits)
+        return np.where(value == -(1 << (61 - bits)), _NONE, value), column
+    column = np.argsort(-value, axis=1, kind="stable")
+    return np.take_along_axis(value, column, axis=1), column
+
+
+def _best(window, score, ids, k: int):
+    """The k best of every window, ties to the smaller id; sorted by window."""
+    order = np.lexsort((ids, -score, window))
+    window, score, ids = window[order], score[order], ids[order]
+    start = np.flatnonzero(np.diff(window, prepend=-1))
+    place = np.arange(len(window)) - np.repeat(start, np.diff(np.append(start, len(window))))
+    return window[place < k], score[place < k], ids[place < k]
 
 
 def _windows(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -296,14 +322,13 @@ class CoverIndex:
             if len(q) and len(d):
                 d = d.sort_by("vec_id")
                 tree = Search(matrix(d["vec"], dims), d["vec_id"].to_numpy(), d["label"].to_numpy(), largest)
-                for at in range(0, len(q), 128):
-                    part = q.slice(at, 128)
+                for at in range(0, len(q), TOGETHER):
+                    part = q.slice(at, TOGETHER)
                     owner, name, low, high = _windows(part["windows"])
                     own = part["anchor_id"].to_numpy()
-                    best, found = tree.run(matrix(part["vec"], dims), own, part["label"].to_numpy(), owner, low, high,
-                                           k, same_label)
-                    row, place = np.nonzero(best > _NONE)
-                    for o, x in zip(out, (own[owner[row]], name[row], found[row, place], best[row, place])):
+                    row, score, found = tree.run(matrix(part["vec"], dims), own, part["label"].to_numpy(), owner, low,
+                                                 high, k, same_label)
+                    for o, x in zip(out, (own[owner[row]], name[row], found, score)):
                         o.append(x)
             cat = [pa.array(np.concatenate(o) if o else np.empty(0, np.int64), pa.int64()) for o in out]
             return pa.table(dict(zip(("anchor_id", "name", "vec_id", "score"), cat)))

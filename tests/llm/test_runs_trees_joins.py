@@ -141,11 +141,11 @@ def test_cover_tree_skips(spark):
     low, high = np.array([20_000, 0, -covertree.ANY]), np.array([60_000, 100, covertree.ANY])
     bound = search._leaf_bounds(q, np.arange(3), low, high)
     assert (bound[:2] > -np.inf).mean() < 0.7
-    best, found = search.run(q, ids[:3], labels[:3], np.arange(3), low, high, 5, False)
+    window, best, found = search.run(q, ids[:3], labels[:3], np.arange(3), low, high, 5, False)
     for i in range(3):
         s = x @ q[i]
         fit = [(-int(s[j]), j) for j in range(4000) if j != i and labels[j] != labels[i] and low[i] <= s[j] <= high[i]]
-        assert [(-b, f) for b, f in zip(best[i].tolist(), found[i].tolist()) if b > covertree._NONE] == sorted(fit)[:5]
+        assert list(zip((-best[window == i]).tolist(), found[window == i].tolist())) == sorted(fit)[:5]
 
 
 def test_hard_negatives_small_and_odd(spark):
