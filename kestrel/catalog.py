@@ -935,6 +935,7 @@ def q_two_stage_recommend(spark, sf):
 
 
 # ---- step 10: streaming --------------------------------------------------------------------------------
+from kestrel.sources.tables import table  # noqa: E402
 from kestrel.streaming import io as sio, jobs as sj  # noqa: E402
 
 
@@ -985,12 +986,27 @@ def q_stream_refresh_users(spark, sf):
     return sio.run_stream(s, "refresh", "update", keys=["user_id", "window_start"])
 
 
+@register("stream_cache_ttl")
+def q_stream_cache_ttl(spark, sf):
+    """X6 with state: entries that live 300 s from their last write, over late and out-of-order micro-batches."""
+    return sio.run_replay(spark, table(spark, sf, "events"), "cache", sj.cache_entries, timers=True)
+
+
+@register("stream_alerts")
+def q_stream_alerts(spark, sf):
+    """O16 with state: the resolved alerts, equal to the batch islands."""
+    out = sio.run_replay(spark, table(spark, sf, "events"), "alerts", sj.alert_states, timers=True)
+    return out.where("state = 'resolved'").drop("state")
+
+
 @register("stream_sessions")
 def q_stream_sessions(spark, sf):
-    s = sj.sessions(sio.table_stream(spark, sf, "events")).select(
-        "user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-        F.col("s.end").cast("timestamp_ntz").alias("session_end"), "n_events")
-    return sio.run_stream(s, "sessions", "complete")
+    def job(s):
+        return sj.sessions(s).select("user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
+                                     F.col("s.end").cast("timestamp_ntz").alias("session_end"), "n_events")
+    # Append mode: a session is emitted once and leaves the state when the watermark passes its end.
+    return sio.run_replay(spark, table(spark, sf, "events"), "sessions", job).where(
+        F.coalesce("user_id", F.lit(0)) != sio.CLOSING_USER)
 
 
 @register("stream_dedup")
@@ -1001,13 +1017,26 @@ def q_stream_dedup(spark, sf):
     return sio.run_stream(s, "dedup", "append")
 
 
-@register("stream_attribution")
-def q_stream_attribution(spark, sf):
+@register("stream_attribution_pairs")
+def q_stream_attribution_pairs(spark, sf):
     views = sio.table_stream(spark, sf, "events").where(F.col("event_type") == "view")
     clicks = sio.table_stream(spark, sf, "events").where(F.col("event_type") == "click")
     return sio.run_stream(sj.attribute(views, clicks, "1 hour"), "attribution", "append")
 
 
+@register("stream_attribution")
+def q_stream_attribution(spark, sf):
+    """Every click with the variant of the user's last view in the hour before, else 'unknown'."""
+    def job(s):
+        # Closing rows pass both filters, or the watermark would stop at the last row.
+        views = ab.assign_variant(s.where(F.col("event_type").isin("view", sio.CLOSING)).withColumn(
+            "experiment_id", F.lit(A.DEFAULT_EXPERIMENT)), A.experiments(spark))
+        clicks = s.where(F.col("event_type").isin("click", sio.CLOSING)).withColumn("variant", F.lit(None).cast("string"))
+        return sj.attribute_last(views, clicks, "1 hour")
+    out = sio.run_replay(spark, table(spark, sf, "events"), "attribution", job)
+    return out.where("conversion_id IS NOT NULL")
+
+
 # ---- sources and sinks (round trips through the shared checkpoint folder) -----------------------------------
 from kestrel.sources import files as fio  # noqa: E402
 

@@ -1056,7 +1056,33 @@ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_e
 
 ORACLE["stream_dedup"] = "SELECT event_id, user_id, ts, event_type FROM events"
 
-ORACLE["stream_attribution"] = """
+ORACLE["stream_cache_ttl"] = """
+WITH RECURSIVE v AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'view'),
+f AS (SELECT user_id, event_id, ts FROM events WHERE event_type IN ('click', 'purchase')),
+dropped AS (SELECT v.user_id, v.event_id, v.ts, min({'t': f.ts, 'i': f.event_id}) FILTER (WHERE f.event_id IS NOT NULL) AS d FROM v LEFT JOIN f
+  ON f.user_id = v.user_id AND (f.ts > v.ts OR f.ts = v.ts AND f.event_id > v.event_id) AND f.ts < v.ts + INTERVAL 300 SECOND
+  GROUP BY ALL),
+life AS (SELECT user_id, event_id, ts, coalesce(d, {'t': ts + INTERVAL 300 SECOND, 'i': CAST(-1 AS BIGINT)}) AS e,
+  CASE WHEN d IS NULL THEN 'expired' ELSE 'invalidated' END AS reason FROM dropped),
+life2 AS (SELECT l.user_id, l.event_id, l.ts, l.e, l.reason,
+    min({'t': w.ts, 'i': w.event_id}) FILTER (WHERE {'t': w.ts, 'i': w.event_id} > l.e) AS nxt,
+    count(w.event_id) FILTER (WHERE {'t': w.ts, 'i': w.event_id} > {'t': l.ts, 'i': l.event_id} AND {'t': w.ts, 'i': w.event_id} < l.e) AS hits
+  FROM life l JOIN v w ON w.user_id = l.user_id GROUP BY ALL),
+chain AS (SELECT min({'t': ts, 'i': event_id}).i AS id FROM v GROUP BY user_id
+  UNION ALL SELECT life2.nxt.i FROM chain JOIN life2 ON life2.event_id = chain.id WHERE life2.nxt IS NOT NULL)
+SELECT user_id, ts AS written_at, e.t AS ended_at, reason, hits FROM chain JOIN life2 ON event_id = id"""
+
+ORACLE["stream_alerts"] = ORACLE["alert_islands"]
+
+ORACLE["stream_attribution"] = with_([CFG], f"""
+SELECT c.event_id AS conversion_id, c.user_id, c.ts AS conversion_ts, e.event_id AS exposure_id, e.ts AS exposure_ts,
+  CASE WHEN e.event_id IS NULL THEN 'unknown' ELSE {assign_expr('c.user_id', "'retrieval_v1'")} END AS variant
+FROM events c JOIN cfg ON cfg.experiment_id = 'retrieval_v1' LEFT JOIN events e
+  ON e.user_id = c.user_id AND e.event_type = 'view' AND c.ts >= e.ts AND c.ts <= e.ts + INTERVAL 1 HOUR
+WHERE c.event_type = 'click'
+QUALIFY row_number() OVER (PARTITION BY c.event_id ORDER BY e.ts DESC NULLS LAST, e.event_id DESC) = 1""")
+
+ORACLE["stream_attribution_pairs"] = """
 SELECT c.event_id AS conversion_id, e.event_id AS exposure_id, c.user_id, c.ts AS conversion_ts, e.ts AS exposure_ts
 FROM events c JOIN events e ON e.user_id = c.user_id AND c.ts >= e.ts AND c.ts <= e.ts + INTERVAL 1 HOUR
 WHERE c.event_type = 'click' AND e.event_type = 'view'"""

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from kestrel.operators.experiment import assign_variant
 from kestrel.sources.adapters import DEFAULT_EXPERIMENT, event_item
+from kestrel.streaming.io import CLOSING, CLOSING_USER
+from kestrel.streaming.state import AlertStates, CacheEntries
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -72,6 +74,44 @@ def refresh_users(fb: DataFrame, ttl: str = "300 seconds", lateness: str = "1 ho
     return ev.groupBy("user_id", F.window("event_time", ttl).alias("w")).agg(F.min("ts").alias("invalidated_at"))
 
 
+def cache_entries(events: DataFrame, ttl_seconds: int = 300, lateness: str = "1 hour") -> DataFrame:
+    """X6 as the cache does it: every entry with its write, its end and why it ended.
+
+    A view is a served list (it writes an entry unless one is live), clicks and purchases
+    are feedback (they drop it); the lifetime counts from the last write.  Rows of other
+    types only move the watermark."""
+    ev = event_time(events).withWatermark("event_time", lateness)
+    rows = ev.select(F.coalesce("user_id", F.lit(CLOSING_USER)).alias("user_id"), "event_id", "ts", "event_time",
+                     F.when(F.col("event_type") == "view", True).when(
+                         F.col("event_type").isin("click", "purchase"), False).alias("served"))
+    return rows.groupBy("user_id").transformWithState(
+        statefulProcessor=CacheEntries(ttl_seconds), outputStructType=CacheEntries.OUTPUT, outputMode="Append",
+        timeMode="EventTime")
+
+
+def alert_states(events: DataFrame, window_minutes: int = 5, error_thr: float = 0.05, cache_thr: float = 0.2,
+                 needed: dict | None = None, lateness: str = "1 hour") -> DataFrame:
+    """Transitions of the three alerts of ``monitoring.alert_windows`` over closed windows.
+
+    ``needed``: windows in a row until an alert fires.  The windows are a partial aggregate;
+    only one row per window reaches the state machines."""
+    needed = needed or {"high_error": 2, "low_cache": 2, "no_traffic": 1}
+    real = F.col("event_type") != CLOSING
+    ev = event_time(events).withWatermark("event_time", lateness)
+    g = ev.groupBy(F.window("event_time", f"{window_minutes} minutes").alias("w")).agg(
+        F.count_if(real).alias("n"), F.count_if(F.col("event_type") == "error").alias("errors"),
+        F.count_if(real & (event_item() < 50)).alias("hits"), F.bool_or(~real).alias("closing"))
+    holds = {"high_error": (F.col("n") > 0) & (F.col("errors") / F.col("n") > error_thr),
+             "low_cache": (F.col("n") > 0) & (F.col("hits") / F.col("n") < cache_thr), "no_traffic": F.col("n") == 0}
+    rows = g.select(F.window_time("w").alias("closed_at"), F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    (F.col("closing") & (F.col("n") == 0)).alias("closing"),
+                    F.explode(F.array(*[F.struct(F.lit(a).alias("alert"), F.coalesce(holds[a], F.lit(False)).alias("holds"))
+                                        for a in needed])).alias("x"))
+    return rows.select("closed_at", "window_start", "closing", "x.alert", "x.holds").groupBy("alert").transformWithState(
+        statefulProcessor=AlertStates(60 * window_minutes, needed, ("no_traffic",)), outputStructType=AlertStates.OUTPUT,
+        outputMode="Append", timeMode="EventTime")
+
+
 def sessions(events: DataFrame, gap: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
     """Session windows per user (a gap longer than ``gap`` closes a session)."""
     ev = event_time(events).withWatermark("event_time", lateness)
@@ -83,15 +123,37 @@ def dedup(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return event_time(events).withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def attribute(exposures: DataFrame, conversions: DataFrame, bound: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
-    """Stream-stream join: each conversion with the same user's exposures in the preceding ``bound``."""
+def _pairs(exposures: DataFrame, conversions: DataFrame, bound: str, lateness: str, how: str) -> DataFrame:
     e = event_time(exposures).withWatermark("event_time", lateness).select(
         F.col("event_id").alias("exposure_id"), F.col("user_id").alias("e_user"), F.col("ts").alias("exposure_ts"),
-        F.col("event_time").alias("e_time"))
+        F.col("event_time").alias("e_time"), F.col("variant").alias("e_variant"))
     c = event_time(conversions).withWatermark("event_time", lateness).select(
         F.col("event_id").alias("conversion_id"), F.col("user_id").alias("c_user"), F.col("ts").alias("conversion_ts"),
-        F.col("event_time").alias("c_time"))
+        F.col("event_time").alias("c_time"), F.col("variant").alias("c_variant"))
     cond = ((F.col("e_user") == F.col("c_user")) & (F.col("c_time") >= F.col("e_time")) &
             (F.col("c_time") <= F.col("e_time") + F.expr(f"INTERVAL {bound}")))
-    return c.join(e, cond, "inner").select("conversion_id", "exposure_id", F.col("c_user").alias("user_id"),
-                                          "conversion_ts", "exposure_ts")
+    return c.join(e, cond, how)
+
+
+def attribute(exposures: DataFrame, conversions: DataFrame, bound: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
+    """Pairs of a conversion and the same user's exposures in the preceding ``bound`` (inner)."""
+    return _pairs(exposures.withColumn("variant", F.lit(None).cast("string")),
+                  conversions.withColumn("variant", F.lit(None).cast("string")), bound, lateness, "inner").select(
+        "conversion_id", "exposure_id", F.col("c_user").alias("user_id"), "conversion_ts", "exposure_ts")
+
+
+def attribute_last(exposures: DataFrame, conversions: DataFrame, bound: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
+    """Every conversion with its variant: its own, else that of the user's last exposure in the
+    preceding ``bound``, else 'unknown'.
+
+    A stream-stream left outer join: a conversion without an exposure is emitted when the
+    watermarks of both sides say that none can come any more.  The last of several exposures
+    is an aggregate keyed by the conversion, whose state leaves with the watermark too."""
+    pairs = _pairs(exposures, conversions, bound, lateness, "left")
+    last = F.max_by(F.struct("exposure_id", "exposure_ts", "e_variant"),
+                    F.when(F.col("exposure_id").isNotNull(), F.struct("exposure_ts", "exposure_id")))
+    keyed = pairs.groupBy("conversion_id", F.col("c_user").alias("user_id"), "conversion_ts", "c_variant", "c_time").agg(
+        last.alias("l"))
+    return keyed.select("conversion_id", "user_id", "conversion_ts", F.col("l.exposure_id").alias("exposure_id"),
+                        F.col("l.exposure_ts").alias("exposure_ts"),
+                        F.coalesce("c_variant", "l.e_variant", F.lit("unknown")).alias("variant"))
