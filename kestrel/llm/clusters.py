@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,19 +18,36 @@ BLOCK_TOKENS = 1_000_000   # set elements of one block (8 bytes each)
 
 
 def block_pairs(members: DataFrame, sizes: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``members(cluster, node, n, ...)`` dealt to tasks ``(cluster, i, j)``, i <= j.
-
-    ``sizes(cluster, tokens)`` gives each cluster's elements; a set in block b of nb
-    goes to the nb tasks that compare b with every block."""
-    nb = F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("int")
+    """``members(cluster, node, n, ...)`` dealt to tasks: groups of the column ``task``.
+
+    ``sizes(cluster, tokens)`` gives each cluster's elements.  A cluster above one task's
+    share is cut into nb blocks, and a set in block b goes to the nb tasks that compare b with
+    every block.  Smaller clusters share tasks, about ``block_tokens`` elements each (see
+    ``by_cluster``): a task for every pair of lines would cost more than its comparison."""
+    nb = F.greatest(F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("int"), F.lit(1))
+    known = sizes.select("cluster", "tokens", nb.alias("_nb"))
+    small = known.where("_nb = 1").agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    shared = F.pmod(F.xxhash64("cluster"), F.lit(max(1, -(-small // block_tokens))))
     b = F.pmod(F.xxhash64("node"), F.col("_nb")).cast("int")
-    return (members.join(sizes.select("cluster", F.greatest(nb, F.lit(1)).alias("_nb")), "cluster")
+    return (members.join(known.drop("tokens"), "cluster")
             .withColumn("_b", b)
             .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
-            .withColumn("i", F.least("_b", "_o")).withColumn("j", F.greatest("_b", "_o"))
+            .withColumn("task", F.when(F.col("_nb") == 1, F.struct(F.lit(0).alias("c"), shared.alias("i"), F.lit(-1).alias("j")))
+                        .otherwise(F.struct(F.xxhash64("cluster").alias("c"), F.least("_b", "_o").cast("bigint").alias("i"),
+                                            F.greatest("_b", "_o").alias("j"))))
             .drop("_nb", "_b", "_o"))
 
 
+def by_cluster(table: pa.Table) -> list[pa.Table]:
+    """One task's rows, cluster by cluster."""
+    table = table.sort_by("cluster").combine_chunks()
+    names = table["cluster"].combine_chunks() if isinstance(table["cluster"], pa.ChunkedArray) else table["cluster"]
+    if not len(names):
+        return [table]
+    cut = np.flatnonzero(pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)) + 1
+    return [table.slice(i, j - i) for i, j in zip([0, *cut], [*cut, len(names)])]
+
+
 def member_bits(members: DataFrame, bits: int = 1 << 24) -> np.ndarray:
     """Bit set over hashes of (doc_id, th): a fixed 2 MB whatever the number of members."""
     slot = F.pmod(F.xxhash64("doc_id", "th"), F.lit(bits)).cast("bigint")
@@ -98,11 +116,20 @@ class Postings:
         return 100 * both >= percent * (self.n[x] + self.n - both)
 
 
+def _two(table: pa.Table, percent: int) -> bool:
+    """Whether the two sets of a table are similar; most clusters are pairs."""
+    a, b = (np.frombuffer(x, np.uint64) for x in table["set"].to_pylist())
+    both = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     """Index pairs that span the components of one task's similarity graph.
 
     The component around the most central set is found first; its members need no
     comparison of their own, since every set outside it is compared with all."""
+    if len(table) == 2:
+        return [(0, 1)] if _two(table, percent) else []
     index = Postings(table["set"].combine_chunks())
     label = np.arange(len(index.n))
     order = np.argsort(-index.weight, kind="stable")
@@ -126,6 +153,9 @@ def matched(table: pa.Table, percent: int, order: list[str]) -> np.ndarray:
 
     A set already matched is not compared again: every unmatched one is compared
     with all, so what a matched set could still match is found from the other side."""
+    if len(table) == 2:
+        keys = [tuple(table[c][i].as_py() for c in order) for i in (0, 1)]
+        return np.array([keys[i] > keys[1 - i] for i in (0, 1)]) & _two(table, percent)
     index = Postings(table["set"].combine_chunks())
     rank = np.empty(len(index.n), np.int64)
     by_time = np.lexsort([table[c].to_numpy() for c in reversed(order)])

@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.clusters import block_pairs, matched, member_bits, only_members
+from kestrel.llm.clusters import block_pairs, by_cluster, matched, member_bits, only_members
 from kestrel.llm.components import connected_components
 from kestrel.llm.store import Scratch, columns
-from kestrel.llm.text import fmix, hashes, spans, utf8
+from kestrel.llm.text import fmix, hashes, pieces, spans, utf8
 from kestrel.plans.topk import top_k
 
 THRESHOLD = 90           # percent
@@ -31,7 +31,7 @@ HOT_POSTINGS = 20_000    # a word with more postings is dealt to blocks
 _PAIRS = 1 << 19          # pairs looked at together
 NO_DOC = 2**63 - 1       # a null doc_id comes last
 
-LINE = ("class bigint, doc_id bigint, th bigint, line int, size int, s0 bigint, s1 bigint, prefix array<bigint>")
+LINE = ("class bigint, c2 bigint, doc_id bigint, th bigint, line int, size int, s0 bigint, s1 bigint, prefix array<bigint>")
 
 
 def line_sets(column) -> dict[str, np.ndarray]:
@@ -44,15 +44,37 @@ def line_sets(column) -> dict[str, np.ndarray]:
     doc = np.searchsorted(offsets, starts, side="right") - 1
     # Empty texts share an offset with the next one; the last such row owns the word.
     line = np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets[doc])
-    order = np.lexsort((token, line, doc))
-    token, doc, line = token[order], doc[order], line[order]
     new = np.ones(len(token), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
-    keep = new.copy()
-    keep[1:] |= token[1:] != token[:-1]
-    token, new = token[keep], new[keep]
-    start = np.flatnonzero(new)
-    return {"token": token, "start": start, "doc": doc[keep][start], "line": line[keep][start]}
+    # Words stand in line order already: one number holds the line and most of the word's hash.
+    at = np.cumsum(new) - 1
+    order = _sorted(at, token, np.argsort((at.astype(np.uint64) << np.uint64(40)) | (token >> np.uint64(24))))
+    token, at = token[order], at[order]
+    doc, line = doc[new], line[new]
+    keep = np.ones(len(token), bool)
+    keep[1:] = (token[1:] != token[:-1]) | (at[1:] != at[:-1])
+    token, at = token[keep], at[keep]
+    start = np.searchsorted(at, np.arange(len(doc)))
+    return {"token": token, "start": start, "doc": doc, "line": line}
+
+
+def _sorted(group: np.ndarray, token: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """``order`` by (group, leading bits of the token), mended to (group, token) should two tokens of
+    a group agree in those bits."""
+    g, t = group[order], token[order]
+    if ((g[1:] == g[:-1]) & (t[1:] < t[:-1])).any():
+        return np.lexsort((token, group))
+    return order
+
+
+def _rarest_first(owner: np.ndarray, rank: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Order by (owner, rank, token); one number holds all but the token's last bits."""
+    packed = (owner.astype(np.uint64) << np.uint64(41)) | (rank.astype(np.uint64) << np.uint64(24)) | (token >> np.uint64(40))
+    order = np.argsort(packed)
+    ranked, t = packed[order], token[order]
+    if len(owner) and (owner[-1] >= 1 << 23 or ((ranked[1:] == ranked[:-1]) & (t[1:] < t[:-1])).any()):
+        return np.lexsort((token, rank, owner))
+    return order
 
 
 def prefix_size(size, percent: int):
@@ -83,13 +105,15 @@ def rarity(docs: DataFrame, slots: int = RARITY_SLOTS) -> np.ndarray:
 
 def lines(docs: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
     """``docs(doc_id, th, text)`` -> one row per line with a word (see LINE)."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    # Places in the order of rarity, one per slot: 17 bits, where counts may need 64.
+    place = np.empty(len(table), np.int64)
+    place[np.argsort(table, kind="stable")] = np.arange(len(table))
+    shared = docs.sparkSession.sparkContext.broadcast(place)
 
     def run(batches):
         freq = shared.value
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
+            for part in pieces(batch, "text"):
                 s = line_sets(part["text"])
                 token, start = s["token"], s["start"]
                 if not len(start):
@@ -101,7 +125,8 @@ def lines(docs: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
                 sketch = [np.bitwise_xor.reduceat(np.where(bit >> 6 == k, mark, np.uint64(0)), start) for k in (0, 1)]
                 key = fmix(np.add.reduceat(fmix(token ^ np.uint64(0xA5A5A5A5A5A5A5A5)), start)
                            + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                order = np.lexsort((token, freq[(token % np.uint64(len(freq))).astype(np.int64)], owner))
+                c2 = fmix(np.add.reduceat(fmix(token + np.uint64(0xC2B2AE3D27D4EB4F)), start))
+                order = _rarest_first(owner, freq[(token % np.uint64(len(freq))).astype(np.int64)], token)
                 position = np.arange(len(token)) - np.repeat(start, size)
                 head = prefix_size(size, percent)
                 prefix = token[order][position < np.repeat(head, size)]
@@ -109,10 +134,10 @@ def lines(docs: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
                                                  pa.array(prefix.view(np.int64)))
                 doc = pa.array(s["doc"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), part["doc_id"].take(doc), part["th"].take(doc),
+                    [pa.array(key.view(np.int64)), pa.array(c2.view(np.int64)), part["doc_id"].take(doc), part["th"].take(doc),
                      pa.array(s["line"].astype(np.int32)), pa.array(size.astype(np.int32)),
                      pa.array(sketch[0].view(np.int64)), pa.array(sketch[1].view(np.int64)), lists],
-                    names=["class", "doc_id", "th", "line", "size", "s0", "s1", "prefix"])
+                    names=["class", "c2", "doc_id", "th", "line", "size", "s0", "s1", "prefix"])
     return docs.mapInArrow(run, LINE)
 
 
@@ -213,8 +238,8 @@ def candidate_links(firsts: DataFrame, scratch: Scratch, percent: int) -> DataFr
 def matched_classes(docs: DataFrame, firsts: DataFrame, clusters: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Classes whose first line is similar to an earlier one, decided on full sets."""
     members = scratch.write(firsts.join(clusters, F.col("class") == F.col("node"))
-                            .select("cluster", "class", "doc_id", "th", "line", "size"))
-    wanted = (members.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "class", "cluster")).alias("wanted"))
+                            .select("cluster", "class", "c2", "doc_id", "th", "line", "size"))
+    wanted = (members.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "class", "c2", "cluster")).alias("wanted"))
               .withColumnsRenamed({"doc_id": "_d", "th": "_t"}))
     texts = only_members(docs, member_bits(members)).join(
         wanted, (F.col("doc_id") == F.col("_d")) & (F.col("th") == F.col("_t"))).select("doc_id", "th", "text", "wanted")
@@ -227,25 +252,25 @@ def matched_classes(docs: DataFrame, firsts: DataFrame, clusters: DataFrame, scr
                 end = np.append(s["start"][1:], len(s["token"]))
                 where = {(d, n): i for i, (d, n) in enumerate(zip(s["doc"].tolist(), s["line"].tolist()))}
                 ids, th = part["doc_id"].to_pylist(), part["th"].to_pylist()
-                rows = [(w["cluster"], w["class"], ids[d], th[d], w["line"],
+                rows = [(w["cluster"], w["class"], w["c2"], ids[d], th[d], w["line"],
                          s["token"][s["start"][i]:end[i]].tobytes())
                         for d, some in enumerate(part["wanted"].to_pylist()) for w in some
                         for i in (where[(d, w["line"])],)]
-                cols = list(zip(*rows)) if rows else [[]] * 6
-                kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+                cols = list(zip(*rows)) if rows else [[]] * 7
+                kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                                 names=["cluster", "node", "doc_id", "th", "line", "set"])
+                                                 names=["cluster", "node", "c2", "doc_id", "th", "line", "set"])
 
     def decide(table: pa.Table) -> pa.Table:
-        done = matched(table, percent, ["doc_id", "th", "line"])
-        return pa.table({"class": table["node"].combine_chunks().filter(pa.array(done))})
+        some = [t.filter(pa.array(matched(t, percent, ["doc_id", "th", "line"]))) for t in by_cluster(table)]
+        return pa.concat_tables(some).select(["node", "c2"]).rename_columns(["class", "c2"])
 
     # Repeated rows of a document bring the same line several times: once is enough.
-    shipped = (texts.mapInArrow(sets, "cluster bigint, node bigint, doc_id bigint, th bigint, line int, set binary")
-               .dropDuplicates(["node"]))
+    shipped = (texts.mapInArrow(sets, "cluster bigint, node bigint, c2 bigint, doc_id bigint, th bigint, line int, set binary")
+               .dropDuplicates(["node", "c2"]))
     sizes = members.groupBy("cluster").agg(F.sum("size").alias("tokens"))
-    return (block_pairs(shipped, sizes).groupBy("cluster", "i", "j")
-            .applyInArrow(decide, "class bigint").distinct())
+    return (block_pairs(shipped, sizes).groupBy("task")
+            .applyInArrow(decide, "class bigint, c2 bigint").distinct())
 
 
 def line_decisions(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
@@ -257,13 +282,13 @@ def line_decisions(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     own = docs.select(*columns(docs, "doc_id", "text")).where("text is not null").select(
         F.coalesce("doc_id", F.lit(NO_DOC)).cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     every = scratch.write(lines(own, rarity(own), percent))
-    firsts = scratch.write(top_k(every, ["class"], [F.col("doc_id"), F.col("th"), F.col("line")], 1).drop("rank"))
+    firsts = scratch.write(top_k(every, ["class", "c2"], [F.col("doc_id"), F.col("th"), F.col("line")], 1).drop("rank"))
     links = scratch.write(candidate_links(firsts, scratch, percent))
     clusters = connected_components(links).select("node", F.col("component").alias("cluster"))
     similar = scratch.write(matched_classes(own, firsts, clusters, scratch, percent))
-    settled = (firsts.select("class", F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("line").alias("_l"))
-               .join(similar.withColumn("_similar", F.lit(True)), "class", "left"))
-    gone = (every.select("class", "doc_id", "th", "line").join(settled, "class")
+    settled = (firsts.select("class", "c2", F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("line").alias("_l"))
+               .join(similar.withColumn("_similar", F.lit(True)), ["class", "c2"], "left"))
+    gone = (every.select("class", "c2", "doc_id", "th", "line").join(settled, ["class", "c2"])
             .where("_similar OR doc_id != _d OR th != _t OR line != _l"))
     return gone.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
@@ -275,27 +300,35 @@ def dedup_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     line).  Rows that repeat a (doc_id, text) are one document and lose the same lines.
     Ties in doc_id are ordered by the text's hash.  Other columns pass through.
     """
+    out = _cut(docs, percent)
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "removed")]
+    return out.select(*(F.col("_doc").getField(c).alias(c) for c in rest), *(F.col(f"_cut.{c}").alias(c) for c in ("text", "n_lines", "removed")))
+
+
+def _cut(docs: DataFrame, percent: int) -> DataFrame:
+    """(_doc: the row as it is, _cut: text, n_lines, removed); a struct keeps the row's names apart from all others."""
     gone = line_decisions(docs, percent).withColumnsRenamed({"doc_id": "_d", "th": "_t"})
-    rest = [f"`{c}`" for c in docs.columns if c not in ("text", "n_lines", "removed")]
-    key = F.coalesce(F.col("doc_id"), F.lit(NO_DOC)) if "doc_id" in docs.columns else F.lit(NO_DOC)
-    joined = docs.join(gone, (key == F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *columns(docs, "doc_id", "text"))
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_DOC))
+    joined = own.join(gone, (key == F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
     # Hash-based array_except keeps this linear in the number of lines.
     cut = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), removed), i -> get(_lines, i)), '\\n')")
     joined = joined.withColumn("_lines", F.split("text", "\n", -1))
-    return joined.select(
-        *rest, F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut).alias("text"),
+    return joined.select("_doc", F.struct(
+        F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut).alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).alias("n_lines"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed")).alias("_cut"))
 
 
 def line_stage(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     """The documents without their repeated lines; one that loses all its words goes."""
-    out = dedup_lines(docs, percent).where(
-        (F.size("removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    lost = F.size("_cut.removed") > 0
+    out = _cut(docs, percent).where(~lost | F.col("_cut.text").rlike(r"[^\x20\x09-\x0D]"))
+    now = {"text": F.col("_cut.text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-                             .cast(docs.schema["n_chars"].dataType))
-    return out.select(*(f"`{c}`" for c in docs.columns))
+        now["n_chars"] = F.when(lost, F.length("_cut.text")).otherwise(F.col("_doc").getField("n_chars")).cast(
+            docs.schema["n_chars"].dataType)
+    return out.select(*(now.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns))
 
 
 def line_query(docs: DataFrame) -> DataFrame:

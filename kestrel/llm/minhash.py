@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.clusters import block_pairs, links, member_bits, only_members
+from kestrel.llm.clusters import block_pairs, by_cluster, links, member_bits, only_members
 from kestrel.llm.components import connected_components
 from kestrel.llm.store import Scratch, columns
 from kestrel.llm.text import fmix, hashes, spans, utf8
@@ -153,9 +153,12 @@ def link_classes(docs: DataFrame, members: DataFrame, words: int, percent: int)
                                                  names=["cluster", "node", "n", "set"])
 
     def verify(table: pa.Table) -> pa.Table:
-        node = table["node"].combine_chunks()
-        found = np.array(links(table, percent), np.int64).reshape(-1, 2)
-        return pa.table({"a": node.take(pa.array(found[:, 0])), "b": node.take(pa.array(found[:, 1]))})
+        out = []
+        for some in by_cluster(table):
+            node = some["node"].combine_chunks()
+            found = np.array(links(some, percent), np.int64).reshape(-1, 2)
+            out.append(pa.table({"a": node.take(pa.array(found[:, 0])), "b": node.take(pa.array(found[:, 1]))}))
+        return pa.concat_tables(out)
 
     texts = only_members(docs, member_bits(members)).join(members.withColumnsRenamed({"doc_id": "_d", "th": "_t", "class": "node"}),
                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")))
@@ -163,7 +166,7 @@ def link_classes(docs: DataFrame, members: DataFrame, words: int, percent: int)
                .mapInArrow(sets, "cluster bigint, node binary, n bigint, set binary")
                .dropDuplicates(["node"]))  # repeated rows bring a class's set several times
     sizes = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
-    return (block_pairs(shipped, sizes).groupBy("cluster", "i", "j")
+    return (block_pairs(shipped, sizes).groupBy("task")
             .applyInArrow(verify, "a binary, b binary"))
 
 

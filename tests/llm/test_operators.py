@@ -243,7 +243,7 @@ def test_cluster_blocks(spark, blocks):
         p = np.array(clusters.links(t, 80)).reshape(-1, 2)
         ids = t["node"].to_numpy()
         return pa.table({"a": ids[p[:, 0].astype(int)], "b": ids[p[:, 1].astype(int)]})
-    got = clusters.block_pairs(df, sizes, blocks).groupBy("cluster", "i", "j").applyInArrow(run, "a bigint, b bigint")
+    got = clusters.block_pairs(df, sizes, blocks).groupBy("task").applyInArrow(run, "a bigint, b bigint")
     want = [(i, j) for i in range(30) for j in range(i) if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))]
     assert brute.components(range(30), [(x.a, x.b) for x in got.collect()]) == brute.components(range(30), want)
 
@@ -295,6 +295,30 @@ def test_lines_text_and_stage(spark):
     assert linededup.line_stage(df.limit(0)).count() == 0
 
 
+def test_lines_clashing_columns(spark):
+    text = "one two three four five\nsix seven eight\none two three four five"
+    rows = [(1, text, "d", "l", 7, 8, "t", 9), (2, "six seven eight", "e", "m", 1, 2, "u", 3)]
+    df = frame(spark, rows, "doc_id bigint, text string, _d string, _lines string, removed int, n_lines int, _t string, _doc int")
+    kept = sorted(tuple(r) for r in linededup.line_stage(df).collect())
+    assert kept == [(1, "one two three four five\nsix seven eight", "d", "l", 7, 8, "t", 9)]
+    out = {r.doc_id: r for r in linededup.dedup_lines(df).collect()}
+    assert (out[1].removed, out[1].n_lines, out[1]._d, out[1]._lines, out[2].removed, out[2]._doc) == ([2], 3, "d", "l", [0], 3)
+
+
+def test_line_words_and_prefixes_are_ordered_alike():
+    import pyarrow as pa
+    s = linededup.line_sets(pa.array(["b a b\n\nc a", None, "", "x", "a b"]))
+    assert s["doc"].tolist() == [0, 0, 3, 4] and s["line"].tolist() == [0, 2, 0, 0]
+    ends = [*s["start"][1:], len(s["token"])]
+    sets = [s["token"][i:j].tolist() for i, j in zip(s["start"], ends)]
+    assert sets[0] == sets[3] and all(x == sorted(set(x)) for x in sets) and [len(x) for x in sets] == [2, 2, 1, 2]
+    r = np.random.default_rng(3)
+    owner = np.sort(r.integers(0, 50, 2000))
+    rank, token = r.integers(0, 4, 2000), r.integers(0, 2 ** 63, 2000).astype(np.uint64)
+    token[::5] = (token[::5] & np.uint64(0xFFFFFF)) | np.uint64(1 << 60)      # equal leading bits
+    assert (linededup._rarest_first(owner, rank, token) == np.lexsort((token, rank, owner))).all()
+
+
 # ------------------------------------------------------------------ 5 quality
 def test_quality_statistics(spark, documents):
     docs = [e for e in EDGE if e[0] is not None] + [(50, "a b c a b c a b c d"), (51, "a b a b a"), (52, "x\ny\nx\n\n x"),
