@@ -308,9 +308,11 @@ def dedup_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
 def _cut(docs: DataFrame, percent: int) -> DataFrame:
     """(_doc: the row as it is, _cut: text, n_lines, removed); a struct keeps the row's names apart from all others."""
     gone = line_decisions(docs, percent).withColumnsRenamed({"doc_id": "_d", "th": "_t"})
-    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *columns(docs, "doc_id", "text"))
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_DOC))
-    joined = own.join(gone, (key == F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
+    # The row travels once: the text is inside it, and only its keys stand beside it.
+    own = (docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *columns(docs, "doc_id", "text"))
+           .select("_doc", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_DOC)).alias("_key"), F.xxhash64("text").alias("_hash")))
+    joined = (own.join(gone, (F.col("_key") == F.col("_d")) & (F.col("_hash") == F.col("_t")), "left")
+              .withColumn("text", F.col("_doc").getField("text") if "text" in docs.columns else F.lit(None).cast("string")))
     # Hash-based array_except keeps this linear in the number of lines.
     cut = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), removed), i -> get(_lines, i)), '\\n')")
     joined = joined.withColumn("_lines", F.split("text", "\n", -1))
