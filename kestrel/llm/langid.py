@@ -22,6 +22,7 @@ from kestrel.plans.topk import top_k
 
 GRAM = 3                  # code points of an n-gram
 SAMPLE_DOCS = 2000        # labelled documents per language, at most
+LANGUAGES = 256         # label values that are learned, by their documents
 SPARE = 2                 # times the sample that the hash cut lets through
 CUT_BITS = 40             # of the hash that the cut compares
 GRAMS = 20_000            # n-grams kept per language, at most
@@ -101,15 +102,17 @@ class Filter:
         return np.maximum(0, (out - total[:, None] * self.false) / np.maximum(1e-9, 1 - self.false)), total
 
 
-def training_sample(known: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def training_sample(known: DataFrame, sample_docs: int = SAMPLE_DOCS, languages: int = LANGUAGES) -> DataFrame:
     """(lang, text) of at most ``sample_docs`` distinct documents per language, the first in hash order.
 
     A cut on the hash, set from each language's count of documents, lets about
     ``SPARE`` times the sample into the shuffle, so that a language with a third of
-    all rows sends no more than others.  Repeated rows count once; the counts that
-    come to the driver are one row per language, as the model itself."""
+    all rows sends no more than others.  Repeated rows count once.  Of more than
+    ``languages`` label values only those with most documents are learned (ties by name), which
+    bounds what comes to the driver and the filter, 8 MB per 64 languages."""
     known = known.withColumn("_h", F.xxhash64("doc_id", "text"))
-    sizes = known.groupBy("lang").agg(F.approx_count_distinct("_h", 0.02).alias("n")).collect()
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("_h", 0.02).alias("n"))
+    sizes = sizes.orderBy(F.col("n").desc(), "lang").limit(languages).collect()
     whole = 1 << CUT_BITS
     cut = [F.lit(x) for r in sizes for x in (r["lang"], min(whole, -(-whole * SPARE * sample_docs // max(1, r["n"]))))]
     few = known.where(F.pmod("_h", F.lit(whole)) < (F.create_map(*cut)[F.col("lang")] if cut else F.lit(0)))
@@ -141,8 +144,8 @@ def train(docs: DataFrame, n: int = GRAM, sample_docs: int = SAMPLE_DOCS, keep:
                     names=["lang", "gram", "n"])
     counted = (some.mapInArrow(run, "lang string, gram bigint, n bigint")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    # An n-gram seen once tells little about its language.
-    best = top_k(counted.where("n > 1"), ["lang"], [F.col("n").desc(), F.col("gram")], keep).select("lang", "gram").toArrow()
+    # N-grams seen once tell little; they only fill up what frequent ones leave of ``keep``.
+    best = top_k(counted, ["lang"], [F.col("n").desc(), F.col("gram")], keep).select("lang", "gram").toArrow()
     languages = best["lang"].to_pylist()
     out = Filter(sorted(set(languages)), slots, hashes)
     gram, of = best["gram"].to_numpy().view(np.uint64), np.array(languages, dtype=object)
