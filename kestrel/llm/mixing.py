@@ -7,9 +7,11 @@ document draws the exponential key ``-ln(u) / weight`` and the smallest keys are
 taken until their prefix sum of words meets the budget.
 
 No source is ever sorted whole.  Keys are summed into ``buckets`` key ranges per
-source by a partial aggregate; the prefix sums over the ranges name the one
-range in which the budget ends, and only that range is ordered by key.  What is
-left is one row per source, with the largest key that is taken.
+source by a partial aggregate; the prefix sums over the ranges name the one range in
+which the budget ends, which is cut into ``buckets`` finer ranges in the same way, and
+only the finer range of the end is ordered by key.  The ranges follow the key's
+distribution at three weights, so no weight puts more than about a thousandth of a
+source into one.  What is left is one row per source, with the largest key that is taken.
 """
 
 from __future__ import annotations
@@ -29,11 +31,13 @@ MAX_EPOCHS = 2
 def features(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """Per document: size (words), quality weight and exponential key.
 
-    The quality weight falls from 1 by the symbols per word, down to 0.05.  ``u`` comes from the md5 of seed and doc_id, so reruns and retried
-    tasks draw the same key; equal rows share it.
+    The quality weight falls from 1 by the symbols per word, down to 0.05.  ``u`` comes from the
+    md5 of seed, doc_id and text, so reruns and retried tasks draw the same key; only rows that
+    repeat both share it.
     """
     text = F.coalesce("text", F.lit(""))
-    digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                                F.md5(text.cast("binary"))))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(16 ** 13))
     symbols = F.regexp_count(text, F.lit(SYMBOL))
     return (docs.withColumn("size", F.regexp_count(text, F.lit(WORD)).cast("bigint"))
@@ -70,27 +74,40 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
             .select("source", "source_size", F.col("target").cast("double")))
 
 
+def position(buckets: int) -> F.Column:
+    """Place of a key among ``buckets`` squared ranges: a monotone map of the key to [0, 1), the mean
+    of its distribution at the weights 1, 1/4 and 1/20."""
+    spread = sum((1 - F.exp(F.col("key") * -w) for w in (1.0, 0.25, 0.05)), F.lit(0.0)) / 3
+    return F.least(F.floor(spread * float(buckets ** 2)), F.lit(buckets ** 2 - 1)).cast("bigint")
+
+
 def plan(narrow: DataFrame, buckets: int = 4096, **how) -> DataFrame:
     """``narrow(source, size, key, doc_id)`` -> one row per source: source_size, target,
     epochs, and ``cut`` = the last (key, doc_id) of the fractional epoch (null: none)."""
-    order = F.struct("key", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"))
-    spread = narrow.select("source", "size", order.alias("o"),
-                           F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * buckets).cast("int").alias("b"))
-    sums = spread.groupBy("source", "b").agg(F.sum("size").alias("words"))
+    spread = narrow.select("source", "size", F.struct("key", F.coalesce("doc_id", F.lit(-1)).alias("doc_id")).alias("o"),
+                           position(buckets).alias("at"))
+    coarse = F.floor(F.col("at") / buckets).cast("bigint")
+    sums = spread.groupBy("source", coarse.alias("b")).agg(F.sum("size").alias("words"))
     sizes = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
     goal = (targets(sizes, **how)
             .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                         .otherwise(0).cast("int"))
             .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size"))))
-    running = W.partitionBy("source").orderBy("b")
     same = F.col("source").eqNullSafe(F.col("_s"))
-    g = goal.select(F.col("source").alias("_s"), "rest")
-    # The range where the prefix sum reaches the rest, and the words before it.
-    ends = (sums.withColumn("upto", F.sum("words").over(running)).join(g, same)
-            .where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest")))
-            .groupBy("source").agg(F.min(F.struct("b", (F.col("upto") - F.col("words")).alias("before"), "rest")).alias("e"))
-            .select(F.col("source").alias("_s"), "e.b", "e.before", "e.rest"))
-    tail = (spread.join(ends.withColumnRenamed("b", "_b"), same & (F.col("b") == F.col("_b")))
+
+    def end(ranges: DataFrame, known: DataFrame) -> DataFrame:
+        """The range where the prefix sum reaches the rest: (_s, b, before, rest).  ``known``: (_s, start, rest)."""
+        upto = F.col("start") + F.sum("words").over(W.partitionBy("source").orderBy("b"))
+        return (ranges.join(known, same).withColumn("upto", upto)
+                .where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest")))
+                .groupBy("source").agg(F.min(F.struct("b", (F.col("upto") - F.col("words")).alias("before"), "rest")).alias("e"))
+                .select(F.col("source").alias("_s"), "e.b", "e.before", "e.rest"))
+
+    first = end(sums, goal.select(F.col("source").alias("_s"), F.lit(0).cast("bigint").alias("start"), "rest"))
+    inside = spread.join(first.withColumnsRenamed({"b": "_b", "before": "start"}), same & (coarse == F.col("_b")))
+    fine = inside.groupBy("source", F.col("at").alias("b")).agg(F.sum("size").alias("words"))
+    ends = end(fine, first.select("_s", F.col("before").alias("start"), "rest"))
+    tail = (inside.select("source", "o", "size", "at").join(ends, same & (F.col("at") == F.col("b")))
             .groupBy("source", "o").agg(F.sum("size").alias("words"), F.first("before").alias("before"),
                                         F.first("rest").alias("rest")))
     upto = F.col("before") + F.sum("words").over(W.partitionBy("source").orderBy("o"))
@@ -103,7 +120,7 @@ def plan(narrow: DataFrame, buckets: int = 4096, **how) -> DataFrame:
 
 def taken(buckets: int = 4096) -> F.Column:
     """Words the mix takes of a document, given its columns and its source's plan."""
-    b = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * buckets).cast("int")
+    b = position(buckets)
     order = F.struct("key", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"))
     more = (b < F.col("cut_bucket")) | ((b == F.col("cut_bucket")) & (order <= F.col("in_range")))
     return (F.col("size") * (F.col("epochs") + F.when(more, 1).otherwise(0))).cast("bigint")
@@ -113,12 +130,14 @@ def mix(docs: DataFrame, seed: str = "mix", buckets: int = 4096, **how) -> DataF
     """``docs(doc_id, text, source)`` -> one row per document: doc_id, size, source_size, target, taken.
 
     Null texts have size 0; null is a source of its own and comes last.  Rows with the
-    same doc_id and source draw one key and are taken or left together.  An empty
+    same doc_id, text and source draw one key and are taken or left together.  An empty
     table gives an empty result; extra columns are ignored.
     """
     own = docs.select(*columns(docs, "doc_id", "text", "source"))
-    narrow = Scratch(docs.sparkSession).write(features(own, seed).select("doc_id", "source", "size", "key"))
-    by_source = plan(narrow, buckets, **how).withColumnRenamed("source", "_s")
+    scratch = Scratch(docs.sparkSession)
+    narrow = scratch.write(features(own, seed).select("doc_id", "source", "size", "key"))
+    # Written, its size is known before the join: one row per source is broadcast, many are shuffled.
+    by_source = scratch.write(plan(narrow, buckets, **how).withColumnRenamed("source", "_s"))
     return (narrow.join(by_source, F.col("source").eqNullSafe(F.col("_s")))
             .withColumn("taken", taken(buckets))
             .select("doc_id", "source", "size", "source_size", "target", "taken"))

@@ -200,7 +200,7 @@ QUALIFY rank <= 10
 MIX = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size,
     len(regexp_extract_all(t, '[#*$%&|<>!]')) AS symbols,
-    (CAST('0x' || substr(md5('mix|' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / CAST(16 AS DOUBLE) ** 13 AS u
+    (CAST('0x' || substr(md5('mix|' || CAST(doc_id AS VARCHAR) || '|' || md5(t)), 1, 13) AS BIGINT) + 0.5) / CAST(16 AS DOUBLE) ** 13 AS u
   FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
 k AS (SELECT *, -ln(u) / CASE WHEN size > 0 THEN greatest(0.05, 1 - symbols / CAST(size AS DOUBLE)) ELSE 0.05 END AS key FROM d),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS total,

@@ -449,6 +449,17 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in langid.language_query(df.selectExpr("doc_id", "text")).collect()} == {"und"}
 
 
+def test_language_learns_from_rare_grams(spark):
+    train = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    rows = [(train[0], "quick zebra", "en", None, 1), (train[1], "flott gjort", "no", None, 1), (900, "zebra", None, None, 1),
+            (901, "gjort", None, None, 1)]
+    got = {r.doc_id: r.lang_pred for r in langid.language_query(frame(spark, rows, DOC)).collect()}
+    assert got == {train[0]: "en", train[1]: "no", 900: "en", 901: "no"}
+    many = spark.createDataFrame([(i, f"text {i} {j}", f"l{j}") for j in range(5) for i in range(j + 1)],
+                                 "doc_id long, text string, lang string")
+    assert {r.lang for r in langid.training_sample(many, 10, languages=2).collect()} == {"l3", "l4"}
+
+
 # ------------------------------------------------------------------ 9 mixing
 def water(sizes, weights=(5, 2, 1), share=1.5, cap=2):
     """Shares by weight; the excess over the caps is reshared until none is above."""
@@ -496,6 +507,15 @@ def test_mixing_targets_and_taken(spark):
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.mix_stage(df.limit(0)).count() == 0
 
 
+def test_mixing_null_ids_and_low_quality(spark):
+    """A null id on every row, and texts of the lowest quality, still meet the targets."""
+    rows = [(None, f"w{i} " * 10 + ("# " * 40 if s == "c" else ""), None, s, 1) for s in "abc" for i in range(200)]
+    got = mixing.mix(frame(spark, rows, DOC), buckets=8).collect()
+    for s in "abc":
+        mine = [x for x in got if x.source == s]
+        assert abs(sum(x.taken for x in mine) - mine[0].target) <= max(x.size for x in mine)
+
+
 def test_mixing_prefers_quality(spark):
     rows = [(i, "plain words here and there", None, "s", 1) for i in range(0, 2000, 2)]
     rows += [(i, "#$% &*# words <> there", None, "s", 1) for i in range(1, 2000, 2)]
