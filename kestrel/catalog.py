@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from kestrel.sources import adapters as A
 from kestrel.operators import prep, evaluation
+from kestrel.session import cut_lineage
 
 QUERIES = {}
 
@@ -429,31 +430,37 @@ def q_genre_overlap(spark, sf):
                                     "online_overlap", "is_same_top_genre", "primary_genre_overlap"))
 
 
-RANK_USER_COLS = ["user_rating_count", "user_avg_rating", "user_rating_std", "user_active_days",
-                  "user_days_since_last", "user_sequence_length"]
-RANK_ITEM_COLS = ["item_rating_count", "item_avg_rating", "item_rating_std", "item_log_popularity",
+# The 45 training columns, by family, and the declared genres of the model's schema.
+GENRES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"] + [f"Brand#{i}" for i in range(1, 14)]
+RANK_USER_COLS = ["user_rating_count", "user_avg_rating", "user_min_rating", "user_max_rating", "user_rating_std",
+                  "user_active_days", "user_days_since_last", "user_sequence_length"]
+RANK_ITEM_COLS = ["item_rating_count", "item_avg_rating", "item_rating_std", "item_popularity", "item_log_popularity",
                   "item_days_since_last_rating", "item_active_days", "item_year", "item_num_genres",
                   "item_popularity_rank"]
 RANK_LIST_COLS = ["score", "cand_rank", "rank_norm", "score_norm", "score_gap"]
 RANK_PAIR_COLS = ["genre_overlap", "genre_max_match", "item_popularity_pct"]
-RANK_FEATURES = RANK_USER_COLS + RANK_ITEM_COLS + RANK_LIST_COLS + RANK_PAIR_COLS
+RANK_GENRE_COLS = [feat.genre_name(g) for g in GENRES]
+RANK_FEATURES = RANK_USER_COLS + RANK_ITEM_COLS + RANK_GENRE_COLS + RANK_LIST_COLS + RANK_PAIR_COLS
 
 
 def _ranking_matrix(spark, sf):
     c, history, _ = _candidate_set(spark, sf)
+    # The candidates and their genres feed several branches below: each is computed once.
+    c, history = cut_lineage(c), cut_lineage(history)
     items = A.items(spark, sf)
-    oh, _, _ = _genre_tables(spark, sf)
+    oh = cut_lineage(feat.item_genres_long(items))
     lens = history.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_sequence_length"))
     uf = feat.rank_user_features(history, lens).select("user_id", *RANK_USER_COLS)
-    itf = feat.rank_item_features(history, items).select("item_id", *RANK_ITEM_COLS)
+    itf = feat.rank_item_features(history, items, oh).select("item_id", *RANK_ITEM_COLS)
     max_cnt = itf.select(F.max("item_rating_count")).scalar()
+    itf = itf.join(feat.genre_wide(oh, GENRES), "item_id", "left")
     m = rk.retrieval_features(c).select("user_id", "item_id", "label", *RANK_LIST_COLS)
     m = rk.genre_overlap(m, rk.genre_preferences(history, oh), oh)
     m = m.join(uf, "user_id", "left").join(itf, "item_id", "left")
     m = m.withColumn("item_popularity_pct", F.when(max_cnt > 0, F.coalesce("item_rating_count", F.lit(0)) / max_cnt)
                      .otherwise(F.lit(0.0)))
     m = m.select("user_id", "item_id", "label", *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)).alias(x)
-                                                  for x in RANK_FEATURES])
+                                                  for x in RANK_FEATURES])  # 45 columns
     return m
 
 

@@ -188,21 +188,49 @@ def genre_column(name) -> F.Column:
     return F.concat(F.lit("genre_"), F.translate(name, " -", "__"))
 
 
+ANCHOR = 32     # characters of a name that are searched for; longer names are verified where these match
+PIECE = 1000    # characters of a token that are cut into substrings at a time
+
+
 def item_genres_long(items: DataFrame) -> DataFrame:
     """(item_id, genre): every catalogue genre whose name occurs in the item's genres string.
 
-    The substring test runs once per distinct '|'-separated token: all substrings of a
-    token are equi-joined with the genre names (a name holds no '|'), and items join
-    that table by token.  No vocabulary goes through the driver.
+    The substring test runs once per distinct '|'-separated token.  A token's substrings of
+    the lengths that names (or their first 32 characters) have are equi-joined with the
+    names, so the work is linear in the token's length; long tokens are cut into overlapping
+    pieces, and a long name is verified in the few tokens that hold its beginning.  At most
+    32 lengths, as one array, leave the executors; no vocabulary does.
     """
     own = items.select("item_id", F.explode(F.split("genres", r"\|")).alias("token"))
-    tokens = own.select("token").distinct()
-    names = tokens.where((F.col("token") != NO_GENRES) & (F.col("token") != "")).select(F.col("token").alias("genre"))
-    starts = tokens.where(F.length("token") > 0).select(
-        "token", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("_s"))
-    parts = starts.select("token", F.explode(F.sequence(F.lit(1), F.length("token") - F.col("_s") + 1)).alias("_l"), "_s")
-    parts = parts.select("token", F.col("token").substr(F.col("_s"), F.col("_l")).alias("genre")).distinct()
-    return own.join(parts.join(names, "genre"), "token").select("item_id", "genre").distinct()
+    # A digest stands for the token wherever it is multiplied.
+    tokens = own.select("token").distinct().withColumn("id", F.md5(F.col("token").cast("binary")))
+    names = tokens.where((F.col("token") != NO_GENRES) & (F.col("token") != "")).select(
+        F.col("token").alias("genre"), F.substring("token", 1, ANCHOR).alias("anchor"))
+    lengths = names.agg(F.sort_array(F.collect_set(F.length("anchor")))).scalar()
+    pieces = tokens.where(F.length("token") > 0).select(
+        "id", F.explode(F.transform(F.sequence(F.lit(1), F.length("token"), F.lit(PIECE)),
+                                    lambda at: F.col("token").substr(at, F.lit(PIECE + ANCHOR - 1)))).alias("_piece"))
+    starts = pieces.select("id", "_piece", F.explode(F.sequence(F.lit(1), F.least(F.length("_piece"), F.lit(PIECE)))).alias("_s"),
+                           lengths.alias("_lengths"))
+    parts = starts.select("id", F.explode(F.transform(F.filter(
+        "_lengths", lambda n: F.col("_s") + n - 1 <= F.length("_piece")),
+        lambda n: F.col("_piece").substr(F.col("_s"), n))).alias("anchor")).distinct()
+    found = (parts.join(names, "anchor").join(tokens, "id")
+             .where((F.length("genre") <= ANCHOR) | F.contains("token", "genre")).select("token", "genre"))
+    return own.join(found, "token").select("item_id", "genre").distinct()
+
+
+def genre_wide(long: DataFrame, vocabulary: list) -> DataFrame:
+    """R4 in wide form: per item one 0/1 column per genre of a declared vocabulary, in its order.
+
+    The columns are those of the vocabulary whatever the data hold: a trained model's schema
+    does not move with the catalogue.  One partial aggregate, no pivot over found values."""
+    return long.groupBy("item_id").agg(*[
+        F.max(F.when(F.col("genre") == g, 1).otherwise(0)).alias(genre_name(g)) for g in vocabulary])
+
+
+def genre_name(name: str) -> str:
+    return "genre_" + name.replace(" ", "_").replace("-", "_")
 
 
 def genre_onehot(items: DataFrame) -> DataFrame:
@@ -215,10 +243,10 @@ def genre_onehot(items: DataFrame) -> DataFrame:
                     F.coalesce("item_num_genres", F.lit(0)).cast("bigint").alias("item_num_genres")))
 
 
-def rank_item_features(ratings: DataFrame, items: DataFrame) -> DataFrame:
+def rank_item_features(ratings: DataFrame, items: DataFrame, genres: DataFrame | None = None) -> DataFrame:
     """Training-family item features: stats over ratings, first '(dddd)' year, number of genres,
     dense popularity rank.  Items without metadata get year 0 and no genres; the genres
-    themselves are the long table ``item_genres_long``."""
+    themselves are the long table ``item_genres_long`` (given as ``genres``, or made here)."""
     now = ratings.select(F.max("ts")).scalar()
     s = ratings.groupBy("item_id").agg(
         F.count(F.lit(1)).alias("item_rating_count"), F.avg("rating").alias("item_avg_rating"),
@@ -230,7 +258,8 @@ def rank_item_features(ratings: DataFrame, items: DataFrame) -> DataFrame:
                  days_between(now, F.col("_last")).alias("item_days_since_last_rating"),
                  days_between(F.col("_last"), F.col("_first")).alias("item_active_days"))
     rated = items.join(s.select("item_id"), "item_id", "left_semi")
-    n = item_genres_long(items).groupBy("item_id").agg(F.count(F.lit(1)).alias("item_num_genres"))
+    long = item_genres_long(items) if genres is None else genres
+    n = long.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_num_genres"))
     meta = rated.select("item_id", first_year_anywhere(F.col("title")).alias("item_year")).join(n, "item_id", "left")
     out = s.join(meta, "item_id", "left").select(
         *s.columns, F.coalesce("item_year", F.lit(0)).cast("bigint").alias("item_year"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalar import pad_left
 from kestrel.plans.ordering import global_position, group_position
 from kestrel.plans.topk import last_n
-from kestrel.session import cut_lineage
+from kestrel.session import cut_lineage, drop_cut
 
 # ---- P1-P3 -----------------------------------------------------------------------
 
@@ -38,40 +38,49 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int |
            user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Drop users with < min_user rows, then items with < min_item rows; repeat.
 
-    Runs until a pass removes nothing; with ``max_iter`` it raises when that many passes
-    were not enough.  Each pass
-    finds the *failing* users / items with a partial aggregation (heavy keys
-    are pre-aggregated) and removes them with an anti join: the failing sets
-    shrink pass by pass, so AQE can broadcast them and the big side is not
-    shuffled.  Surviving rows are written to the shared checkpoint folder,
-    which cuts the lineage of the loop.
+    The fixpoint does not depend on the order of removals, so it is peeled by degrees: the
+    rows are written once, every user and item has its number of rows in a node table, and
+    when nodes fail only the other ends of their rows lose degrees.  A pass reads the rows
+    against the nodes that fail in it, which are few after the first, and rewrites one node
+    table; what it replaces is dropped.  The survivors are written at the end.  With
+    ``max_iter`` it raises when that many passes were not enough.
     """
-    from pyspark import StorageLevel
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)  # the first pass reads its input three times
-    current = source
+    rows = cut_lineage(df)
+    least = {user: min_user, item: min_item}
+    first = {c: cut_lineage(rows.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))) for c in (user, item)}
+    alive = dict(first)
     passes = 0
     while True:
-        bad_u = (current.groupBy(user).count().where(F.col("count") < min_user).select(user)
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-        step = current.join(bad_u, user, "left_anti")
-        bad_i = (step.groupBy(item).count().where(F.col("count") < min_item).select(item)
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-        removed = bad_u.limit(1).count() + bad_i.limit(1).count()
-        if removed == 0:
-            bad_u.unpersist()
-            bad_i.unpersist()
+        removed = 0
+        for here, there in ((user, item), (item, user)):
+            failing = alive[here].where(F.col("_n") < least[here])
+            n = failing.count()
+            if not n:
+                continue
+            removed += n
+            if max_iter is not None and passes == max_iter:
+                raise RuntimeError(f"k_core: rows still fail after {max_iter} passes")
+            # Degrees of nodes that are gone already are not in the table, so their rows need no care.
+            lost = rows.join(failing.select(here), here, "left_semi").groupBy(there).agg(F.count(F.lit(1)).alias("_lost"))
+            left = cut_lineage(alive[there].join(lost, there, "left").select(
+                there, (F.col("_n") - F.coalesce("_lost", F.lit(0))).alias("_n")))
+            kept = cut_lineage(alive[here].where(F.col("_n") >= least[here]))
+            for c, new in ((there, left), (here, kept)):
+                if alive[c] is not first[c]:
+                    drop_cut(alive[c])
+                alive[c] = new
+        if not removed:
             break
-        if max_iter is not None and passes == max_iter:
-            raise RuntimeError(f"k_core: rows still fail after {max_iter} passes")
         passes += 1
-        current = cut_lineage(step.join(bad_i, item, "left_anti"))
-        bad_u.unpersist()
-        bad_i.unpersist()
-        source.unpersist()
-    if current is source:
-        current = cut_lineage(source)
-        source.unpersist()
-    return current
+    if not passes:
+        drop_cut(*first.values())
+        return rows
+    for c in (user, item):
+        gone = first[c].join(alive[c], c, "left_anti").select(c)
+        df = (rows if c == user else df).join(gone, c, "left_anti")
+    out = cut_lineage(df.select(*(f"`{c}`" for c in rows.columns)))
+    drop_cut(rows, *first.values(), *alive.values())
+    return out
 
 
 # ---- E2 / E3 dense ids ----------------------------------------------------------------

@@ -534,22 +534,24 @@ FROM cs LEFT JOIN go USING (user_id, item_id) LEFT JOIN ov USING (user_id, item_
 LEFT JOIN same USING (user_id, item_id) LEFT JOIN prim USING (item_id)
 LEFT JOIN per ON per.user_id = cs.user_id AND per.pg = prim.pg LEFT JOIN tot ON tot.user_id = cs.user_id""")
 
-_RM_USER = ["user_rating_count", "user_avg_rating", "user_rating_std", "user_active_days", "user_days_since_last",
-            "user_sequence_length"]
-_RM_ITEM = ["item_rating_count", "item_avg_rating", "item_rating_std", "item_log_popularity",
+_RM_USER = ["user_rating_count", "user_avg_rating", "user_min_rating", "user_max_rating", "user_rating_std",
+            "user_active_days", "user_days_since_last", "user_sequence_length"]
+_RM_ITEM = ["item_rating_count", "item_avg_rating", "item_rating_std", "item_popularity", "item_log_popularity",
             "item_days_since_last_rating", "item_active_days", "item_year", "item_num_genres", "item_popularity_rank"]
 _RM_LIST = ["score", "cand_rank", "rank_norm", "score_norm", "score_gap"]
 _RM_PAIR = ["genre_overlap", "genre_max_match", "item_popularity_pct"]
-_RM_FEATS = _RM_USER + _RM_ITEM + _RM_LIST + _RM_PAIR
+_RM_GENRE = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"] + [f"Brand#{i}" for i in range(1, 14)]
+_RM_FEATS = _RM_USER + _RM_ITEM + [f'"genre_{g}"' for g in _RM_GENRE] + _RM_LIST + _RM_PAIR
 
 _RM = _CS + [_RF] + _GEN + [
     "hnow AS (SELECT max(ts) AS now FROM hist)",
     f"""ruf AS (SELECT user_id, count(*) AS user_rating_count, avg(rating) AS user_avg_rating,
+            min(rating) AS user_min_rating, max(rating) AS user_max_rating,
             coalesce(stddev_samp(rating), 0.0) AS user_rating_std, {_days('max(ts)', 'min(ts)')} AS user_active_days,
             {_days('any_value(hnow.now)', 'max(ts)')} AS user_days_since_last, count(*) AS user_sequence_length
           FROM hist CROSS JOIN hnow GROUP BY user_id)""",
     f"""ri0 AS (SELECT item_id, count(*) AS item_rating_count, avg(rating) AS item_avg_rating,
-            coalesce(stddev_samp(rating), 0.0) AS item_rating_std, ln(1 + count(*)) AS item_log_popularity,
+            coalesce(stddev_samp(rating), 0.0) AS item_rating_std, count(*) AS item_popularity, ln(1 + count(*)) AS item_log_popularity,
             {_days('any_value(hnow.now)', 'max(ts)')} AS item_days_since_last_rating, {_days('max(ts)', 'min(ts)')} AS item_active_days
           FROM hist CROSS JOIN hnow GROUP BY item_id)""",
     """rif AS (SELECT ri0.*, coalesce(CAST(nullif(regexp_extract(it.title, '\\((\\d{4})\\)', 1), '') AS INTEGER), 0) AS item_year,
@@ -560,6 +562,8 @@ _RM = _CS + [_RF] + _GEN + [
     """rm AS (SELECT rf.user_id, rf.item_id, rf.label, """ +
     ", ".join(f"coalesce(CAST(ruf.{c} AS DOUBLE), 0.0) AS {c}" for c in _RM_USER) + ", " +
     ", ".join(f"coalesce(CAST(rif.{c} AS DOUBLE), 0.0) AS {c}" for c in _RM_ITEM) + ", " +
+    ", ".join(f"""CAST(rf.item_id IN (SELECT item_id FROM it WHERE contains(genres, '{g}')) AND rif.item_id IS NOT NULL AS DOUBLE)
+              AS "genre_{g}\"""" for g in _RM_GENRE) + ", " +
     ", ".join(f"CAST(rf.{c} AS DOUBLE) AS {c}" for c in _RM_LIST) + """,
             coalesce(go.genre_overlap, 0.0) AS genre_overlap, coalesce(go.genre_max_match, 0.0) AS genre_max_match,
             CASE WHEN mx.m > 0 THEN coalesce(rif.item_rating_count, 0) / mx.m ELSE 0.0 END AS item_popularity_pct

@@ -74,4 +74,16 @@ def cut_lineage(df):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/kestrel-tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._cut_path = path
+    return out
+
+
+def drop_cut(*frames) -> None:
+    """Delete tables of ``cut_lineage`` that nothing reads any more; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+            df._cut_path = None
