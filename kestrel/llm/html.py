@@ -7,9 +7,10 @@ at a share of their mean clusters blocks into content and other blocks.  Blocks
 inside menus, footers, sidebars, notices, adverts, forms and comments never
 count, unless a labelled element holds half of the page's text or an article.  The content region is the container (article, main, else the body) that
 holds most content text, with all that hold half as much or more; an article is
-taken whole, so its short paragraphs and headings stay, while in a bare body the
-blocks in or between content clusters are taken, and the headings and paragraphs
-beside them under the same parent.
+taken whole, so its short paragraphs and headings stay, but for lists and other blocks
+of links that lie outside the content clusters.  In a bare body the blocks in or between
+content clusters are taken, and the headings and paragraphs beside them under the same
+parent.
 """
 
 from __future__ import annotations
@@ -50,6 +51,13 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 CONTAINERS = frozenset(["article", "main"])
 #: Blocks that extend a body region beside them.
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
+#: Tags that may stand in a head; any other start tag ends it, as </head> may be left out.
+IN_HEAD = frozenset("title meta link script style base noscript template head".split())
+#: Hidden elements that the start tag of a block ends.
+ENDED_BY_BLOCK = frozenset("button select option title datalist".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A section or div under such a heading holds what readers wrote.
+COMMENT_HEADING = re.compile(r"(\d+ )?((reader|user) )?comments?( \(\d+\))?:?|leave a (comment|reply)|join the discussion", re.I)
 COMPARABLE = 0.5  # share of the heaviest container's content
 _SPACE = re.compile(r"\s+")
 _LABEL = re.compile(r"[A-Za-z]+")
@@ -73,7 +81,7 @@ def _is_boilerplate(tag: str, attrs, in_container: bool) -> int:
 
 
 class PageParser(HTMLParser):
-    """Collects (text, tags, container, hard, label, block tag, parent) per block of a page.
+    """Collects (text, tags, container, hard, label, block tag, parent, characters in links) per block of a page.
 
     Nested containers have the outermost one's number.
 
@@ -82,13 +90,15 @@ class PageParser(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int, bool, int, str, int]] = []
+        self.blocks: list[tuple[str, int, int, bool, int, str, int, int]] = []
         self.open: list[tuple] = []  # tag, hidden, hard, container, label, block tag, block, parent
         self.outer = [0]
         self.parts: list[str] = []
         self.tags = 0
         self.containers = 0
         self.elements = 0
+        self.in_link = False
+        self.linked = 0
 
     def _state(self):
         return self.open[-1] if self.open else ("", False, False, 0, 0, "", 0, 0)
@@ -97,32 +107,48 @@ class PageParser(HTMLParser):
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             _, _, hard, container, label, block, _, parent = self._state()
-            self.blocks.append((text, self.tags, container, hard, label, block, parent))
+            if block in HEADINGS and COMMENT_HEADING.fullmatch(text):
+                hard = self._end_content(parent) or hard
+            self.blocks.append((text, self.tags, container, hard, label, block, parent, self.linked))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
+
+    def _end_content(self, element: int) -> bool:
+        """What follows in the section or div of this number is boilerplate."""
+        for k, (tag, hidden, _, *rest) in enumerate(self.open):
+            if tag in ("section", "div") and rest[3] == element:
+                self.open[k] = (tag, hidden, True, *rest)
+                return True
+        return False
+
+    def _end(self, tags: frozenset, upto: frozenset) -> bool:
+        """Close the innermost open element of ``tags`` that no element of ``upto`` is inside of."""
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] in tags:
+                del self.open[k:]
+                return True
+            if self.open[k][0] in upto:
+                return False
+        return False
 
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD and any(x[0] == "head" for x in self.open[:3]):
+            self._end(frozenset(["head"]), frozenset())
         if tag in BLOCKS:
+            while self._end(ENDED_BY_BLOCK, BLOCKS):
+                pass
             self.cut()
+        if tag == "a":
+            self.in_link = True
         elif tag == "br":
             self.parts.append(" ")
         self.tags += 1
         if tag in ENDS_P:
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] == "p":
-                    del self.open[k:]
-                    break
-                if self.open[k][0] in BLOCKS:
-                    break
+            self._end(frozenset(["p"]), BLOCKS)
         if tag in VOID:
             return
         if tag in IMPLIED:
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] in IMPLIED[tag]:
-                    del self.open[k:]
-                    break
-                if self.open[k][0] in SCOPES:
-                    break
+            self._end(frozenset(IMPLIED[tag]), SCOPES - frozenset(IMPLIED[tag]))
         _, hidden, hard, container, label, block, at, parent = self._state()
         kind = _is_boilerplate(tag, attrs, container > 0)
         hard = hard or kind == 2
@@ -147,6 +173,8 @@ class PageParser(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.cut()
+        if tag in BLOCKS or tag == "a":
+            self.in_link = False
         self.tags += 1
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
@@ -156,6 +184,8 @@ class PageParser(HTMLParser):
     def handle_data(self, data):
         if not self._state()[1]:
             self.parts.append(data)
+            if self.in_link:
+                self.linked += len(data.strip())
 
 
 def labelled(blocks, outer: list[int]) -> np.ndarray:
@@ -208,8 +238,11 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
         # Every article or main of comparable mass; one repeated word for word counts once.
         mass[0] = 0
         heavy = mass >= COMPARABLE * mass.max()
+        # Outside the clusters, blocks made of links are menus that no label tells.
+        links = np.array([2 * b[7] > len(b[0]) and b[5] not in PROSE for b in blocks])
+        fits = heavy[container] & ~boilerplate & (content | ~links)
         members: dict[int, list[int]] = {}
-        for i in np.flatnonzero(heavy[container] & ~boilerplate):
+        for i in np.flatnonzero(fits):
             members.setdefault(int(container[i]), []).append(i)
         take = np.zeros(len(blocks), bool)
         for own in {tuple(blocks[i][0] for i in m): m for m in reversed(members.values())}.values():

@@ -134,6 +134,32 @@ def test_html_labels_still_count():
     assert html.main_text('<article><p class="notice">Note.<p>Text one.<div>Text two.</div></article>') == "Text one.\nText two."
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><body><article><p>Text.</p></article></body>", "Text."),
+    ("<html><head><meta charset=utf-8><title>T</title><article><p>Text.</p></article>", "Text."),
+    ("<article><p>One.</p><button>Send<p>Two.</p></article>", "One.\nTwo."),
+    ("<article><p>One.</p><select><option>a<option>b<p>Two.</p></article>", "One.\nTwo."),
+    ("<article><p>One.<button>Send</button> More.</p></article>", "One. More."),
+    ("<article><p>One.</p><section><h2>Comments</h2><p>Me too.</p><div><p>And I.</p></div></section></article>", "One."),
+    ("<article><p>One.</p><section><h2>Comments on law</h2><p>Two.</p></section><p>Three.</p></article>",
+     "One.\nComments on law\nTwo.\nThree."),
+    ("<article><h2>Comments</h2><p>An article of that name.</p></article>", "Comments\nAn article of that name.")])
+def test_html_left_out_end_tags_and_reader_comments(page, text):
+    assert html.main_text(page) == text
+
+
+def test_html_ratio_clusters_decide_inside_an_article():
+    """A list of links between long paragraphs is no content; without the threshold it stays."""
+    long = "A long sentence of the text with a <a href=/x>link</a> in it. " * 8
+    links = "".join(f"<li><a href=/{i}>Read {i}</a></li>" for i in range(12))
+    plain = "".join(f"<li>Step {i}</li>" for i in range(12))
+    page = f"<article>{f'<p>{long}</p>' * 3}<ul>%s</ul><p>End.</p></article>"
+    with_links, steps = html.main_text(page % links), html.main_text(page % plain)
+    assert "Read 5" not in with_links and with_links.endswith("\nEnd.") and "in it." in with_links
+    assert "Read 5" in html.main_text(page % links, share=0.0)
+    assert "Step 5" in steps and steps.count("\n") == 15
+
+
 def test_html_containers():
     assert html.main_text("<main><h1>Title</h1><p>Lead</p><article><p>Body text.</p></article></main>") == "Title\nLead\nBody text."
     parts = [f"Part {i} with some text." for i in range(3)]
