@@ -30,9 +30,44 @@ def _count(pattern: str) -> str:
     return f"len(regexp_extract_all(t, {_quote(pattern)}))"
 
 
+def _dots(path: str) -> str:
+    fold = (f"list_reduce(string_split(substr({path}, 2), '/'), lambda a, s: CASE WHEN s = '..' THEN "
+            f"regexp_replace(a, '/[^/]*\\z', '') WHEN s = '.' THEN a ELSE a || '/' || s END, '')")
+    return (f"CASE WHEN regexp_matches({path}, '/\\.\\.?\\z') THEN {fold} || '/' "
+            f"WHEN regexp_matches({path}, '/\\.\\.?/') THEN {fold} ELSE {path} END")
+
+
+def _address(value: str) -> str:
+    """A URL as an attribute holds it, without white space around it and line ends in it."""
+    return f"translate(trim({value}, chr(32) || chr(9) || chr(10) || chr(12) || chr(13)), chr(9) || chr(10) || chr(13), '')"
+
+
+def _attribute(tag: str, pattern: str) -> str:
+    names = ", ".join(f"{_quote(k)}: {_quote(v)}" for k, v in urls.NAMED.items() if v not in "\t\n")
+    code = ("CAST(CASE WHEN lower(p[3]) = 'x' THEN '0x' || p[4:length(p) - 1] ELSE p[3:length(p) - 1] END AS BIGINT)")
+    return (f"array_to_string([CASE WHEN starts_with(p, '&#') THEN CASE WHEN {code} BETWEEN 1 AND 1114111 "
+            f"AND {code} NOT BETWEEN 55296 AND 57343 THEN chr(CAST({code} AS INT)) ELSE chr(65533) END "
+            f"WHEN p = '&Tab;' THEN chr(9) WHEN p = '&NewLine;' THEN chr(10) ELSE coalesce(MAP {{{names}}}[p], p) END "
+            f"FOR p IN regexp_extract_all(trim(regexp_extract({tag}, {_quote(pattern)}, 1), chr(34) || chr(39)), {_quote(urls.PIECES)})], '')")
+
+
+def _resolved(source: str, base: str, target: str, to: str) -> str:
+    scheme, origin = _quote(urls.SCHEME), _quote(urls.ORIGIN)
+    return rf"""SELECT * EXCLUDE (hit, hit_path), CASE WHEN regexp_extract(hit, {origin}, 1) <> '' THEN
+      regexp_extract(hit, {origin}, 1) || {_dots('hit_path')} || regexp_extract(hit, '(?s)^[^?#]*(.*)', 1) END AS {to}
+    FROM (SELECT *, regexp_extract(hit, '^[^:/?#]+://[^/?#]*([^?#]*)', 1) AS hit_path
+      FROM (SELECT *, CASE WHEN regexp_matches({target}, {scheme} || '//') THEN {target} WHEN regexp_matches({target}, {scheme}) THEN NULL
+          WHEN {target} LIKE '//%' THEN regexp_extract({base}, '^([^:/?#]+):', 1) || ':' || {target}
+          WHEN {target} LIKE '/%' THEN regexp_extract({base}, {origin}, 1) || {target}
+          WHEN {target} LIKE '?%' THEN regexp_extract({base}, '^([^?#]*)', 1) || {target}
+          WHEN {target} = '' OR {target} LIKE '#%' THEN regexp_extract({base}, '^([^#]*)', 1)
+          WHEN regexp_matches({base}, {_quote(urls.FOLDER)}) THEN regexp_extract({base}, {_quote(urls.FOLDER)}, 1) || {target}
+          ELSE regexp_extract({base}, {origin}, 1) || '/' || {target} END AS hit FROM {source}))"""
+
+
 def _split_url(source: str, url: str) -> str:
     return rf"""SELECT * EXCLUDE (rest, query, params), CASE WHEN host <> '' THEN
-      regexp_replace(host, ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+      regexp_replace(host, ':(80|443)$', '') || regexp_replace({_dots('path')}, '/+$', '')
       || CASE WHEN params <> '' THEN '?' || params ELSE '' END END AS key
     FROM (SELECT *, array_to_string([p for p in string_split(query, '&')
             if p <> '' AND NOT regexp_matches(p, '(?i)^({urls.TRACKING})(=|$)')], '&') AS params
@@ -48,15 +83,15 @@ _RULES = ", ".join(f"({_quote(h)}, {_quote(p)}, {_quote(v)})" for h, p, v in url
 URLS = rf"""
 WITH RECURSIVE rules(rh, rp, rv) AS (VALUES {_RULES}),
 judged AS ({_split_url('(SELECT page_id, url FROM pages)', 'url')}),
-tags AS (SELECT url, regexp_extract(html, {_quote(urls.CANONICAL)}) AS l, regexp_extract(html, {_quote(urls.REFRESH)}) AS m
+markup AS (SELECT url, regexp_replace(html, {_quote(urls.UNREAD)}, ' ', 'g') AS m
   FROM pages WHERE html IS NOT NULL AND url LIKE '%://%'),
-targets AS (SELECT url, CASE WHEN regexp_extract(l, {_quote(urls.HREF)}, 1) <> '' THEN regexp_extract(l, {_quote(urls.HREF)}, 1)
-  ELSE regexp_extract(m, {_quote(urls.REFRESH_URL)}, 1) END AS t FROM tags WHERE l <> '' OR m <> ''),
-absolute AS (SELECT url, CASE WHEN t LIKE '%://%' THEN t
-    WHEN t LIKE '//%' THEN regexp_extract(url, '^([^:/?#]+):', 1) || ':' || t
-    WHEN t LIKE '/%' THEN regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) || t
-    WHEN regexp_matches(url, '^[^:/?#]+://[^/?#]+/') THEN regexp_extract(url, '^([^:/?#]+://[^/?#]+/([^?#]*/)?)', 1) || t
-    ELSE regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) || '/' || t END AS target FROM targets WHERE t <> ''),
+tags AS (SELECT url, regexp_extract(m, {_quote(urls.BASE)}) AS b, unnest(regexp_extract_all(m, {_quote(urls.CANONICAL)})) AS l, false AS meta FROM markup
+  UNION ALL SELECT url, regexp_extract(m, {_quote(urls.BASE)}), unnest(regexp_extract_all(m, {_quote(urls.REFRESH)})), true FROM markup),
+targets AS (SELECT DISTINCT url, {_address(_attribute('b', urls.HREF))} AS base_href, CASE WHEN meta THEN
+  {_address(f"regexp_extract({_attribute('l', urls.CONTENT)}, {_quote(urls.REFRESH_URL)}, 1)")}
+  ELSE {_address(_attribute('l', urls.HREF))} END AS t FROM tags),
+based AS (SELECT url, t, coalesce(base, url) AS base FROM ({_resolved("(SELECT * FROM targets WHERE t <> '')", 'url', 'base_href', 'base')})),
+absolute AS (SELECT url, target FROM ({_resolved('based', 'base', 't', 'target')}) WHERE target IS NOT NULL),
 origin AS (SELECT target, key AS a FROM ({_split_url('absolute', 'url')})),
 linked AS ({_split_url('origin', 'target')}),
 edges AS (SELECT a, key AS b FROM linked WHERE a IS NOT NULL AND key IS NOT NULL

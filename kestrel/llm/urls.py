@@ -3,17 +3,23 @@
 A rule ``(host, path)`` fits its host and every subdomain when the URL's path
 starts with the rule's path; the longest rule wins.  URLs that no rule fits
 take the verdict of their aliases: URLs are reduced to a normal form (scheme,
-fragment, default port, tracking parameters and a trailing slash removed), the
-normal forms are linked by canonical links and refresh redirects found in the
-HTML, and connected components of these links are the alias classes.  Within a
-class an explicit allow outweighs a block; a class without any rule is allowed.
+fragment, default port, dot segments, tracking parameters and a trailing slash
+removed), the normal forms are linked by canonical links and refresh redirects
+found in the HTML, and connected components of these links are the alias classes.
+Within a class an explicit allow outweighs a block; a class without any rule is allowed.
+
+Links are read as a browser with scripts does: comments, scripts, styles,
+templates, noscript and raw-text elements hold none (an unclosed one reaches to the
+end), references in attributes are decoded, and addresses are resolved against the
+first ``<base href>``, else the page's URL.  A ``<`` or ``>`` inside an attribute ends its tag.
 """
 
 from __future__ import annotations
 
 import string
+from html.entities import html5
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.components import connected_components
@@ -30,11 +36,75 @@ RULES = [
 #: Query parameters that do not select content.
 TRACKING = r"utm_[a-z]+|gclid|fbclid|ref|source|sessionid"
 
-_QUOTE = "[\"']?"
-CANONICAL = rf"(?is)<link\b[^>]*\brel\s*=\s*{_QUOTE}canonical\b[^>]*>"
-REFRESH = rf"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*{_QUOTE}refresh\b[^>]*>"
-HREF = rf"(?is)\bhref\s*=\s*{_QUOTE}([^\"'\s>]+)"
-REFRESH_URL = r"(?is)\burl\s*=\s*'?([^\"'\s>]+)"
+_RAW = "script style template noscript textarea title xmp iframe noembed noframes".split()
+#: Parts of a page whose text is no markup of the page.
+UNREAD = r"(?is)<!--.*?(?:--!?>|\z)" + "".join(rf"|<{tag}\b.*?(?:</{tag}\b|\z)" for tag in _RAW)
+CANONICAL = r"""(?is)<link[\s/](?:[^<>]*[\s"'/])?rel\s*=\s*["']?(?:[^"'<>=]*\s)?canonical(?:["'\s/][^<>]*)?>"""
+REFRESH = r"""(?is)<meta[\s/](?:[^<>]*[\s"'/])?http-equiv\s*=\s*["']?\s*refresh(?:["'\s/][^<>]*)?>"""
+BASE = r"""(?is)<base[\s/](?:[^<>]*[\s"'/])?href\s*=[^<>]*>"""
+HREF = r"""(?is)[\s"'/]href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+CONTENT = r"""(?is)[\s"'/]content\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+REFRESH_URL = r"""(?is)^\s*[0-9.]+\s*[;,\s]\s*(?:url\s*=\s*)?["']?([^"']*)"""
+SPACE = " \t\r\n\f"
+#: Pieces of an attribute's value: references with their semicolon, and the text between them.
+PIECES = r"(?s)&#[xX][0-9a-fA-F]{1,6};|&#[0-9]{1,7};|&[A-Za-z]+;|[^&]+|&"
+#: Named references to one ASCII character.
+NAMED = {f"&{name}": char for name, char in sorted(html5.items())
+         if name.endswith(";") and len(char) == 1 and char < "\x80"}
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+ORIGIN = r"^([^:/?#]+://[^/?#]*)"
+FOLDER = r"^([^:/?#]+://[^/?#]+/(?:[^?#]*/)?)"
+
+
+def _value(tag: Column, attribute: str) -> Column:
+    """An attribute's value with its references decoded."""
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def piece(p):
+        code = (F.when(p.rlike("^&#[xX]"), F.conv(F.regexp_extract(p, "([0-9a-fA-F]+);", 1), 16, 10))
+                .otherwise(F.regexp_extract(p, "([0-9]+);", 1)).cast("bigint"))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return (F.when(p.startswith("&#"), F.when(valid, char).otherwise("\ufffd"))
+                .otherwise(F.coalesce(F.try_element_at(names, p), p)))
+
+    raw = F.btrim(F.regexp_extract(tag, attribute, 1), F.lit("\"'"))
+    return F.array_join(F.transform(F.regexp_extract_all(raw, F.lit(PIECES), F.lit(0)), piece), "")
+
+
+def _address(value: Column) -> Column:
+    return F.translate(F.btrim(value, F.lit(SPACE)), "\t\r\n", "")
+
+
+def _without_dots(path: Column) -> Column:
+    """The path with its ``.`` and ``..`` segments resolved."""
+    kept = F.aggregate(F.split(F.substring(path, 2, F.length(path)), "/"), F.lit(""),
+                       lambda done, part: F.when(part == "..", F.regexp_replace(done, r"/[^/]*\z", ""))
+                       .when(part == ".", done).otherwise(F.concat(done, F.lit("/"), part)))
+    return (F.when(path.rlike(r"/\.\.?\z"), F.concat(kept, F.lit("/")))
+            .when(path.rlike(r"/\.\.?/"), kept).otherwise(path))
+
+
+def _step(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later steps and filters read, and do not copy: a one-element explode."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _resolved(df: DataFrame, base: str, target: str, to: str) -> DataFrame:
+    """``to``: the address ``target`` as seen from the URL ``base``, without dot segments; null if it names no host."""
+    t, origin, folder = F.col(target), F.regexp_extract(base, ORIGIN, 1), F.regexp_extract(base, FOLDER, 1)
+    found = (F.when(t.rlike(SCHEME + "//"), t).when(t.rlike(SCHEME), F.lit(None))
+             .when(t.startswith("//"), F.concat(F.regexp_extract(base, r"^([^:/?#]+):", 1), F.lit(":"), t))
+             .when(t.startswith("/"), F.concat(origin, t))
+             .when(t.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), t))
+             .when(t.startswith("#") | (t == ""), F.regexp_extract(base, r"^([^#]*)", 1))
+             .when(folder != "", F.concat(folder, t)).otherwise(F.concat(origin, F.lit("/"), t)))
+    at = _step(df, "_at", found)
+    path = _step(at, "_path", F.regexp_extract("_at", r"^[^:/?#]+://[^/?#]*([^?#]*)", 1))
+    return (_step(path, to, F.when(F.regexp_extract("_at", ORIGIN, 1) != "", F.concat(
+                F.regexp_extract("_at", ORIGIN, 1), _without_dots(F.col("_path")),
+                F.regexp_extract("_at", r"(?s)^[^?#]*(.*)", 1))))
+            .drop("_at", "_path"))
 
 
 def split_url(df: DataFrame, url: str, to: str = "") -> DataFrame:
@@ -53,30 +123,27 @@ def split_url(df: DataFrame, url: str, to: str = "") -> DataFrame:
             .withColumn("_query", F.regexp_extract("_rest", r"^[^?#]*\?([^#]*)", 1))
             .withColumn("_kept", kept)
             .withColumn(f"{to}key", F.when(F.col(host) != "", F.concat(
-                F.regexp_replace(host, r":(80|443)$", ""), F.regexp_replace(path, r"/+$", ""),
+                F.regexp_replace(host, r":(80|443)$", ""), F.regexp_replace(_without_dots(F.col(path)), r"/+$", ""),
                 F.when(F.col("_kept") != "", F.concat(F.lit("?"), F.col("_kept"))).otherwise(F.lit("")))))
             .drop("_rest", "_query", "_kept"))
 
 
 def link_targets(pages: DataFrame) -> DataFrame:
     """``pages(url, html)`` -> (url, to): the absolute targets of all canonical links and refresh
-    redirects of each page."""
-    target = F.col("_target")
-    origin = F.regexp_extract("url", r"^([^:/?#]+://[^/?#]*)", 1)
-    folder = F.regexp_extract("url", r"^([^:/?#]+://[^/?#]+/(?:[^?#]*/)?)", 1)
-    return (pages.where(F.col("html").isNotNull() & F.col("url").contains("://"))
-            .withColumn("_links", F.regexp_extract_all("html", F.lit(CANONICAL), F.lit(0)))
-            .withColumn("_metas", F.regexp_extract_all("html", F.lit(REFRESH), F.lit(0)))
-            .where("size(_links) > 0 OR size(_metas) > 0")
-            .withColumn("_target", F.explode(F.array_distinct(F.concat(
-                F.transform("_links", lambda x: F.regexp_extract(x, HREF, 1)),
-                F.transform("_metas", lambda x: F.regexp_extract(x, REFRESH_URL, 1))))))
-            .where("_target != ''")
-            .select("url", F.when(target.contains("://"), target)
-                    .when(target.startswith("//"), F.concat(F.regexp_extract("url", r"^([^:/?#]+):", 1), F.lit(":"), target))
-                    .when(target.startswith("/"), F.concat(origin, target))
-                    .when(folder != "", F.concat(folder, target))
-                    .otherwise(F.concat(origin, F.lit("/"), target)).alias("to")))
+    redirects of each page; addresses without a host (mailto, javascript) are no targets."""
+    # Few pages have such tags: the markup is only cleaned where one seems to stand.
+    seen = (pages.where(F.col("html").isNotNull() & F.col("url").contains("://"))
+            .where(F.col("html").rlike(CANONICAL) | F.col("html").rlike(REFRESH)))
+    markup = _step(seen, "_markup", F.regexp_replace("html", UNREAD, " ")).select("url", "_markup")
+    tags = _step(markup, "_tags", F.concat(
+        F.transform(F.regexp_extract_all("_markup", F.lit(CANONICAL), F.lit(0)),
+                    lambda x: _address(_value(x, HREF))),
+        F.transform(F.regexp_extract_all("_markup", F.lit(REFRESH), F.lit(0)),
+                    lambda x: _address(F.regexp_extract(_value(x, CONTENT), REFRESH_URL, 1)))))
+    based = _step(tags, "_base_href", _address(_value(F.regexp_extract("_markup", BASE, 0), HREF))).drop("_markup")
+    targets = _resolved(based, "url", "_base_href", "_own").select(
+        "url", F.coalesce("_own", "url").alias("_base"), F.explode(F.array_distinct("_tags")).alias("_target"))
+    return _resolved(targets.where("_target != ''"), "_base", "_target", "to").where("to IS NOT NULL").select("url", "to")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
