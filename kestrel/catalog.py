@@ -218,8 +218,27 @@ def q_pit_join(spark, sf):
 
 @register("pit_join_ttl_1d")
 def q_pit_join_ttl(spark, sf):
-    return fs.pit_join(_facts(spark, sf), A.snapshots(spark, sf), "user_id", SNAP_COLS, ttl_seconds=86400,
-                       bucket_seconds=6 * 3600)
+    return fs.pit_join(_facts(spark, sf), A.snapshots(spark, sf), "user_id", SNAP_COLS, ttl_seconds=86400)
+
+
+def _item_facts(spark, sf):
+    return A.table(spark, sf, "events").select("event_id", "user_id", A.event_item().alias("item_id"), "ts")
+
+
+@register("pit_join_items")
+def q_pit_join_items(spark, sf):
+    """J5, item view: the item's counters as they stood at each event."""
+    return fs.pit_join(_item_facts(spark, sf), A.item_snapshots(spark, sf), "item_id", SNAP_COLS, ttl_seconds=30 * 86400)
+
+
+@register("pit_training_rows")
+def q_pit_training_rows(spark, sf):
+    """J5, both views on the same rows: label = click or purchase, user and item counters before it."""
+    rows = A.feedback(spark, sf).select("event_id", "user_id", "item_id", "ts", F.col("reward").cast("int").alias("label"))
+    users = A.snapshots(spark, sf).withColumnsRenamed({c: f"user_{c}" for c in SNAP_COLS})
+    items = A.item_snapshots(spark, sf).withColumnsRenamed({c: f"item_{c}" for c in SNAP_COLS})
+    rows = fs.pit_join(rows, users, "user_id", [f"user_{c}" for c in SNAP_COLS]).drop("event_timestamp")
+    return fs.pit_join(rows, items, "item_id", [f"item_{c}" for c in SNAP_COLS]).drop("event_timestamp")
 
 
 @register("materialize_latest")

@@ -1,17 +1,17 @@
 """Feature-store operators: point-in-time join (J5), latest per key (J6), entity lookup.
 
-The as-of join is a union + window, but the window is keyed by (entity, time
-bucket) rather than by entity alone: a heavy entity is spread over its
-buckets, and the state carried into a bucket (the newest feature row of
-earlier buckets) comes from a table with one row per (entity, bucket).
+The as-of join is a segmented scan (``plans/asof.py``): facts and features are
+range partitioned on (entity, time), filled forward inside each partition, and
+the newest feature row of an entity is carried over the border that cuts it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalar import ts_to_micros
+from kestrel.plans.asof import carry_last
 
 # Defaults for entities missing from the store.
 USER_DEFAULTS = {
@@ -29,52 +29,30 @@ ITEM_DEFAULTS = {
 
 def pit_join(facts: DataFrame, features: DataFrame, key: str, feature_cols: list,
              fact_ts: str = "ts", feature_ts: str = "event_timestamp", ttl_seconds: int = 30 * 86400,
-             bucket_seconds: int = 86400, fill=0) -> DataFrame:
+             fill=0, num_partitions: int | None = None) -> DataFrame:
     """For every fact row: the newest feature row of the same key with
     ``feature_ts <= fact_ts`` and ``feature_ts >= fact_ts - ttl``; absent -> ``fill``.
 
     Returns the fact columns, ``feature_ts`` of the match (null when none) and
-    the feature columns.
+    the feature columns.  A null key or time matches nothing.
     """
-    bucket_us = bucket_seconds * 1_000_000
-    ttl_us = ttl_seconds * 1_000_000
-
-    def bucket(c):
-        return F.floor(ts_to_micros(c) / F.lit(float(bucket_us))).cast("bigint")
-
     payload = F.struct(F.col(feature_ts).alias("_fts"), *[F.col(c) for c in feature_cols])
-    feats = features.select(key, bucket(F.col(feature_ts)).alias("_b"), F.col(feature_ts).alias("_t"),
-                            payload.alias("_p"))
-    fact_cols = facts.columns
-    fx = facts.withColumn("_b", bucket(F.col(fact_ts)))
-
-    # State carried into each bucket: newest feature row of any earlier bucket.
-    last_in_bucket = feats.groupBy(key, "_b").agg(F.max("_p").alias("_p"))
-    fact_buckets = fx.select(key, "_b").distinct().withColumn("_p", F.lit(None).cast(last_in_bucket.schema["_p"].dataType))
-    grid = last_in_bucket.unionByName(fact_buckets).groupBy(key, "_b").agg(F.max("_p").alias("_p"))
-    w_carry = W.partitionBy(key).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    carry = grid.select(key, "_b", F.last("_p", ignorenulls=True).over(w_carry).alias("_carry"))
-
-    # Inside a bucket: features sort before facts at equal time (<=).
-    tagged_f = feats.select(key, "_b", "_t", F.lit(0).alias("_tag"), "_p",
-                            *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in fact_cols if c != key])
-    tagged_q = fx.select(key, "_b", F.col(fact_ts).alias("_t"), F.lit(1).alias("_tag"),
-                         F.lit(None).cast(last_in_bucket.schema["_p"].dataType).alias("_p"),
-                         *[c for c in fact_cols if c != key])
-    w_in = (W.partitionBy(key, "_b").orderBy("_t", "_tag", "_p")
-            .rowsBetween(W.unboundedPreceding, W.currentRow))
-    u = tagged_f.unionByName(tagged_q)
-    matched = (u.withColumn("_in", F.last("_p", ignorenulls=True).over(w_in)).where(F.col("_tag") == 1)
-               .join(carry, [key, "_b"], "left")
-               .withColumn("_m", F.coalesce("_in", "_carry")))
-    ok = F.col("_m._fts").isNotNull() & (ts_to_micros(F.col("_m._fts")) >= ts_to_micros(F.col("_t")) - F.lit(ttl_us))
-    out = matched.select(
-        *[F.col(c) for c in fact_cols if c != fact_ts], F.col("_t").alias(fact_ts),
-        F.when(ok, F.col("_m._fts")).alias(feature_ts),
+    others = [c for c in facts.columns if c not in (key, fact_ts)]
+    feats = (features.where(F.col(key).isNotNull() & F.col(feature_ts).isNotNull())
+             .select(key, F.col(feature_ts).alias("_t"), F.lit(0).alias("_tag"), payload.alias("_p"),
+                     *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in others]))
+    asked = facts.select(key, F.col(fact_ts).alias("_t"), F.lit(1).alias("_tag"),
+                         F.lit(None).cast(feats.schema["_p"].dataType).alias("_p"), *others)
+    # Features stand before facts of the same time (<=).
+    found = carry_last(feats.unionByName(asked), key, ["_t", "_tag", "_p"], "_p", "_m", num_partitions).where("_tag = 1")
+    ttl_us = F.lit(ttl_seconds * 1_000_000)
+    ok = F.col("_m._fts").isNotNull() & (ts_to_micros(F.col("_m._fts")) >= ts_to_micros(F.col("_t")) - ttl_us)
+    out = found.select(
+        key, *others, F.col("_t").alias(fact_ts), F.when(ok, F.col("_m._fts")).alias(feature_ts),
         *[F.when(ok, F.col(f"_m.{c}")).alias(c) for c in feature_cols])
     if fill is not None:
         out = out.fillna(fill, subset=feature_cols)
-    return out.select(*fact_cols, feature_ts, *feature_cols)
+    return out.select(*facts.columns, feature_ts, *feature_cols)
 
 
 def materialize_latest(df: DataFrame, key: str, start=None, end=None, ts: str = "event_timestamp") -> DataFrame:

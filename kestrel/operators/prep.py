@@ -7,7 +7,6 @@ Dense ids are 1-based; 0 is reserved for padding.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
@@ -196,23 +195,20 @@ def prefix_samples(df: DataFrame, max_len: int = 50, user: str = "user_id", item
                    time_cols=("ts", "tie")) -> DataFrame:
     """(user, pos, target, prefix) for every position >= 2: prefix = up to ``max_len`` previous items.
 
-    Positions come from ``group_position`` (range partitioned, skew-safe); the
-    prefix is assembled by an equi-join on (user, pos window) that emits at
-    most ``max_len`` rows per sample -- the sample's own size, not the group's.
+    Positions come from ``group_position`` (range partitioned, skew-safe).  A user's
+    rows are cut into position blocks, the last ``max_len`` rows of a block are copied
+    into the next one, and a row frame inside the block reads the prefix.
     """
     seq = sequence_positions(df, user, time_cols).select(user, "pos", item)
-    seq = seq.persist(StorageLevel.MEMORY_AND_DISK)
-    targets = seq.where(F.col("pos") >= 2)
-    back = F.explode(F.sequence(F.lit(1), F.least(F.col("pos") - 1, F.lit(max_len))))
-    wanted = (targets.select(user, F.col("pos").alias("t_pos"), F.col(item).alias("target_item"),
-                             back.alias("_back"))
-              .withColumn("pos", F.col("t_pos") - F.col("_back")))
-    joined = wanted.join(seq, [user, "pos"])
-    agg = joined.groupBy(user, "t_pos", "target_item").agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.col(item).alias("_it")))).alias("_p"))
-    return agg.select(user, F.col("t_pos").alias("pos"), "target_item",
-                      F.size("_p").cast("bigint").alias("prefix_len"),
-                      F.array_join(F.transform("_p", lambda x: x["_it"].cast("string")), ",").alias("prefix"))
+    size = 20 * max_len  # the copies are a twentieth of the rows at most
+    block, place = F.floor((F.col("pos") - 1) / size), (F.col("pos") - 1) % size
+    copies = F.when(place >= size - max_len, F.array(block, block + 1)).otherwise(F.array(block))
+    spread = seq.select(user, "pos", item, block.alias("_own"), F.explode(copies).alias("_block"))
+    frame = W.partitionBy(user, "_block").orderBy("pos").rowsBetween(-max_len, -1)
+    return (spread.withColumn("_p", F.collect_list(item).over(frame))
+            .where((F.col("_own") == F.col("_block")) & (F.col("pos") >= 2))
+            .select(user, "pos", F.col(item).alias("target_item"), F.size("_p").cast("bigint").alias("prefix_len"),
+                    F.array_join(F.transform("_p", lambda x: x.cast("string")), ",").alias("prefix")))
 
 
 def train_window(interactions: DataFrame, ratings: DataFrame, user: str = "user_id", item: str = "item_id",

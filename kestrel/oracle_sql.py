@@ -311,6 +311,31 @@ FROM events f ASOF LEFT JOIN snaps s ON f.user_id = s.user_id AND f.ts >= s.even
 ORACLE["pit_join"] = _pit(30 * 86400 * 1_000_000)
 ORACLE["pit_join_ttl_1d"] = _pit(86400 * 1_000_000)
 
+_EVENT_ITEM = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+ITEM_SNAPS = [x.replace("user_id", "item_id").replace("daily AS", "item_daily AS").replace("FROM daily", "FROM item_daily")
+              .replace("snaps AS", "item_snaps AS").replace("FROM events", f"FROM (SELECT *, {_EVENT_ITEM} AS item_id FROM events) "
+              "WHERE item_id IS NOT NULL") for x in SNAPS]
+
+
+def _as_of(alias: str, prefix: str = "") -> str:
+    """The counters of a 30-day as-of match, 0 where there is none."""
+    ok = f"({alias}.event_timestamp IS NOT NULL AND epoch_us({alias}.event_timestamp) >= epoch_us(f.ts) - {30 * 86400 * 1_000_000})"
+    return ", ".join(f"CASE WHEN {ok} THEN {alias}.{c} ELSE 0 END AS {prefix}{c}"
+                     for c in ("cum_events", "cum_clicks", "cum_purchases", "cum_value"))
+
+
+ORACLE["pit_join_items"] = with_(ITEM_SNAPS, f"""
+SELECT f.event_id, f.user_id, f.item_id, f.ts, CASE WHEN epoch_us(s.event_timestamp) >= epoch_us(f.ts) - {30 * 86400 * 1_000_000}
+  THEN s.event_timestamp END AS event_timestamp, {_as_of('s')}
+FROM (SELECT *, {_EVENT_ITEM} AS item_id FROM events) f ASOF LEFT JOIN item_snaps s ON f.item_id = s.item_id AND f.ts >= s.event_timestamp""")
+
+ORACLE["pit_training_rows"] = with_(SNAPS + ITEM_SNAPS, f"""
+SELECT f.event_id, f.user_id, f.item_id, f.ts, f.label, {_as_of('u', 'user_')}, {_as_of('i', 'item_')}
+FROM (SELECT event_id, user_id, {_EVENT_ITEM} AS item_id, ts, CASE WHEN event_type = 'view' THEN 0 ELSE 1 END AS label
+      FROM events WHERE event_type IN ('click', 'purchase', 'view')) f
+ASOF LEFT JOIN snaps u ON f.user_id = u.user_id AND f.ts >= u.event_timestamp
+ASOF LEFT JOIN item_snaps i ON f.item_id = i.item_id AND f.ts >= i.event_timestamp""")
+
 ORACLE["materialize_latest"] = with_(SNAPS, """
 SELECT user_id, event_timestamp, cum_events, cum_clicks, cum_purchases, cum_value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC) AS rn FROM snaps) WHERE rn = 1""")

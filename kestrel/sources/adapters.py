@@ -124,25 +124,34 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id")
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily cumulative user features.
-
-    One row per (user, active day); ``event_timestamp`` is the user's last
-    event of that day.  The running sums walk a table with one row per user
-    and day, so a heavy user costs days, not events.
-    """
+def _daily_counters(ev: DataFrame, key: str) -> DataFrame:
     from pyspark.sql import Window as W
-    ev = _events(spark, sf_dir)
-    daily = (ev.groupBy("user_id", F.to_date("ts").alias("day"))
+    daily = (ev.groupBy(key, F.to_date("ts").alias("day"))
              .agg(F.max("ts").alias("event_timestamp"),
                   F.count(F.lit(1)).alias("n_events"),
                   F.count_if(F.col("event_type") == "click").alias("n_clicks"),
                   F.count_if(F.col("event_type") == "purchase").alias("n_purchases"),
                   F.sum("value").alias("value_sum")))
-    w = W.partitionBy("user_id").orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
+    w = W.partitionBy(key).orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
     return daily.select(
-        "user_id", "event_timestamp",
+        key, "event_timestamp",
         F.sum("n_events").over(w).alias("cum_events"),
         F.sum("n_clicks").over(w).alias("cum_clicks"),
         F.sum("n_purchases").over(w).alias("cum_purchases"),
         F.round(F.sum("value_sum").over(w), 6).alias("cum_value"))
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily cumulative user features.
+
+    One row per (user, active day); ``event_timestamp`` is the user's last
+    event of that day.  The running sums walk a table with one row per user
+    and day, so a heavy user costs days, not events.
+    """
+    return _daily_counters(_events(spark, sf_dir), "user_id")
+
+
+def item_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counters per (item, active day); events without an item are left out."""
+    ev = _events(spark, sf_dir).withColumn("item_id", event_item())
+    return _daily_counters(ev.where(F.col("item_id").isNotNull()), "item_id")

@@ -46,9 +46,29 @@ def test_hot_key_positions_and_sessions(spark):
     assert (s["session_count"], s["avg_session_length"]) == (1, 3000.0)  # 7-minute gaps never open a session
 
 
-def test_pit_window_is_keyed_by_entity_and_bucket(spark):
+def test_prefixes_cross_position_blocks(spark):
+    df = _hot(spark, 500).where("user_id < 3")
+    got = {(r.user_id, r.pos): (r.target_item, r.prefix) for r in prep.prefix_samples(df, max_len=3).collect()}
+    want = {}
+    for u in range(3):
+        items = [r.item_id for r in df.where(F.col("user_id") == u).orderBy("ts", "tie").collect()]
+        for i in range(1, len(items)):
+            want[u, i + 1] = (items[i], ",".join(map(str, items[max(0, i - 3):i])))
+    assert got == want and (0, 500) in want  # blocks of 60 positions
+
+
+def test_pit_join_spreads_a_hot_key_and_carries_over_borders(spark):
+    """Against brute force; with few features the newest one lies many partitions back."""
     from kestrel.operators.feature_store import pit_join
-    df = _hot(spark, 300)
-    feats = df.select("user_id", F.col("ts").alias("event_timestamp"), F.col("tie").alias("v"))
-    plan = _plan(pit_join(df.select("tie", "user_id", "ts"), feats, "user_id", ["v"]))
-    assert "_b#" in plan and "hashpartitioning(user_id" in plan
+    facts = _hot(spark, 900).select("tie", "user_id", "ts").union(spark.sql(
+        "SELECT -1L, CAST(NULL AS BIGINT), timestamp_ntz'2024-01-01 00:00:00'")).union(spark.sql("SELECT -2L, 0L, CAST(NULL AS timestamp_ntz)"))
+    feats = (facts.where("tie % 97 = 5").select("user_id", F.col("ts").alias("event_timestamp"), F.col("tie").alias("v"))
+             .union(spark.sql("SELECT CAST(NULL AS BIGINT), timestamp_ntz'2020-01-01 00:00:00', 5L")))
+    out = pit_join(facts, feats, "user_id", ["v"], ttl_seconds=40 * 3600, num_partitions=24)
+    assert "hashpartitioning(_pid" in _plan(out)  # the fill runs per range partition, not per user
+    known = [tuple(r) for r in feats.collect() if r[0] is not None]
+    want = {}
+    for tie, user, ts in facts.collect():
+        found = [(t, v) for u, t, v in known if u == user and ts is not None and t <= ts and (ts - t).total_seconds() <= 40 * 3600]
+        want[tie] = max(found)[1] if found else 0
+    assert {r.tie: r.v for r in out.collect()} == want and len(set(want.values())) > 5

@@ -16,7 +16,7 @@ def test_pit_join_vs_brute_force(spark):
     facts = [(i, u, t0 + dt.timedelta(hours=h)) for i, (u, h) in enumerate([(1, 0), (1, 4), (1, 29), (1, 31), (1, 200), (2, 0), (3, 5)])]
     f = spark.createDataFrame(feats, "user_id long, event_timestamp timestamp_ntz, v long")
     q = spark.createDataFrame(facts, "fact_id long, user_id long, ts timestamp_ntz")
-    got = {r["fact_id"]: r["v"] for r in fs.pit_join(q, f, "user_id", ["v"], ttl_seconds=48 * 3600, bucket_seconds=6 * 3600).collect()}
+    got = {r["fact_id"]: r["v"] for r in fs.pit_join(q, f, "user_id", ["v"], ttl_seconds=48 * 3600).collect()}
 
     def brute(u, t):
         c = [(e, v) for uu, e, v in feats if uu == u and e <= t and e >= t - dt.timedelta(hours=48)]
