@@ -15,6 +15,8 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,17 +208,20 @@ def norm_stats(df: DataFrame, vec: str = "vec") -> DataFrame:
                                         F.max("_n").alias("norm_max"), F.avg("_n").alias("norm_mean"))
 
 
+def _dense(vec: str):
+    return array_to_vector(F.col(vec).cast("array<double>"))
+
+
 def collapse(df: DataFrame, vec: str = "vec", key: str = "qid") -> DataFrame:
     """Mean off-diagonal inner product over all pairs, via (|sum v|^2 - sum |v|^2) / (n (n - 1)).
 
-    Only per-dimension sums are aggregated: O(rows) work, no pairs.  > 0.9 warns.
+    One aggregate of vectors with partial sums: O(rows) work, no pairs.  > 0.9 warns.
     """
-    dims = df.select(F.posexplode(F.col(vec)).alias("d", "x"))
-    per_dim = dims.groupBy("d").agg(F.sum(F.col("x").cast("double")).alias("s"),
-                                    F.sum(F.col("x").cast("double") * F.col("x").cast("double")).alias("ss"))
-    n = df.select(F.count(F.lit(1))).scalar()
-    agg = per_dim.agg((F.sum(F.col("s") * F.col("s"))).alias("sq_sum"), F.sum("ss").alias("sum_sq"))
-    mean = F.when(n > 1, (F.col("sq_sum") - F.col("sum_sq")) / (n * (n - 1)))
+    agg = df.where(F.col(vec).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.sum(_dense(vec))).alias("s"),
+        F.sum(dot(F.col(vec), F.col(vec))).alias("sum_sq"))
+    n = F.col("n")
+    mean = F.when(n > 1, (dot(F.col("s"), F.col("s")) - F.col("sum_sq")) / (n * (n - 1)))
     return agg.select(n.alias("n_vectors"), mean.alias("mean_pair_similarity"),
                       F.coalesce(mean > 0.9, F.lit(False)).alias("collapsed"))
 
@@ -225,17 +230,15 @@ def pool_history(history: DataFrame, items: DataFrame, user: str = "user_id", it
                  vec: str = "vec", weight: str | None = None) -> DataFrame:
     """V9 (re-aimed): user vector = (weighted) mean of the item vectors in the user's history, L2-normalised.
 
-    The sum runs per (user, dimension) with partial aggregation, so heavy users
-    are pre-aggregated; the re-assembled array has one entry per dimension.
+    The mean is an aggregate of whole vectors with partial sums, so heavy users are
+    reduced before the shuffle.  Rows without a vector, and weights that are null or
+    not positive, add nothing.
     """
-    h = history.select(user, item, *( [weight] if weight else [] ))
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    exploded = h.join(items.select(item, F.posexplode(vec).alias("d", "x")), item)
-    sums = exploded.groupBy(user, "d").agg(F.sum(w * F.col("x").cast("double")).alias("s"),
-                                           F.sum(w).alias("wsum"))
-    pooled = sums.groupBy(user).agg(F.array_sort(F.collect_list(F.struct("d", (F.col("s") / F.col("wsum")).alias("v"))))
-                                    .alias("_a"))
-    return l2_normalize(pooled.select(user, F.transform("_a", lambda x: x["v"]).alias(vec)), vec)
+    rows = (history.select(user, item, w.alias("_w")).where("_w > 0")
+            .join(items.where(F.col(vec).isNotNull()).select(item, _dense(vec).alias("_v")), item))
+    pooled = rows.groupBy(user).agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("_m"))
+    return l2_normalize(pooled.select(user, vector_to_array("_m").alias(vec)), vec)
 
 
 def resolve_seed(requests: DataFrame, items: DataFrame, seed: str = "seed_id", item: str = "item_id") -> DataFrame:

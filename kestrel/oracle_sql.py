@@ -1275,3 +1275,5 @@ WHERE item_id <> 0""")
 
 ORACLE["clamped_sequences"] = with_(_PADDED + ["np AS (SELECT count(*) AS n FROM part)"], """
 SELECT user_id, array_to_string(list_transform(seq, lambda x: greatest(least(x, np.n - 1), 0)), ',') AS seq FROM ps, np""")
+
+ORACLE["ivf_all_cells"] = ORACLE["vector_topk"]

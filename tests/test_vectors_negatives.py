@@ -60,7 +60,7 @@ def test_popularity_negatives_follow_counts(spark):
     cdf = ng.popularity_cdf(inter)
     keys = spark.createDataFrame([(u,) for u in range(300)], "user_id long")
     none_seen = spark.createDataFrame([], "user_id long, item_id long")
-    negs = ng.popularity(keys, none_seen, cdf, n=10, seed=1, n_buckets=7)
+    negs = ng.popularity(keys, none_seen, cdf, n=10, seed=1)
     share = negs.where("item_id = 1").count() / negs.count()
     assert 0.85 < share < 0.95
 
@@ -107,3 +107,24 @@ def test_long_genres_keep_the_substring_rule(spark):
     assert got == {(1, "War"), (1, "Sci-Fi"), (2, "War"), (2, "Warhammer")}
     assert {(r["item_id"], r["genre_name"], r["item_num_genres"]) for r in features.genre_onehot(items).collect()} == {
         (1, "genre_War", 2), (1, "genre_Sci_Fi", 2), (2, "genre_War", 2), (2, "genre_Warhammer", 2), (3, None, 0)}
+
+
+def test_ivf_recall_grows_to_one_with_the_cells_probed(spark):
+    from kestrel.operators import cf
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(20, 8))
+    x = centres[r.integers(0, 20, 600)] * 4 + r.normal(size=(600, 8)) * 0.3
+    v = spark.createDataFrame([(i, [float(c) for c in row]) for i, row in enumerate(x)], "item_id long, vec array<double>")
+    q = v.where("item_id % 5 = 0").withColumnRenamed("item_id", "qid")
+    exact = vx.topk_inner_product(q, v, k=10)
+    recall = lambda **n: cf.recall_vs_exact(cf.ivf_topk(q, v, k=10, nlist=20, q_block=32, i_block=16, **n), exact).first().recall
+    assert recall(nprobe=20) == 1.0
+    assert recall(nprobe=10) >= 0.9
+
+
+def test_pooled_vectors_ignore_rows_without_weight_or_vector(spark):
+    items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, None)], "item_id long, vec array<double>")
+    h = spark.createDataFrame([(7, 1, 3.0), (7, 2, 1.0), (7, 3, 9.0), (7, 2, None), (8, 1, 0.0), (9, 2, 0.5)],
+                              "user_id long, item_id long, w double")
+    got = {r.user_id: r.vec for r in vx.pool_history(h, items, weight="w").collect()}
+    assert set(got) == {7, 9} and np.allclose(got[7], np.array([3.0, 2.0]) / np.sqrt(13)) and got[9] == [0.0, 1.0]
