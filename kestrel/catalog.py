@@ -410,11 +410,12 @@ def _event_inter(spark, sf):
                                         F.col("event_id").alias("tie"))
 
 
-def _candidate_set(spark, sf, n=100):
+def _candidate_set(spark, sf, n=100, inject=True):
+    """``inject``: users whose missing held-out item joins their list; all, or those a condition names."""
     history, target = prep.holdout_last(_event_inter(spark, sf))
     vec = _vectors(spark, sf)
     cands = vx.topk_excluding(vx.pool_history(history, vec), vec, history, k=n).withColumnRenamed("rank", "cand_rank")
-    cands = rk.inject_positive(cands, target)
+    cands = rk.inject_positive(cands, target.where(F.lit(inject)))
     return rk.label(cands, target), history, target
 
 
@@ -462,8 +463,8 @@ RANK_GENRE_COLS = [feat.genre_name(g) for g in GENRES]
 RANK_FEATURES = RANK_USER_COLS + RANK_ITEM_COLS + RANK_GENRE_COLS + RANK_LIST_COLS + RANK_PAIR_COLS
 
 
-def _ranking_matrix(spark, sf):
-    c, history, _ = _candidate_set(spark, sf)
+def _ranking_matrix(spark, sf, inject=True):
+    c, history, _ = _candidate_set(spark, sf, inject=inject)
     # The candidates and their genres feed several branches below: each is computed once.
     c, history = cut_lineage(c), cut_lineage(history)
     items = A.items(spark, sf)
@@ -912,11 +913,22 @@ def q_full_ranking_eval(spark, sf):
     return evaluation.metric_bundle(pos.withColumnRenamed("position", "rank"), ks=(5, 10, 20))
 
 
+@register("full_ranking_pessimistic")
+def q_full_ranking_pessimistic(spark, sf):
+    """M13 with items of the target's own score before it."""
+    history, target = prep.holdout_last(_event_items(spark, sf))
+    vec = _vectors(spark, sf)
+    q = (vx.pool_history(history, vec).join(target.select("user_id", F.col("item_id").alias("target_id")), "user_id")
+         .withColumnRenamed("user_id", "qid"))
+    pos = vx.target_position_masked(q, vec, history.withColumnRenamed("user_id", "qid"), ties="pessimistic")
+    return evaluation.metric_bundle(pos.withColumnRenamed("position", "rank"), ks=(5, 10, 20))
+
+
 @register("als_recommend")
 def q_als_recommend(spark, sf):
     core = implicit_core(spark, sf)
-    model = cf.fit_als(core, rank=64, max_iter=10)
-    return cf.recommend_all(model, core, A.items(spark, sf), k=10)
+    fitted = cf.fit_als(core, rank=64, max_iter=10)
+    return cf.recommend_all(fitted, core, A.items(spark, sf), k=10)
 
 
 @register("ivf_all_cells")
@@ -935,34 +947,42 @@ def q_ivf_recall(spark, sf):
     return cf.recall_vs_exact(approx, exact)
 
 
+GBT = {"maxDepth": 5, "maxIter": 20}
+
+
 @register("gbt_rank")
 def q_gbt_rank(spark, sf):
-    m = _ranking_matrix(spark, sf).cache()
-    va, model = ranker.fit_ranker(m, RANK_FEATURES, "gbt", {"maxDepth": 5, "maxIter": 20})
-    s = ranker.score(va, model, m)
+    """Q13: fitted on the training users; metrics of the held-out users, and those of the baseline (Q17)."""
+    train, test = ranker.split_users(cut_lineage(_ranking_matrix(spark, sf)))
+    va, model = ranker.fit_ranker(train, RANK_FEATURES, "gbt", GBT)
     top = ranker.importance(model, RANK_FEATURES, 1).select("feature").scalar()
-    return rk.group_metrics(s, "rank_score", ks=(5, 10)).withColumn("top_feature", top)
+    own = rk.group_metrics(ranker.score(va, model, test), "rank_score", ks=(5, 10)).withColumn("top_feature", top)
+    base = rk.group_metrics(test, "rank_norm", ks=(5, 10)).withColumn("top_feature", F.lit(None).cast("string"))
+    return own.withColumn("ranker", F.lit("gbt")).unionByName(base.withColumn("ranker", F.lit("baseline")))
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    m = _ranking_matrix(spark, sf).cache()
-    _, model = ranker.fit_ranker(m, RANK_FEATURES, "gbt", {"maxDepth": 5, "maxIter": 20})
+    train, _ = ranker.split_users(cut_lineage(_ranking_matrix(spark, sf)))
+    _, model = ranker.fit_ranker(train, RANK_FEATURES, "gbt", GBT)
     return ranker.importance(model, RANK_FEATURES, 15)
 
 
 @register("ranker_configs")
 def q_ranker_configs(spark, sf):
-    return ranker.compare_configs(_ranking_matrix(spark, sf), RANK_FEATURES)
+    return ranker.compare_configs(*ranker.split_users(cut_lineage(_ranking_matrix(spark, sf))), RANK_FEATURES)
 
 
 @register("two_stage_recommend")
 def q_two_stage_recommend(spark, sf):
-    """Q16: history -> pooled vector -> 100 candidates -> features -> model score -> top 10 unseen -> titles."""
-    m = _ranking_matrix(spark, sf).cache()
-    va, model = ranker.fit_ranker(m, RANK_FEATURES, "gbt", {"maxDepth": 5, "maxIter": 20})
-    s = ranker.score(va, model, m)
-    top = rk.top_k_recommend(s, _event_inter(spark, sf), 10, score="rank_score")
+    """Q16: history -> pooled vector -> 100 candidates -> features -> model score -> top 10 -> titles.
+
+    The model is fitted on the training users; the held-out users are served from what
+    retrieval finds, without their held-out item put in."""
+    train, served = ranker.split_users(cut_lineage(_ranking_matrix(spark, sf, inject=~ranker.held_out())))
+    va, model = ranker.fit_ranker(train, RANK_FEATURES, "gbt", GBT)
+    history, _ = prep.holdout_last(_event_inter(spark, sf))
+    top = rk.top_k_recommend(ranker.score(va, model, served), history, 10, score="rank_score")
     return top.join(A.items(spark, sf).select("item_id", "title"), "item_id", "left").select(
         "user_id", "rank", "item_id", "rank_score", "title")
 
@@ -1300,6 +1320,13 @@ def q_serving_matrix(spark, sf):
     return round_doubles(prep.align_features(out, SERVING_COLS, keep=("user_id", "cand_rank", "item_id")))
 
 
+@register("serving_popularity")
+def q_serving_popularity(spark, sf):
+    """popularity_pct of each served list, from its log popularity."""
+    m = rk.popularity_pct(q_serving_matrix(spark, sf), "item_log_popularity")
+    return round_doubles(m.select("user_id", "cand_rank", "item_id", "popularity_pct"))
+
+
 @register("request_increase_24h")
 def q_request_increase_24h(spark, sf):
     return mon.increase(_requests(spark, sf), "24 hours")

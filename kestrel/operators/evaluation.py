@@ -1,8 +1,8 @@
 """Ranking metrics and rank-of-target computations (N7, M1-M5, M9, M11, M13 building blocks).
 
 A rank is always 1 + (number of competing items that beat the target), so no
-per-user list is ever sorted or materialised.  Ties are ``optimistic``
-(equal scores do not beat the target) unless ``ties="pessimistic"``.
+per-user list is ever sorted or materialised.  Ties are optimistic here (equal
+scores do not beat the target); positions by vectors take ``ties`` (``vectors.target_position``).
 """
 
 from __future__ import annotations

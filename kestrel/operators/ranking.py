@@ -34,6 +34,13 @@ def retrieval_features(c: DataFrame, user: str = "user_id", rank: str = "cand_ra
         F.when(hi > lo, (F.col(score) - lo) / (hi - lo)).otherwise(F.lit(0.0)).alias("score_norm_serve"))
 
 
+def popularity_pct(m: DataFrame, by: str, user: str = "user_id") -> DataFrame:
+    """Min-max of ``by`` within each candidate list; a flat list gets 0."""
+    w = W.partitionBy(user)
+    lo, hi = F.min(by).over(w), F.max(by).over(w)
+    return m.withColumn("popularity_pct", F.when(hi - lo > 1e-8, (F.col(by) - lo) / (hi - lo)).otherwise(F.lit(0.0)))
+
+
 # ---- genres --------------------------------------------------------------------------------------
 
 def genre_preferences(history: DataFrame, oh: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:

@@ -131,7 +131,7 @@ def topk_inner_product(queries: DataFrame, items: DataFrame, k: int = 100, q_blo
     return ranked.select(F.col("qid").alias(qid), "rank", F.col("item_id").alias(item), "score")
 
 
-def _count_block():
+def _count_block(ties: str):
     def fn(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty:
             return pd.DataFrame({"qid": [], "n_before": []})
@@ -146,7 +146,9 @@ def _count_block():
         for lo in range(0, len(qdf), SLICE):
             s = q[lo:lo + SLICE] @ m.T
             tt, ti = t[lo:lo + SLICE, None], tid[lo:lo + SLICE, None]
-            before = (s > tt) | ((s == tt) & (ids[None, :] < ti))
+            before = s >= tt if ties == "pessimistic" else s > tt
+            if ties == "id":
+                before |= (s == tt) & (ids[None, :] < ti)
             before &= ids[None, :] != ti  # the target never precedes itself
             counts[lo:lo + SLICE] = before.sum(axis=1)
         return pd.DataFrame({"qid": qdf["qid"].to_numpy(dtype=np.int64), "n_before": counts})
@@ -154,8 +156,11 @@ def _count_block():
 
 
 def target_position(queries: DataFrame, items: DataFrame, q_block: int = 131072, i_block: int = 65536,
-                    qid: str = "qid", item: str = "item_id", vec: str = "vec") -> DataFrame:
-    """Position of each query's target item in the full ranking (score desc, item asc), without sorting.
+                    qid: str = "qid", item: str = "item_id", vec: str = "vec", ties: str = "id") -> DataFrame:
+    """Position of each query's target item in the full ranking by score, without sorting.
+
+    ``ties``: items with the target's score stand before it if their id is smaller ("id"),
+    never ("optimistic") or always ("pessimistic").
 
     ``queries`` has (qid, vec, target_id).  Each (query block, item block) group emits one
     counter per query; the counters are summed.
@@ -169,7 +174,7 @@ def target_position(queries: DataFrame, items: DataFrame, q_block: int = 131072,
     q = _replicated(qt, "qid", "_qb", "_ib", nqb, nib)
     i = _replicated(items.select(F.col(item).alias("item_id"), F.col(vec).alias("vec")), "item_id", "_ib", "_qb",
                     nib, nqb)
-    fn = _count_block()
+    fn = _count_block(ties)
     counts = (q.groupBy("_qb", "_ib").cogroup(i.groupBy("_qb", "_ib"))
               .applyInPandas(lambda a, b: fn(a.drop(columns=["_qb", "_ib"]), b.drop(columns=["_qb", "_ib"])),
                              "qid long, n_before long"))
@@ -252,13 +257,13 @@ def resolve_seed(requests: DataFrame, items: DataFrame, seed: str = "seed_id", i
 
 
 def target_position_masked(queries: DataFrame, items: DataFrame, history: DataFrame, qid: str = "qid",
-                           item: str = "item_id", vec: str = "vec") -> DataFrame:
+                           item: str = "item_id", vec: str = "vec", ties: str = "id") -> DataFrame:
     """Position of the target among all items except the query's own history (PAD-free ids).
 
     position = 1 + #items beating the target (blocked count) - #history items beating it
     (history pairs scored by equi-join).  No ranking is materialised.
     """
-    pos = target_position(queries, items, qid=qid, item=item, vec=vec)
+    pos = target_position(queries, items, qid=qid, item=item, vec=vec, ties=ties)
     items_v = items.select(F.col(item).alias("_hid"), F.col(vec).alias("_hv"))
     tv = items.select(F.col(item).alias("target_id"), F.col(vec).alias("_tv"))
     qt = (queries.select(F.col(qid).alias("_q"), F.col(vec).alias("_qv"), "target_id").join(tv, "target_id")
@@ -266,7 +271,10 @@ def target_position_masked(queries: DataFrame, items: DataFrame, history: DataFr
     h = (history.select(F.col(qid).alias("_q"), F.col(item).alias("_hid")).distinct()
          .join(qt, "_q").where(F.col("_hid") != F.col("target_id")).join(items_v, "_hid")
          .withColumn("_s", dot(F.col("_qv"), F.col("_hv"))))
-    beat = (F.col("_s") > F.col("_ts")) | ((F.col("_s") == F.col("_ts")) & (F.col("_hid") < F.col("target_id")))
+    beat = F.col("_s") > F.col("_ts")
+    if ties != "optimistic":
+        same = F.col("_s") == F.col("_ts")
+        beat = beat | (same if ties == "pessimistic" else same & (F.col("_hid") < F.col("target_id")))
     nh = h.groupBy("_q").agg(F.count_if(beat).alias("_nh"))
     return (pos.join(nh, pos[qid] == nh["_q"], "left")
             .select(qid, "target_id", (F.col("position") - F.coalesce("_nh", F.lit(0))).cast("bigint").alias("position")))

@@ -1277,3 +1277,10 @@ ORACLE["clamped_sequences"] = with_(_PADDED + ["np AS (SELECT count(*) AS n FROM
 SELECT user_id, array_to_string(list_transform(seq, lambda x: greatest(least(x, np.n - 1), 0)), ',') AS seq FROM ps, np""")
 
 ORACLE["ivf_all_cells"] = ORACLE["vector_topk"]
+
+ORACLE["serving_popularity"] = f"""
+SELECT user_id, cand_rank, item_id, round(CASE WHEN hi - lo > 1e-8 THEN (p - lo) / (hi - lo) ELSE 0.0 END, 6) AS popularity_pct
+FROM (SELECT user_id, cand_rank, item_id, item_log_popularity AS p, min(item_log_popularity) OVER (PARTITION BY user_id) AS lo,
+        max(item_log_popularity) OVER (PARTITION BY user_id) AS hi FROM ({ORACLE["serving_matrix"]}))"""
+
+ORACLE["full_ranking_pessimistic"] = ORACLE["full_ranking_eval"].replace(" AND vx.item_id < t.target_id", "")

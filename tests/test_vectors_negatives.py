@@ -128,3 +128,28 @@ def test_pooled_vectors_ignore_rows_without_weight_or_vector(spark):
                               "user_id long, item_id long, w double")
     got = {r.user_id: r.vec for r in vx.pool_history(h, items, weight="w").collect()}
     assert set(got) == {7, 9} and np.allclose(got[7], np.array([3.0, 2.0]) / np.sqrt(13)) and got[9] == [0.0, 1.0]
+
+
+def test_target_position_ties(spark):
+    items = spark.createDataFrame([(i, [float(x)]) for i, x in [(1, 2), (2, 1), (3, 1), (4, 1), (5, 0), (6, 1)]], "item_id long, vec array<double>")
+    q = spark.createDataFrame([(9, [1.0], 3)], "qid long, vec array<double>, target_id long")
+    hist = spark.createDataFrame([(9, 1), (9, 6), (9, 3)], "qid long, item_id long")
+    for ties, plain, masked in (("id", 3, 2), ("optimistic", 2, 1), ("pessimistic", 5, 3)):
+        assert vx.target_position(q, items, ties=ties).first().position == plain
+        assert vx.target_position_masked(q, items, hist, ties=ties).first().position == masked
+
+
+def test_als_takes_wide_ids_and_leaves_seen_items_out(spark):
+    from kestrel.operators import cf
+    big = 2 ** 40
+    rows = [(big + u, big + i) for u in range(8) for i in range(12) if (u + i) % 3 == 0]
+    df = spark.createDataFrame(rows, "user_id long, item_id long")
+    recs = cf.recommend_all(cf.fit_als(df, rank=4, max_iter=2), df, k=3).collect()
+    assert len(recs) == 24 and not {(r.user_id, r.item_id) for r in recs} & set(rows)
+
+
+def test_held_out_users_are_no_training_users(spark):
+    from kestrel.operators import ranker
+    train, test = ranker.split_users(spark.range(1000).selectExpr("id AS user_id"))
+    a, b = {r[0] for r in train.collect()}, {r[0] for r in test.collect()}
+    assert not a & b and len(a | b) == 1000 and 120 < len(b) < 280
