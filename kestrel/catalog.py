@@ -657,6 +657,39 @@ def q_bandit_rerank(spark, sf):
     return r.select("user_id", "cand_rank", "item_id", "score", "fallback_score", "draw", "blended", "new_rank")
 
 
+@register("bandit_rerank_base")
+def q_bandit_rerank_base(spark, sf):
+    """B5 with all weight on the base score: the draw has no part in the order."""
+    c, _, _ = _candidate_set(spark, sf)
+    r = bd.rerank(c, bd.posterior(_feedback(spark, sf)), weight=1.0, seed=42)
+    return round_doubles(r.select("user_id", "cand_rank", "item_id", "blended", "new_rank"))
+
+
+@register("bandit_fallback")
+def q_bandit_fallback(spark, sf):
+    """B6 with the bandit off: every second candidate has lost its base score."""
+    c, _, _ = _candidate_set(spark, sf)
+    part = c.withColumn("score", F.when(F.col("cand_rank") % 2 == 1, F.col("score")))
+    return round_doubles(bd.fallback_scores(part).select("user_id", "cand_rank", "item_id", "score", "fallback_score"))
+
+
+@register("bandit_draws")
+def q_bandit_draws(spark, sf):
+    """Invariants of the draws over all (user, item) candidates: inside (0, 1), the same when
+    drawn again, and the mean of the standardised draws near 0."""
+    c, _, _ = _candidate_set(spark, sf)
+    arms = bd.posterior(_feedback(spark, sf))
+    one = bd.thompson_sample(c.select("user_id", "item_id"), arms, seed=42).withColumnRenamed("draw", "d1")
+    two = bd.thompson_sample(c.select("user_id", "item_id").repartition(7, "item_id"), arms, seed=42).select(
+        "user_id", "item_id", F.col("draw").alias("d2"))
+    a, b = F.coalesce("alpha", F.lit(1.0)), F.coalesce("beta", F.lit(1.0))
+    z = (F.col("d1") - a / (a + b)) / F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1)))
+    return one.join(two, ["user_id", "item_id"]).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("d1") > 0) & (F.col("d1") < 1)).alias("n_inside"),
+        F.count_if(F.col("d1") == F.col("d2")).alias("n_repeated"),
+        (F.abs(F.avg(z)) < 5.0 / F.sqrt(F.count(F.lit(1)))).alias("centred"))
+
+
 # ---- step 8: monitoring and governance --------------------------------------------------------------
 from kestrel.operators import monitoring as mon, governance as gov  # noqa: E402
 
@@ -1130,6 +1163,41 @@ def q_request_log_roundtrip(spark, sf):
     return round_doubles(mon.latency_sla(fio.read_request_log(spark, path)))
 
 
+@register("feature_cache_roundtrip")
+def q_feature_cache_roundtrip(spark, sf):
+    """The wide genre table cached and loaded; per genre column its place and its number of items."""
+    path = _scratch(spark, "feature_cache")
+    items = A.items(spark, sf)
+    wide = feat.genre_wide(feat.item_genres_long(items), GENRES)
+    fio.save_feature_cache(spark, {"items": items.select("item_id").join(wide, "item_id", "left").fillna(0)}, path)
+    tables, genres = fio.load_feature_cache(spark, path, ["items"])
+    sums = tables["items"].agg(F.count(F.lit(1)).alias("n_items"), *[F.sum(f"`{g}`").alias(g) for g in genres])
+    return sums.select("n_items", F.posexplode(F.array(*[
+        F.struct(F.lit(g).alias("genre_name"), F.col(f"`{g}`").alias("n_with")) for g in genres])).alias(
+        "place", "s")).select("place", "s.genre_name", "s.n_with", "n_items")
+
+
+@register("id_maps_roundtrip")
+def q_id_maps_roundtrip(spark, sf):
+    """Item ids of the k-core mapped, the map written and read, every rating encoded and decoded."""
+    path = _scratch(spark, "item_map")
+    core = implicit_core(spark, sf)
+    fio.write_id_maps(prep.dense_encode(core, "item_id", "item_idx"), path)
+    m = fio.read_id_maps(spark, path, "item_id", "item_idx")
+    encoded = prep.encode(core, m, "item_id", "item_idx").select("user_id", "tie", "item_idx")
+    return encoded.join(m, "item_idx").select("user_id", "tie", "item_idx", "item_id")
+
+
+@register("aligned_ids")
+def q_aligned_ids(spark, sf):
+    """Item indexes from 0 (as an encoder without PAD gives them) beside sequences that start at 1."""
+    core = implicit_core(spark, sf)
+    m = prep.dense_encode(core, "item_id", "item_idx")
+    sequences = prep.encode(core, m, "item_id", "item_idx").select("user_id", "tie", "item_idx")
+    zero_based = prep.shift_ids(sequences, ["item_idx"], by=-1)
+    return prep.align_id_base(zero_based, sequences, "item_idx", "item_idx")
+
+
 @register("feature_store_write")
 def q_feature_store_write(spark, sf):
     path = _scratch(spark, "user_features")

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from kestrel.plans.ordering import strictly_greater_count
 
 DEFAULT_KS = (5, 10, 20)
-# Quantiles use Spark's bounded-memory sketch; at this accuracy small groups get the
-# exact nearest-rank value (DuckDB quantile_disc), large groups a 1e-6 rank error.
-PCT_ACCURACY = 1_000_000
 
 
 def hit(rank, k):

@@ -1,7 +1,8 @@
 """Request-log monitoring.
 
-Quantiles use the bounded-memory percentile sketch; windowed metrics run on
-fixed time windows whose count depends on the time span, not on data volume.
+Quantiles are exact at every size: values are counted, and the counts summed over
+range partitions.  Windowed metrics run on fixed time windows whose count depends on
+the time span, not on data volume.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalar import ts_to_micros
-from kestrel.operators.evaluation import PCT_ACCURACY
+from kestrel.plans.ordering import group_quantiles
 
 # SLA targets and latency histogram bucket bounds (seconds).
 SLA_P95_MS = 200.0
@@ -23,12 +24,15 @@ def latency_sla(req: DataFrame) -> DataFrame:
     """Per path plus an 'Aggregated' row: count, error %, p50/p95/p99, mean, rps and pass flags."""
     us = ts_to_micros(F.col("ts"))
     span_s = req.select(((F.max(us) - F.min(us)) / 1e6).alias("s")).scalar()
-    q = F.percentile_approx("latency_ms", [0.5, 0.95, 0.99], PCT_ACCURACY)
     g = req.rollup("path").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") >= 500).alias("errors"),
-                               q.alias("_q"), F.avg("latency_ms").alias("avg_ms"), F.grouping("path").alias("_g"))
+                               F.avg("latency_ms").alias("avg_ms"), F.grouping("path").alias("_g"))
+    # One text key for the roll-up's groups: all rows, a path, the rows without a path.
+    own = F.coalesce(F.concat(F.lit("path:"), F.col("path")), F.lit("none"))
+    q = group_quantiles(req.select(F.explode(F.array(own, F.lit("all"))).alias("_k"), "latency_ms"), "_k", "latency_ms",
+                        {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, discrete=True)
+    g = g.withColumn("_k", F.when(F.col("_g") == 1, F.lit("all")).otherwise(own)).join(q, "_k", "left")
     g = g.select(F.when(F.col("_g") == 1, F.lit("Aggregated")).otherwise(F.col("path")).alias("path"), "n", "errors",
-                 (F.col("errors") / F.col("n") * 100.0).alias("error_pct"), F.col("_q")[0].alias("p50_ms"),
-                 F.col("_q")[1].alias("p95_ms"), F.col("_q")[2].alias("p99_ms"), "avg_ms",
+                 (F.col("errors") / F.col("n") * 100.0).alias("error_pct"), "p50_ms", "p95_ms", "p99_ms", "avg_ms",
                  F.when(span_s > 0, F.col("n") / span_s).otherwise(F.lit(0.0)).alias("rps"))
     return g.select("*", (F.col("p95_ms") <= SLA_P95_MS).alias("p95_ok"), (F.col("error_pct") <= SLA_ERROR_PCT).alias("errors_ok"),
                     (F.col("rps") >= SLA_MIN_RPS).alias("rps_ok"))
@@ -126,9 +130,10 @@ def list_diversity(lists: DataFrame, item_genres: DataFrame, variant: str = "var
     """Distinct genres per recommendation list; median and mean per variant."""
     per = (lists.select(user, variant, "item_id").join(item_genres, "item_id", "left")
            .groupBy(user, variant).agg(F.count_distinct("genre").alias("n_genres")))
-    return per.groupBy(variant).agg(F.count(F.lit(1)).alias("n_lists"),
-                                    F.percentile_approx(F.col("n_genres").cast("double"), 0.5, PCT_ACCURACY).alias("median_genres"),
-                                    F.avg("n_genres").alias("mean_genres"))
+    per = per.withColumn("n_genres", F.col("n_genres").cast("double"))
+    median = group_quantiles(per, variant, "n_genres", {"median_genres": 0.5}, discrete=True)
+    g = per.groupBy(variant).agg(F.count(F.lit(1)).alias("n_lists"), F.avg("n_genres").alias("mean_genres"))
+    return g.join(median, variant, "left").select(variant, "n_lists", "median_genres", "mean_genres")
 
 
 def selection_concentration(selected: DataFrame, item_rank: DataFrame) -> DataFrame:

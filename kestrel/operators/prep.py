@@ -329,6 +329,13 @@ def shift_ids(df: DataFrame, cols: list, by: int = 1) -> DataFrame:
     return df.select(*[(F.col(c) + by).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def align_id_base(interactions: DataFrame, sequences: DataFrame, ids: str, seq_ids: str) -> DataFrame:
+    """Interactions whose ids start at 0, while those of the sequences start at 1, are moved up by
+    one; any other pair of bases (or an empty side) leaves them as they are."""
+    low = interactions.agg(F.min(ids).alias("a")).join(sequences.agg(F.min(seq_ids).alias("b"))).first()
+    return shift_ids(interactions, [ids]) if (low["a"], low["b"]) == (0, 1) else interactions
+
+
 def explode_positives(seqs: DataFrame, user: str = "user_id", seq: str = "seq", pad: int = 0) -> DataFrame:
     """One (user, position, item) row per non-PAD element of a padded sequence."""
     return (seqs.select(user, F.posexplode(seq).alias("pos", "item_id"))

@@ -229,9 +229,9 @@ def _closest(queries, keys, n_keys: int, cutoff: float) -> pd.DataFrame:
         keep = keep[np.lexsort((col[keep], -ratio[keep], row[keep]))]
         start = np.searchsorted(row[keep], np.arange(len(qs)))
         keep = keep[np.arange(len(keep)) - start[row[keep]] < n_keys]
-        out.append(pd.DataFrame({"query": [qs[r] for r in row[keep]], "normalized": keys[col[keep]],
-                                 "ratio": ratio[keep]}))
-    return pd.concat(out) if out else pd.DataFrame({"query": [], "normalized": [], "ratio": []})
+        out.extend(zip([qs[r] for r in row[keep]], keys[col[keep]], ratio[keep]))
+    # One frame at the end: joined string columns would come in several chunks.
+    return pd.DataFrame(out, columns=["query", "normalized", "ratio"])
 
 
 def _length_class(n):

@@ -963,7 +963,7 @@ _SEARCH = [f"it AS ({ITEMS})", f"cat AS (SELECT item_id, title, {_norm_sql('titl
 
 ORACLE["title_normalize"] = with_(_SEARCH[:2], "SELECT item_id, title, normalized FROM cat")
 
-ORACLE["title_suggest"] = with_(_SEARCH + [
+_TIERS = _SEARCH + [
     "ex AS (SELECT q2.query_id, c.item_id, c.title, 0 AS tier, 0 AS neg, 0 AS ln, '' AS lt FROM q2 JOIN cat c ON c.normalized = q2.query)",
     """sc AS (SELECT q2.query_id, c.item_id, c.title, c.normalized,
               CASE WHEN starts_with(c.normalized, q2.query) THEN 300 - greatest(0, length(c.normalized) - length(q2.query))
@@ -973,9 +973,60 @@ ORACLE["title_suggest"] = with_(_SEARCH + [
                    ELSE 0 END AS score FROM q2, cat c)""",
     "pa AS (SELECT query_id, item_id, title, 1 AS tier, -score AS neg, length(normalized) AS ln, lower(title) AS lt FROM sc WHERE score > 0)",
     "al AS (SELECT * FROM ex UNION ALL SELECT * FROM pa)",
-    """dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, item_id ORDER BY tier, neg, ln, lt) AS d FROM al) WHERE d = 1)"""], """
-SELECT query_id, CAST(position AS BIGINT) AS position, item_id, title, tier, -neg AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tier, neg, ln, lt, item_id) AS position FROM dd) WHERE position <= 8""")
+    """dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, item_id ORDER BY tier, neg, ln, lt) AS d FROM al) WHERE d = 1)""",
+    """ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tier, neg, ln, lt, item_id) AS position FROM dd)"""]
+
+ORACLE["title_suggest"] = with_(_TIERS, """
+SELECT query_id, CAST(position AS BIGINT) AS position, item_id, title, tier, -neg AS score FROM ranked WHERE position <= 8""")
+
+
+# The longest common block of a and b as one number: length * 100000 - start in a (the earliest start wins).
+_BLOCK = """(SELECT max(k * 100000 - i) FROM (SELECT unnest(range(1, length({a}) + 1)) AS i) x,
+             (SELECT unnest(range(1, length({a}) + 1)) AS k) y WHERE i + k - 1 <= length({a}) AND contains({b}, substr({a}, i, k)))"""
+
+
+def _fuzzy_ctes(limit: int) -> list:
+    """Tiered matches, then items of the closest keys: matching blocks by recursion to both sides."""
+    n_keys = max(2 * limit, 10)
+    return ["RECURSIVE " + _TIERS[0]] + _TIERS[1:] + [
+        f"found AS (SELECT * FROM ranked WHERE position <= {limit})",
+        f"need AS (SELECT * FROM q2 WHERE (SELECT count(*) FROM found f WHERE f.query_id = q2.query_id) < {limit})",
+        """pr AS (SELECT * FROM (SELECT DISTINCT query FROM need), (SELECT DISTINCT normalized FROM cat WHERE normalized <> '')
+                 WHERE 2.0 * least(length(query), length(normalized)) / (length(query) + length(normalized)) >= 0.65)""",
+        f"""seg AS (SELECT query, normalized, normalized AS a, query AS b, {_BLOCK.format(a='normalized', b='query')} AS s FROM pr
+          UNION ALL
+          SELECT query, normalized, a, b, {_BLOCK.format(a='a', b='b')} AS s FROM (
+            SELECT query, normalized, CASE WHEN side = 0 THEN substr(a, 1, i - 1) ELSE substr(a, i + k) END AS a,
+                   CASE WHEN side = 0 THEN substr(b, 1, j - 1) ELSE substr(b, j + k) END AS b
+            FROM (SELECT *, instr(b, substr(a, i, k)) AS j FROM (
+                    SELECT *, k * 100000 - s AS i FROM (SELECT *, CAST(ceil(s / 100000.0) AS BIGINT) AS k FROM seg WHERE s IS NOT NULL))),
+                 (VALUES (0), (1)) z(side))
+          WHERE a <> '' AND b <> '')""",
+        """rt AS (SELECT query, normalized, 2.0 * sum(coalesce(ceil(s / 100000.0), 0)) / (length(query) + length(normalized)) AS ratio
+                 FROM seg GROUP BY query, normalized)""",
+        """kr AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY ratio DESC, normalized DESC) AS key_rank
+                 FROM rt WHERE ratio >= 0.65)""",
+        f"""fz AS (SELECT n.query_id, c.item_id, c.title, 1 AS o1, kr.key_rank AS o2, c.item_id AS o3
+                 FROM need n JOIN kr USING (query) JOIN cat c USING (normalized) WHERE kr.key_rank <= {n_keys})""",
+        """both_ AS (SELECT query_id, item_id, title, 0 AS o1, position AS o2, 0 AS o3 FROM found UNION ALL SELECT * FROM fz)""",
+        """one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, item_id ORDER BY o1, o2, o3) AS d FROM both_)
+                  WHERE d = 1)""",
+        """hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY o1, o2, o3) AS place FROM one)"""]
+
+
+ORACLE["title_fuzzy"] = with_(_fuzzy_ctes(8), """
+SELECT query_id, CAST(place AS BIGINT) AS position, item_id, title FROM hits WHERE place <= 8""")
+
+ORACLE["movie_seed_recommend"] = with_(_fuzzy_ctes(1) + [VEC,
+    """sd AS (SELECT h.query_id, h.item_id AS matched_item, coalesce(a.item_id, b.item_id, c.item_id) AS resolved_id
+              FROM hits h LEFT JOIN vx a ON a.item_id = h.item_id LEFT JOIN vx b ON b.item_id = h.item_id + 1
+              LEFT JOIN vx c ON c.item_id = h.item_id - 1 WHERE h.place = 1)""",
+    """sm AS (SELECT * FROM (SELECT a.item_id AS seed, b.item_id, list_dot_product(a.v, b.v) AS score,
+                row_number() OVER (PARTITION BY a.item_id ORDER BY list_dot_product(a.v, b.v) DESC, b.item_id) AS rank
+              FROM vx a, vx b WHERE a.item_id <> b.item_id AND a.item_id IN (SELECT resolved_id FROM sd)) WHERE rank <= 10)"""], """
+SELECT sd.query_id, sd.matched_item, sd.resolved_id, CAST(sm.rank AS BIGINT) AS rank, sm.item_id,
+  round(greatest(0.0, least(1.0, (sm.score + 1.0) / 2.0)), 4) AS similarity, it.title
+FROM sd JOIN sm ON sm.seed = sd.resolved_id LEFT JOIN it ON it.item_id = sm.item_id""")
 
 # ---- step 6: negatives ------------------------------------------------------------------------------------
 
@@ -1284,3 +1335,35 @@ FROM (SELECT user_id, cand_rank, item_id, item_log_popularity AS p, min(item_log
         max(item_log_popularity) OVER (PARTITION BY user_id) AS hi FROM ({ORACLE["serving_matrix"]}))"""
 
 ORACLE["full_ranking_pessimistic"] = ORACLE["full_ranking_eval"].replace(" AND vx.item_id < t.target_id", "")
+
+ORACLE["bandit_rerank_base"] = with_(_CS + [
+    """bl AS (SELECT user_id, cand_rank, item_id, CASE WHEN max(score) OVER w > min(score) OVER w
+                THEN (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) ELSE 0.5 END AS blended
+              FROM cs WINDOW w AS (PARTITION BY user_id))"""], """
+SELECT user_id, cand_rank, item_id, round(blended, 6) AS blended,
+  row_number() OVER (PARTITION BY user_id ORDER BY blended DESC, item_id) AS new_rank FROM bl""")
+
+ORACLE["bandit_fallback"] = with_(_CS, """
+SELECT user_id, cand_rank, item_id, CASE WHEN cand_rank % 2 = 1 THEN round(score, 6) END AS score,
+  round(CASE WHEN cand_rank % 2 = 1 AND score IS NOT NULL THEN score
+             ELSE (count(*) OVER (PARTITION BY user_id) - (cand_rank - 1)) / count(*) OVER (PARTITION BY user_id) END, 6)
+    AS fallback_score FROM cs""")
+
+ORACLE["bandit_draws"] = with_(_CS, """
+SELECT count(*) AS n, count(*) AS n_inside, count(*) AS n_repeated, true AS centred FROM cs""")
+
+ORACLE["feature_cache_roundtrip"] = with_([f"it AS ({ITEMS})",
+    """voc AS (SELECT unnest(v) AS genre, unnest(range(0, len(v))) AS place FROM (SELECT
+                ['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'] ||
+                list_transform(range(1, 14), lambda i: 'Brand#' || CAST(i AS VARCHAR)) AS v))""",
+    """pairs AS (SELECT it.item_id, gv.genre FROM it,
+                  (SELECT DISTINCT unnest(string_split(genres, '|')) AS genre FROM it) gv WHERE contains(it.genres, gv.genre))"""], """
+SELECT CAST(voc.place AS INTEGER) AS place, 'genre_' || replace(replace(voc.genre, ' ', '_'), '-', '_') AS genre_name, count(DISTINCT pairs.item_id) AS n_with,
+  (SELECT count(*) FROM it) AS n_items
+FROM voc LEFT JOIN pairs ON pairs.genre = voc.genre GROUP BY voc.place, voc.genre""")
+
+ORACLE["id_maps_roundtrip"] = with_(_KC, f"""
+SELECT user_id, tie, dense_rank() OVER (ORDER BY item_id) AS item_idx, item_id FROM {_CORE}""")
+
+ORACLE["aligned_ids"] = with_(_KC, f"""
+SELECT user_id, tie, dense_rank() OVER (ORDER BY item_id) AS item_idx FROM {_CORE}""")

@@ -97,8 +97,9 @@ def strictly_greater_count(values: DataFrame, value_col: str, out_col: str = "n_
                    F.lit(0)).cast("bigint").alias(out_col))
 
 
-def group_quantiles(df: DataFrame, key: str, value: str, probs: dict) -> DataFrame:
-    """Exact interpolated quantiles per group: key + one column per entry of ``probs`` (name -> p).
+def group_quantiles(df: DataFrame, key: str, value: str, probs: dict, discrete: bool = False) -> DataFrame:
+    """Exact quantiles per group: key + one column per entry of ``probs`` (name -> p), interpolated,
+    or (``discrete``) the smallest value that at least a share p of the group's values do not exceed.
 
     Equal values are counted first; the counts are summed over range partitions of
     (key, value), so neither a hot key nor a hot value becomes one task.  The value at
@@ -116,7 +117,8 @@ def group_quantiles(df: DataFrame, key: str, value: str, probs: dict) -> DataFra
            .withColumn("_hi", F.col("_hi") + F.col("_before")).withColumn("_lo", F.col("_hi") - F.col("_c")))
     aggs = []
     for name, p in probs.items():
-        h = (F.col("_n") - 1) * F.lit(float(p))
+        h = (F.greatest(F.ceil(F.col("_n") * F.lit(float(p))) - 1, F.lit(0)).cast("double") if discrete
+             else (F.col("_n") - 1) * F.lit(float(p)))
         for side, pos in (("a", F.floor(h)), ("b", F.ceil(h))):
             held = (pos >= F.col("_lo")) & (pos < F.col("_hi"))
             aggs.append(F.max(F.when(held, F.col(value))).alias(f"_{name}_{side}"))

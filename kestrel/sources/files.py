@@ -69,6 +69,19 @@ def feature_genre_columns(df: DataFrame) -> list:
     return [c for c in df.columns if c.startswith("genre_")]
 
 
+def save_feature_cache(spark: SparkSession, tables: dict, path: str) -> None:
+    """Named feature tables as Parquet, each in a folder of its name."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load_feature_cache(spark: SparkSession, path: str, names: list):
+    """(tables by name, genre columns in the order of the schemas).  A missing table is an error."""
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in names}
+    genres = list(dict.fromkeys(c for df in tables.values() for c in feature_genre_columns(df)))
+    return tables, genres
+
+
 def read_event_log(spark: SparkSession, path: str, schema: T.StructType):
     """JSON lines with a declared schema -> (good, bad).  Blank lines are ignored,
     unparsable lines land in ``bad`` (column ``_corrupt``), a missing path gives empty frames."""
@@ -108,6 +121,16 @@ def write_id_maps(mapping: DataFrame, path: str) -> None:
     mapping.write.mode("overwrite").parquet(path)
 
 
+def read_id_maps(spark: SparkSession, path: str, raw: str, idx: str) -> DataFrame:
+    """The map read back.  A raw id or an index that stands twice is an error: joins with the map
+    would repeat rows in one direction or the other."""
+    m = spark.read.parquet(path)
+    for col in (raw, idx):
+        if not m.groupBy(col).count().where("count > 1").isEmpty():
+            raise ValueError(f"id map {path}: {col} is not unique")
+    return m
+
+
 def resolve_samples(df: DataFrame) -> DataFrame:
     """Accept input_seq | sequence and target_item | label | next_item | target; comma strings
     are split into arrays of ids.  Anything else is an error."""
