@@ -994,6 +994,21 @@ def q_gbt_rank(spark, sf):
     return own.withColumn("ranker", F.lit("gbt")).unionByName(base.withColumn("ranker", F.lit("baseline")))
 
 
+@register("lambda_rank")
+def q_lambda_rank(spark, sf):
+    """Q13, group-wise: NDCG of the held-out users beside that of the list order (Q17) and of popularity.
+
+    List positions and scores are no features here: the positive put into a list stands at its end, so
+    they give it away (and leave the list order no chance); user, item, pair and genre columns do not."""
+    train, test = ranker.split_users(cut_lineage(_ranking_matrix(spark, sf)))
+    model = ranker.fit_lambda(train, [c for c in RANK_FEATURES if c not in RANK_LIST_COLS])
+
+    def ndcg(m, score, name):
+        return rk.group_metrics(m, score, ks=(10,)).select(F.col("ndcg_10").alias(name))
+    own = rk.group_metrics(model.score(test), "rank_score", ks=(5, 10)).withColumn("n_trees", F.lit(len(model.trees)))
+    return own.join(ndcg(test, "rank_norm", "list_ndcg_10")).join(ndcg(test, "item_popularity", "popularity_ndcg_10"))
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     train, _ = ranker.split_users(cut_lineage(_ranking_matrix(spark, sf)))

@@ -2,11 +2,11 @@
 
 Exact top-k is a blocked nested-loop join: queries are hashed into blocks of
 at most ~``q_block`` rows and items into blocks of ~``i_block`` rows; every
-(query block, item block) pair is one cogroup whose pandas function does a
-single matmul and emits only the best k items per query.  Per-query results
-of all item blocks are then merged with a row_number <= k window (partial
-limit before the shuffle).  Nothing emits all pairs; memory per task is
-bounded by the two block sizes.
+(query block, item block) pair is one cogroup whose pandas function multiplies
+slices of queries with the items and emits only the best k items per query; items
+a query must not get are masked there.  Per-query results of all item blocks are
+then merged with a row_number <= k window (partial limit before the shuffle).
+Nothing emits all pairs; memory per task is bounded by the two block sizes.
 """
 
 from __future__ import annotations
@@ -62,71 +62,72 @@ def _replicated(df: DataFrame, key: str, own: str, other: str, n_own: int, n_oth
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
 
 
-SLICE = 512  # query rows scored at once inside a block: score memory = SLICE x item-block doubles
+SLICE = 512      # query rows scored at once inside a block: score memory = SLICE x item-block doubles
+BLOCK = 16384    # rows of a block: a pair of blocks ships about 16 MB of 64 floats and costs about a second
 
 
 def _topk_block(k: int, exclude_self: bool):
     def fn(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or idf.empty:
             return pd.DataFrame({"qid": [], "item_id": [], "score": []})
+        idf = idf.sort_values("item_id")   # equal scores: smaller id first
         m = np.stack(idf["vec"].to_numpy()).astype(np.float64)
         ids = idf["item_id"].to_numpy(dtype=np.int64)
         qids_all = qdf["qid"].to_numpy(dtype=np.int64)
-        kk_all = qdf["kk"].to_numpy(dtype=np.int64) if "kk" in qdf else np.full(len(qids_all), k, dtype=np.int64)
         vecs = qdf["vec"].to_numpy()
-        out_q, out_i, out_s = [], [], []
-        n = m.shape[0]
+        masked = qdf["seen"].to_numpy() if "seen" in qdf else None
+        want = min(k, len(ids))
+        out = []
         for lo in range(0, len(qids_all), SLICE):
-            q = np.stack(vecs[lo:lo + SLICE]).astype(np.float64)
-            qids, kk = qids_all[lo:lo + SLICE], kk_all[lo:lo + SLICE]
-            s = q @ m.T
+            qids = qids_all[lo:lo + SLICE]
+            s = np.stack(vecs[lo:lo + SLICE]).astype(np.float64) @ m.T
             if exclude_self:
                 s[qids[:, None] == ids[None, :]] = -np.inf
-            for r in range(s.shape[0]):
-                row = s[r]
-                want = int(min(kk[r], n))
-                if want <= 0:
-                    continue
-                if want < n:
-                    kth = np.partition(row, n - want)[n - want]
-                    cand = np.nonzero(row >= kth)[0]
-                else:
-                    cand = np.arange(n)
-                cand = cand[np.isfinite(row[cand])]
-                order = cand[np.lexsort((ids[cand], -row[cand]))][:want]
-                out_q.append(np.full(len(order), qids[r], dtype=np.int64))
-                out_i.append(ids[order])
-                out_s.append(row[order])
-        if not out_q:
-            return pd.DataFrame({"qid": [], "item_id": [], "score": []})
-        return pd.DataFrame({"qid": np.concatenate(out_q), "item_id": np.concatenate(out_i),
-                             "score": np.concatenate(out_s)})
+            if masked is not None:
+                lists = [x if x is not None else () for x in masked[lo:lo + SLICE]]
+                row = np.repeat(np.arange(len(qids)), [len(x) for x in lists])
+                if len(row):
+                    gone = np.concatenate([np.asarray(x, np.int64) for x in lists])
+                    # An id may stand several times among the items, or not at all.
+                    first, last = np.searchsorted(ids, gone, "left"), np.searchsorted(ids, gone, "right")
+                    while len(gone):
+                        hit = first < last
+                        row, first, last, gone = row[hit], first[hit], last[hit], gone[hit]
+                        s[row, first] = -np.inf
+                        first = first + 1
+            kth = np.partition(s, s.shape[1] - want, axis=1)[:, s.shape[1] - want]
+            row, col = np.nonzero((s >= kth[:, None]) & np.isfinite(s))
+            score = s[row, col]
+            order = np.lexsort((col, -score, row))
+            row, col, score = row[order], col[order], score[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < want
+            out.append((qids[row[best]], ids[col[best]], score[best]))
+        q, i, sc = (np.concatenate(x) for x in zip(*out))
+        return pd.DataFrame({"qid": q, "item_id": i, "score": sc})
     return fn
 
 
-def topk_inner_product(queries: DataFrame, items: DataFrame, k: int = 100, q_block: int = 131072,
-                       i_block: int = 65536, exclude_self: bool = False, per_query_k: str | None = None,
+def topk_inner_product(queries: DataFrame, items: DataFrame, k: int = 100, q_block: int = BLOCK,
+                       i_block: int = BLOCK, exclude_self: bool = False, seen: DataFrame | None = None,
                        qid: str = "qid", item: str = "item_id", vec: str = "vec") -> DataFrame:
     """Exact inner-product top-k: (qid, rank, item_id, score), rank 1..k by score desc, item asc.
 
-    ``per_query_k`` names a column of ``queries`` holding an individual k per query
-    (used to over-fetch exactly as many rows as history exclusion can remove).
+    ``seen`` (qid, item) are pairs that must not be returned; they travel to the block of their
+    item, so a query's list there is no longer than the block.  Scores that are not finite do not count.
     """
-    n_q = queries.count()
-    n_i = items.count()
-    nqb, nib = _blocks(n_q, q_block), _blocks(n_i, i_block)
-    qcols = [F.col(qid).alias("qid"), F.col(vec).alias("vec")]
-    if per_query_k:
-        qcols.append(F.col(per_query_k).cast("bigint").alias("kk"))
-    q = _replicated(queries.select(*qcols), "qid", "_qb", "_ib", nqb, nib)
+    nqb, nib = _blocks(queries.count(), q_block), _blocks(items.count(), i_block)
+    q = _replicated(queries.select(F.col(qid).alias("qid"), F.col(vec).alias("vec")), "qid", "_qb", "_ib", nqb, nib)
     i = _replicated(items.select(F.col(item).alias("item_id"), F.col(vec).alias("vec")), "item_id", "_ib", "_qb",
                     nib, nqb)
+    if seen is not None:
+        gone = (seen.select(F.col(qid).alias("qid"), F.col(item).alias("_s")).distinct()
+                .withColumn("_ib", F.pmod(F.xxhash64("_s"), F.lit(nib)).cast("int"))
+                .groupBy("qid", "_ib").agg(F.collect_list("_s").alias("seen")))
+        q = q.join(gone, ["qid", "_ib"], "left")
     fn = _topk_block(k, exclude_self)
     scored = (q.groupBy("_qb", "_ib").cogroup(i.groupBy("_qb", "_ib"))
               .applyInPandas(lambda a, b: fn(a.drop(columns=["_qb", "_ib"]), b.drop(columns=["_qb", "_ib"])),
                              "qid long, item_id long, score double"))
-    if per_query_k:
-        return scored.withColumnRenamed("qid", qid).withColumnRenamed("item_id", item)
     ranked = top_k(scored, ["qid"], [F.col("score").desc(), F.col("item_id").asc()], k)
     return ranked.select(F.col("qid").alias(qid), "rank", F.col("item_id").alias(item), "score")
 
@@ -155,7 +156,7 @@ def _count_block(ties: str):
     return fn
 
 
-def target_position(queries: DataFrame, items: DataFrame, q_block: int = 131072, i_block: int = 65536,
+def target_position(queries: DataFrame, items: DataFrame, q_block: int = BLOCK, i_block: int = BLOCK,
                     qid: str = "qid", item: str = "item_id", vec: str = "vec", ties: str = "id") -> DataFrame:
     """Position of each query's target item in the full ranking by score, without sorting.
 
@@ -190,19 +191,8 @@ def similar_items(items: DataFrame, k: int = 10, item: str = "item_id", vec: str
 
 def topk_excluding(queries: DataFrame, items: DataFrame, seen: DataFrame, k: int = 10,
                    qid: str = "user_id", item: str = "item_id", vec: str = "vec") -> DataFrame:
-    """V5 exact mode: top-k among items the query has not seen.
-
-    Each query over-fetches k + |seen| candidates (at most that many can be
-    removed), the seen pairs are anti-joined away, and the final k are picked.
-    The over-fetch is the query's own history size, never a global factor.
-    """
-    seen_d = seen.select(qid, item).distinct()
-    n_seen = seen_d.groupBy(qid).agg(F.count(F.lit(1)).alias("_ns"))
-    q = (queries.select(qid, vec).join(n_seen, qid, "left")
-         .withColumn("_kk", F.lit(k) + F.coalesce("_ns", F.lit(0))))
-    cand = topk_inner_product(q, items, k=k, per_query_k="_kk", qid=qid, item=item, vec=vec)
-    kept = cand.join(seen_d, [qid, item], "left_anti")
-    return top_k(kept, [qid], [F.col("score").desc(), F.col(item).asc()], k).select(qid, "rank", item, "score")
+    """V5 exact mode: top-k among items the query has not seen; seen pairs are masked inside the blocks."""
+    return topk_inner_product(queries, items, k=k, seen=seen, qid=qid, item=item, vec=vec)
 
 
 # ---- V7 / V8 / V9 / V13 ---------------------------------------------------------------------------
