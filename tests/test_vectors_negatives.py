@@ -153,3 +153,19 @@ def test_held_out_users_are_no_training_users(spark):
     train, test = ranker.split_users(spark.range(1000).selectExpr("id AS user_id"))
     a, b = {r[0] for r in train.collect()}, {r[0] for r in test.collect()}
     assert not a & b and len(a | b) == 1000 and 120 < len(b) < 280
+
+
+def test_uniform_negatives_of_long_and_short_histories_are_the_same_draws(spark, monkeypatch):
+    items = spark.range(1, 41).select(F.col("id").alias("item_id"))
+    seen = spark.createDataFrame([(u, 1 + (7 * u + j) % 40) for u in range(6) for j in range(4 + 7 * u)] + [(None, 3), (2, None)],
+                                 "user_id long, item_id long")
+    keys = spark.createDataFrame([(u, p) for u in [0, 1, 2, 3, 4, 5, 9, None] for p in range(3)], "user_id long, pos long")
+
+    def drawn(limit):
+        monkeypatch.setattr(ng, "LIGHT", limit)
+        rows = ng.uniform(keys, seen, items, n=5, seed=3, key_cols=("user_id", "pos"), batch=4, rounds=2).collect()
+        return sorted(map(str, rows))
+
+    short = drawn(512)
+    assert len(short) == 24 * 5
+    assert short == drawn(0) == drawn(12)
