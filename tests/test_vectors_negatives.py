@@ -169,3 +169,16 @@ def test_uniform_negatives_of_long_and_short_histories_are_the_same_draws(spark,
     short = drawn(512)
     assert len(short) == 24 * 5
     assert short == drawn(0) == drawn(12)
+
+
+def test_draws_are_never_the_copied_side_of_a_join(spark):
+    items = spark.range(1, 2001).select(F.col("id").alias("item_id"))
+    targets = spark.range(3000).select(F.col("id").alias("user_id"), (F.col("id") % 2000 + 1).alias("item_id"))
+    cands = ng.sampled_candidates(targets, items, n_neg=100)
+    scores = spark.range(1, 2001).select(F.col("id").alias("item_id"), F.col("id").cast("double").alias("score"))
+    ranks = ng.sampled_rank(cands, scores)
+    assert ranks.count() == 3000
+    plan = ranks._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=shuffle_hash)" in plan or "strategy=broadcast" in plan
+    negs = ng.uniform(targets.select("user_id"), targets, items, n=100)
+    assert "strategy=broadcast" in negs._jdf.queryExecution().optimizedPlan().toString()
