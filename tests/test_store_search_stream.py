@@ -79,3 +79,42 @@ def test_stream_posterior_equals_batch_over_many_files(spark):
     got = {r["item_id"]: (1 + r["successes"], 1 + r["failures"]) for r in out.collect()}
     batch = bd.posterior(sj.feedback_rows(spark.createDataFrame(rows, schema)))
     assert got == {r["item_id"]: (r["alpha"], r["beta"]) for r in batch.collect()}
+
+
+def test_title_matches_equal_brute_force_and_move_spellings(spark):
+    import random
+    from kestrel.operators import search as srch
+    rnd = random.Random(4)
+    words = ["red", "reddish", "rod", "blue", "blu", "b", "steel", "Green"]
+    names = [" ".join(rnd.sample(words, rnd.randint(1, 3))) + rnd.choice(["", " (1950)", " (1999)", "!"]) for _ in range(150)]
+    rows = [(rnd.randint(1, 120), n if rnd.random() < .8 else n.upper()) for n in names] + [(500, None), (None, "red b")]
+    items = spark.createDataFrame(rows, "item_id long, title string")
+    texts = [(i, t) for i, t in enumerate(["red", "red b", "blu", "b", "ste", "d r", "bl re", "x", "eddi", "", None, "REDDISH rod"])]
+    texts.append((0, "green"))
+    queries = spark.createDataFrame(texts, "query_id long, query_text string")
+    cat = {(r.item_id, r.title, r.normalized) for r in srch.normalized_catalogue(items).collect()}
+    norm = {(r.item_id, r.normalized) for r in srch.normalized_catalogue(queries.select(
+        srch.F.col("query_id").alias("item_id"), srch.F.col("query_text").alias("title"))).collect() if r.normalized}
+    want = {}
+    for qid, q in norm:
+        for item, title, n in cat:
+            keys = [(0, 0, 0, "")] if n == q else []
+            if n.startswith(q):
+                keys.append((1, -(300 - (len(n) - len(q))), len(n), title.lower()))
+            elif q in n:
+                keys.append((1, -(220 - n.index(q)), len(n), title.lower()))
+            elif n and all(any(t.startswith(p) for t in n.split(" ")) for p in q.split(" ")):
+                keys.append((1, -180, len(n), title.lower()))
+            for k in keys:
+                at = want.setdefault(qid, {})
+                k = (*k, item is not None, item)
+                at[item] = min(at.get(item, k), k)
+    for limit in (1, 8):
+        got = {}
+        for r in sorted(srch.suggest(queries, items, limit).collect(), key=lambda r: (r.query_id, r.position)):
+            got.setdefault(r.query_id, []).append((r.item_id, r.tier, r.score))
+        assert got == {q: [(i, k[0], -k[1]) for i, k in sorted(v.items(), key=lambda x: x[1])][:limit] for q, v in want.items()}
+    # Many items of one spelling: only the first of them are held.
+    many = spark.range(5000).selectExpr("id AS item_id", "'red rod' AS title")
+    _, held, whole, most = srch._forms(srch.normalized_catalogue(many), 8)
+    assert (held.count(), whole.count(), most) == (8, 8, 1)
