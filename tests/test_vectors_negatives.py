@@ -182,3 +182,32 @@ def test_draws_are_never_the_copied_side_of_a_join(spark):
     assert "rightHint=(strategy=shuffle_hash)" in plan or "strategy=broadcast" in plan
     negs = ng.uniform(targets.select("user_id"), targets, items, n=100)
     assert "strategy=broadcast" in negs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_topk_blocks_stay_large_and_hold_few_scores(spark, monkeypatch):
+    big = vx._block_sizes(700_000, 1_000_000, 24)
+    assert big == (vx.WIDE, vx.WIDE)          # rows travel 31 and 22 times, not 62 and 43
+    assert vx._block_sizes(540_000, 2_000, 200) == (vx.NARROW, 2_000)
+    rng = np.random.default_rng(5)
+    s = np.round(rng.normal(size=(40, 500)), 1)
+    s[3, :] = -np.inf
+    s[4, 7:] = -np.inf
+    row, col = vx._best_cells(s, 20)
+    for r in range(40):
+        kept = set(col[row == r])
+        finite = [c for c in np.argsort(-s[r], kind="stable") if s[r, c] > -np.inf]
+        assert set(finite[:20]) <= kept and len(kept) < 120
+
+
+def test_topk_of_one_item_block_ranks_repeated_ids_and_unusable_scores(spark):
+    m, items = _vecs(spark, 30, seed=6)
+    twice = items.unionByName(items.where("item_id < 5"))
+    bad = twice.unionByName(spark.createDataFrame([(99, [float("nan")] * 8)], "item_id long, vec array<double>"))
+    q = twice.withColumnRenamed("item_id", "qid")
+
+    def got(i_block):
+        return sorted(map(tuple, vx.topk_inner_product(q, bad, k=4, i_block=i_block).select(
+            "qid", "rank", "item_id", F.round("score", 9)).collect()))
+
+    assert len(got(None)) == 30 * 4
+    assert got(None) == got(7)
