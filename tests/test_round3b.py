@@ -75,3 +75,26 @@ def test_align_id_base(spark, low, seq_low, moved):
     s = spark.createDataFrame([(seq_low,)], "j long")
     assert [r.i for r in prep.align_id_base(x, s, "i", "j").orderBy("i").collect()] == [low + moved, low + 3 + moved]
     assert prep.align_id_base(x.limit(0), s, "i", "j").count() == 0
+
+
+def test_genre_overlaps_join_a_user_once_and_equal_brute_force(spark):
+    from kestrel.operators import ranking as rk
+    c = spark.createDataFrame([(1, 10, 1), (1, 11, 2), (1, 12, 3), (2, 10, 1), (3, 11, 1), (None, 10, 1)],
+                              "user_id long, item_id long, cand_rank long")
+    hist = spark.createDataFrame([(1, 10, 1, 1), (1, 11, 2, 2), (1, 11, 3, 3), (2, 11, 1, 4), (None, 10, 1, 5)],
+                                 "user_id long, item_id long, ts long, tie long")
+    # Item 10 has a genre twice, item 12 none; user 3 has no history.
+    g = spark.createDataFrame([(10, "a"), (10, "a"), (10, "b"), (11, "b")], "item_id long, genre string")
+    prefs = rk.genre_preferences(hist, g)
+    out = rk.online_overlap(rk.genre_overlap(c, prefs, g), hist, g, last=2)
+    primary = spark.createDataFrame([(10, 0), (11, 1)], "item_id long, primary_genre_idx long")
+    out = rk.primary_genre_overlap(out, hist, primary)
+    got = {(r.user_id, r.item_id): tuple(round(x, 6) for x in (
+        r.genre_overlap, r.genre_max_match, r.online_overlap, r.is_same_top_genre, r.primary_genre_overlap))
+        for r in out.collect()}
+    assert got == {(1, 10): (1.4, 0.6, 0.333333, 1, 0.333333), (1, 11): (0.6, 0.6, 1.0, 1, 0.666667),
+                   (1, 12): (0.0, 0.0, 0.0, 0, 0.0), (2, 10): (1.0, 1.0, 0.333333, 1, 0.0),
+                   (3, 11): (0.0, 0.0, 0.0, 0, 0.0), (None, 10): (0.0, 0.0, 0.0, 0, 0.0)}
+    # Rows of the lists are not multiplied by genres and regrouped.
+    plan = rk.genre_overlap(c, prefs, g)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2
