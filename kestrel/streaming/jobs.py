@@ -79,11 +79,13 @@ def cache_entries(events: DataFrame, ttl_seconds: int = 300, lateness: str = "1
 
     A view is a served list (it writes an entry unless one is live), clicks and purchases
     are feedback (they drop it); the lifetime counts from the last write.  Rows of other
-    types only move the watermark."""
+    types only move the watermark and go no further."""
     ev = event_time(events).withWatermark("event_time", lateness)
     rows = ev.select(F.coalesce("user_id", F.lit(CLOSING_USER)).alias("user_id"), "event_id", "ts", "event_time",
                      F.when(F.col("event_type") == "view", True).when(
                          F.col("event_type").isin("click", "purchase"), False).alias("served"))
+    # The event time in the condition keeps it behind the watermark, which all rows move.
+    rows = rows.where(F.col("served").isNotNull() | F.col("event_time").isNull())
     return rows.groupBy("user_id").transformWithState(
         statefulProcessor=CacheEntries(ttl_seconds), outputStructType=CacheEntries.OUTPUT, outputMode="Append",
         timeMode="EventTime")

@@ -29,7 +29,8 @@ class CacheEntries(StatefulProcessor):
 
     A served list that finds no live entry writes one, which lives ``ttl`` from that write;
     one that finds it is a hit and does not prolong it.  Feedback drops a live entry.
-    State: the rows ahead of the watermark and at most one entry.
+    State: the rows ahead of the watermark, at most one entry, and as timers the earliest moment
+    at which something of it can be final, one a micro-batch at most.
     """
 
     OUTPUT = "user_id bigint, written_at timestamp_ntz, ended_at timestamp_ntz, reason string, hits bigint"
@@ -46,8 +47,8 @@ class CacheEntries(StatefulProcessor):
         some = [(micros(r.ts), r.event_id, r.served) for r in rows if r.served is not None]
         if some:
             self.ahead.appendList(some)
-        for us in {us for us, _, _ in some}:
-            self.handle.registerTimer(-(-us // 1000))
+            # All rows that the watermark has passed are walked at once, so the first one's timer will do.
+            self.handle.registerTimer(-(-min(us for us, _, _ in some) // 1000))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -55,10 +56,10 @@ class CacheEntries(StatefulProcessor):
         upto = timerValues.getCurrentWatermarkInMs() * 1000
         waiting = sorted(self.ahead.get())
         now = [r for r in waiting if r[0] <= upto]
+        rest = waiting[len(now):]
         if now:
-            rest = waiting[len(now):]
             self.ahead.put(rest) if rest else self.ahead.clear()
-        entry = self.entry.get() if self.entry.exists() else None
+        entry = self.entry.get()
         written, hits = (entry[0], entry[1]) if entry else (None, 0)
         out = []
 
@@ -71,7 +72,6 @@ class CacheEntries(StatefulProcessor):
                 written = None
             if served and written is None:
                 written, hits = us, 0
-                self.handle.registerTimer(-(-(us + self.ttl) // 1000))
             elif served:
                 hits += 1
             elif written is not None:
@@ -80,10 +80,14 @@ class CacheEntries(StatefulProcessor):
         if written is not None and written + self.ttl <= upto:
             end(written + self.ttl, "expired")
             written = None
-        if written is None:
-            self.entry.clear()
-        else:
+        if written is not None:
             self.entry.update((written, hits))
+        elif entry:
+            self.entry.clear()
+        # Ends of the entry and rows ahead come later than the watermark.
+        later = [r[0] for r in rest[:1]] + [written + self.ttl for _ in range(written is not None)]
+        if later:
+            self.handle.registerTimer(-(-min(later) // 1000))
         return iter(out)
 
     def close(self) -> None:
