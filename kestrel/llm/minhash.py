@@ -141,18 +141,29 @@ def candidate_clusters(classes: DataFrame) -> DataFrame:
 def link_classes(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Exact links (a, b) between classes; ``members(class, cluster, doc_id, th, n)`` names a
     document of every class, whose text gives the set."""
-    def sets(batches):
+    def once(batches):
+        # Repeated rows bring a class's text several times.
+        known = set()
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                values, offsets = shingle_sets(part["text"], words)
-                blob = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(part), [None, pa.py_buffer((offsets * 8).astype(np.int64).tobytes()),
-                                                   pa.py_buffer(values.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([part["cluster"], part["node"], part["n"], blob],
-                                                 names=["cluster", "node", "n", "set"])
+            names = list(zip(batch["node"].to_pylist(), *(batch["task"].field(x).to_pylist() for x in "cij")))
+            fresh = []
+            for i, name in enumerate(names):
+                if name not in known:
+                    known.add(name)
+                    fresh.append(i)
+            yield batch.take(pa.array(fresh, pa.int64()))
 
     def verify(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        _, first = np.unique(np.array(table["node"].to_pylist(), object), return_index=True)
+        table = table.take(pa.array(np.sort(first)))
+        blobs = []
+        for at in range(0, len(table), 500):
+            values, offsets = shingle_sets(table["text"].slice(at, 500), words)
+            blobs.append(pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 8).astype(np.int64).tobytes()),
+                                                      pa.py_buffer(values.tobytes())]))
+        table = table.select(["cluster", "node"]).append_column("set", pa.chunked_array(blobs, pa.large_binary()))
         out = []
         for some in by_cluster(table):
             node = some["node"].combine_chunks()
@@ -160,14 +171,15 @@ def link_classes(docs: DataFrame, members: DataFrame, words: int, percent: int)
             out.append(pa.table({"a": node.take(pa.array(found[:, 0])), "b": node.take(pa.array(found[:, 1]))}))
         return pa.concat_tables(out)
 
-    texts = only_members(docs, member_bits(members)).join(members.withColumnsRenamed({"doc_id": "_d", "th": "_t", "class": "node"}),
-                      F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")))
-    shipped = (texts.select("cluster", "node", "n", "text")
-               .mapInArrow(sets, "cluster bigint, node binary, n bigint, set binary")
-               .dropDuplicates(["node"]))  # repeated rows bring a class's set several times
+    # Tasks are dealt on the narrow table. Then texts move, once to their class and once to each of its
+    # tasks: packed they are half of their sets' hashes.
     sizes = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
-    return (block_pairs(shipped, sizes).groupBy("task")
-            .applyInArrow(verify, "a binary, b binary"))
+    placed = block_pairs(members.select("cluster", F.col("class").alias("node"), F.col("doc_id").alias("_d"), F.col("th").alias("_t")),
+                         sizes)
+    texts = only_members(docs, member_bits(members)).join(
+        placed, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")))
+    wanted = texts.select("task", "cluster", "node", "text")
+    return wanted.mapInArrow(once, wanted.schema).groupBy("task").applyInArrow(verify, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD,

@@ -12,7 +12,10 @@ similar sets share one exactly: nothing is left to chance.
 Signatures travel in packed blocks, one row per task flush and shard, and repeated
 ones are linked before they travel, so a group of near copies ships one signature a
 flush.  Inside a shard equal signatures link their sets; connected sets are candidate
-clusters, in which full sets are compared exactly.
+clusters, in which full sets are compared exactly.  Chance equalities chain more and more
+sets as a corpus grows, so large clusters are split first: of every set a bit map of about
+a bit an element bounds the difference of a pair from below, and only pairs that it does
+not rule out stay linked.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.clusters import block_pairs
 from kestrel.llm.components import connected_components
 from kestrel.llm.minhash import class_key, link_classes, shingle_sets
 from kestrel.llm.store import Scratch, columns
@@ -34,6 +38,8 @@ THRESHOLD = 85            # percent
 SECOND, DIFFERENT = 3, 1  # second-level parts, and how many of them may differ
 SHARD = 2_000_000         # signatures of one shard
 FLUSH = 3_000_000         # signatures a task packs together
+LARGE = 250_000           # set elements of a candidate cluster from which it is split
+NODES = 32_768            # bit maps of one block (a wide one counts more)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALT = fmix(np.arange(1, 4, dtype=np.uint64) * _MIX)
 
@@ -114,6 +120,17 @@ def _linked(order_key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.nda
     return first, node[edge], head[edge]
 
 
+def _packed(ascending: np.ndarray) -> bytes:
+    """Sorted numbers as compressed byte planes of their differences."""
+    steps = np.diff(ascending.view(np.uint64), prepend=np.uint64(0))
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, 8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel()).view(np.int64)
+
+
 def _unique_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(a):
         return a, b
@@ -121,24 +138,118 @@ def _unique_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return pairs[:, 0], pairs[:, 1]
 
 
+def bit_maps(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Of every set the parities of its elements in 2^j >= size slots (64 at least), as bytes.
+
+    Two maps of one length differ in at most as many bits as the sets in elements; a map's
+    halves, one upon the other, are the map of half the length."""
+    sizes = np.diff(offsets)
+    slots = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    ends = np.append(0, np.cumsum(slots))
+    at = fmix(values ^ _SALT[2]) & np.repeat(slots - 1, sizes).astype(np.uint64)
+    odd = np.bincount(at.astype(np.int64) + np.repeat(ends[:-1], sizes), minlength=int(ends[-1])) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little")
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [
+        None, pa.py_buffer((ends // 8).astype(np.int64).tobytes()), pa.py_buffer(packed.tobytes())]).cast(pa.binary())
+
+
+def _folded(maps: list[bytes]) -> np.ndarray:
+    """Bit maps as rows of words, folded to the shortest one's length."""
+    sizes = np.array([len(x) // 8 for x in maps])
+    out = np.empty((len(maps), sizes.min()), np.uint64)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        rows = np.frombuffer(b"".join(maps[i] for i in at), np.uint64).reshape(len(at), size)
+        while rows.shape[1] > out.shape[1]:
+            half = rows.shape[1] // 2
+            rows = rows[:, :half] ^ rows[:, half:]
+        out[at] = rows
+    return out
+
+
+def near_pairs(group: np.ndarray, n: np.ndarray, maps: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Index pairs that link, inside each group, all sets that sizes and bit maps do not tell apart."""
+    order = np.lexsort((n, group))
+    group, n, rows = group[order], n[order], _folded([maps[i] for i in order])
+    parent, out = np.arange(len(n)), []
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    first, step = np.arange(len(n)), 0
+    while len(first):
+        # The set ``step`` places on is larger; beyond one that is too large all are.
+        step += 1
+        first = first[first + step < len(n)]
+        other = first + step
+        near = (group[first] == group[other]) & (100 * n[first] >= percent * n[other])
+        first, other = first[near], other[near]
+        apart = parent[first] != parent[other]
+        a, b = first[apart], other[apart]
+        differ = np.bitwise_count(rows[a] ^ rows[b]).sum(axis=1, dtype=np.int64)
+        hit = (100 + percent) * differ <= (100 - percent) * (n[a] + n[b])
+        for x, y in zip(a[hit].tolist(), b[hit].tolist()):
+            rx, ry = root(x), root(y)
+            if rx != ry:
+                parent[ry] = rx
+                out.append((int(order[x]), int(order[y])))
+        if hit.any():
+            while (parent != (up := parent[parent])).any():
+                parent[:] = up
+    return out
+
+
+def split_clusters(members: DataFrame, percent: int = THRESHOLD, nodes: int = NODES) -> DataFrame:
+    """``members(cluster, node, n, bits)`` -> edges (a, b) between nodes that may be similar, enough of
+    them to connect every such pair.
+
+    Similar sizes lie in one size class or in two that follow each other, so a node joins the instance
+    of its own class and that of the class before it; an instance above ``nodes`` is dealt to blocks."""
+    # A little wider than the similarity allows: rounding must not put a pair two classes apart.
+    width = 1.001 * float(np.log(100 / percent)) if percent < 100 else 1e-9
+    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("bigint")
+    placed = (members.select("cluster", "node", "n", "bits", F.explode(F.array(own, own - 1)).alias("_in"))
+              .select(F.struct("cluster", "_in").alias("cluster"), "node", "n", "bits"))
+    sizes = placed.groupBy("cluster").agg(F.sum(1 + F.shiftright("n", 9)).alias("tokens"))
+
+    def near(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        inside = pa.chunked_array(table["cluster"]).combine_chunks()
+        group, level = (inside.field(x).to_numpy(zero_copy_only=False) for x in ("cluster", "_in"))
+        n, node = table["n"].to_numpy(), table["node"].to_numpy()
+        found = []
+        for one in np.unique(level):
+            at = np.flatnonzero(level == one)
+            maps = table["bits"].take(pa.array(at)).to_pylist()
+            found.append(at[np.array(near_pairs(group[at], n[at], maps, percent), np.int64).reshape(-1, 2)])
+        found = np.concatenate(found)
+        return pa.table({"a": pa.array(node[found[:, 0]]), "b": pa.array(node[found[:, 1]])})
+
+    return (block_pairs(placed, sizes, nodes).select("task", "cluster", "node", "n", "bits")
+            .groupBy("task").applyInArrow(near, "a bigint, b bigint"))
+
+
 def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``docs(doc_id, th, text)`` -> doc_id, th, n_shingles, class (of equal sets)."""
+    """``docs(doc_id, th, text)`` -> doc_id, th, n_shingles, class (of equal sets), bits (see bit_maps)."""
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets, offsets = shingle_sets(part["text"], words)
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["th"], pa.array(np.diff(offsets)), class_key(sets, offsets)],
-                    names=["doc_id", "th", "n_shingles", "class"])
-    return docs.mapInArrow(run, "doc_id bigint, th bigint, n_shingles bigint, class binary")
+                    [part["doc_id"], part["th"], pa.array(np.diff(offsets)), class_key(sets, offsets), bit_maps(sets, offsets)],
+                    names=["doc_id", "th", "n_shingles", "class", "bits"])
+    return docs.mapInArrow(run, "doc_id bigint, th bigint, n_shingles bigint, class binary, bits binary")
 
 
 def candidate_edges(docs: DataFrame, shards: int, words: int = WORDS, percent: int = THRESHOLD,
                     flush: int = FLUSH) -> DataFrame:
     """Edges (a, b) between the 64-bit class heads of sets that share a signature.
 
-    Packed rows: of a shard's signatures 40 bits besides the shard, and the heads.  Chance
-    equality costs a comparison, never a link."""
+    Packed rows: of a shard's signatures 40 bits besides the shard, and the heads, in the
+    order of these, as compressed differences.  Chance equality costs a comparison, never a link."""
     def pack(node, key):
         # (key, node) order; equal signatures of this flush become edges here.
         order = np.lexsort((node, key))
@@ -151,9 +262,13 @@ def candidate_edges(docs: DataFrame, shards: int, words: int = WORDS, percent: i
         names = np.flatnonzero(np.diff(cut)) if cut is not None else np.unique(shard).astype(np.int64)
         lo = cut[names] if cut is not None else np.searchsorted(shard, names.astype(np.uint64))
         hi = np.append(lo[1:], len(key))
-        low, high = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32), (key >> np.uint64(32)).astype(np.uint8)
-        rows = [names, [low[i:j].tobytes() for i, j in zip(lo, hi)], [high[i:j].tobytes() for i, j in zip(lo, hi)],
-                [node[i:j].tobytes() for i, j in zip(lo, hi)]]
+        rows = [names, [], [], []]
+        for i, j in zip(lo, hi):
+            order = i + np.argsort(node[i:j], kind="stable")
+            mine = key[order]
+            rows[1].append((mine & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
+            rows[2].append((mine >> np.uint64(32)).astype(np.uint8).tobytes())
+            rows[3].append(_packed(node[order]))
         # The edges found here ride along with the first row.
         ride = [np.stack([a, b], axis=1).tobytes()] + [b""] * (len(names) - 1) if len(names) else []
         return pa.RecordBatch.from_arrays(
@@ -185,7 +300,7 @@ def candidate_edges(docs: DataFrame, shards: int, words: int = WORDS, percent: i
     def meet(table: pa.Table) -> pa.Table:
         blob = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
         key = blob("high", np.uint8).astype(np.uint64) << np.uint64(32) | blob("low", np.uint32).astype(np.uint64)
-        node = blob("node", np.int64)
+        node = np.concatenate([_unpacked(x, len(y) // 4) for x, y in zip(table["node"].to_pylist(), table["low"].to_pylist())])
         order = np.lexsort((node, key))
         _, a, b = _linked(key[order], node[order])
         known = blob("edges", np.int64).reshape(-1, 2)
@@ -196,7 +311,7 @@ def candidate_edges(docs: DataFrame, shards: int, words: int = WORDS, percent: i
     return packed.groupBy("shard").applyInArrow(meet, "a bigint, b bigint")
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, large: int = LARGE) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, n_shingles, component_id (smallest doc_id reachable by links).
 
     Words are split at white space and A-Z lower-cased.  Texts with fewer than ``words``
@@ -215,12 +330,17 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = THRES
     clusters = connected_components(edges).select("node", F.col("component").alias("cluster"))
     # One document of every class; sums and minima of a class are partial aggregates.
     classes = (full.groupBy("class").agg(
-        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"),
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"),
         F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("k"), "doc_id", "th")).alias("one"))
-        .select("class", head, "least", "n", "one"))
+        .select("class", head, "least", "n", "bits", "one"))
     classes = scratch.write(classes)
     members = scratch.write(classes.join(clusters, F.col("f") == F.col("node"))
-                            .select("class", "cluster", "one.doc_id", "one.th", "n"))
+                            .select("class", "node", "cluster", "one.doc_id", "one.th", "n", "bits"))
+    sizes = scratch.write(members.groupBy("cluster").agg(F.sum("n").alias("tokens")).where(F.col("tokens") > large).select("cluster"))
+    if not sizes.isEmpty():
+        near = connected_components(split_clusters(members.join(sizes, "cluster"), percent))
+        parts = members.drop("cluster").join(near.select("node", F.col("component").alias("cluster")), "node")
+        members = scratch.write(members.join(sizes, "cluster", "left_anti").unionByName(parts.select(*members.columns)))
     found = scratch.write(link_classes(own, members, words, percent))
     parts = connected_components(found).withColumnsRenamed({"node": "class", "component": "_c"})
     named = classes.select("class", "least").join(parts, "class").groupBy("_c").agg(F.min("least").alias("component_id"))
