@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.clusters import block_pairs
+from kestrel.llm.clusters import BLOCK_TOKENS, block_pairs
 from kestrel.llm.components import connected_components
 from kestrel.llm.minhash import class_key, link_classes, shingle_sets
 from kestrel.llm.store import Scratch, columns
@@ -38,7 +38,7 @@ THRESHOLD = 85            # percent
 SECOND, DIFFERENT = 3, 1  # second-level parts, and how many of them may differ
 SHARD = 2_000_000         # signatures of one shard
 FLUSH = 3_000_000         # signatures a task packs together
-LARGE = 250_000           # set elements of a candidate cluster from which it is split
+LARGE = BLOCK_TOKENS      # set elements above which a candidate cluster is split: more than one task compares
 NODES = 32_768            # bit maps of one block (a wide one counts more)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALT = fmix(np.arange(1, 4, dtype=np.uint64) * _MIX)
